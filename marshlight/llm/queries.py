@@ -5,16 +5,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from . import langid, quality, warc
+from .common import fold, scratch_path, table
 from .pieces import encode_decode
+from .simhash import near_duplicates
 from .topk import exact_topk
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, most=4)
+
+
+def held_out(mod: int, at: int):
+    return F.coalesce(fold(F.col("doc_id"), mod) == at, F.lit(False)).alias("held_out")
+
+
 def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return exact_topk(vectors, F.col("vec_id") % 100 == 0, k=10, scale=1024)
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    path = scratch_path(spark, "warc")
+    warc.write_archives(pages, path, min_bytes=0)
+    read = warc.read_archives(spark, path)
+    return read.select(F.col("page_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.train(docs, fold(F.col("doc_id"), 5) != 0)
+    return langid.predict(docs, model).select("doc_id", held_out(5, 0), "lang_pred", "score")
+
+
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -22,7 +46,17 @@ def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(docs, public_tokenizers.path("piece_bpe_32k.model"), outputs="digest")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model, threshold=0.3).select("doc_id", held_out(5, 0), "score", "predicted")
+
+
 QUERIES = {
+    "op2_simhash": op2_simhash,
+    "op5_warc": op5_warc,
+    "op7_language_id": op7_language_id,
+    "op9_quality": op9_quality,
     "op6_exact_topk": op6_exact_topk,
     "op8_sentencepiece": op8_sentencepiece,
 }
