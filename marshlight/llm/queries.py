@@ -5,17 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality, warc
+from . import langid, mixing, ngram, quality, repeats, warc
 from .common import fold, scratch_path, table
 from .pieces import encode_decode
 from .simhash import near_duplicates
 from .topk import exact_topk
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), weights=(1, 2, 3), most=3.0)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, most=4)
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = ngram.score_texts(docs, ngram.fold_is_training(7, 2))
+    return scored.select("doc_id", held_out(7, 2), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def held_out(mod: int, at: int):
     return F.coalesce(fold(F.col("doc_id"), mod) == at, F.lit(False)).alias("held_out")
 
@@ -52,11 +62,18 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, model, threshold=0.3).select("doc_id", held_out(5, 0), "score", "predicted")
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400, report=True)
+
+
 QUERIES = {
+    "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
+    "op3_lm_scoring": op3_lm_scoring,
     "op5_warc": op5_warc,
     "op7_language_id": op7_language_id,
     "op9_quality": op9_quality,
+    "op10_repeats": op10_repeats,
     "op6_exact_topk": op6_exact_topk,
     "op8_sentencepiece": op8_sentencepiece,
 }
