@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, ngram, quality, repeats, warc
+from . import fingerprint, langid, mixing, ngram, quality, repeats, warc
 from .common import fold, scratch_path, table
 from .pieces import encode_decode
 from .simhash import near_duplicates
@@ -35,6 +35,10 @@ def op6_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(vectors, F.col("vec_id") % 100 == 0, k=10, scale=1024)
 
 
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     path = scratch_path(spark, "warc")
@@ -70,6 +74,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
     "op3_lm_scoring": op3_lm_scoring,
+    "op4_fingerprints": op4_fingerprints,
     "op5_warc": op5_warc,
     "op7_language_id": op7_language_id,
     "op9_quality": op9_quality,
