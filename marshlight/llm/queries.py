@@ -17,7 +17,8 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), shingle=4, most=4)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_duplicates(docs, shingle=4, most=4).select("doc_id", "fingerprint", "component_id")
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, remove, text_bytes
@@ -34,23 +36,36 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int(np.packbits(2 * total > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp long`` (the fingerprint's bits as a signed long) for every row."""
+def fingerprints(docs: DataFrame, shingle: int = 4, confirm: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, fp, fp2, text_hash`` for every row: the bits of the fingerprint, and of a second one over
+    ``confirm`` words where asked for (else 0), as signed longs."""
 
     def run(batches):
         for b in batches:
-            fp = np.array([fingerprint(x.as_buffer().to_pybytes(), shingle) for x in b.column(1)], "<u8").view("<i8")
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+            raw = [x.as_buffer().to_pybytes() for x in b.column(1)]
+            fps = [np.array([fingerprint(x, n) if n else 0 for x in raw], "<u8").view("<i8") for n in (shingle, confirm)]
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(f, pa.int64()) for f in fps), b.column(2)], names=["doc_id", "fp", "fp2", "text_hash"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), text_bytes(F.col(text_col)).alias("b")).mapInArrow(run, f"doc_id {kind}, fp long")
+    rows = docs.select(F.col(id_col).alias("doc_id"), text_bytes(F.col(text_col)).alias("b"))
+    return rows.select("doc_id", "b", F.xxhash64("b").alias("h")).mapInArrow(run, f"doc_id {kind}, fp long, fp2 long, text_hash long")
 
 
-def pieces(differences: int) -> list[tuple[int, int]]:
-    """(shift, width) of ``differences + 1`` runs of bits: fingerprints that differ in no more bits share a run."""
-    n = differences + 1
+def tables(differences: int, keep: int) -> list[list[tuple[int, int]]]:
+    """Choices of ``keep`` runs of bits, as (shift, width), out of ``differences + keep``: fingerprints that differ
+    in no more bits agree on all runs of at least one choice."""
+    n = differences + keep
     cuts = [64 * i // n for i in range(n + 1)]
-    return [(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)]
+    return [list(c) for c in combinations([(a, b - a) for a, b in zip(cuts, cuts[1:], strict=False)], keep)]
+
+
+def _value(fp: Column, runs: list[tuple[int, int]]) -> Column:
+    """The bits of the runs, side by side."""
+    out, at = F.lit(0).cast("long"), 0
+    for a, w in runs:
+        out = out.bitwiseOR(F.shiftleft(F.shiftrightunsigned(fp, a).bitwiseAND(F.lit((1 << w) - 1)), at))
+        at += w
+    return out
 
 
 def gray_rank(codes: np.ndarray) -> np.ndarray:
@@ -66,7 +81,8 @@ class GrayIndex:
     (mask and pattern), so the differences on them accumulate for the whole group at once."""
 
     def __init__(self, fps: np.ndarray):
-        self.fps = fps[np.argsort(gray_rank(fps), kind="stable")]
+        self.order = np.argsort(gray_rank(fps), kind="stable")
+        self.fps = fps[self.order]
         self.levels = [(np.full(len(fps), ~np.uint64(0)), self.fps)]
         while len(self.levels[-1][0]) > 1:
             mask, pat = self.levels[-1]
@@ -125,65 +141,70 @@ def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _blocks(most: int):
-    """For each (piece, value, cell): the block pair's members, linked and reduced to one edge per member."""
+def _blocks(most: int, most2: int | None):
+    """For each (table, value, cell): the block pair's members, linked and reduced to one edge per member."""
 
     def run(batches):
-        now, sides = None, ([], [])
+        now, held = None, ([], [])
 
         def flush():
-            left, right = (np.array(s, "<i8").view("<u8") for s in sides)
-            if not len(left):
+            left, right = ([np.concatenate([p[i] for p in h]).view("<u8") for i in range(3)] if h else None for h in held)
+            if left is None:
                 return
-            x = GrayIndex(left)
-            y = GrayIndex(right) if len(right) else x
-            fps = np.concatenate([x.fps, y.fps]) if len(right) else x.fps
-            shift = len(left) if len(right) else 0
-            label = np.arange(len(fps))
+            x = GrayIndex(left[1])
+            y = GrayIndex(right[1]) if right else x
+            node, extra = (left[i][x.order] for i in (0, 2))
+            shift = len(node) if right else 0
+            if right:
+                node, extra = (np.concatenate([old, right[i][y.order]]) for old, i in ((node, 0), (extra, 2)))
+            label = np.arange(len(node))
             for a, b in x.links(y, most):
-                label = join_labels(label, a, b + shift)
-            moved = np.flatnonzero(label != np.arange(len(fps)))
+                b = b + shift
+                if most2 is not None:
+                    ok = np.bitwise_count(extra[a] ^ extra[b]) <= most2
+                    a, b = a[ok], b[ok]
+                label = join_labels(label, a, b)
+            moved = np.flatnonzero(label != np.arange(len(node)))
             for s in range(0, len(moved), 65536):
                 m = moved[s : s + 65536]
-                yield pa.RecordBatch.from_arrays([pa.array(fps[m].view("<i8"), pa.int64()), pa.array(fps[label[m]].view("<i8"), pa.int64())], names=["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(node[m].view("<i8"), pa.int64()), pa.array(node[label[m]].view("<i8"), pa.int64())], names=["a", "b"])
 
         for b in batches:
-            p, v, c, side, fp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(5))
+            p, v, c, side, node, fp, fp2 = (b.column(i).to_numpy(zero_copy_only=False) for i in range(7))
             edge = np.flatnonzero((p[1:] != p[:-1]) | (v[1:] != v[:-1]) | (c[1:] != c[:-1])) + 1
             for s, e in zip([0, *edge], [*edge, len(p)], strict=True):
                 key = (p[s], v[s], c[s])
                 if key != now:
                     yield from flush()
-                    now, sides = key, ([], [])
-                one = side[s:e]
-                sides[0].extend(fp[s:e][one == 0])
-                sides[1].extend(fp[s:e][one == 1])
+                    now, held = key, ([], [])
+                for h in (0, 1):
+                    mine = side[s:e] == h
+                    if mine.any():
+                        held[h].append([z[s:e][mine] for z in (node, fp, fp2)])
         yield from flush()
 
     return run
 
 
-def link_fingerprints(fps: DataFrame, most: int = 4, block: int = 4096) -> DataFrame:
-    """Edges ``a, b`` that connect all distinct fingerprints linked directly or in steps of at most ``most``
-    differing bits; linear in their number.
+def link_fingerprints(nodes: DataFrame, most: int = 4, keep: int = 1, most2: int | None = None, block: int = 4096) -> DataFrame:
+    """Edges ``a, b`` that connect all of ``node, fp, fp2`` (distinct nodes) linked directly or in steps of at most
+    ``most`` differing bits of fp (and ``most2`` of fp2 where given); linear in their number.
 
-    The first level of the index are the values of ``most + 1`` runs of bits, one of which two linked
-    fingerprints share; a value's members form one shuffle group. A group of more than ``block`` members is cut
-    into sub-blocks by hash, and each pair of sub-blocks is a task group of its own, so no group is collected
-    whole. Inside, two Gray-order trees are walked against each other.
+    The first level of the index are the values of ``keep`` runs of bits, in as many tables as there are choices
+    of runs: two linked fingerprints share a value in one of them. A value's members form one shuffle group. A
+    group of more than ``block`` members is cut into sub-blocks by hash, and each pair of sub-blocks is a task
+    group of its own, so no group is collected whole. Inside, two Gray-order trees are walked against each other.
     """
-    cuts = pieces(most)
-    keyed = fps.select("fp", F.posexplode(F.array(*[F.shiftrightunsigned("fp", a).bitwiseAND(F.lit((1 << w) - 1)) for a, w in cuts])).alias("p", "v"))
+    values = F.array(*[_value(F.col("fp"), runs) for runs in tables(most, keep)])
+    keyed = nodes.select("node", "fp", "fp2", F.posexplode(values).alias("p", "v"))
     sizes = keyed.groupBy("p", "v").agg(F.count("*").alias("n")).filter("n > 1")
     placed = keyed.join(sizes, ["p", "v"]).withColumn("parts", F.ceil(F.col("n") / F.lit(block)).cast("int"))
-    own = F.pmod(F.xxhash64("fp"), F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # sub-block i meets j >= i in cell i * parts + j, as side 0 and as side 1; cell (i, i) holds one side only
-    cells = placed.withColumn("i", own).select(
-        "p", "v", "fp",
-        F.explode(F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.struct(
-            (F.least(F.col("i"), j) * F.col("parts") + F.greatest(F.col("i"), j)).alias("c"), F.when(F.col("i") <= j, 0).otherwise(1).alias("side")))).alias("at"),
-    ).select("p", "v", "at.c", "at.side", "fp")
-    return cells.repartition("p", "v", "c").sortWithinPartitions("p", "v", "c").mapInArrow(_blocks(most), "a long, b long")
+    here, there = F.least(F.col("i"), F.col("j")), F.greatest(F.col("i"), F.col("j"))
+    cells = placed.withColumn("i", own).select("p", "v", "node", "fp", "fp2", "i", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
+    cells = cells.select("p", "v", (here * F.col("parts") + there).alias("c"), F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), "node", "fp", "fp2")
+    return cells.repartition("p", "v", "c").sortWithinPartitions("p", "v", "c").mapInArrow(_blocks(most, most2), "a long, b long")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> tuple[DataFrame, list[str]]:
@@ -212,19 +233,39 @@ def components(edges: DataFrame, rounds: int = 60) -> tuple[DataFrame, list[str]
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fingerprint, component_id`` per row: 16 hex digits, and the smallest id reachable over
-    fingerprints that differ in at most ``most`` bits (its own included).
+def near_duplicates(
+    docs: DataFrame, shingle: int = 4, most: int = 4, keep: int = 1, confirm: int | None = None, most2: int | None = None, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, fingerprint, component_id, text_hash`` per row: 16 hex digits, the smallest id reachable over
+    fingerprints that differ in at most ``most`` bits (its own included), and the text's 64-bit hash.
+
+    With ``confirm`` a second fingerprint over that many words must also differ in at most ``most2`` bits: the
+    first one then is the index and the second one decides. ``keep`` trades more tables for smaller groups.
 
     Null and empty texts have fingerprint zero and link like any other; equal texts share a fingerprint and
     cost one row in the index; rows with a null id take part but never name a component unless all ids are
     null. An empty table gives no rows; other columns are not carried.
     """
-    rows, rows_path = materialize(fingerprints(docs, shingle, id_col, text_col), "fp")
-    firsts, firsts_path = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("low")), "first")
-    roots, _ = components(link_fingerprints(firsts.select("fp"), most))
-    tied = firsts.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
+    node = F.xxhash64("fp", "fp2") if confirm else F.col("fp")
+    rows, _ = materialize(fingerprints(docs, shingle, confirm, id_col, text_col).withColumn("node", node), "fp")
+    firsts, _ = materialize(rows.groupBy("node", "fp", "fp2").agg(F.min("doc_id").alias("low")), "first")
+    roots, _ = components(link_fingerprints(firsts.select("node", "fp", "fp2"), most, keep, most2 if confirm else None))
+    tied = firsts.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     least = tied.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = tied.join(least, "root").select("fp", "component_id")
+    named = tied.join(least, "root").select("node", "component_id")
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
-    return rows.join(named, "fp").select("doc_id", digits.alias("fingerprint"), "component_id")
+    return rows.join(named, "node").select("doc_id", digits.alias("fingerprint"), "component_id", "text_hash")
+
+
+def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs``, all columns, of which one stays from each component: that with the smallest id (null
+    ids last; then the smallest hash of the text), once where rows repeat."""
+    found = near_duplicates(docs, **how)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    # a component without any id is told by its fingerprint
+    stay = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("only")).agg(F.min(order).alias("at"))
+    stay = stay.select(F.col("at.doc_id").alias("__id"), F.col("at.text_hash").alias("__h"))
+    full = docs.withColumn("__t", F.xxhash64(text_bytes(F.col("text"))))
+    met = full.join(stay, full["doc_id"].eqNullSafe(stay["__id"]) & (full["__t"] == stay["__h"]), "left_semi")
+    once = Window.partitionBy("doc_id", "__t").orderBy("__t")
+    return met.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select(*docs.columns)
