@@ -134,7 +134,7 @@ def fuzzy_best(left: DataFrame, right: DataFrame, lcol: str, rcol: str, max_righ
 
 
 def jaro(a: str, b: str) -> float:
-    """Jaro similarity: matches within half the longer length, less half the matched pairs out of order."""
+    """Jaro similarity: matches within half the longer length, less half (rounded down) of the matched pairs out of order."""
     if a == b:
         return 1.0
     reach = max(len(a), len(b)) // 2 - 1
@@ -148,6 +148,6 @@ def jaro(a: str, b: str) -> float:
     if not hits:
         return 0.0
     other = [ch for ch, f in zip(b, free, strict=True) if not f]
-    swaps = sum(x != y for x, y in zip(hits, other, strict=True)) / 2
+    swaps = sum(x != y for x, y in zip(hits, other, strict=True)) // 2
     m = len(hits)
     return (m / len(a) + m / len(b) + (m - swaps) / m) / 3
