@@ -284,9 +284,9 @@ def _(fx):
     return fx.zones.join(S.polys_meet_zones(lakes, fx.zones), "zone_id", "left_semi").select("zone_id")
 
 
-@query("d08_isolated", "SELECT pt_id FROM fx_points p WHERE NOT EXISTS (SELECT 1 FROM fx_points q WHERE q.h = p.h AND q.pt_id <> p.pt_id AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 0.2E0)")
+@query("d08_isolated", "SELECT pt_id FROM fx_points p WHERE pt_id < 640 AND NOT EXISTS (SELECT 1 FROM fx_points q WHERE q.pt_id < 640 AND q.h = p.h AND q.pt_id <> p.pt_id AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 6.25E0)")
 def _(fx):
-    return S.isolated(fx.points, 0.2**0.5).select("pt_id")
+    return S.isolated(fx.points.filter("pt_id < 640"), 2.5).select("pt_id")
 
 
 @query("d09_thin")
