@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .common import materialize
 
 SMALL = 4  # positions in each of the three parts of the fingerprint's own sketch
-ROUNDS = 6
+ROUNDS = 3
 
 
 def paragraph_keys(text: Column) -> Column:
@@ -79,7 +79,7 @@ def differences(pairs: DataFrame, ids: list[str], factor: float, least: int, see
 
 
 def with_next_text(docs: DataFrame, near: int = 64) -> DataFrame:
-    """``bucket, seq, doc_id, text, next_text``: each row with the text of the row after it in ascending id order
+    """``bucket, seq, doc_id, t, text, next_id, next_t, next_text`` (t: hash of the text): each row with the text of the row after it in ascending id order
     (ties by text; null ids first; after the last row the first), dealt by ``bucket``.
 
     Buckets are ranges of ids of about ``near`` rows. Each bucket's first row also travels to the bucket before
@@ -106,61 +106,78 @@ def with_next_text(docs: DataFrame, near: int = 64) -> DataFrame:
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("late"))
     # equal rows may both be heads; either serves as the next text
     both = F.when(is_head, F.array(own, F.struct(F.col("back").alias("bucket"), F.lit(1).alias("late")))).otherwise(F.array(own))
-    dealt = met.select("doc_id", "text", "_t", F.explode(both).alias("at")).select("doc_id", "text", "_t", "at.*").repartition("bucket")
+    dealt = met.select("doc_id", "text", "_t", F.explode(both).alias("at")).select("doc_id", "text", "_t", "at.*").repartition(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bucket")
     line = Window.partitionBy("bucket").orderBy("late", F.col("doc_id").asc_nulls_first(), "_t")
-    out = dealt.withColumn("next_text", F.lead("text").over(line)).withColumn("seq", F.row_number().over(line))
-    return out.filter("late = 0").select("bucket", "seq", "doc_id", "text", "next_text")
+    out = dealt.withColumns({"next_text": F.lead("text").over(line), "next_id": F.lead("doc_id").over(line), "next_t": F.lead("_t").over(line), "seq": F.row_number().over(line)})
+    return out.filter("late = 0").select("bucket", "seq", "doc_id", F.col("_t").alias("t"), "text", "next_id", "next_t", "next_text")
 
 
-def fingerprints(docs: DataFrame, factor: float = 3.0, least: int = 16) -> DataFrame:
+def _edited(text: str = "text", next_text: str = "next_text") -> Column:
+    half = f"CAST(floor(length({text}) / 2) AS INT)"
+    return F.concat(F.expr(f"substring({text}, 1, length({text}) - {half})"), F.expr(f"substring({next_text}, 1, {half})"))
+
+
+def _pairs(texts: DataFrame, ids: list[str], which: Column | None = None) -> DataFrame:
+    """Key sets of each text and of the edited (0) and the next (1) text, one row per pair."""
+    two = F.array(F.struct(F.lit(0).alias("which"), _edited().alias("other")), F.struct(F.lit(1).alias("which"), F.col("next_text").alias("other")))
+    rows = texts.select(*ids, "text", F.explode(two).alias("p"), *([which.alias("want")] if which is not None else []))
+    if which is not None:
+        rows = rows.filter(F.col("want") == F.col("p.which"))
+    return rows.select(*ids, "p.which", paragraph_keys(F.col("text")).alias("a"), paragraph_keys(F.col("p.other")).alias("b"))
+
+
+def _texts_of(docs: DataFrame, places: DataFrame, id_col: str, hash_col: str, name: str, small: int = 200_000) -> DataFrame:
+    """``places`` with the texts of their documents: broadcast while there are few."""
+    want = places.select(F.col(id_col).alias("_id"), F.col(hash_col).alias("_h")).distinct()
+    want = F.broadcast(want) if want.count() <= small else want
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("_t", F.xxhash64("text"))
+    rows = rows.join(want, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_h"))).dropDuplicates(["_id", "_h"])
+    rows = rows.select("_id", "_h", F.col("text").alias(name))
+    return places.join(rows, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col(hash_col) == F.col("_h"))).drop("_id", "_h")
+
+
+def fingerprints(docs: DataFrame, factor: float = 9.0, least: int = 96) -> DataFrame:
     """``doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next``, with the number
     of paragraphs, and of differing ones to either, as ``paragraphs, apart_edited, apart_next``.
 
     The edited text has its last floor(n/2) code points replaced by as many (or all) first ones of the next text.
     The likeness of two fingerprints is 1 less the share of differing paragraphs among both texts' (1 for two
-    empty texts). Equal small sketches settle it; else both are sketched anew at ``factor`` cells per paragraph
-    and the difference is peeled, and where that fails, at twice the size under other hashes, again and again.
+    empty texts). Both texts are sketched at ``factor`` cells per paragraph (3 * ``least`` at least), the sketches
+    subtracted and the difference peeled; where that fails, at twice the size under other hashes, again and
+    again. The fingerprint that is returned is the text's sketch of twelve cells.
 
     Null texts are empty; a paragraph that repeats within a text counts once; a lone document is its own next;
     repeated rows follow each other; an empty table gives no rows; other columns are not carried. Ids must be
     whole numbers.
     """
-    n = F.length("text").cast("long")
-    edited = F.concat(F.expr("substring(text, 1, CAST(length(text) - floor(length(text) / 2) AS INT))"), F.expr("substring(next_text, 1, CAST(floor(length(text) / 2) AS INT))"))
-    base = with_next_text(docs).withColumn("next_text", F.coalesce("next_text", "text"))
-    base = base.select(
-        "bucket", "seq", "doc_id", n.alias("n_chars"), F.sha2(edited.cast("binary"), 256).alias("edited_sha256"),
-        paragraph_keys(F.col("text")).alias("a"), paragraph_keys(edited).alias("e"), paragraph_keys(F.col("next_text")).alias("x"),
-    )
-    base = base.withColumns({"fingerprint": small_sketch(F.col("a")), "edited_fingerprint": small_sketch(F.col("e"))})
     ids = ["bucket", "seq"]
-    two = F.array(F.struct(F.lit(0).alias("which"), F.col("e").alias("b")), F.struct(F.lit(1).alias("which"), F.col("x").alias("b")))
-    pairs = base.select(*ids, "a", F.explode(two).alias("p")).select(*ids, "p.which", "a", "p.b")
-    found = differences(pairs, ids, factor, least, 100)
-    wide = found.groupBy(*ids).agg(*[F.max(F.when(F.col("which") == i, F.when(F.col("stuck") == 0, F.col("found")).otherwise(-1))).alias(f"d{i}") for i in (0, 1)])
-    met = base.join(wide, ids, "left")
-    d0, d1 = F.coalesce("d0", F.lit(0)), F.coalesce("d1", F.lit(0))  # no cell left at all: nothing differs
-    keep = lambda c, bad: F.when(bad, F.col(c)).alias(c)
-    met = met.select(
-        *ids, "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", F.size("a").alias("na"), F.size("e").alias("ne"), F.size("x").alias("nx"),
-        d0.alias("d0"), d1.alias("d1"), keep("a", (d0 < 0) | (d1 < 0)), keep("e", d0 < 0), keep("x", d1 < 0),
+    n = F.length("text").cast("long")
+    base = with_next_text(docs).withColumns({"next_text": F.coalesce("next_text", "text"), "next_id": F.when(F.col("next_t").isNull(), F.col("doc_id")).otherwise(F.col("next_id")), "next_t": F.coalesce("next_t", "t")})
+    rows = base.select(
+        *ids, "doc_id", "t", "next_id", "next_t", n.alias("n_chars"), F.sha2(_edited().cast("binary"), 256).alias("edited_sha256"),
+        paragraph_keys(F.col("text")).alias("a"), paragraph_keys(_edited()).alias("e"), F.size(paragraph_keys(F.col("next_text"))).alias("nx"),
     )
-    done, _ = materialize(met, "likeness")
-    retry = None
-    open_pairs = done.filter("d0 < 0").select(*ids, F.lit(0).alias("which"), "a", F.col("e").alias("b")).unionByName(done.filter("d1 < 0").select(*ids, F.lit(1).alias("which"), "a", F.col("x").alias("b")))
+    rows = rows.withColumns({"fingerprint": small_sketch(F.col("a")), "edited_fingerprint": small_sketch(F.col("e")), "na": F.size("a"), "ne": F.size("e")}).drop("a", "e")
+    # both parts read one shuffle of the texts and are written together
+    both, _ = materialize(rows.unionByName(differences(_pairs(base, ids), ids, factor, least, 100), allowMissingColumns=True), "likeness")
+    rows, found = both.filter("fingerprint IS NOT NULL"), both.filter("fingerprint IS NULL").select(*ids, "which", "found", "stuck")
+    parts, stuck = [found.filter("stuck = 0").select(*ids, "which", "found")], found.filter("stuck = 1")
     for turn in range(1, 40):
-        if not open_pairs.limit(1).count():
+        if not stuck.limit(1).count():
             break
         factor, least = factor * 2, least * 2
-        again = open_pairs.repartition(*ids)
-        tried = again.join(differences(again, ids, factor, least, 100 + 10 * turn), [*ids, "which"], "left")
-        tried, _ = materialize(tried.select(*ids, "which", F.coalesce("found", F.lit(0)).alias("found"), F.coalesce("stuck", F.lit(0)).alias("stuck"), "a", "b"), "retry")
-        good = tried.filter("stuck = 0").select(*ids, "which", "found")
-        retry = good if retry is None else retry.unionByName(good)
-        open_pairs = tried.filter("stuck = 1").select(*ids, "which", "a", "b")
-    if retry is not None:
-        late = retry.groupBy(*ids).agg(*[F.max(F.when(F.col("which") == i, F.col("found"))).alias(f"r{i}") for i in (0, 1)])
-        done = done.join(late, ids, "left").withColumns({f"d{i}": F.when(F.col(f"d{i}") < 0, F.col(f"r{i}")).otherwise(F.col(f"d{i}")) for i in (0, 1)})
+        places = stuck.select(*ids, "which").join(rows.select(*ids, "doc_id", "t", "next_id", "next_t"), ids)
+        texts = _texts_of(docs, _texts_of(docs, places, "doc_id", "t", "text"), "next_id", "next_t", "next_text")
+        again, _ = materialize(_pairs(texts, ids, F.col("which")), "pairs")
+        dealt = again.repartition(*ids)
+        tried, _ = materialize(differences(dealt, ids, factor, least, 100 + 10 * turn), "retry")
+        parts.append(tried.filter("stuck = 0").select(*ids, "which", "found"))
+        stuck = tried.filter("stuck = 1")
+    found = parts[0]
+    for p in parts[1:]:
+        found = found.unionByName(p)
+    wide = found.groupBy(*ids).agg(*[F.max(F.when(F.col("which") == i, F.col("found"))).alias(f"d{i}") for i in (0, 1)])
+    done = rows.join(wide, ids, "left").withColumns({f"d{i}": F.coalesce(f"d{i}", F.lit(0)) for i in (0, 1)})  # no cell left: nothing differs
     like = lambda d, m: F.when(F.col("na") + F.col(m) > 0, 1 - F.col(d) / (F.col("na") + F.col(m))).otherwise(1.0)
     return done.select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", like("d0", "ne").alias("near_edited"), like("d1", "nx").alias("near_next"),
