@@ -77,11 +77,14 @@ class VoteModel:
         return np.clip((w * self.labels[near]).sum(1) / w.sum(1), 0, 1)
 
 
-def _dense(rows, n=1 << BITS):
-    x = np.zeros((len(rows), n), np.float32)
-    for r, (i, v) in enumerate(rows):
-        np.add.at(x[r], i, v.astype(np.float32))
-    return x
+def _blocks(rows, width: int = 2048):
+    """The rows' features as dense matrices, ``width`` columns at a time: the whole matrix is never held."""
+    for lo in range(0, 1 << BITS, width):
+        x = np.zeros((len(rows), width), np.float32)
+        for r, (i, v) in enumerate(rows):
+            here = (i >= lo) & (i < lo + width)
+            np.add.at(x[r], i[here] - lo, v[here].astype(np.float32))
+        yield lo, x
 
 
 def fit(rows, labels, rank: int = 64, neighbours: int = 15) -> VoteModel | None:
@@ -90,14 +93,23 @@ def fit(rows, labels, rank: int = 64, neighbours: int = 15) -> VoteModel | None:
     if not len(rows):
         return None
     labels = np.asarray(labels, np.float64)
-    x = _dense(rows)
-    idf = (np.log((1 + len(rows)) / (1 + (x > 0).sum(0))) + 0.3).astype(np.float32)
-    x *= idf
-    val, vec = np.linalg.eigh(x @ x.T)
+    idf = np.zeros(1 << BITS, np.float32)
+    own = np.zeros((len(rows), len(rows)), np.float32)
+    for lo, x in _blocks(rows):
+        part = (np.log((1 + len(rows)) / (1 + (x > 0).sum(0))) + 0.3).astype(np.float32)
+        idf[lo : lo + x.shape[1]] = part
+        x *= part
+        own += x @ x.T
+    val, vec = np.linalg.eigh(own)
+    del own
     top = np.argsort(-val)[:rank]
-    top = top[val[top] > 1e-6]
-    project = (x.T @ (vec[:, top] / np.sqrt(val[top]))).astype(np.float32) * idf[:, None]
-    del x
+    top = top[val[top] > 1e-5]
+    to = (vec[:, top] / np.sqrt(val[top])).astype(np.float32)
+    del vec
+    project = np.zeros((1 << BITS, len(top)), np.float32)
+    for lo, x in _blocks(rows):
+        part = idf[lo : lo + x.shape[1]]
+        project[lo : lo + x.shape[1]] = ((x * part).T @ to) * part[:, None]
     m = VoteModel(project, np.empty((0, len(top)), np.float32), labels, neighbours, float(labels.mean()))
     m.vectors = m.embed(rows)
     return m
