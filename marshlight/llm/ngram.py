@@ -262,7 +262,7 @@ def _scorer(order: int, tokens: int, types: int, prior: float):
     return run
 
 
-def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: float = 50.0, block_docs: int = 2048, bits: int = 8) -> DataFrame:
+def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: float = 50.0, block_docs: int = 2048, bits: int | None = None) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every whole text.
 
     Texts fall into blocks of ``block_docs`` neighbouring ids. Tasks count the n-grams of their blocks and
@@ -275,6 +275,8 @@ def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: flo
     no training rows all words are unknown; an empty table gives no rows; other columns are not carried. Words
     are told apart by 64-bit hashes.
     """
+    if bits is None:  # as many buckets as the session's partitions ask for: a bucket's share does not grow with the input
+        bits = max(6, (4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
     block = F.when(F.col("doc_id").isNotNull(), F.floor(F.col("doc_id") / block_docs)).otherwise(-1 - F.pmod(F.xxhash64("text"), F.lit(64)))
     rows = docs.select("doc_id", "text", F.coalesce(is_training, F.lit(False)).alias("learn")).select(block.cast("long").alias("block"), "learn", text_bytes(F.col("text")).alias("b"), "doc_id")
     counted = rows.select("block", "learn", "b").mapInArrow(_counter(order, bits), "bucket long, block long, keys binary, counts binary")
