@@ -25,11 +25,13 @@ def window_stats(cells: DataFrame, w: int, band: str, full: bool = False) -> Dat
     one = cells.select(*KEY, F.col(band).alias("v"))
     col = _along("c", "r", k)
     v = F.col("v")
-    # along rows: every column within reach of a cell needs a partial, so cells spread to the 2k + 1 columns around
-    a = one.select("h", "r", "v", F.explode(F.sequence(F.col("c") - k, F.col("c") + k)).alias("c"))
-    a = a.groupBy(*KEY).agg(F.count("v").alias("n"), F.sum("v").alias("s"), F.sum(v * v).alias("q"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    # along rows: a row's columns from k before its first cell to k after its last, so that a partial exists wherever
+    # a window needs one; on a dense raster this is the raster itself
+    span = one.groupBy("h", "r").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).select("h", "r", F.explode(F.sequence(F.col("lo") - k, F.col("hi") + k)).alias("c"))
+    row = _along("r", "c", k)
+    a = span.join(one, KEY, "left").select(*KEY, F.count("v").over(row).alias("n"), F.sum("v").over(row).alias("s"), F.sum(v * v).over(row).alias("q"), F.min("v").over(row).alias("lo"), F.max("v").over(row).alias("hi"))
     if full:
-        b = a.select("h", "c", "n", "s", "q", "lo", "hi", F.explode(F.sequence(F.col("r") - k, F.col("r") + k)).alias("r")).groupBy(*KEY)
+        b = a.filter("n > 0").select("h", "c", "n", "s", "q", "lo", "hi", F.explode(F.sequence(F.col("r") - k, F.col("r") + k)).alias("r")).groupBy(*KEY)
         return b.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     b = a.select("*", F.sum("n").over(col).alias("wn"), F.sum("s").over(col).alias("ws"), F.sum("q").over(col).alias("wq"), F.min("lo").over(col).alias("wlo"), F.max("hi").over(col).alias("whi"))
     b = b.select(*KEY, F.col("wn").alias("n"), F.col("ws").alias("s"), F.col("wq").alias("q"), F.col("wlo").alias("lo"), F.col("whi").alias("hi"))
