@@ -75,197 +75,118 @@ def anchors(b: np.ndarray, length: int, span: int) -> tuple[np.ndarray, np.ndarr
     return at, h[at], r
 
 
-def _find(length: int, span: int):
-    def run(batches):
-        for b in batches:
-            doc, mark, place, keys, around = [], [], [], [], []
-            for i in range(b.num_rows):
-                t = np.frombuffer(b.column(2)[i].as_buffer(), np.uint8)
-                if len(t) < length:
-                    continue
-                at, h, r = anchors(t, length, span)
-                start, stop = at - span + 1, at + length
-                whole = (start >= 0) & (stop <= len(t))
-                # an anchor too near an end of its text has no full surroundings: null
-                ctx = np.where(whole, r.of(np.maximum(start, 0), np.minimum(stop, len(t))), np.uint64(0))
-                doc.append(np.full(len(at), i))
-                place.append(at)
-                keys.append(h)
-                around.append(np.ma.array(ctx, mask=~whole))
-            if not doc:
-                continue
-            take = pa.array(np.concatenate(doc))
-            ctx = np.ma.concatenate(around)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(take), b.column(1).take(take), pa.array(np.concatenate(place), pa.int32()), pa.array(np.concatenate(keys).view("<i8"), pa.int64()),
-                 pa.array(ctx.data.view("<i8"), pa.int64(), mask=np.ma.getmaskarray(ctx))],
-                names=["doc_id", "text_hash", "pos", "key", "around"],
-            )
-
-    return run
-
-
-def _surroundings(length: int, span: int):
-    """The bytes that windows over an anchor can cover, with the range of window offsets the text allows."""
+_NODE = "pos int, first int, key long, around long, start int, stop int"
+
+
+def _emit(length: int, size: int, whole: int):
+    """Nodes of the texts' anchors: for a range of window offsets the hash of the string that all its windows share
+    (``key``) and of all bytes that its windows cover (``around``, from ``start`` to ``stop``).
+
+    With ``size == whole`` the anchors are found here; else ``at`` lists anchors and the ranges to be cut up.
+    """
+
+    def nodes(t: np.ndarray, asked):
+        if size == whole:
+            at, _, r = anchors(t, length, whole)
+            first = np.zeros(len(at), np.int64)
+        else:
+            r = Rolling(t)
+            was = np.array([(x["pos"], x["first"]) for x in asked], np.int64)
+            step = np.arange(0, asked_width, size)
+            at, first = np.repeat(was[:, 0], len(step)), (was[:, 1][:, None] + step).ravel()
+        last = first + size - 1
+        lo, hi = np.maximum(0, at + length - len(t)), np.minimum(whole - 1, at)
+        live = (first <= hi) & (last >= lo)
+        at, first, last, lo, hi = at[live], first[live], last[live], lo[live], hi[live]
+        key = r.of(at - first, at - last + length) + (first * 1009 + size).astype(np.uint64)
+        lo, hi = np.maximum(first, lo), np.minimum(last, hi)  # the windows that the text has room for
+        around = r.of(at - hi, at - lo + length) + (lo * 1009 + hi * 1000003).astype(np.uint64)
+        return at, first, key.view("<i8"), around.view("<i8"), at - hi, at - lo + length
+
+    asked_width = 0
 
     def run(batches):
         for b in batches:
-            out = ([], [], [], [], [], [], [])
+            out, rows = [], []
             for i in range(b.num_rows):
-                t = b.column(3)[i].as_buffer().to_pybytes()
-                for x in b.column(2)[i].as_py():
-                    p = x["pos"]
-                    lo, hi = max(0, p + length - len(t)), min(span - 1, p)
-                    left, right = p - hi, p - lo + length
-                    for o, v in zip(out, (i, p, x["key"], lo, hi, t[left:right], p - left), strict=True):
-                        o.append(v)
-            if out[0]:
-                take = pa.array(out[0])
+                t = np.frombuffer(b.column(2)[i].as_buffer(), np.uint8)
+                if len(t) >= length:
+                    out.append(nodes(t, b.column(3)[i].as_py() if size != whole else None))
+                    rows.append(np.full(len(out[-1][0]), i))
+            if out:
+                cols = [np.concatenate(x) for x in zip(*out, strict=True)]
+                take = pa.array(np.concatenate(rows))
+                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).take(take), b.column(1).take(take), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int32()), pa.array(out[4], pa.int32()), pa.array(out[5], pa.binary()), pa.array(out[6], pa.int32())],
-                    names=["doc_id", "text_hash", "pos", "key", "lo", "hi", "bytes", "before"],
+                    [b.column(0).take(take), b.column(1).take(take), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))],
+                    names=["doc_id", "text_hash", "pos", "first", "key", "around", "start", "stop"],
                 )
 
-    return run
-
-
-_NODE = "pos int, key long, lo int, hi int, bytes binary, before int"
+    def sized(width: int):
+        nonlocal asked_width
+        asked_width = width
+        return run
 
+    return sized
 
-def _runs(flags: np.ndarray) -> np.ndarray:
-    """Begin and end of each run of true."""
-    f = np.diff(np.concatenate([[0], flags.astype(np.int8), [0]]))
-    return np.stack([np.flatnonzero(f == 1), np.flatnonzero(f == -1)], 1)
 
+def _decide(nodes: DataFrame, nodes_path: str) -> tuple[DataFrame, DataFrame]:
+    """Ranges of the nodes all of whose windows repeat, and the nodes that are still open.
 
-def _compare(length: int, span: int, chunk: int = 2048):
-    """Marks, key by key, the windows that two members share: hashes of the window at each offset, sorted."""
+    A node whose shared string occurs once is done: no window of it repeats. One whose surroundings occur twice is
+    done too: all its windows repeat; one of each such class stays open as a witness while others share its
+    string. Counting is by partial sums, so that no common string gathers in one task.
+    """
+    spark = nodes.sparkSession
+    strings = nodes.groupBy("key").agg(F.count("*").alias("in_key")).filter("in_key > 1")
+    live, live_path = materialize(nodes.join(strings, "key"), "live")
+    remove(spark, nodes_path)
+    per = live.groupBy("key", "around").agg(F.count("*").alias("n"), F.min(F.struct("text_hash", "pos")).alias("witness"))
+    witness = F.struct("text_hash", "pos") == F.col("witness")
+    met = live.join(per, ["key", "around"]).withColumns({"settled": F.col("n") > 1, "open": (F.col("n") == 1) | (witness & (F.col("in_key") > F.col("n")))})
+    met, _ = materialize(met.select("doc_id", "text_hash", "pos", "first", "start", "stop", "settled", "open").filter("settled OR open"), "decided")
+    remove(spark, live_path)
+    return met.filter("settled").select("doc_id", "text_hash", "start", "stop"), met.filter("open").select("doc_id", "text_hash", "pos", "first")
 
-    def run(batches):
-        held = []
-
-        def flush():
-            n = len(held)
-            h = np.zeros((n, span), np.uint64)
-            ok = np.zeros((n, span), bool)
-            for r, (_, _, _, key, lo, hi, raw, before) in enumerate(held):
-                roll = Rolling(np.frombuffer(raw, np.uint8))
-                o = np.arange(lo, hi + 1)
-                h[r, lo : hi + 1] = roll.of(before - o, before - o + length) ^ np.uint64(key & ((1 << 64) - 1))
-                ok[r, lo : hi + 1] = True
-            out = ([], [], [], [])
-            order = np.argsort(h, axis=0, kind="stable")
-            s, okay = np.take_along_axis(h, order, 0), np.take_along_axis(ok, order, 0)
-            same = (s[1:] == s[:-1]) & okay[1:] & okay[:-1]
-            twin = np.zeros((n, span), bool)
-            twin[1:] |= same
-            twin[:-1] |= same
-            flags = np.zeros((n, span), bool)
-            np.put_along_axis(flags, order, twin, 0)
-            for r in np.flatnonzero(flags.any(1)):
-                for a, z in _runs(flags[r]):
-                    for o, v in zip(out, (held[r][0], held[r][1], held[r][2] - (int(z) - 1), held[r][2] - int(a) + length), strict=True):
-                        o.append(v)
-            held.clear()
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(out[0], id_type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64())], names=["doc_id", "text_hash", "start", "stop"])
 
-        id_type = None
-        for b in batches:
-            id_type = b.schema.field("doc_id").type
-            cols = [b.column(i) for i in range(8)]
-            for i in range(b.num_rows):
-                row = tuple(c[i].as_py() for c in cols)
-                if len(held) >= chunk and row[3] != held[-1][3]:
-                    yield from flush()
-                held.append(row)
-        if held:
-            yield from flush()
+SMALL = 200_000
 
-    return run
 
+def _by_document(docs: DataFrame, per: DataFrame, hash_col: str, keep_all: bool = False) -> DataFrame:
+    """``docs`` with one row per document that has something (all of ``docs`` with ``keep_all``). While these are at
+    most ``SMALL`` documents their keys are broadcast, so that only their texts are shuffled; beyond, all are."""
+    per, _ = materialize(per.withColumnsRenamed({"doc_id": "__id", "text_hash": "__t"}), "places")
+    same = docs["doc_id"].eqNullSafe(per["__id"]) & (docs[hash_col] == per["__t"])
+    if per.count() > SMALL:
+        return docs.join(per, same, "left" if keep_all else "inner")
+    keys = F.broadcast(per.select(F.col("__id").alias("__i"), F.col("__t").alias("__h2")))
+    hit = docs["doc_id"].eqNullSafe(F.col("__i")) & (docs[hash_col] == F.col("__h2"))
+    met = docs.join(keys, hit, "left_semi").join(per.hint("merge"), same)
+    return met.unionByName(docs.join(keys, hit, "left_anti"), allowMissingColumns=True) if keep_all else met
 
-def _halves(length: int):
-    """Each member's two halves of window offsets, keyed by the longer string that all windows of a half share."""
 
-    def run(batches):
-        for b in batches:
-            rows, keys, firsts, lasts = [], [], [], []
-            for i in range(b.num_rows):
-                first, last, lo, hi, before = (b.column(j)[i].as_py() for j in (8, 9, 4, 5, 7))
-                roll, mid = Rolling(np.frombuffer(b.column(6)[i].as_buffer(), np.uint8)), (first + last + 1) // 2
-                for f, z in ((first, mid - 1), (mid, last)):
-                    if max(f, lo) <= min(z, hi):  # then the shared string lies inside the text
-                        key = roll.of(np.array([before - f]), np.array([before - z + length])) + np.uint64(f * 1009 + z)
-                        rows.append(i)
-                        keys.append(int(key.view("<i8")[0]))
-                        firsts.append(f)
-                        lasts.append(z)
-            if rows:
-                take = pa.array(rows)
-                same = [b.column(j).take(take) for j in (0, 1, 2, 4, 5, 6, 7)]
-                cols = [*same[:3], pa.array(keys, pa.int64()), *same[3:], pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32())]
-                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "text_hash", "pos", "key", "lo", "hi", "bytes", "before", "first", "last"])
-
-    return run
-
-
-def repeated_spans(docs: DataFrame, length: int = 400, span: int = 256, big: int = 4096) -> tuple[DataFrame, list[str]]:
+def repeated_spans(docs: DataFrame, length: int = 400, sizes: tuple[int, ...] = (256, 32, 8, 1)) -> DataFrame:
     """``doc_id, text_hash, start, stop``: byte ranges that together cover every byte of a ``length``-byte string
     that starts in more than one place. ``docs`` has ``doc_id, text_hash, b`` (bytes). Ranges may overlap.
 
-    Every window of ``length`` bytes is filed under an anchor it holds, and equal windows hold theirs at the same
-    offset (0 to ``span`` - 1). (1) Anchors whose gram occurs once are settled: nothing over them repeats.
-    (2) Anchors whose whole surroundings are equal are settled by one hash: all their windows repeat; one of
-    each such class stays as a witness for others. (3) The rest carry their surroundings and are compared within
-    their gram, window by window, as long as at most ``big`` of them share it; a larger group is halved by
-    offset and dealt anew under the longer string each half has in common, down to single windows, which repeat
-    if two are equal. No group is ever collected beyond ``big`` members, none is cut short.
+    Every window of ``length`` bytes is filed under an anchor it holds, at an offset below ``sizes[0]``, and equal
+    windows hold theirs at the same offset. Nodes are ranges of offsets at an anchor, cut finer from size to size
+    down to single windows; on each level only nodes go on whose windows may or may not repeat. The texts that
+    have open nodes are read once more per level for their hashes; only hashes and places are shuffled.
     """
-    spark = docs.sparkSession
     kind = docs.schema["doc_id"].dataType.simpleString()
-    found, found_path = materialize(docs.mapInArrow(_find(length, span), f"doc_id {kind}, text_hash long, pos int, key long, around long"), "anchors")
-    shared = found.groupBy("key").agg(F.count("*").alias("in_key")).filter("in_key > 1")
-    live, live_path = materialize(found.join(shared, "key"), "shared")
-    remove(spark, found_path)
-    same = live.filter("around IS NOT NULL").groupBy("key", "around").agg(F.count("*").alias("n"), F.min(F.struct("text_hash", "pos")).alias("witness")).filter("n > 1")
-    known = live.join(same, ["key", "around"], "left")
-    settled, settled_path = materialize(known.filter("n > 1").select("doc_id", "text_hash", (F.col("pos") - (span - 1)).cast("long").alias("start"), (F.col("pos") + length).cast("long").alias("stop")), "ranges")
-    witness = F.struct("text_hash", "pos") == F.col("witness")
-    rest = known.filter(F.col("n").isNull() | (witness & (F.col("in_key") > F.col("n")))).groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("pos", "key")).alias("at"))
-    rest = rest.withColumnsRenamed({"doc_id": "__id", "text_hash": "__t"})
-    met = docs.join(rest, docs["doc_id"].eqNullSafe(rest["__id"]) & (docs["text_hash"] == rest["__t"])).select("doc_id", "text_hash", "at", "b")
-    # identical rows carry identical surroundings; both stay, for together they repeat
-    nodes = met.mapInArrow(_surroundings(length, span), f"doc_id {kind}, text_hash long, {_NODE}").withColumns({"first": F.lit(0), "last": F.lit(span - 1)})
-    nodes, nodes_path = materialize(nodes, "nodes")
-    remove(spark, live_path)
-    ranges, paths = [settled], [settled_path]
-    while True:
-        sizes = nodes.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-        sizes, sizes_path = materialize(sizes, "sizes")
-        small = nodes.join(sizes.filter(F.col("n") <= big), "key", "left_semi").select("doc_id", "text_hash", "pos", "key", F.greatest("lo", "first").alias("lo"), F.least("hi", "last").alias("hi"), "bytes", "before")
-        twins = small.repartition("key").sortWithinPartitions("key").mapInArrow(_compare(length, span), f"doc_id {kind}, text_hash long, start long, stop long")
-        part, part_path = materialize(twins, "ranges")
-        ranges.append(part)
-        paths.append(part_path)
-        large = sizes.filter(F.col("n") > big)
-        if not large.limit(1).count():
-            remove(spark, nodes_path, sizes_path)
-            break
-        many, many_path = materialize(nodes.join(large, "key", "left_semi"), "nodes")
-        single = many.filter("first = last").select("doc_id", "text_hash", (F.col("pos") - F.col("first")).cast("long").alias("start"), (F.col("pos") - F.col("first") + length).cast("long").alias("stop"))
-        part, part_path = materialize(single, "ranges")
-        ranges.append(part)
-        paths.append(part_path)
-        order = ["doc_id", "text_hash", "pos", "key", "lo", "hi", "bytes", "before", "first", "last"]
-        halves = many.filter("first < last").select(order).mapInArrow(_halves(length), f"doc_id {kind}, text_hash long, {_NODE}, first int, last int")
-        new, new_path = materialize(halves, "nodes")
-        remove(spark, nodes_path, sizes_path, many_path)
-        nodes, nodes_path = new, new_path
-    out = ranges[0]
-    for r in ranges[1:]:
-        out = out.unionByName(r)
-    return out, paths
+    schema = f"doc_id {kind}, text_hash long, {_NODE}"
+    whole, out, rest = sizes[0], None, None
+    for level, size in enumerate(sizes):
+        if rest is None:
+            met, cut = docs, whole
+        else:
+            at = rest.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("pos", "first")).alias("at"))
+            met, cut = _by_document(docs, at, "text_hash").select("doc_id", "text_hash", "b", "at"), sizes[level - 1]
+        nodes, path = materialize(met.mapInArrow(_emit(length, size, whole)(cut), schema), "nodes")
+        ranges, rest = _decide(nodes, path)
+        out = ranges if out is None else out.unionByName(ranges)
+    return out
 
 
 def _kept(raw: bytes, spans) -> tuple[bytes, int, int]:
@@ -285,7 +206,7 @@ def _with_bytes(docs: DataFrame) -> DataFrame:
     return docs.withColumn("__b", text_bytes(F.col("text"))).withColumn("__h", F.xxhash64("__b"))
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, span: int = 256, report: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, sizes: tuple[int, ...] = (256, 32, 8, 1), report: bool = False) -> DataFrame:
     """Remove from every whole text each byte covered by a ``length``-byte string that also starts anywhere else
     in the corpus, in the same text included. All copies go; strings are judged on the input.
 
@@ -298,10 +219,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, span: int = 256, report:
     apart by their text); an empty table gives none. Places are told apart by id and 64-bit hash of the text,
     strings by 64-bit hashes.
     """
-    spans, _ = repeated_spans(_with_bytes(docs.select("doc_id", "text")).select("doc_id", F.col("__h").alias("text_hash"), F.col("__b").alias("b")), length, span)
-    per = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("__spans")).withColumnsRenamed({"doc_id": "__id", "text_hash": "__t"})
-    full = _with_bytes(docs)
-    met = full.join(per, full["doc_id"].eqNullSafe(per["__id"]) & (full["__h"] == per["__t"]), "left")
+    spans = repeated_spans(_with_bytes(docs.select("doc_id", "text")).select("doc_id", F.col("__h").alias("text_hash"), F.col("__b").alias("b")), length, sizes)
+    per = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "stop")).alias("__spans"))
+    met = _by_document(_with_bytes(docs), per, "__h", keep_all=True)
     kind = docs.schema["doc_id"].dataType.simpleString()
     if report:
 
