@@ -322,6 +322,50 @@ def test_longest_prefix_map():
     assert CharMap(b"").longest(b"abc", 0) is None
 
 
+def mapped_model():
+    """A small model with a character map (NFKC) that drops repeated spaces."""
+    import io
+
+    import sentencepiece
+
+    out = io.BytesIO()
+    lines = [f"the cat {i} sat on mat {i * 7} fine office \u00e4rger" for i in range(200)]
+    sentencepiece.SentencePieceTrainer.train(
+        sentence_iterator=iter(lines), model_writer=out, vocab_size=330, model_type="bpe", byte_fallback=True, normalization_rule_name="nmt_nfkc", hard_vocab_limit=False, minloglevel=2
+    )
+    return out.getvalue()
+
+
+def test_character_map_and_its_spans():
+    e = Encoder(mapped_model())
+    assert e.map.units and e.squeeze and not e.by_word
+    assert e.map.longest("x\ufb01".encode(), 1) == (3, b"fi") and e.map.longest(b"plain", 0) is None
+    for text in ["\uff41 \ufb01ne", "  two  spaces  ", "o\ufb03ce\u3000\u2460", "a\u0308b \u00e4", "\u00b4x \U0001f600 y", "tab\tand\nline", "", "   ", "plain text"]:
+        norm, src = e.normalize(text.encode())
+        assert norm.decode() == e.sp.normalize(text)
+        assert len(src) == len(norm) + 1 and (np.diff(src) >= 0).all()
+        ids = e.ids(text)
+        begins, ends = e.spans(text, ids)
+        for i, s, t, p in zip(ids, begins, ends, e.sp.encode(text, return_type="proto").pieces, strict=True):
+            if not e.sp.is_byte(i):
+                assert (s, t) == (p.begin, p.end), text
+    b, z = e.spans("o\ufb03ce", e.ids("o\ufb03ce"))
+    assert b[0] == 0 and z[-1] == len("o\ufb03ce".encode())
+
+
+def test_query_runs_the_projection_to_spans(spark):
+    from marshlight.llm.queries import op8_sentencepiece
+
+    q = op8_sentencepiece(spark, SF)
+    full = {r.doc_id: r for r in encode_decode(spark.read.parquet(f"{SF}/documents.parquet"), model_path()).collect()}
+    for r in q.collect():
+        f = full[r.doc_id]
+        said = np.array(f.begins, "<i8").tobytes() + np.array(f.ends, "<i8").tobytes()
+        assert r.n_tokens == len(f.ids) and r.spans_sha256 == hashlib.sha256(said).hexdigest()
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, f.ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(f.decoded.encode()).hexdigest()
+
+
 # 9
 def test_quality(spark, docs):
     from marshlight.llm.common import fold
