@@ -63,8 +63,14 @@ def polys_meet_zones(vertices: DataFrame, zones: DataFrame, within: bool = False
 
 
 def isolated(pts: DataFrame, d: float) -> DataFrame:
-    """Points with no other point of their watershed within ``d``; both of a near pair go."""
-    return pts.join(near_pairs(pts, d).select(F.col("a").alias("pt_id")).distinct(), "pt_id", "left_anti")
+    """Points with no other point of their watershed within ``d``; both of a near pair go. Points of one place are
+    met as one node."""
+    placed = pts.filter("h IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
+    places = settle(placed.groupBy("h", "x", "y").agg(F.min("pt_id").alias("pt_id"), F.max("pt_id").alias("last")), "places")
+    near = near_pairs(places, d).select(F.col("a").alias("pt_id")).distinct()
+    met = places.join(near.withColumn("met", F.lit(True)), "pt_id", "left").filter("met OR pt_id <> last").select("h", "x", "y")
+    gone = placed.select("pt_id", "h", "x", "y").join(met, ["h", "x", "y"], "left_semi").select("pt_id").distinct()
+    return pts.join(gone, "pt_id", "left_anti")
 
 
 def near_pairs(pts: DataFrame, d: float) -> DataFrame:
@@ -77,24 +83,47 @@ def near_pairs(pts: DataFrame, d: float) -> DataFrame:
     return met.filter((F.col("a") != F.col("b")) & ((F.col("x") - F.col("x2")) ** 2 + (F.col("y") - F.col("y2")) ** 2 <= d * d)).select("a", "b")
 
 
-def thin(pts: DataFrame, d: float, order: str = "pt_id", rounds: int = 200) -> DataFrame:
-    """Greedy thinning: in order, a point stays if no earlier kept point is within ``d``. Each round keeps the
-    points that precede all their open neighbours and drops those neighbours; the state is written each round."""
-    rank = pts.select(F.col("pt_id"), F.col(order).alias("o"))
-    pairs = near_pairs(pts, d).join(rank.withColumnsRenamed({"pt_id": "a", "o": "oa"}), "a").join(rank.withColumnsRenamed({"pt_id": "b", "o": "ob"}), "b")
+def thin(pts: DataFrame, d: float, order: str = "pt_id") -> DataFrame:
+    """Greedy thinning: in order, a point stays if no earlier kept point is within ``d``.
+
+    Of the points of one place only the first can stay, so places are the nodes. A round takes each square of side
+    16 d as one group and decides, in order, every open point whose earlier neighbours are decided or of which one
+    is kept; the state is written each round. At least the first open point is decided each round, so it ends, with
+    no point left open, after as many rounds as squares that a chain of neighbours crosses."""
+    side = 16 * d
+    first = F.min(F.struct(F.col(order).alias("o"), "pt_id")).alias("f")
+    placed = F.col("h").isNotNull() & F.col("x").isNotNull() & F.col("y").isNotNull()
+    nodes = pts.filter(placed).groupBy("h", "x", "y").agg(first).select("h", "x", "y", "f.o", "f.pt_id")
+    nodes = settle(nodes.select("pt_id", "o", "h", "x", "y", F.floor(F.col("x") / side).alias("bx"), F.floor(F.col("y") / side).alias("by")), "nodes")
+    ends = [nodes.select(F.col("pt_id").alias(k), F.col("o").alias(f"o{k}"), *(["h", "bx", "by"] if k == "b" else [])) for k in ("a", "b")]
     # an edge from the earlier point to the later one
-    arcs = settle(pairs.filter(F.struct("oa", "a") < F.struct("ob", "b")).select("a", "b"), "arcs")
-    state = settle(pts.select("pt_id", F.lit(0).alias("kept")), "thin")
-    for _ in range(rounds):
-        live = state.filter("kept = 0").select("pt_id")
-        if not live.limit(1).count():
-            break
-        open_arcs = arcs.join(live.withColumnRenamed("pt_id", "a"), "a", "left_semi").join(live.withColumnRenamed("pt_id", "b"), "b", "left_semi")
-        first = live.join(open_arcs.select(F.col("b").alias("pt_id")).distinct(), "pt_id", "left_anti")
-        out = open_arcs.join(first.withColumnRenamed("pt_id", "a"), "a", "left_semi").select(F.col("b").alias("pt_id")).distinct()
-        mark = first.select("pt_id", F.lit(1).alias("now")).union(out.select("pt_id", F.lit(-1).alias("now")))
-        state = settle(state.join(mark, "pt_id", "left").select("pt_id", F.coalesce("now", "kept").alias("kept")), "thin")
-    return pts.join(state.filter("kept = 1").select("pt_id"), "pt_id", "left_semi")
+    arcs = near_pairs(nodes, d).join(ends[0], "a").join(ends[1], "b").filter(F.struct("oa", "a") < F.struct("ob", "b"))
+    arcs = settle(arcs.select("a", "b", "ob", "h", "bx", "by"), "arcs")
+    met = arcs.select(F.col("b").alias("pt_id")).distinct()
+    state = settle(nodes.select("pt_id").join(met.withColumn("later", F.lit(1)), "pt_id", "left").select("pt_id", F.when(F.col("later").isNull(), 1).otherwise(0).alias("kept")), "thin")
+    kind = pts.schema["pt_id"].dataType.simpleString()
+    while state.filter("kept = 0").limit(1).count():
+        open_arcs = arcs.join(state.filter("kept = 0").select(F.col("pt_id").alias("b")), "b", "left_semi")
+        told = open_arcs.join(state.select(F.col("pt_id").alias("a"), "kept"), "a")
+        now = told.groupBy("h", "bx", "by").applyInPandas(_decide, f"pt_id {kind}, now int")
+        state = settle(state.join(now, "pt_id", "left").select("pt_id", F.coalesce("now", "kept").alias("kept")), "thin")
+    stay = state.filter("kept = 1").select("pt_id")
+    return pts.filter(~placed).unionByName(pts.filter(placed).join(stay, "pt_id", "left_semi"))
+
+
+def _decide(arcs):
+    """Of one square's open points ``b`` with their earlier neighbours ``a`` and these' state: ``pt_id, now`` (1 kept,
+    -1 dropped) for all that can be decided."""
+    import pandas as pd
+
+    done = {}
+    for (_, b), x in arcs.groupby(["ob", "b"], sort=True, dropna=False):
+        states = [done.get(a, k) for a, k in zip(x["a"], x["kept"], strict=True)]
+        if 1 in states:
+            done[b] = -1
+        elif 0 not in states:
+            done[b] = 1
+    return pd.DataFrame({"pt_id": list(done.keys()), "now": list(done.values())}).astype({"pt_id": arcs["b"].dtype, "now": "int32"})
 
 
 def non_overlapping(boxes: DataFrame, box_id: str, on: list[str]) -> DataFrame:

@@ -81,6 +81,18 @@ def test_thinning_is_separated_and_maximal(spark):
     assert kept == want
 
 
+def test_thinning_decides_every_point_of_a_long_line(spark):
+    df = spark.createDataFrame([(i, 0, float(i), 0.5) for i in range(430)], "pt_id long, h long, x double, y double")
+    assert sorted(r.pt_id for r in S.thin(df, 1.5).collect()) == list(range(0, 430, 2))
+
+
+def test_points_of_one_place_are_one_node(spark):
+    pts = [(i, 0, 5.0, 5.0) for i in range(3000)] + [(3000, 0, 6.0, 5.0), (3001, 0, 20.0, 5.0), (3002, 1, 5.0, 5.0), (3003, 0, None, 5.0)]
+    df = spark.createDataFrame(pts, "pt_id long, h long, x double, y double")
+    assert sorted(r.pt_id for r in S.thin(df, 2.0).collect()) == [0, 3001, 3002, 3003]
+    assert sorted(r.pt_id for r in S.isolated(df, 2.0).collect()) == [3001, 3002, 3003]
+
+
 def test_results_do_not_depend_on_partitions(spark):
     g = grid(spark, 8, lambda r, c: (r * 7 + c * 5) % 11)
     assert sorted(E.curvature(g.repartition(1)).collect()) == sorted(E.curvature(g.repartition(16)).collect())
