@@ -36,9 +36,9 @@ def aerial_per_watershed(cells: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def satellite_composite(obs: DataFrame, grid: DataFrame, scale: float) -> DataFrame:
-    """Seasonal medians of masked optical indices on a finer grid."""
+    """Seasonal medians of masked optical indices on a finer grid, the same scenes for every watershed of the grid."""
     clear = I.mask_qa60(I.mask_scl(obs.filter(c("cloud_pct") < 20)), ["b2", "b3", "b4", "b6", "b8", "b11"])
-    comp = R.median_composite(I.optical_indices(clear), ["NDVI"]).withColumn("h", F.lit(0).cast("long"))
+    comp = R.median_composite(I.optical_indices(clear), ["NDVI"]).crossJoin(F.broadcast(grid.select("h").distinct()))
     return R.warp(comp, grid, lambda x, y: (x * scale, y * scale), "NDVI")
 
 

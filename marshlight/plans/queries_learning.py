@@ -115,7 +115,7 @@ def _(fx):
 @query("e40_superpixels")
 def _(fx):
     total = c("red") + c("green") + c("nir")
-    p = fx.cells.filter("h = 0").select("h", "r", "c", *[(c(b) / total).alias(b) for b in ("red", "green", "nir")])
+    p = fx.cells.select("h", "r", "c", *[(c(b) / total).alias(b) for b in ("red", "green", "nir")])
     return superpixels(p, ["red", "green", "nir"], step=8, rounds=4)
 
 
@@ -178,7 +178,7 @@ def _(fx):
 
 @query("p04_satellite")
 def _(fx):
-    grid = fx.cells.filter("h = 0").select("h", "r", "c")
+    grid = fx.cells.select("h", "r", "c")
     return rnd(J.satellite_composite(fx.obs, grid, 0.25), "NDVI")
 
 
@@ -189,7 +189,7 @@ def _(fx):
 
 @query("p06_hydrology")
 def _(fx):
-    return rnd(J.hydrology(fx.cells.filter("h = 1")), "twi")
+    return rnd(J.hydrology(fx.cells), "twi")
 
 
 @query("p07_predictor_stack", f"""SELECT k.h, k.r, k.c, k.dem, k.chm, CASE WHEN n.n = 9 THEN round(degrees({SLOPE}), 6) END AS slope, round(ln(k.r * 64 + k.c + 1), 6) AS flowacc, k.red AS n_red, k.green AS n_green, k.blue AS n_blue, k.nir AS n_nir FROM fx_cells k JOIN {_nine()} n ON n.h = k.h AND n.r = k.r AND n.c = k.c""")
@@ -255,7 +255,7 @@ def _(fx):
 
 @query("p17_delineated")
 def _(fx):
-    return J.delineated_by_canopy(fx.polys, fx.vertices, fx.cells, fx.zones.filter("cluster = 1"))
+    return J.delineated_by_canopy(fx.polys, fx.vertices, fx.cells, fx.zones)
 
 
 @query("p18_zone_setup", f"WITH {cover_sql(2)}, d AS (SELECT DISTINCT h, r, c FROM cov WHERE inside OR dist <= 2) SELECT z.zone_id, count(*) AS area FROM d JOIN fx_zones z ON z.zone_id % 4 = d.h AND d.c + 0.5E0 >= z.xmin AND d.c + 0.5E0 < z.xmax AND d.r + 0.5E0 >= z.ymin AND d.r + 0.5E0 < z.ymax GROUP BY z.zone_id")

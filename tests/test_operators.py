@@ -107,3 +107,24 @@ def test_no_reference_name_beyond_the_bound(spark):
     df = spark.createDataFrame([("a",), ("b",)], "n string")
     with pytest.raises(ValueError):
         T.fuzzy_best(df, df, "n", "n", max_right=1)
+
+
+@pytest.mark.parametrize("name", ["e40_superpixels", "p04_satellite", "p06_hydrology"])
+def test_query_covers_all_watersheds(spark, name):
+    from marshlight.plans import registry
+
+    got = registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+    if name == "p04_satellite":
+        got = got.filter("NDVI IS NOT NULL")
+    assert sorted(r.h for r in got.select("h").distinct().collect()) == [0, 1, 2, 3]
+
+
+def test_delineation_covers_all_zones(spark):
+    from marshlight.plans import registry
+    from marshlight.plans.fixtures import Fixtures
+
+    fx = Fixtures(spark, "/root/testdata/sf0.001")
+    got = registry.QUERIES["p17_delineated"](spark, "/root/testdata/sf0.001")
+    zones = S.polys_meet_zones(fx.vertices, fx.zones).select("poly_id").distinct()
+    one = S.polys_meet_zones(fx.vertices, fx.zones.filter("cluster = 1")).select("poly_id").distinct()
+    assert one.count() < zones.count() and got.join(one, "poly_id", "left_anti").count() > 0
