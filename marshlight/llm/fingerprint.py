@@ -79,37 +79,40 @@ def differences(pairs: DataFrame, ids: list[str], factor: float, least: int, see
 
 
 def with_next_text(docs: DataFrame, near: int = 64) -> DataFrame:
-    """``bucket, seq, doc_id, t, text, next_id, next_t, next_text`` (t: hash of the text): each row with the text of the row after it in ascending id order
-    (ties by text; null ids first; after the last row the first), dealt by ``bucket``.
-
-    Buckets are ranges of ids of about ``near`` rows. Each bucket's first row also travels to the bucket before
-    it, so the order needs one shuffle of the texts and no task that sees them all; the buckets' own order is
-    found in ranges of 4096 buckets.
+    """``bucket, seq, doc_id, t, text, next_id, next_t, next_text, copies`` (t: hash of the text): each row with the text
+    of the row after it in ascending id order (ties by hash of the text; null ids first; after the last row the first),
+    dealt by ``bucket``.
+
+    Equal rows follow each other: all but the last of them are one row here whose next text is its own, with their
+    number as ``copies``. Buckets hold ``near`` distinct rows each, whatever the ids: ids and hashes are numbered
+    without the texts, by ranges and the ranges' running counts, and the texts are joined by id and hash. Each
+    bucket's first row also travels to the bucket before it.
     """
-    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
-    span = ids.agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("id").alias("n")).collect()[0]
-    width = max(1, round(near * (span["hi"] - span["lo"] + 1) / span["n"])) if span["n"] else 1
-    low = (span["lo"] or 0) // width
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.floor(F.col("doc_id").cast("long") / width), F.lit(low - 1)).cast("long").alias("bucket"))
-    rows = rows.withColumn("_t", F.xxhash64("text"))
-    first = F.min(F.struct("doc_id", "_t")).alias("head")
-    heads = rows.groupBy("bucket").agg(first).withColumn("_g", F.floor(F.col("bucket") / 4096))
-    tops = heads.groupBy("_g").agg(F.max("bucket").alias("last"))
-    around = Window.orderBy("_g")
-    before_top = F.coalesce(F.lag("last").over(around), F.last("last").over(around.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    tops = tops.select("_g", before_top.alias("_last"))
-    heads = heads.join(tops, "_g").select("bucket", "head", F.coalesce(F.lag("bucket").over(Window.partitionBy("_g").orderBy("bucket")), F.col("_last")).alias("back"))
-    heads, _ = materialize(heads.select("bucket", F.col("head.doc_id").alias("h_id"), F.col("head._t").alias("h_t"), "back"), "heads")
-    small = heads if heads.count() > 2_000_000 else F.broadcast(heads)
-    met = rows.join(small, "bucket")
-    is_head = F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("_t") == F.col("h_t"))
-    own = F.struct(F.col("bucket").alias("bucket"), F.lit(0).alias("late"))
-    # equal rows may both be heads; either serves as the next text
-    both = F.when(is_head, F.array(own, F.struct(F.col("back").alias("bucket"), F.lit(1).alias("late")))).otherwise(F.array(own))
-    dealt = met.select("doc_id", "text", "_t", F.explode(both).alias("at")).select("doc_id", "text", "_t", "at.*").repartition(4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "bucket")
-    line = Window.partitionBy("bucket").orderBy("late", F.col("doc_id").asc_nulls_first(), "_t")
-    out = dealt.withColumns({"next_text": F.lead("text").over(line), "next_id": F.lead("doc_id").over(line), "next_t": F.lead("_t").over(line), "seq": F.row_number().over(line)})
-    return out.filter("late = 0").select("bucket", "seq", "doc_id", F.col("_t").alias("t"), "text", "next_id", "next_t", "next_text")
+    key = ["none", "id", "t"]
+    shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    rows = rows.select("doc_id", F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("t"), "text")
+    order = [F.col("none").desc(), F.col("id"), F.col("t")]
+    ranged = rows.groupBy(*key).agg(F.count("*").alias("n")).repartitionByRange(shuffles, *order).withColumn("p", F.spark_partition_id())
+    ranged, _ = materialize(ranged, "ranged")
+    # one row per range
+    counts = ranged.groupBy("p").agg(F.count("*").alias("size"))
+    starts = counts.select("p", (F.sum("size").over(Window.orderBy("p")) - F.col("size")).alias("start"))
+    total = ranged.count()
+    place = F.col("start") + F.row_number().over(Window.partitionBy("p").orderBy(*order)) - 1
+    numbered = ranged.join(F.broadcast(starts), "p").select(*key, "n", place.alias("at"))
+    met = rows.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).join(numbered, key)
+    blocks = max(1, -(-total // near))
+    own = F.struct(F.floor(F.col("at") / near).alias("bucket"), F.lit(0).alias("late"))
+    back = F.struct(F.pmod(F.floor(F.col("at") / near) - 1, F.lit(blocks)).alias("bucket"), F.lit(1).alias("late"))
+    both = F.when(F.col("at") % near == 0, F.array(own, back)).otherwise(F.array(own))
+    dealt = met.select("doc_id", "text", "t", "n", "at", F.explode(both).alias("to")).select("doc_id", "text", "t", "n", "at", "to.*").repartition(4 * shuffles, "bucket")
+    line = Window.partitionBy("bucket").orderBy("late", "at")
+    after = dealt.withColumns({"next_text": F.lead("text").over(line), "next_id": F.lead("doc_id").over(line), "next_t": F.lead("t").over(line), "seq": 2 * F.row_number().over(line)}).filter("late = 0")
+    last = F.struct(F.lit(0).alias("s"), F.col("next_id").alias("i"), F.col("next_t").alias("h"), F.col("next_text").alias("x"), F.lit(1).cast("long").alias("c"))
+    inner = F.struct(F.lit(1).alias("s"), F.col("doc_id").alias("i"), F.col("t").alias("h"), F.col("text").alias("x"), (F.col("n") - 1).alias("c"))
+    out = after.withColumn("e", F.explode(F.when(F.col("n") > 1, F.array(last, inner)).otherwise(F.array(last))))
+    return out.select("bucket", (F.col("seq") - F.col("e.s")).alias("seq"), "doc_id", "t", "text", F.col("e.i").alias("next_id"), F.col("e.h").alias("next_t"), F.col("e.x").alias("next_text"), F.col("e.c").alias("copies"))
 
 
 def _edited(text: str = "text", next_text: str = "next_text") -> Column:
@@ -152,9 +155,9 @@ def fingerprints(docs: DataFrame, factor: float = 9.0, least: int = 96) -> DataF
     """
     ids = ["bucket", "seq"]
     n = F.length("text").cast("long")
-    base = with_next_text(docs).withColumns({"next_text": F.coalesce("next_text", "text"), "next_id": F.when(F.col("next_t").isNull(), F.col("doc_id")).otherwise(F.col("next_id")), "next_t": F.coalesce("next_t", "t")})
+    base = with_next_text(docs)
     rows = base.select(
-        *ids, "doc_id", "t", "next_id", "next_t", n.alias("n_chars"), F.sha2(_edited().cast("binary"), 256).alias("edited_sha256"),
+        *ids, "doc_id", "t", "next_id", "next_t", "copies", n.alias("n_chars"), F.sha2(_edited().cast("binary"), 256).alias("edited_sha256"),
         paragraph_keys(F.col("text")).alias("a"), paragraph_keys(_edited()).alias("e"), F.size(paragraph_keys(F.col("next_text"))).alias("nx"),
     )
     rows = rows.withColumns({"fingerprint": small_sketch(F.col("a")), "edited_fingerprint": small_sketch(F.col("e")), "na": F.size("a"), "ne": F.size("e")}).drop("a", "e")
@@ -179,7 +182,7 @@ def fingerprints(docs: DataFrame, factor: float = 9.0, least: int = 96) -> DataF
     wide = found.groupBy(*ids).agg(*[F.max(F.when(F.col("which") == i, F.col("found"))).alias(f"d{i}") for i in (0, 1)])
     done = rows.join(wide, ids, "left").withColumns({f"d{i}": F.coalesce(f"d{i}", F.lit(0)) for i in (0, 1)})  # no cell left: nothing differs
     like = lambda d, m: F.when(F.col("na") + F.col(m) > 0, 1 - F.col(d) / (F.col("na") + F.col(m))).otherwise(1.0)
-    return done.select(
+    return done.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", like("d0", "ne").alias("near_edited"), like("d1", "nx").alias("near_next"),
         F.col("na").alias("paragraphs"), F.col("d0").cast("long").alias("apart_edited"), F.col("d1").cast("long").alias("apart_next"),
     )

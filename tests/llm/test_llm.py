@@ -215,6 +215,20 @@ def test_fingerprints_odd_rows(spark):
     assert one.near_next == 1.0
 
 
+def test_next_text_deals_by_row_counts(spark):
+    # one far id, null ids and equal rows
+    rows = [(i, f"t{i}") for i in range(500)] + [(10**12, "far")] + [(None, f"n{i}") for i in range(300)] + [(7, "t7")] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = fingerprint.with_next_text(df, near=64).collect()
+    assert max(Counter(r.bucket for r in got).values()) <= 65 and sum(r.copies for r in got) == len(rows)
+    by_id = {(r.doc_id, r.next_id): r.copies for r in got if r.doc_id is not None}
+    assert by_id.pop((7, 7)) == 3
+    assert by_id.pop((10**12, None)) == 1 and by_id.pop((499, 10**12)) == 1
+    assert by_id == {(i, i + 1): 1 for i in range(499)}
+    after = {r.text: r.next_text for r in got if r.doc_id is None}
+    assert len(after) == 300 and sorted(after.values())[-1] == "t0" and len(set(after.values())) == 300
+
+
 # 5
 def test_archives(spark, tmp_path):
     fake = "WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:marshlight:page:99>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
