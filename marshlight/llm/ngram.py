@@ -7,7 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import fold, materialize, text_bytes
+from .common import fold, materialize, remove, text_bytes
+from .packed import COUNTED, add_up, blocks, bucket_bits, by_block, counted, take
 
 END, START = b"\n", b"\r"  # no word can be one of these
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -27,25 +28,6 @@ def _hash(word: bytes) -> int:
     return xxhash.xxh64_intdigest(word)
 
 
-def _pack(a: np.ndarray) -> bytes:
-    """Bytes of an array, plane by plane, so that the shuffle's compression meets runs."""
-    return np.ascontiguousarray(a.view(np.uint8).reshape(len(a), -1).T).tobytes()
-
-
-def _unpack(buf, kind: str) -> np.ndarray:
-    raw = np.frombuffer(buf, np.uint8)
-    w = np.dtype(kind).itemsize
-    return np.ascontiguousarray(raw.reshape(w, -1).T).view(kind).ravel()
-
-
-def _sorted_keys(keys: np.ndarray) -> bytes:
-    return _pack(np.diff(keys, prepend=np.uint64(0)))
-
-
-def _read_keys(buf) -> np.ndarray:
-    return np.cumsum(_unpack(buf, "<u8"), dtype=np.uint64)
-
-
 class Grams:
     """N-grams of a set of texts. ``ids[i]`` is a text's word ids between a start and an end; level k holds the
     distinct k-grams: their hashes, the code of their first k-1 words, of their last k-1 words, the last word,
@@ -87,207 +69,159 @@ def _counter(order: int, bits: int):
             learn = b.column(1).to_numpy(zero_copy_only=False)
             for blk in np.unique(block):
                 at = np.flatnonzero(block == blk)
-                texts = b.column(2).take(pa.array(at))
-                g = Grams([x.as_buffer().to_pybytes() for x in texts], learn[at], order)
-                out = ([], [], [])
-                for k, lv in enumerate(g.levels, 1):
+                g = Grams([x.as_buffer().to_pybytes() for x in b.column(2).take(pa.array(at))], learn[at], order)
+                parts = []
+                for lv in g.levels:
                     o = np.argsort(lv["keys"])
-                    keys, count = lv["keys"][o], lv["count"][o].astype("<u4")
-                    cuts = np.searchsorted(keys >> np.uint64(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64))
-                    for i in np.flatnonzero(np.diff(cuts)):
-                        s = slice(cuts[i], cuts[i + 1])
-                        for c, v in zip(out, ((i << 3) + k, _sorted_keys(keys[s]), _pack(count[s])), strict=True):
-                            c.append(v)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(out[0], pa.int64()), pa.array([int(blk)] * len(out[0]), pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())],
-                    names=["bucket", "block", "keys", "counts"],
-                )
+                    parts.append((lv["keys"][o], lv["count"][o]))
+                yield counted(int(blk), parts, bits)
 
     return run
 
 
-_SHARED = "block long, part int, keys binary, totals binary, tokens long, types long"
-
-
-def _totals(batches):
-    """Total of every n-gram of a bucket; a block learns those totals that other blocks add to. A row with block
-    null carries the bucket's training tokens and distinct words."""
-    now, held = None, []
-    special = np.array([_hash(START)], np.uint64)
-
-    def flush():
-        if not held:
-            return
-        keys = np.concatenate([k for _, k, _ in held])
-        count = np.concatenate([c for _, _, c in held]).astype(np.int64)
-        block = np.repeat(np.array([b for b, _, _ in held]), [len(k) for _, k, _ in held])
-        o = np.lexsort((block, keys))
-        keys, count, block = keys[o], count[o], block[o]
-        new_key = np.concatenate([[True], keys[1:] != keys[:-1]])
-        new_own = new_key | np.concatenate([[True], block[1:] != block[:-1]])
-        total = np.add.reduceat(count, np.flatnonzero(new_key))
-        if now & 7 == 1:
-            words = ~np.isin(keys[new_key], special)
-            yield None, 1, b"", b"", int(total[words].sum()), int((total[words] > 0).sum())
-        own_at = np.flatnonzero(new_own)
-        own = np.add.reduceat(count, own_at)
-        total = total[(np.cumsum(new_key) - 1)[own_at]]
-        keys, block = keys[own_at], block[own_at]
-        at = np.flatnonzero(total != own)
-        at = at[np.argsort(block[at], kind="stable")]
-        edges = np.flatnonzero(np.diff(block[at])) + 1
-        for part in np.split(at, edges) if len(at) else ():
-            yield int(block[part[0]]), now & 7, _sorted_keys(keys[part]), _pack(total[part].astype("<i8")), 0, 0
-
-    def rows(it):
-        got = list(zip(*it, strict=True))
-        if got:
-            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(g, t) for g, t in zip(got, kinds, strict=True)], names=["block", "part", "keys", "totals", "tokens", "types"])
-
-    for b in batches:
-        bucket = b.column(0).to_numpy(zero_copy_only=False)
-        block = b.column(1).to_numpy(zero_copy_only=False)
-        for i in range(b.num_rows):
-            if bucket[i] != now:
-                yield from rows(flush())
-                now, held = int(bucket[i]), []
-            held.append((block[i], _read_keys(b.column(2)[i].as_buffer()), _unpack(b.column(3)[i].as_buffer(), "<u4")))
-    yield from rows(flush())
-
-
 class Automaton:
     """States are the contexts seen in training; arcs carry log10 probabilities; a failure arc carries the weight
     of backing off to the context without its first word.
 
     The probability of w after context h is (c(hw) + prior * P(w | shorter h)) / (c(h) + prior); single words
-    have c / (N + V + 1), and all unknown words share (V + 1) / (N + V + 1).
+    have c / (N + V + 1), and all unknown words share (V + 1) / (N + V + 1). Arcs are arrays in order of state and
+    word, so a block's automaton takes a few bytes an arc.
     """
 
     def __init__(self, g: Grams, totals: list[np.ndarray], tokens: int, types: int, prior: float):
         n = len(g.hash)
         count = totals[0]
-        self.p1 = np.where(count > 0, count, types + 1) / (tokens + types + 1)
-        self.width = n
+        p1 = np.where(count > 0, count, types + 1) / (tokens + types + 1)
+        self.width, self.order = n, len(totals)
         with np.errstate(divide="ignore"):
-            self.root = np.log10(self.p1).tolist()
-        order = len(totals)
+            self.root = np.log10(p1)
         # state of each known context, by level and code; 0 is the empty context
-        state, fail, back, n_states = [], [0], [0.0], 1
-        for k in range(order - 1):
+        state, fail, back, n_states = [], [np.zeros(1, np.int64)], [np.zeros(1)], 1
+        for k in range(self.order - 1):
             known = totals[k] > 0
-            ids = np.where(known, np.cumsum(known) - 1 + n_states, -1)
+            ids = np.cumsum(known) - 1 + n_states
             n_states += int(known.sum())
             shorter = np.zeros(len(ids), np.int64) if k == 0 else state[k - 1][g.levels[k]["suffix"]]
-            fail += shorter[known].tolist()
-            back += np.log10(prior / (totals[k][known] + prior)).tolist()
+            fail.append(shorter[known])
+            back.append(np.log10(prior / (totals[k][known] + prior)))
             state.append(np.where(known, ids, shorter))
-        self.fail, self.back = fail, back
-        self.after = state[0].tolist() if state else [0] * n  # next state from the root
-        self.start = self.after[0]
-        self.arcs: dict[int, tuple[float, int]] = {}
-        p = self.p1
-        for k in range(1, order):
+        self.fail, self.back = np.concatenate(fail), np.concatenate(back)
+        self.after = state[0] if state else np.zeros(n, np.int64)  # next state from the root
+        keys, logs, nexts, p = [np.empty(0, np.int64)], [np.empty(0)], [np.empty(0, np.int64)], p1
+        for k in range(1, self.order):
             lv, known = g.levels[k], totals[k] > 0
             p = (totals[k] + prior * p[lv["suffix"]]) / (totals[k - 1][lv["prefix"]] + prior)
-            nxt = state[k] if k < order - 1 else state[k - 1][lv["suffix"]]
-            at = state[k - 1][lv["prefix"]][known] * n + lv["word"][known]
-            self.arcs.update(zip(at.tolist(), zip(np.log10(p[known]).tolist(), nxt[known].tolist(), strict=True), strict=True))
-
-    def score(self, ids: list[int]) -> float:
-        """One traversal from left to right."""
-        s, total = self.start, 0.0
-        arcs, fail, back, n = self.arcs, self.fail, self.back, self.width
-        for w in ids:
-            hit = arcs.get(s * n + w) if s else None
-            while hit is None and s:
-                total += back[s]
-                s = fail[s]
-                hit = arcs.get(s * n + w) if s else None
-            if hit is None:
-                total += self.root[w]
-                s = self.after[w]
-            else:
-                total += hit[0]
-                s = hit[1]
-        return total
+            nxt = state[k] if k < self.order - 1 else state[k - 1][lv["suffix"]]
+            keys.append(state[k - 1][lv["prefix"]][known] * n + lv["word"][known])
+            logs.append(np.log10(p[known]))
+            nexts.append(nxt[known])
+        keys = np.concatenate(keys)
+        o = np.argsort(keys)
+        self.arcs, self.logs, self.nexts = keys[o], np.concatenate(logs)[o], np.concatenate(nexts)[o]
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Next states after a word each, and its log probabilities: along an arc, or failure arcs and then one."""
+        total, state = np.zeros(len(word)), state.copy()
+        todo = np.flatnonzero(state) if len(self.arcs) else np.empty(0, np.int64)
+        out = self.after[word]
+        told = np.zeros(len(word), bool)
+        while len(todo):
+            key = state[todo] * self.width + word[todo]
+            at = np.minimum(np.searchsorted(self.arcs, key), len(self.arcs) - 1)
+            hit = self.arcs[at] == key
+            found = todo[hit]
+            total[found] += self.logs[at[hit]]
+            out[found], told[found] = self.nexts[at[hit]], True
+            todo = todo[~hit]
+            total[todo] += self.back[state[todo]]
+            state[todo] = self.fail[state[todo]]
+            todo = todo[state[todo] > 0]
+        total[~told] += self.root[word[~told]]
+        return out, total
+
+    def scores(self, ids: list[np.ndarray], width: int = 512) -> np.ndarray:
+        """Log probability of each text (word ids that begin with the start). Many lanes go from left to right at once,
+        each carrying its state: a lane is a text or ``width`` words of a longer one, which take up their state from
+        the words just before them, as many as a state can remember."""
+        warm = self.order - 1
+        lanes = [(i, s) for i, x in enumerate(ids) for s in range(1, max(2, len(x)), width)]
+        lanes.sort(key=lambda a: min(width, len(ids[a[0]]) - a[1]) + min(warm, a[1]), reverse=True)
+        size = np.array([min(width, len(ids[i]) - s) + min(warm, s) for i, s in lanes])
+        lead = np.array([min(warm, s) for _, s in lanes])
+        owner = np.array([i for i, _ in lanes])
+        words = np.zeros((len(lanes), int(size.max(initial=0))), np.int32)
+        for r, (i, s) in enumerate(lanes):
+            words[r, : size[r]] = ids[i][s - lead[r] : s - lead[r] + size[r]]
+        state, total = np.zeros(len(lanes), np.int64), np.zeros(len(lanes))
+        for j in range(words.shape[1]):
+            m = int(np.searchsorted(-size, -j))  # lanes that still have words
+            state[:m], got = self.step(state[:m], words[:m, j])
+            total[:m] += np.where(j >= lead[:m], got, 0.0)
+        return np.bincount(owner, total, minlength=len(ids)) if len(lanes) else np.zeros(len(ids))
 
 
 def _scorer(order: int, tokens: int, types: int, prior: float):
     def run(batches):
-        now, shared, docs = None, [], []
-
-        def flush():
-            if not docs:
-                return
-            learn = np.array([d[1] for d in docs], bool)
-            g = Grams([d[2] for d in docs], learn, order)
+        for _, docs, got in blocks(batches, 5):
+            g = Grams([d[2].as_buffer().to_pybytes() for d in docs], np.array([d[1].as_py() for d in docs], bool), order)
             totals = []
             for k, lv in enumerate(g.levels, 1):
-                t = lv["count"].copy()
                 o = np.argsort(lv["keys"])
-                ks = lv["keys"][o]
-                for part, keys, vals in shared:
-                    if part == k:
-                        at = np.minimum(np.searchsorted(ks, keys), len(ks) - 1)
-                        ok = ks[at] == keys
-                        t[o[at[ok]]] = vals[ok]
+                t = np.empty(len(o), np.int64)
+                t[o] = take(lv["keys"][o], lv["count"][o], got.pop(k, []))[0]
                 totals.append(t)
-            a = Automaton(g, totals, tokens, types, prior)
-            base = np.log10((totals[0] + 1) / (tokens + types + 1))
-            known = totals[0] > 0
-            out = []
-            for (doc, _, _), ids in zip(docs, g.ids, strict=True):
-                ids = ids[1:]
-                out.append((doc, len(ids), int(known[ids].sum()), float(base[ids].sum()), a.score(ids.tolist())))
-            cols = list(zip(*out, strict=True))
-            kinds = (docs_type, pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
-
-        docs_type = None
-        for b in batches:
-            docs_type = b.schema.field("doc_id").type
-            block = b.column(0).to_pylist()
-            for i, blk in enumerate(block):
-                if blk != now:
-                    yield from flush()
-                    now, shared, docs = blk, [], []
-                part = b.column(1)[i].as_py()
-                if part > 0:
-                    shared.append((part, _read_keys(b.column(2)[i].as_buffer()), _unpack(b.column(3)[i].as_buffer(), "<i8")))
-                else:
-                    docs.append((b.column(4)[i].as_py(), b.column(5)[i].as_py(), b.column(6)[i].as_buffer().to_pybytes()))
-        yield from flush()
+            base, known = np.log10((totals[0] + 1) / (tokens + types + 1)), totals[0] > 0
+            scores = Automaton(g, totals, tokens, types, prior).scores(g.ids)
+            cols = [pa.array([f(x[1:]) for x in g.ids], t) for f, t in ((len, pa.int64()), (lambda x: int(known[x].sum()), pa.int64()), (lambda x: float(base[x].sum()), pa.float64()))]
+            yield pa.RecordBatch.from_arrays([pa.array([d[0].as_py() for d in docs], docs[0][0].type), *cols, pa.array(scores, pa.float64())], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
 
-def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: float = 50.0, block_docs: int = 2048, bits: int | None = None) -> DataFrame:
+def deal(docs: DataFrame, block_bytes: int) -> DataFrame:
+    """``docs`` with a ``block`` number: neighbouring ids, about ``block_bytes`` of text.
+
+    Ranges of ids are as wide as the mean takes (between the fifth and the last twentieth of all ids, so that a few
+    far ids change nothing); a range of more than twice the bytes is dealt out by a hash. Rows without an id are a
+    range. The ranges that are split are met in a join, whose way Spark picks.
+    """
+    text = text_bytes(F.col("text"))
+    at = F.percentile_approx(F.col("doc_id").cast("double"), F.array(F.lit(0.05), F.lit(0.95)), 1000)
+    seen = docs.agg(at.alias("at"), F.count("*").alias("n"), F.sum(F.octet_length(text).cast("double")).alias("bytes")).first()
+    low, high = seen["at"] or (0, 0)
+    width = max(1.0, (high - low) / max(1, 0.9 * seen["n"]) * block_bytes / max(1.0, (seen["bytes"] or 0) / max(1, seen["n"])))
+    span = F.coalesce(F.floor(F.col("doc_id").cast("double") / F.lit(width)).cast("long"), F.lit(-(2**62)))
+    ranged = docs.select("*", span.alias("span"))
+    large = ranged.groupBy("span").agg(F.sum(F.octet_length(text).cast("double")).alias("b")).filter(F.col("b") > 2 * block_bytes)
+    large = large.select(F.col("span").alias("large"), F.ceil(F.col("b") / block_bytes).cast("long").alias("split"))
+    met = ranged.join(large, F.col("span") == F.col("large"), "left")
+    return met.select(*docs.columns, F.xxhash64("span", F.pmod(F.xxhash64("doc_id", text), F.coalesce("split", F.lit(1)))).alias("block"))
+
+
+def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: float = 50.0, block_bytes: int = 6 << 20, bits: int | None = None) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every whole text.
 
-    Texts fall into blocks of ``block_docs`` neighbouring ids. Tasks count the n-grams of their blocks and
+    Texts fall into blocks of neighbouring ids and about ``block_bytes``. Tasks count the n-grams of their blocks and
     shuffle them by hash as packed, sorted arrays; a bucket's task adds the blocks' counts and sends back to each
     block only those totals to which other blocks add. Every block then builds the part of the automaton that its
     texts can reach and scores them. No table of n-grams is ever whole anywhere, none is cut off, and what is
     moved grows with the distinct n-grams of the blocks.
 
     Null and empty texts have the end token alone; ids that are null or repeat are scored like any other; with
-    no training rows all words are unknown; an empty table gives no rows; other columns are not carried. Words
-    are told apart by 64-bit hashes.
+    no training rows all words are unknown; an empty table gives no rows; other columns are not carried. A very
+    long text is a block of its own. Words are told apart by 64-bit hashes.
     """
-    if bits is None:  # as many buckets as the session's partitions ask for: a bucket's share does not grow with the input
-        bits = max(6, (4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
-    block = F.when(F.col("doc_id").isNotNull(), F.floor(F.col("doc_id") / block_docs)).otherwise(-1 - F.pmod(F.xxhash64("text"), F.lit(64)))
-    rows = docs.select("doc_id", "text", F.coalesce(is_training, F.lit(False)).alias("learn")).select(block.cast("long").alias("block"), "learn", text_bytes(F.col("text")).alias("b"), "doc_id")
-    counted = rows.select("block", "learn", "b").mapInArrow(_counter(order, bits), "bucket long, block long, keys binary, counts binary")
-    shared = counted.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_totals, _SHARED)
-    shared, _ = materialize(shared, "ngrams")
-    sums = shared.filter("block IS NULL").agg(F.sum("tokens").alias("n"), F.sum("types").alias("v")).collect()[0]
-    tokens, types = sums["n"] or 0, sums["v"] or 0
+    spark = docs.sparkSession
+    bits = bits or bucket_bits(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    sent = shared.filter("block IS NOT NULL").select("block", "part", "keys", "totals", F.lit(None).cast(kind).alias("doc_id"), F.lit(False).alias("learn"), F.lit(None).cast("binary").alias("b"))
-    texts = rows.select("block", F.lit(0).alias("part"), F.lit(None).cast("binary").alias("keys"), F.lit(None).cast("binary").alias("totals"), "doc_id", "learn", "b")
-    met = sent.union(texts).repartition("block").sortWithinPartitions("block", F.desc("part"))
+    rows = deal(docs.select("doc_id", "text", F.coalesce(is_training, F.lit(False)).alias("learn")), block_bytes)
+    rows = rows.select("block", "learn", text_bytes(F.col("text")).alias("b"), "doc_id")
+    counts = rows.select("block", "learn", "b").mapInArrow(_counter(order, bits), COUNTED)
+    totals, path = materialize(add_up(counts), "ngrams")
+    trained = rows.filter("learn").count()  # starts are counted with the words, but are none
+    words = totals.filter("block IS NULL AND part = 1").agg(F.sum("added").alias("n"), F.sum("positive").alias("v")).first()
+    tokens, types = (words["n"] or 0) - trained, (words["v"] or 0) - (trained > 0)
+    met = by_block(totals, rows.select("block", F.lit(0).alias("part"), "doc_id", "learn", "b"))
     out = met.mapInArrow(_scorer(order, tokens, types, prior), f"doc_id {kind}, n_tokens long, n_known long, base_score double, score double")
     return out.select("doc_id", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
