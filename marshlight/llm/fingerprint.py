@@ -78,55 +78,55 @@ def differences(pairs: DataFrame, ids: list[str], factor: float, least: int, see
     return cells.groupBy(*group).agg(F.sum("found").alias("found"), F.max((F.col("cell") >= 0).cast("int")).alias("stuck"))
 
 
-def with_next_text(docs: DataFrame, near: int = 64) -> DataFrame:
-    """``bucket, seq, doc_id, t, text, next_id, next_t, next_text, copies`` (t: hash of the text): each row with the text
-    of the row after it in ascending id order (ties by hash of the text; null ids first; after the last row the first),
-    dealt by ``bucket``.
-
-    Equal rows follow each other: all but the last of them are one row here whose next text is its own, with their
-    number as ``copies``. Buckets hold ``near`` distinct rows each, whatever the ids: ids and hashes are numbered
-    without the texts, by ranges and the ranges' running counts, and the texts are joined by id and hash. Each
-    bucket's first row also travels to the bucket before it.
+KEY = ["none", "id", "t"]
+
+
+def with_next_text(docs: DataFrame) -> DataFrame:
+    """``none, id, t, s, doc_id, text, next_id, next_t, head, next_keys, copies`` (t: hash of the text): each row with what it
+    needs of the row after it in ascending id order (ties by hash of the text; null ids first; after the last row the
+    first): as many first code points as half of its own text, and the digests of its paragraphs.
+
+    Equal rows follow each other: they are one row here (``s`` 0), and all but the last of them another (``s`` 1) whose
+    next text is its own, with their number as ``copies``. Ids and hashes are numbered without the texts, by ranges and
+    the ranges' running counts. Texts are dealt by id and hash once; each then sends its head to the row before it, so
+    no group of rows grows with the ids' spacing or number.
     """
-    key = ["none", "id", "t"]
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.select("doc_id", F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("t"), "text")
     order = [F.col("none").desc(), F.col("id"), F.col("t")]
-    ranged = rows.groupBy(*key).agg(F.count("*").alias("n")).repartitionByRange(shuffles, *order).withColumn("p", F.spark_partition_id())
-    ranged, _ = materialize(ranged, "ranged")
+    ranged = rows.groupBy(*KEY).agg(F.count("*").alias("n"), F.first("doc_id").alias("doc_id"), F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"))
+    ranged, _ = materialize(ranged.repartitionByRange(shuffles, *order).withColumn("p", F.spark_partition_id()), "ranged")
     # one row per range
     counts = ranged.groupBy("p").agg(F.count("*").alias("size"))
     starts = counts.select("p", (F.sum("size").over(Window.orderBy("p")) - F.col("size")).alias("start"))
     total = ranged.count()
     place = F.col("start") + F.row_number().over(Window.partitionBy("p").orderBy(*order)) - 1
-    numbered = ranged.join(F.broadcast(starts), "p").select(*key, "n", place.alias("at"))
-    met = rows.groupBy(*key).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).join(numbered, key)
-    blocks = max(1, -(-total // near))
-    own = F.struct(F.floor(F.col("at") / near).alias("bucket"), F.lit(0).alias("late"))
-    back = F.struct(F.pmod(F.floor(F.col("at") / near) - 1, F.lit(blocks)).alias("bucket"), F.lit(1).alias("late"))
-    both = F.when(F.col("at") % near == 0, F.array(own, back)).otherwise(F.array(own))
-    dealt = met.select("doc_id", "text", "t", "n", "at", F.explode(both).alias("to")).select("doc_id", "text", "t", "n", "at", "to.*").repartition(4 * shuffles, "bucket")
-    line = Window.partitionBy("bucket").orderBy("late", "at")
-    after = dealt.withColumns({"next_text": F.lead("text").over(line), "next_id": F.lead("doc_id").over(line), "next_t": F.lead("t").over(line), "seq": 2 * F.row_number().over(line)}).filter("late = 0")
-    last = F.struct(F.lit(0).alias("s"), F.col("next_id").alias("i"), F.col("next_t").alias("h"), F.col("next_text").alias("x"), F.lit(1).cast("long").alias("c"))
-    inner = F.struct(F.lit(1).alias("s"), F.col("doc_id").alias("i"), F.col("t").alias("h"), F.col("text").alias("x"), (F.col("n") - 1).alias("c"))
+    numbered, _ = materialize(ranged.join(F.broadcast(starts), "p").select(*KEY, "doc_id", "n", "half", place.alias("at")), "numbered")
+    before = numbered.select(F.pmod(F.col("at") + 1, F.lit(max(1, total))).alias("at"), F.struct(*KEY).alias("to"), F.col("half").alias("ask"))
+    behind = numbered.select(F.pmod(F.col("at") - 1, F.lit(max(1, total))).alias("at"), F.col("doc_id").alias("next_id"), F.col("t").alias("next_t"))
+    links = numbered.join(before, "at").join(behind, "at").select(*KEY, "n", "to", "ask", "next_id", "next_t")
+    met = rows.groupBy(*KEY).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).join(links, KEY)
+    sent = met.select("to.*", F.substring("text", F.lit(1), F.col("ask")).alias("head"), paragraph_keys(F.col("text")).alias("next_keys"))
+    after = met.drop("to", "ask").join(sent, KEY)
+    last = F.struct(F.lit(0).alias("s"), F.col("next_id").alias("i"), F.col("next_t").alias("h"), F.col("head").alias("x"), F.col("next_keys").alias("k"), F.lit(1).cast("long").alias("c"))
+    inner = F.struct(F.lit(1).alias("s"), F.col("doc_id").alias("i"), F.col("t").alias("h"), F.col("text").alias("x"), paragraph_keys(F.col("text")).alias("k"), (F.col("n") - 1).alias("c"))
     out = after.withColumn("e", F.explode(F.when(F.col("n") > 1, F.array(last, inner)).otherwise(F.array(last))))
-    return out.select("bucket", (F.col("seq") - F.col("e.s")).alias("seq"), "doc_id", "t", "text", F.col("e.i").alias("next_id"), F.col("e.h").alias("next_t"), F.col("e.x").alias("next_text"), F.col("e.c").alias("copies"))
+    return out.select(*KEY, "e.s", "doc_id", "text", F.col("e.i").alias("next_id"), F.col("e.h").alias("next_t"), F.col("e.x").alias("head"), F.col("e.k").alias("next_keys"), F.col("e.c").alias("copies"))
 
 
-def _edited(text: str = "text", next_text: str = "next_text") -> Column:
+def _edited(text: str = "text", head: str = "head") -> Column:
     half = f"CAST(floor(length({text}) / 2) AS INT)"
-    return F.concat(F.expr(f"substring({text}, 1, length({text}) - {half})"), F.expr(f"substring({next_text}, 1, {half})"))
+    return F.concat(F.expr(f"substring({text}, 1, length({text}) - {half})"), F.expr(f"substring({head}, 1, {half})"))
 
 
 def _pairs(texts: DataFrame, ids: list[str], which: Column | None = None) -> DataFrame:
     """Key sets of each text and of the edited (0) and the next (1) text, one row per pair."""
-    two = F.array(F.struct(F.lit(0).alias("which"), _edited().alias("other")), F.struct(F.lit(1).alias("which"), F.col("next_text").alias("other")))
-    rows = texts.select(*ids, "text", F.explode(two).alias("p"), *([which.alias("want")] if which is not None else []))
+    two = F.array(F.struct(F.lit(0).alias("which"), paragraph_keys(_edited()).alias("b")), F.struct(F.lit(1).alias("which"), F.col("next_keys").alias("b")))
+    rows = texts.select(*ids, paragraph_keys(F.col("text")).alias("a"), F.explode(two).alias("p"), *([which.alias("want")] if which is not None else []))
     if which is not None:
         rows = rows.filter(F.col("want") == F.col("p.which"))
-    return rows.select(*ids, "p.which", paragraph_keys(F.col("text")).alias("a"), paragraph_keys(F.col("p.other")).alias("b"))
+    return rows.select(*ids, "p.which", "a", "p.b")
 
 
 def _texts_of(docs: DataFrame, places: DataFrame, id_col: str, hash_col: str, name: str, small: int = 200_000) -> DataFrame:
@@ -153,12 +153,12 @@ def fingerprints(docs: DataFrame, factor: float = 9.0, least: int = 96) -> DataF
     repeated rows follow each other; an empty table gives no rows; other columns are not carried. Ids must be
     whole numbers.
     """
-    ids = ["bucket", "seq"]
+    ids = [*KEY, "s"]
     n = F.length("text").cast("long")
     base = with_next_text(docs)
     rows = base.select(
-        *ids, "doc_id", "t", "next_id", "next_t", "copies", n.alias("n_chars"), F.sha2(_edited().cast("binary"), 256).alias("edited_sha256"),
-        paragraph_keys(F.col("text")).alias("a"), paragraph_keys(_edited()).alias("e"), F.size(paragraph_keys(F.col("next_text"))).alias("nx"),
+        *ids, "doc_id", "next_id", "next_t", "copies", n.alias("n_chars"), F.sha2(_edited().cast("binary"), 256).alias("edited_sha256"),
+        paragraph_keys(F.col("text")).alias("a"), paragraph_keys(_edited()).alias("e"), F.size("next_keys").alias("nx"),
     )
     rows = rows.withColumns({"fingerprint": small_sketch(F.col("a")), "edited_fingerprint": small_sketch(F.col("e")), "na": F.size("a"), "ne": F.size("e")}).drop("a", "e")
     # both parts read one shuffle of the texts and are written together
@@ -169,8 +169,8 @@ def fingerprints(docs: DataFrame, factor: float = 9.0, least: int = 96) -> DataF
         if not stuck.limit(1).count():
             break
         factor, least = factor * 2, least * 2
-        places = stuck.select(*ids, "which").join(rows.select(*ids, "doc_id", "t", "next_id", "next_t"), ids)
-        texts = _texts_of(docs, _texts_of(docs, places, "doc_id", "t", "text"), "next_id", "next_t", "next_text")
+        places = stuck.select(*ids, "which").join(rows.select(*ids, "doc_id", "next_id", "next_t"), ids)
+        texts = _texts_of(docs, _texts_of(docs, places, "doc_id", "t", "text"), "next_id", "next_t", "head").withColumn("next_keys", paragraph_keys(F.col("head")))
         again, _ = materialize(_pairs(texts, ids, F.col("which")), "pairs")
         dealt = again.repartition(*ids)
         tried, _ = materialize(differences(dealt, ids, factor, least, 100 + 10 * turn), "retry")
