@@ -11,13 +11,21 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+_local: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary folder where it is unset, as in tests."""
+    """The cluster's shared folder (spark.checkpoint.dir). Where it is unset a local session, as in tests, gets a
+    temporary folder; a cluster is told to set it."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = tempfile.mkdtemp(prefix="marshlight-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="marshlight-")
+    return _local[app]
 
 
 def scratch_path(spark: SparkSession, tag: str) -> str:

@@ -20,25 +20,29 @@ def payload_digest(payload: Column) -> Column:
     return F.translate(F.concat(*part), "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567")
 
 
-def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = 0, records_per_file: int = 2048, small: int = 2_000_000) -> None:
+def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", min_bytes: int = 0, records_per_file: int = 2048, small: int = 400_000) -> None:
     """Write one record per row of ``page_id, url, html`` to uncompressed archives under ``path``.
 
     Among records whose payloads (html as UTF-8, null: empty) are equal and hold at least ``min_bytes`` bytes,
     the one with the largest page id is a response and the others are revisits that refer to it; smaller
-    payloads are all responses. Only the revisits' ids meet the pages again: broadcast up to ``small`` of them,
-    shuffled beyond. A record ends with a line feed, so Spark's text writer lays down the archive's very bytes.
-    Line breaks and spaces in a url are percent-encoded; a row without a page id is written with an empty one.
+    payloads are all responses. Pages meet one row per payload that repeats (a digest and an id, under a hundred
+    bytes): broadcast up to ``small`` of them, else in a join whose hot payloads Spark can split. A record ends
+    with a line feed, so Spark's text writer lays down the archive's very bytes. Line breaks and spaces in a url
+    are percent-encoded.
+
+    Rows without a page id are responses with an empty id; rows that repeat are records each, and responses both
+    if their id is the largest; a payload may be as long as a string can be; an empty table writes no records;
+    other columns are left out, whatever their names.
     """
     rows = pages.select(F.col("page_id").cast("string").alias("id"), F.col("page_id").alias("num"), F.col("url"), F.coalesce("html", F.lit("")).alias("payload"))
-    keyed = rows.select("num", payload_digest(F.col("payload").cast("binary")).alias("digest"), F.octet_length("payload").cast("long").alias("bytes"))
-    keyed = keyed.filter((F.col("bytes") >= min_bytes) & F.col("num").isNotNull())
-    same = keyed.groupBy("digest", "bytes").agg(F.max("num").alias("keeper"), F.count("*").alias("n")).filter("n > 1")
-    again, again_path = materialize(keyed.join(same, ["digest", "bytes"]).filter("num <> keeper").select("num", F.col("digest").alias("again_digest"), "keeper").distinct(), "revisits")
-    if again.count() <= small:
-        again = F.broadcast(again)
-    # a page id that repeats with other payloads: the digest decides which of its rows is the revisit
-    digest = payload_digest(F.col("payload").cast("binary"))
-    rows = rows.withColumn("digest", digest).join(again.withColumnRenamed("again_digest", "digest"), ["num", "digest"], "left")
+    rows = rows.withColumn("digest", payload_digest(F.col("payload").cast("binary")))
+    size = F.octet_length("payload").cast("long")
+    same = rows.filter(F.col("num").isNotNull() & (size >= min_bytes)).groupBy("digest").agg(F.max("num").alias("keeper"), F.count("*").alias("n")).filter("n > 1")
+    same, same_path = materialize(same.select(F.col("digest").alias("shared"), "keeper"), "repeated")
+    if same.count() <= small:
+        same = F.broadcast(same)
+    again = (F.col("digest") == F.col("shared")) & (F.col("num") != F.col("keeper")) & (size >= min_bytes)
+    rows = rows.join(same, again, "left")
     size = F.octet_length("payload")
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), size.cast("string"), F.lit(CRLF2))
     block = F.when(F.col("keeper").isNull(), F.concat(http, F.col("payload"))).otherwise(http)
@@ -56,7 +60,7 @@ def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00
     ]
     record = F.concat(F.lit(MAGIC), F.concat_ws("\r\n", *lines), F.lit(CRLF2), block, F.lit("\r\n\r"))
     rows.select(record.alias("value")).write.option("lineSep", "\n").option("maxRecordsPerFile", records_per_file).text(path)
-    remove(pages.sparkSession, again_path)
+    remove(pages.sparkSession, same_path)
 
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
