@@ -69,8 +69,8 @@ def solve_dual(counts: DataFrame, targets: DataFrame, n: int, most: float, round
     open). Each round is one aggregation over the size counts, its state written to the shared folder.
     """
     spark = counts.sparkSession
-    share = F.col("target") / F.col("source_size")
-    free = (F.col("source_size") > 0) & (share < most * (1 - 1e-12)) & (share > 0)
+    share = F.try_divide("target", "source_size")
+    free = F.coalesce((share < most * (1 - 1e-12)) & (share > 0), F.lit(False))
     start = F.when(free, F.log((most - 1) * share / (most - share))).otherwise(0.0)
     state = targets.select("*", start.alias("mult"), (~free).alias("full"), F.lit(None).cast("double").alias("lo"), F.lit(None).cast("double").alias("hi"))
     state, path = materialize(state, "dual")
