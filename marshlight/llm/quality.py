@@ -116,29 +116,41 @@ def fit(rows, labels, rank: int = 64, neighbours: int = 15) -> VoteModel | None:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = 2400, most_chars: int = 20_000, mod: int = 5, **kw) -> VoteModel | None:
-    """Fit on a bounded sample: the ``sample`` labelled rows outside the held-out fold with the lowest hash of
-    their id whose text has at most ``most_chars`` characters. A document with several labels takes the largest."""
-    known = labels.filter(F.col("quality").isNotNull() & (fold(F.col("doc_id"), mod) != 0)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    picked = docs.filter(F.length("text") <= most_chars).select("doc_id", text_bytes(F.col("text")).alias("b")).join(F.broadcast(known), "doc_id").select("doc_id", "quality", "b")
+    """Fit on a bounded sample: of the labelled rows outside the held-out fold whose text has at most ``most_chars``
+    characters, the ``sample`` with the lowest hash of their id. A document with several labels takes the largest.
 
-    def turn(batches):
-        for b in batches:
-            got = [features(x.as_py()) for x in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([i.astype("<i4").tobytes() for i, _ in got], pa.binary()), pa.array([v.astype("<f4").tobytes() for _, v in got], pa.binary())], names=["doc_id", "quality", "i", "v"])
+    One task fits the model on these rows, and only the model (some megabytes, whatever the input) reaches the driver.
+    """
+    known = labels.filter(F.col("quality").isNotNull() & (fold(F.col("doc_id"), mod) != 0)).groupBy("doc_id").agg(F.max("quality").cast("double").alias("quality"))
+    short = docs.filter(F.length("text") <= most_chars)
+    known = short.select("doc_id").distinct().join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = short.select("doc_id", text_bytes(F.col("text")).alias("b")).join(F.broadcast(known), "doc_id").select("quality", "b", F.col("doc_id").cast("string").alias("id"))
 
-    kind, q = docs.schema["doc_id"].dataType.simpleString(), labels.schema["quality"].dataType.simpleString()
-    found = picked.mapInArrow(turn, f"doc_id {kind}, quality {q}, i binary, v binary").collect()
-    found.sort(key=lambda r: (r["doc_id"], r["i"], r["v"]))
-    found = found[:sample]  # ids that repeat in the documents
-    return fit([(np.frombuffer(r["i"], "<i4").astype(np.int64), np.frombuffer(r["v"], "<f4")) for r in found], [r["quality"] for r in found], **kw)
+    def run(batches):
+        got = []
+        for b in batches:
+            got += [(i, t, *features(t), q) for q, t, i in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True)]
+        got.sort(key=lambda r: r[:2])
+        m = fit([(i, v.astype(np.float32)) for _, _, i, v, _ in got[:sample]], [q for *_, q in got[:sample]], **kw)  # ids that repeat in the documents
+        if m is not None:
+            arrays = [m.project, m.vectors, m.labels]
+            yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in arrays] + [pa.array([m.k], pa.int32()), pa.array([m.prior])], names=["project", "vectors", "labels", "k", "prior"])
+
+    # one task for the bounded sample
+    found = rows.repartition(1).mapInArrow(run, "project binary, vectors binary, labels binary, k int, prior double").first()
+    if found is None:
+        return None
+    project, vectors = (np.frombuffer(found[c], np.float32).reshape(n, -1) for c, n in (("project", 1 << BITS), ("vectors", len(found["labels"]) // 8)))
+    return VoteModel(project, vectors, np.frombuffer(found["labels"], np.float64), found["k"], found["prior"])
 
 
 def score(docs: DataFrame, model: VoteModel | None, threshold: float = 0.3, keep_only: bool = False) -> DataFrame:
     """``doc_id, score, predicted`` for every whole text (null: empty); with ``keep_only`` the rows of ``docs``
     themselves, all columns, whose score reaches the threshold.
 
-    Without a model every score is 0.5. Repeated rows give repeated rows and an empty table none.
+    Without a model every score is 0.5. Null ids and repeated rows are scored like any other, very long texts whole;
+    an empty table gives none; other columns are carried only with ``keep_only``, whatever their names. Of neighbours
+    tied for the last vote any may vote.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
 
