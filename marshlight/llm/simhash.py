@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, remove, text_bytes
+from .packed import pack, unpack
 
 SEED = 42
 FAN = 16
@@ -124,53 +125,59 @@ class GrayIndex:
                 stack.append((lv - 1, i[ok], j[ok]))
 
 
-def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Labels (the smallest position of each component) after also linking a to b."""
+def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels (the smallest position of each component) after also linking a to b, and which of these pairs were needed."""
+    used, pair = [], np.arange(len(a))
     while len(a):
         ra, rb = label[a], label[b]
         live = ra != rb
-        a, b, ra, rb = a[live], b[live], ra[live], rb[live]
+        a, b, pair = a[live], b[live], pair[live]
         if not len(a):
             break
-        np.minimum.at(label, np.maximum(ra, rb), np.minimum(ra, rb))
+        low, high = np.minimum(ra, rb)[live], np.maximum(ra, rb)[live]
+        # each component takes one pair that leads to the least other one
+        o = np.lexsort((low, high))
+        first = o[np.flatnonzero(np.diff(high[o], prepend=-1))]
+        label[high[first]] = low[first]
+        used.append(pair[first])
         while True:
             up = label[label]
             if (up == label).all():
                 break
             label = up
-    return label
+    return label, np.concatenate(used) if used else pair[:0]
 
 
 def _blocks(most: int, most2: int | None):
-    """For each (table, value, cell): the block pair's members, linked and reduced to one edge per member."""
+    """For each (table, value, cell): the block pair's members, linked; of the pairs that differ little only those that
+    connect members not connected before, with ``comp`` as what is known to be connected."""
 
     def run(batches):
         now, held = None, ([], [])
 
         def flush():
-            left, right = ([np.concatenate([p[i] for p in h]).view("<u8") for i in range(3)] if h else None for h in held)
+            left, right = ([np.concatenate([p[i] for p in h]).view("<u8") for i in range(4)] if h else None for h in held)
             if left is None:
                 return
             x = GrayIndex(left[1])
             y = GrayIndex(right[1]) if right else x
-            node, extra = (left[i][x.order] for i in (0, 2))
+            node, extra, comp = (left[i][x.order] for i in (0, 2, 3))
             shift = len(node) if right else 0
             if right:
-                node, extra = (np.concatenate([old, right[i][y.order]]) for old, i in ((node, 0), (extra, 2)))
-            label = np.arange(len(node))
+                node, extra, comp = (np.concatenate([old, right[i][y.order]]) for old, i in ((node, 0), (extra, 2), (comp, 3)))
+            _, first, where = np.unique(comp, return_index=True, return_inverse=True)
+            label = first[where]
             for a, b in x.links(y, most):
                 b = b + shift
                 if most2 is not None:
                     ok = np.bitwise_count(extra[a] ^ extra[b]) <= most2
                     a, b = a[ok], b[ok]
-                label = join_labels(label, a, b)
-            moved = np.flatnonzero(label != np.arange(len(node)))
-            for s in range(0, len(moved), 65536):
-                m = moved[s : s + 65536]
-                yield pa.RecordBatch.from_arrays([pa.array(node[m].view("<i8"), pa.int64()), pa.array(node[label[m]].view("<i8"), pa.int64())], names=["a", "b"])
+                label, used = join_labels(label, a, b)
+                if len(used):
+                    yield pa.RecordBatch.from_arrays([pa.array(node[x[used]].view("<i8"), pa.int64()) for x in (a, b)], names=["a", "b"])
 
         for b in batches:
-            p, v, c, side, node, fp, fp2 = (b.column(i).to_numpy(zero_copy_only=False) for i in range(7))
+            p, v, c, side, node, fp, fp2, comp = (b.column(i).to_numpy(zero_copy_only=False) for i in range(8))
             edge = np.flatnonzero((p[1:] != p[:-1]) | (v[1:] != v[:-1]) | (c[1:] != c[:-1])) + 1
             for s, e in zip([0, *edge], [*edge, len(p)], strict=True):
                 key = (p[s], v[s], c[s])
@@ -180,30 +187,40 @@ def _blocks(most: int, most2: int | None):
                 for h in (0, 1):
                     mine = side[s:e] == h
                     if mine.any():
-                        held[h].append([z[s:e][mine] for z in (node, fp, fp2)])
+                        held[h].append([z[s:e][mine] for z in (node, fp, fp2, comp)])
         yield from flush()
 
     return run
 
 
+def runs_to_keep(most: int, n: int, block: int) -> int:
+    """As few shared runs of bits as leave values of about ``block`` members at most among ``n`` fingerprints."""
+    keep = 1
+    while keep < 4 and n > block << (64 * keep // (most + keep)):
+        keep += 1
+    return keep
+
+
 def link_fingerprints(nodes: DataFrame, most: int = 4, keep: int = 1, most2: int | None = None, block: int = 4096) -> DataFrame:
     """Edges ``a, b`` that connect all of ``node, fp, fp2`` (distinct nodes) linked directly or in steps of at most
-    ``most`` differing bits of fp (and ``most2`` of fp2 where given); linear in their number.
+    ``most`` differing bits of fp (and ``most2`` of fp2 where given). Each edge is such a pair; their number is linear
+    in that of the nodes. Nodes may have a ``comp`` (long): those with the same one count as connected.
 
     The first level of the index are the values of ``keep`` runs of bits, in as many tables as there are choices
     of runs: two linked fingerprints share a value in one of them. A value's members form one shuffle group. A
     group of more than ``block`` members is cut into sub-blocks by hash, and each pair of sub-blocks is a task
     group of its own, so no group is collected whole. Inside, two Gray-order trees are walked against each other.
     """
+    nodes = nodes if "comp" in nodes.columns else nodes.withColumn("comp", F.col("node"))
     values = F.array(*[_value(F.col("fp"), runs) for runs in tables(most, keep)])
-    keyed = nodes.select("node", "fp", "fp2", F.posexplode(values).alias("p", "v"))
+    keyed = nodes.select("node", "fp", "fp2", "comp", F.posexplode(values).alias("p", "v"))
     sizes = keyed.groupBy("p", "v").agg(F.count("*").alias("n")).filter("n > 1")
     placed = keyed.join(sizes, ["p", "v"]).withColumn("parts", F.ceil(F.col("n") / F.lit(block)).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # sub-block i meets j >= i in cell i * parts + j, as side 0 and as side 1; cell (i, i) holds one side only
     here, there = F.least(F.col("i"), F.col("j")), F.greatest(F.col("i"), F.col("j"))
-    cells = placed.withColumn("i", own).select("p", "v", "node", "fp", "fp2", "i", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
-    cells = cells.select("p", "v", (here * F.col("parts") + there).alias("c"), F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), "node", "fp", "fp2")
+    cells = placed.withColumn("i", own).select("p", "v", "node", "fp", "fp2", "comp", "i", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
+    cells = cells.select("p", "v", (here * F.col("parts") + there).alias("c"), F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), "node", "fp", "fp2", "comp")
     return cells.repartition("p", "v", "c").sortWithinPartitions("p", "v", "c").mapInArrow(_blocks(most, most2), "a long, b long")
 
 
@@ -233,23 +250,20 @@ def components(edges: DataFrame, rounds: int = 60) -> tuple[DataFrame, list[str]
     raise RuntimeError("components did not settle")
 
 
-def near_duplicates(
-    docs: DataFrame, shingle: int = 4, most: int = 4, keep: int = 1, confirm: int | None = None, most2: int | None = None, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
+def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = 4, keep: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, fingerprint, component_id, text_hash`` per row: 16 hex digits, the smallest id reachable over
     fingerprints that differ in at most ``most`` bits (its own included), and the text's 64-bit hash.
 
-    With ``confirm`` a second fingerprint over that many words must also differ in at most ``most2`` bits: the
-    first one then is the index and the second one decides. ``keep`` trades more tables for smaller groups.
+    ``keep`` trades more tables for smaller groups; unless given it follows the number of fingerprints.
 
     Null and empty texts have fingerprint zero and link like any other; equal texts share a fingerprint and
     cost one row in the index; rows with a null id take part but never name a component unless all ids are
     null. An empty table gives no rows; other columns are not carried.
     """
-    node = F.xxhash64("fp", "fp2") if confirm else F.col("fp")
-    rows, _ = materialize(fingerprints(docs, shingle, confirm, id_col, text_col).withColumn("node", node), "fp")
+    rows, _ = materialize(fingerprints(docs, shingle, None, id_col, text_col).withColumn("node", F.col("fp")), "fp")
     firsts, _ = materialize(rows.groupBy("node", "fp", "fp2").agg(F.min("doc_id").alias("low")), "first")
-    roots, _ = components(link_fingerprints(firsts.select("node", "fp", "fp2"), most, keep, most2 if confirm else None))
+    keep = keep or runs_to_keep(most, firsts.count(), 4096)
+    roots, _ = components(link_fingerprints(firsts.select("node", "fp", "fp2"), most, keep))
     tied = firsts.join(roots, "node", "left").select("node", "low", F.coalesce("root", "node").alias("root"))
     least = tied.groupBy("root").agg(F.min("low").alias("component_id"))
     named = tied.join(least, "root").select("node", "component_id")
@@ -257,15 +271,100 @@ def near_duplicates(
     return rows.join(named, "node").select("doc_id", digits.alias("fingerprint"), "component_id", "text_hash")
 
 
+def shingle_set(text: bytes, words: int) -> np.ndarray:
+    """Ascending 32-bit hashes of the text's distinct lower-cased (A-Z) word shingles; fewer words are one shingle."""
+    import xxhash
+
+    w = text.lower().split()
+    n = max(1, len(w) - words + 1) if w else 0
+    return np.unique(np.fromiter((xxhash.xxh32_intdigest(b" ".join(w[i : i + words])) for i in range(n)), np.uint32, n))
+
+
+def similarity(a: np.ndarray, b: np.ndarray) -> float:
+    """Shared share of two sets (1 for two empty ones)."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+
+
+def _compare(least: float):
+    def run(batches):
+        for b in batches:
+            x, y = (b.column(c) for c in (2, 3))
+            same = [similarity(*(np.cumsum(unpack(v[i].as_buffer(), "<u4"), dtype=np.uint32) for v in (x, y))) for i in range(b.num_rows)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(same) >= least)], names=["a", "b", "same"])
+
+    return run
+
+
+def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 8, keep: int | None = None, words: int = 5, least: float = 0.8, wide: int = 20) -> tuple[DataFrame, DataFrame]:
+    """Texts (``text_hash, low``: the least (has no id, id) of their rows) and ``node, root`` of those that are linked
+    to others: by steps between texts whose sets of ``words``-word shingles are alike to ``least`` or more.
+
+    Fingerprints over ``shingle`` words within ``most`` bits (and over ``words`` words within ``wide``) are candidates:
+    each cell of the index gives as many of its pairs as connect all. A pair is decided by the two texts' whole sets
+    of shingles: first one pair per text, that with the least other one; then, of the pairs that still lie between
+    different groups, one for each two groups, until a round confirms none. So the sets that are compared grow with
+    the texts, not with the pairs of a group.
+    """
+    spark = docs.sparkSession
+    rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b"))
+    prints, prints_path = materialize(fingerprints(docs, shingle, words), "fp")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    texts, _ = materialize(prints.groupBy("text_hash").agg(F.min(order).alias("low"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2")), "first")
+    remove(spark, prints_path)
+    # texts that share both fingerprints are tried against one of them
+    head = texts.groupBy("fp", "fp2").agg(F.min("text_hash").alias("node"))
+    heads, heads_path = materialize(head, "heads")
+    keep = keep or runs_to_keep(most, heads.count(), 4096)
+    alike = texts.join(heads, ["fp", "fp2"]).filter("text_hash <> node").select(F.col("text_hash").alias("a"), F.col("node").alias("b"))
+
+    def distinct(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    tried, tried_path = materialize(distinct(alike.union(link_fingerprints(heads, most, keep, wide))), "pairs")
+
+    def sets_of(batches):
+        for b in batches:
+            got = [pack(np.diff(shingle_set(x.as_buffer().to_pybytes(), words), prepend=np.uint32(0))) for x in b.column(1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], names=["node", "set"])
+
+    used = tried.select("a").union(tried.select("b")).distinct().join(texts, F.col("a") == F.col("text_hash")).select("text_hash", "low")
+    met = rows.withColumn("h", F.xxhash64("b")).join(used, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("low.id")))
+    sets, sets_path = materialize(met.select("h", "b").mapInArrow(sets_of, "node long, set binary").dropDuplicates(["node"]), "sets")
+    good, done, rest, turn = None, [], tried, 0
+    picked = tried.groupBy("b").agg(F.min("a").alias("a"))
+    while True:
+        picked, path = materialize(picked.select("a", "b"), "picked")
+        both = picked.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+        judged, judged_path = materialize(both.select("a", "b", "x", "y").mapInArrow(_compare(least), "a long, b long, same boolean"), "judged")
+        done += [path, judged_path]
+        right = judged.filter("same").select("a", "b")
+        fresh = right.limit(1).count()
+        good = right if good is None else good.union(right)
+        if fresh or not turn:
+            roots, _ = components(good)
+        turn += 1
+        ends = [sets.select("node").join(roots, "node", "left").select(F.col("node").alias(c), F.coalesce("root", "node").alias(f"in_{c}")) for c in ("a", "b")]
+        rest, path = materialize(rest.select("a", "b").join(judged, ["a", "b"], "left_anti").join(ends[0], "a").join(ends[1], "b").filter("in_a <> in_b"), "rest")
+        done.append(path)
+        if not rest.limit(1).count() or (turn > 1 and not fresh):
+            break
+        two = rest.groupBy(F.least("in_a", "in_b").alias("p"), F.greatest("in_a", "in_b").alias("q")).agg(F.min(F.struct("a", "b")).alias("ab"))
+        picked = two.select("ab.*")
+    remove(spark, heads_path, tried_path, sets_path, *done)
+    return texts.select("text_hash", "low"), roots
+
+
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs``, all columns, of which one stays from each component: that with the smallest id (null
-    ids last; then the smallest hash of the text), once where rows repeat."""
-    found = near_duplicates(docs, **how)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    # a component without any id is told by its fingerprint
-    stay = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("only")).agg(F.min(order).alias("at"))
-    stay = stay.select(F.col("at.doc_id").alias("__id"), F.col("at.text_hash").alias("__h"))
-    full = docs.withColumn("__t", F.xxhash64(text_bytes(F.col("text"))))
-    met = full.join(stay, full["doc_id"].eqNullSafe(stay["__id"]) & (full["__t"] == stay["__h"]), "left_semi")
-    once = Window.partitionBy("doc_id", "__t").orderBy("__t")
-    return met.withColumn("__n", F.row_number().over(once)).filter("__n = 1").select(*docs.columns)
+    """The rows of ``docs``, all columns, of which one stays from each group of ``similar_texts``: that with the smallest
+    id (null ids last; then the smallest hash of the text), once where rows repeat.
+
+    Texts without words are alike; null texts count as empty; an empty table gives none.
+    """
+    texts, roots = similar_texts(docs, **how)
+    tied = texts.join(roots, F.col("text_hash") == F.col("node"), "left").select("text_hash", "low", F.coalesce("root", "text_hash").alias("root"))
+    stay = tied.groupBy("root").agg(F.min(F.struct("low.none", "low.id", "text_hash")).alias("at")).select(F.col("at.id").alias("i"), F.col("at.text_hash").alias("h"))
+    full = docs.select(F.struct("*").alias("row"), F.xxhash64(text_bytes(F.col("text"))).alias("t"))
+    met = full.join(stay, F.col("row.doc_id").eqNullSafe(F.col("i")) & (F.col("t") == F.col("h")), "left_semi")
+    once = Window.partitionBy("row.doc_id", "t").orderBy("t")
+    return met.withColumn("n", F.row_number().over(once)).filter("n = 1").select("row.*")

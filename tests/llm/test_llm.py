@@ -143,7 +143,7 @@ def test_language_model(spark, docs, texts):
     import zlib
 
     held = {i for i in texts if zlib.crc32(str(i).encode()) % 7 == 2}
-    got = {r.doc_id: r for r in ngram.score_texts(docs, ngram.fold_is_training(7, 2), prior=4.0, block_docs=64).collect()}
+    got = {r.doc_id: r for r in ngram.score_texts(docs, ngram.fold_is_training(7, 2), prior=4.0, block_bytes=100_000).collect()}
     toks = {i: [*t.encode().lower().split(), b"\n"] for i, t in texts.items()}
     one, two = Counter(), Counter()
     for i, t in toks.items():
@@ -171,8 +171,9 @@ def test_language_model_probabilities_sum_to_one():
     words = sorted(set(b" ".join(texts).split()))
     ids = {w: i for w, i in zip([b"\r", b"\n", b"a", b"b", b"c"], range(5), strict=True)}
     for context in ([], [ids[b"a"]], [ids[b"a"], ids[b"b"]]):
-        before = a.score(context)
-        total = sum(10 ** (a.score([*context, w]) - before) for w in (1, *(ids[w] for w in words)))
+        score = lambda x: a.scores([np.array([0, *x])])[0]
+        before = score(context)
+        total = sum(10 ** (score([*context, w]) - before) for w in (1, *(ids[w] for w in words)))
         assert total + 1e-12 < 1  # the rest is the unknown words'
 
 
@@ -215,17 +216,19 @@ def test_fingerprints_odd_rows(spark):
     assert one.near_next == 1.0
 
 
-def test_next_text_deals_by_row_counts(spark):
+def test_next_text_of_odd_ids(spark):
     # one far id, null ids and equal rows
     rows = [(i, f"t{i}") for i in range(500)] + [(10**12, "far")] + [(None, f"n{i}") for i in range(300)] + [(7, "t7")] * 3
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = fingerprint.with_next_text(df, near=64).collect()
-    assert max(Counter(r.bucket for r in got).values()) <= 65 and sum(r.copies for r in got) == len(rows)
+    got = fingerprint.with_next_text(df).collect()
+    assert sum(r.copies for r in got) == len(rows)
     by_id = {(r.doc_id, r.next_id): r.copies for r in got if r.doc_id is not None}
     assert by_id.pop((7, 7)) == 3
     assert by_id.pop((10**12, None)) == 1 and by_id.pop((499, 10**12)) == 1
     assert by_id == {(i, i + 1): 1 for i in range(499)}
-    after = {r.text: r.next_text for r in got if r.doc_id is None}
+    of = {r.t: r.text for r in got}
+    assert all(r["head"] == of[r.next_t][: len(r.text) // 2] for r in got if r.s == 0)
+    after = {r.text: of[r.next_t] for r in got if r.doc_id is None}
     assert len(after) == 300 and sorted(after.values())[-1] == "t0" and len(set(after.values())) == 300
 
 
@@ -415,16 +418,15 @@ def brute_repeats(rows, n):
     return sorted(map(repr, out))
 
 
-@pytest.mark.parametrize("small", [200_000, 0])
-def test_repeats(spark, monkeypatch, small):
-    monkeypatch.setattr(repeats, "SMALL", small)
+@pytest.mark.parametrize("block", [1 << 23, 500])
+def test_repeats(spark, block):
     rng = np.random.default_rng(11)
     passage = "".join(chr(97 + x) for x in rng.integers(0, 26, 150))
     rand = lambda n: "".join(chr(97 + x) for x in rng.integers(0, 26, n))
     rows = [(1, rand(90) + passage + rand(40)), (2, passage[20:110] + rand(80)), (3, rand(30) + passage[60:] + rand(10) + passage[:70]), (4, "ab" * 200), (5, "z" * 60), (6, None), (7, ""), (8, "short"), (9, passage), (9, passage), (None, rand(99) + passage[5:80]), (10, "äß" * 60 + rand(50)), (11, rand(200)), (12, rand(39)), (13, rand(41))]
     rows += [(100 + i, rand(25) + passage[40:95] + rand(25)) for i in range(20)]
     df = frame(spark, [(i, t, "en", "s") for i, t in rows]).repartition(4)
-    got = repeats.remove_repeats(df, length=40, sizes=(16, 4, 1), report=True)
+    got = repeats.remove_repeats(df, length=40, sizes=(16, 4, 1), report=True, block=block)
     want = brute_repeats([(i, (t or "").encode()) for i, t in rows], 40)
     assert sorted(repr((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got.collect()) == want
     table = repeats.remove_repeats(df, length=40, sizes=(16, 4, 1)).toPandas()
