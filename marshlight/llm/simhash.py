@@ -302,9 +302,9 @@ def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 8, keep: int |
 
     Fingerprints over ``shingle`` words within ``most`` bits (and over ``words`` words within ``wide``) are candidates:
     each cell of the index gives as many of its pairs as connect all. A pair is decided by the two texts' whole sets
-    of shingles: first one pair per text, that with the least other one; then, of the pairs that still lie between
-    different groups, one for each two groups, until a round confirms none. So the sets that are compared grow with
-    the texts, not with the pairs of a group.
+    of shingles: first one pair per text, that with the least other one; then the pairs that still lie between
+    different groups, all of them where they are as few as the texts, else one for each two groups until a round
+    confirms none. So the sets that are compared grow with the texts, not with the pairs of a group.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b"))
@@ -331,30 +331,57 @@ def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 8, keep: int |
     used = tried.select("a").union(tried.select("b")).distinct().join(texts, F.col("a") == F.col("text_hash")).select("text_hash", "low")
     met = rows.withColumn("h", F.xxhash64("b")).join(used, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("low.id")))
     sets, sets_path = materialize(met.select("h", "b").mapInArrow(sets_of, "node long, set binary").dropDuplicates(["node"]), "sets")
-    good, done, rest, turn = None, [], tried, 0
-    picked = tried.groupBy("b").agg(F.min("a").alias("a"))
-    while True:
-        picked, path = materialize(picked.select("a", "b"), "picked")
-        both = picked.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-        judged, judged_path = materialize(both.select("a", "b", "x", "y").mapInArrow(_compare(least), "a long, b long, same boolean"), "judged")
-        done += [path, judged_path]
-        right = judged.filter("same").select("a", "b")
-        fresh = right.limit(1).count()
-        good = right if good is None else good.union(right)
-        if fresh or not turn:
-            roots, _ = components(good)
-        turn += 1
-        ends = [sets.select("node").join(roots, "node", "left").select(F.col("node").alias(c), F.coalesce("root", "node").alias(f"in_{c}")) for c in ("a", "b")]
-        rest, path = materialize(rest.select("a", "b").join(judged, ["a", "b"], "left_anti").join(ends[0], "a").join(ends[1], "b").filter("in_a <> in_b"), "rest")
+    done, linear = [], 2 * heads.count()
+
+    def judge(pairs: DataFrame) -> DataFrame:
+        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
+        judged, path = materialize(both.select("a", "b", "x", "y").mapInArrow(_compare(least), "a long, b long, same boolean"), "judged")
+        done.append(path)
+        return judged
+
+    def between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+        """The pairs whose ends lie in different groups (``in_a``, ``in_b``)."""
+        ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"in_{c}")) for c in ("a", "b")]
+        met = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
+        met, path = materialize(met.select("a", "b", *[F.coalesce(f"in_{c}", c).alias(f"in_{c}") for c in ("a", "b")]).filter("in_a <> in_b"), "rest")
         done.append(path)
-        if not rest.limit(1).count() or (turn > 1 and not fresh):
+        return met
+
+    judged = judge(materialize(tried.groupBy("b").agg(F.min("a").alias("a")), "picked")[0])
+    roots = follow(judged.filter("same").select(F.col("b").alias("node"), F.col("a").alias("root")))
+    rest = between(tried.join(judged, ["a", "b"], "left_anti"), roots)
+    while n := rest.count():
+        every = n <= linear
+        judged = judge(rest if every else rest.groupBy(F.least("in_a", "in_b").alias("p"), F.greatest("in_a", "in_b").alias("q")).agg(F.min(F.struct("a", "b")).alias("ab")).select("ab.*"))
+        right = judged.filter("same")
+        if not right.limit(1).count():
             break
-        two = rest.groupBy(F.least("in_a", "in_b").alias("p"), F.greatest("in_a", "in_b").alias("q")).agg(F.min(F.struct("a", "b")).alias("ab"))
-        picked = two.select("ab.*")
+        links = rest.join(right, ["a", "b"]).select(F.col("in_a").alias("a"), F.col("in_b").alias("b"))
+        over = components(links)[0].withColumnsRenamed({"node": "mid", "root": "top"})
+        lone = over.join(roots, F.col("mid") == F.col("node"), "left_anti").select(F.col("mid").alias("node"), F.col("top").alias("root"))
+        roots = roots.join(over, F.col("root") == F.col("mid"), "left").select("node", F.coalesce("top", "root").alias("root")).union(lone)
+        roots, _ = materialize(roots, "roots")
+        if every:
+            break
+        rest = between(rest.select("a", "b").join(judged, ["a", "b"], "left_anti"), roots)
     remove(spark, heads_path, tried_path, sets_path, *done)
     return texts.select("text_hash", "low"), roots
 
 
+def follow(parents: DataFrame, rounds: int = 64) -> DataFrame:
+    """``node, root`` from each node's smaller parent (``node, root``): every round doubles the steps taken."""
+    labels, path = materialize(parents, "labels")
+    for _ in range(rounds):
+        up = labels.select(F.col("node").alias("root"), F.col("root").alias("up"))
+        new, new_path = materialize(labels.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")), "labels")
+        moved = new.filter("moved").limit(1).count()
+        remove(parents.sparkSession, path)
+        labels, path = new.select("node", "root"), new_path
+        if not moved:
+            return labels
+    raise RuntimeError("parents do not end")
+
+
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, all columns, of which one stays from each group of ``similar_texts``: that with the smallest
     id (null ids last; then the smallest hash of the text), once where rows repeat.
