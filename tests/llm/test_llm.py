@@ -339,18 +339,45 @@ def test_longest_prefix_map():
     assert CharMap(b"").longest(b"abc", 0) is None
 
 
+def compiled_map(pairs):
+    """A character map in the library's form: the size of a double-array trie, the trie, and the replacements."""
+    import struct
+
+    out, at = b"", {}
+    for key, new in pairs.items():
+        at[key.encode()] = len(out)
+        out += new.encode() + b"\0"
+    units, taken, todo = [0] * 4096, {0}, [(0, b"")]
+    while todo:
+        node, prefix = todo.pop()
+        labels = sorted({k[len(prefix)] for k in at if k.startswith(prefix) and len(k) > len(prefix)})
+        here = [0, *labels] if prefix in at else labels
+        base = next(b for b in range(256, 4096 - 256) if not any(b ^ c in taken for c in here))
+        units[node] |= ((node ^ base) << 10) | ((prefix in at) << 8)
+        for c in here:
+            taken.add(base ^ c)
+        if prefix in at:
+            units[base] = (1 << 31) | at[prefix]
+        for c in labels:
+            units[base ^ c] |= c
+            todo.append((base ^ c, prefix + bytes([c])))
+    return struct.pack("<I", 4 * len(units)) + struct.pack(f"<{len(units)}I", *units) + out
+
+
 def mapped_model():
-    """A small model with a character map (NFKC) that drops repeated spaces."""
-    import io
+    """The public model with a character map, dropping repeated spaces."""
+    from marshlight.llm.pieces import _fields
 
-    import sentencepiece
+    def field(n, v):
+        size, out = len(v), bytes([n << 3 | 2])
+        while size > 127:
+            out, size = out + bytes([size & 127 | 128]), size >> 7
+        return out + bytes([size]) + v
 
-    out = io.BytesIO()
-    lines = [f"the cat {i} sat on mat {i * 7} fine office \u00e4rger" for i in range(200)]
-    sentencepiece.SentencePieceTrainer.train(
-        sentence_iterator=iter(lines), model_writer=out, vocab_size=330, model_type="bpe", byte_fallback=True, normalization_rule_name="nmt_nfkc", hard_vocab_limit=False, minloglevel=2
-    )
-    return out.getvalue()
+    blob = compiled_map({"\uff41": "a", "\ufb01": "fi", "\ufb03": "ffi", "\u3000": " ", "\u2460": "1", "\t": " ", "\n": " ", "a\u0308": "\u00e4", "\u00b4": " \u0301"})
+    spec = field(1, b"own") + field(2, blob) + bytes([3 << 3, 1, 4 << 3, 1, 5 << 3, 1])
+    with open(model_path(), "rb") as f:
+        return b"".join(field(n, spec if n == 3 else v) for n, v in _fields(f.read()))
 
 
 def test_character_map_and_its_spans():
