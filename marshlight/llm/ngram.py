@@ -183,7 +183,7 @@ def deal(docs: DataFrame, block_bytes: int) -> DataFrame:
 
     Ranges of ids are as wide as the mean takes (between the fifth and the last twentieth of all ids, so that a few
     far ids change nothing); a range of more than twice the bytes is dealt out by a hash. Rows without an id are a
-    range. The ranges that are split are met in a join, whose way Spark picks.
+    range. The ranges that are split (two numbers each) are broadcast up to half a million of them, joined beyond.
     """
     text = text_bytes(F.col("text"))
     at = F.percentile_approx(F.col("doc_id").cast("double"), F.array(F.lit(0.05), F.lit(0.95)), 1000)
@@ -193,12 +193,16 @@ def deal(docs: DataFrame, block_bytes: int) -> DataFrame:
     span = F.coalesce(F.floor(F.col("doc_id").cast("double") / F.lit(width)).cast("long"), F.lit(-(2**62)))
     ranged = docs.select("*", span.alias("span"))
     large = ranged.groupBy("span").agg(F.sum(F.octet_length(text).cast("double")).alias("b")).filter(F.col("b") > 2 * block_bytes)
-    large = large.select(F.col("span").alias("large"), F.ceil(F.col("b") / block_bytes).cast("long").alias("split"))
-    met = ranged.join(large, F.col("span") == F.col("large"), "left")
-    return met.select(*docs.columns, F.xxhash64("span", F.pmod(F.xxhash64("doc_id", text), F.coalesce("split", F.lit(1)))).alias("block"))
+    large, _ = materialize(large.select(F.col("span").alias("large"), F.ceil(F.col("b") / block_bytes).cast("long").alias("split")), "large")
+    n = large.count()
+    split = F.lit(1)
+    if n:
+        ranged = ranged.join(F.broadcast(large) if n <= 500_000 else large, F.col("span") == F.col("large"), "left")
+        split = F.coalesce("split", F.lit(1))
+    return ranged.select(*docs.columns, F.xxhash64("span", F.pmod(F.xxhash64("doc_id", text), split)).alias("block"))
 
 
-def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: float = 50.0, block_bytes: int = 6 << 20, bits: int | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: float = 50.0, block_bytes: int = 8 << 20, bits: int | None = None) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every whole text.
 
     Texts fall into blocks of neighbouring ids and about ``block_bytes``. Tasks count the n-grams of their blocks and

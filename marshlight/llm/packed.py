@@ -32,8 +32,9 @@ def unpack_keys(buf) -> np.ndarray:
 
 
 def bucket_bits(spark: SparkSession) -> int:
-    """As many buckets as the session's partitions ask for, so that a bucket's share does not grow with the input."""
-    return max(6, (4 * int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length())
+    """About half as many buckets as the session's partitions (64 at least): a bucket's share does not grow with the
+    input, and a small block is not cut into more rows than it has keys for."""
+    return max(6, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() - 1)
 
 
 def counted(block: int, parts: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
