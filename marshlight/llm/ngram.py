@@ -37,18 +37,18 @@ class Grams:
         known: dict[bytes, int] = {START: 0, END: 1}
         self.ids = []
         for t in texts:
-            self.ids.append(np.array([0, *[known.setdefault(w, len(known)) for w in t.lower().split()], 1], np.int64))
+            self.ids.append(np.array([0, *[known.setdefault(w, len(known)) for w in t.lower().split()], 1], np.int32))
         self.hash = np.fromiter(map(_hash, known), np.uint64, len(known))
         size = np.array([len(x) for x in self.ids])
-        flat = np.concatenate(self.ids) if len(texts) else np.empty(0, np.int64)
-        place = np.concatenate([np.arange(n) for n in size]) if len(texts) else flat
+        flat = np.concatenate(self.ids) if len(texts) else np.empty(0, np.int32)
+        place = np.concatenate([np.arange(n, dtype=np.int32) for n in size]) if len(texts) else flat
         learn = np.repeat(training, size)
         n = len(known)
         codes = flat
         self.levels = [{"keys": self.hash, "count": np.bincount(flat[learn], minlength=n).astype(np.int64), "prefix": np.zeros(n, np.int64), "suffix": np.zeros(n, np.int64), "word": np.arange(n)}]
         for k in range(2, order + 1):
             at = np.flatnonzero(place >= k - 1)
-            pair = codes[at - 1] * n + flat[at]
+            pair = codes[at - 1].astype(np.int64) * n + flat[at]
             got, first, where = np.unique(pair, return_index=True, return_inverse=True)
             new = np.full(len(flat), -1)
             new[at] = where
@@ -171,7 +171,8 @@ def _scorer(order: int, tokens: int, types: int, prior: float):
                 t[o] = take(lv["keys"][o], lv["count"][o], got.pop(k, []))[0]
                 totals.append(t)
             base, known = np.log10((totals[0] + 1) / (tokens + types + 1)), totals[0] > 0
-            scores = Automaton(g, totals, tokens, types, prior).scores(g.ids)
+            automaton, g.levels, totals = Automaton(g, totals, tokens, types, prior), [], []
+            scores = automaton.scores(g.ids)
             cols = [pa.array([f(x[1:]) for x in g.ids], t) for f, t in ((len, pa.int64()), (lambda x: int(known[x].sum()), pa.int64()), (lambda x: float(base[x].sum()), pa.float64()))]
             yield pa.RecordBatch.from_arrays([pa.array([d[0].as_py() for d in docs], docs[0][0].type), *cols, pa.array(scores, pa.float64())], names=["doc_id", "n_tokens", "n_known", "base_score", "score"])
 
@@ -202,7 +203,7 @@ def deal(docs: DataFrame, block_bytes: int) -> DataFrame:
     return ranged.select(*docs.columns, F.xxhash64("span", F.pmod(F.xxhash64("doc_id", text), split)).alias("block"))
 
 
-def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: float = 50.0, block_bytes: int = 8 << 20, bits: int | None = None) -> DataFrame:
+def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: float = 50.0, block_bytes: int = 4 << 20, bits: int | None = None) -> DataFrame:
     """``doc_id, n_tokens, n_known, train_tokens, base_score, score`` for every whole text.
 
     Texts fall into blocks of neighbouring ids and about ``block_bytes``. Tasks count the n-grams of their blocks and
