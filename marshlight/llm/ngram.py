@@ -217,6 +217,8 @@ def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: flo
     long text is a block of its own. Words are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
+    # rows of packed arrays are large: batches of as many rows as usual would fill the executors outside their heap
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     bits = bits or bucket_bits(spark)
     kind = docs.schema["doc_id"].dataType.simpleString()
     rows = deal(docs.select("doc_id", "text", F.coalesce(is_training, F.lit(False)).alias("learn")), block_bytes)
