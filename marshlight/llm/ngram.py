@@ -208,7 +208,7 @@ def score_texts(docs: DataFrame, is_training: Column, order: int = 2, prior: flo
 
     Texts fall into blocks of neighbouring ids and about ``block_bytes``. Tasks count the n-grams of their blocks and
     shuffle them by hash as packed, sorted arrays; a bucket's task adds the blocks' counts and sends back to each
-    block only those totals to which other blocks add. Every block then builds the part of the automaton that its
+    block its totals, in the order of its keys. Every block then builds the part of the automaton that its
     texts can reach and scores them. No table of n-grams is ever whole anywhere, none is cut off, and what is
     moved grows with the distinct n-grams of the blocks.
 
