@@ -81,38 +81,44 @@ def differences(pairs: DataFrame, ids: list[str], factor: float, least: int, see
 KEY = ["none", "id", "t"]
 
 
-def with_next_text(docs: DataFrame) -> DataFrame:
-    """``none, id, t, s, doc_id, text, next_id, next_t, head, next_keys, copies`` (t: hash of the text): each row with what it
-    needs of the row after it in ascending id order (ties by hash of the text; null ids first; after the last row the
-    first): as many first code points as half of its own text, and the digests of its paragraphs.
+def _own_id(docs: DataFrame) -> Column:
+    """The document's id as it was, from ``none`` and ``id``."""
+    return F.when(~F.col("none"), F.col("id").cast(docs.schema["doc_id"].dataType))
+
+
+def with_next_text(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``none, id, t, s, text, head, next_keys, copies`` (t: hash of the text): each row with what it needs of the row
+    after it in ascending id order (ties by hash of the text; null ids first; after the last row the first): as many
+    first code points as half of its own text, and the digests of its paragraphs. Also ``none, id, t, next_id, next_t``.
 
     Equal rows follow each other: they are one row here (``s`` 0), and all but the last of them another (``s`` 1) whose
     next text is its own, with their number as ``copies``. Ids and hashes are numbered without the texts, by ranges and
     the ranges' running counts. Texts are dealt by id and hash once; each then sends its head to the row before it, so
-    no group of rows grows with the ids' spacing or number.
+    no group of rows grows with the ids' spacing or number. Every reader of the rows takes all their columns, so that
+    Spark shuffles the texts once for all of them.
     """
     shuffles = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("t"), "text")
+    rows = rows.select(F.col("doc_id").isNull().alias("none"), F.coalesce(F.col("doc_id").cast("long"), F.lit(0)).alias("id"), F.xxhash64("text").alias("t"), "text")
     order = [F.col("none").desc(), F.col("id"), F.col("t")]
-    ranged = rows.groupBy(*KEY).agg(F.count("*").alias("n"), F.first("doc_id").alias("doc_id"), F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"))
+    ranged = rows.groupBy(*KEY).agg(F.count("*").alias("n"), F.max(F.floor(F.length("text") / 2)).cast("int").alias("half"))
     ranged, _ = materialize(ranged.repartitionByRange(shuffles, *order).withColumn("p", F.spark_partition_id()), "ranged")
     # one row per range
     counts = ranged.groupBy("p").agg(F.count("*").alias("size"))
     starts = counts.select("p", (F.sum("size").over(Window.orderBy("p")) - F.col("size")).alias("start"))
     total = ranged.count()
     place = F.col("start") + F.row_number().over(Window.partitionBy("p").orderBy(*order)) - 1
-    numbered, _ = materialize(ranged.join(F.broadcast(starts), "p").select(*KEY, "doc_id", "n", "half", place.alias("at")), "numbered")
+    numbered, _ = materialize(ranged.join(F.broadcast(starts), "p").select(*KEY, "n", "half", place.alias("at")), "numbered")
     before = numbered.select(F.pmod(F.col("at") + 1, F.lit(max(1, total))).alias("at"), F.struct(*KEY).alias("to"), F.col("half").alias("ask"))
-    behind = numbered.select(F.pmod(F.col("at") - 1, F.lit(max(1, total))).alias("at"), F.col("doc_id").alias("next_id"), F.col("t").alias("next_t"))
-    links = numbered.join(before, "at").join(behind, "at").select(*KEY, "n", "to", "ask", "next_id", "next_t")
-    met = rows.groupBy(*KEY).agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text")).join(links, KEY)
+    behind = numbered.select(F.pmod(F.col("at") - 1, F.lit(max(1, total))).alias("at"), _own_id(docs).alias("next_id"), F.col("t").alias("next_t"))
+    links, _ = materialize(numbered.join(before, "at").join(behind, "at").select(*KEY, "n", "to", "ask", "next_id", "next_t"), "links")
+    met = rows.groupBy(*KEY).agg(F.first("text").alias("text")).join(links.select(*KEY, "n", "to", "ask"), KEY)
     sent = met.select("to.*", F.substring("text", F.lit(1), F.col("ask")).alias("head"), paragraph_keys(F.col("text")).alias("next_keys"))
     after = met.drop("to", "ask").join(sent, KEY)
-    last = F.struct(F.lit(0).alias("s"), F.col("next_id").alias("i"), F.col("next_t").alias("h"), F.col("head").alias("x"), F.col("next_keys").alias("k"), F.lit(1).cast("long").alias("c"))
-    inner = F.struct(F.lit(1).alias("s"), F.col("doc_id").alias("i"), F.col("t").alias("h"), F.col("text").alias("x"), paragraph_keys(F.col("text")).alias("k"), (F.col("n") - 1).alias("c"))
+    last = F.struct(F.lit(0).alias("s"), F.col("head").alias("x"), F.col("next_keys").alias("k"), F.lit(1).cast("long").alias("c"))
+    inner = F.struct(F.lit(1).alias("s"), F.col("text").alias("x"), paragraph_keys(F.col("text")).alias("k"), (F.col("n") - 1).alias("c"))
     out = after.withColumn("e", F.explode(F.when(F.col("n") > 1, F.array(last, inner)).otherwise(F.array(last))))
-    return out.select(*KEY, "e.s", "doc_id", "text", F.col("e.i").alias("next_id"), F.col("e.h").alias("next_t"), F.col("e.x").alias("head"), F.col("e.k").alias("next_keys"), F.col("e.c").alias("copies"))
+    return out.select(*KEY, "e.s", "text", F.col("e.x").alias("head"), F.col("e.k").alias("next_keys"), F.col("e.c").alias("copies")), links.select(*KEY, "next_id", "next_t")
 
 
 def _edited(text: str = "text", head: str = "head") -> Column:
@@ -155,9 +161,9 @@ def fingerprints(docs: DataFrame, factor: float = 9.0, least: int = 96) -> DataF
     """
     ids = [*KEY, "s"]
     n = F.length("text").cast("long")
-    base = with_next_text(docs)
+    base, links = with_next_text(docs)
     rows = base.select(
-        *ids, "doc_id", "next_id", "next_t", "copies", n.alias("n_chars"), F.sha2(_edited().cast("binary"), 256).alias("edited_sha256"),
+        *ids, "copies", n.alias("n_chars"), F.sha2(_edited().cast("binary"), 256).alias("edited_sha256"),
         paragraph_keys(F.col("text")).alias("a"), paragraph_keys(_edited()).alias("e"), F.size("next_keys").alias("nx"),
     )
     rows = rows.withColumns({"fingerprint": small_sketch(F.col("a")), "edited_fingerprint": small_sketch(F.col("e")), "na": F.size("a"), "ne": F.size("e")}).drop("a", "e")
@@ -169,7 +175,9 @@ def fingerprints(docs: DataFrame, factor: float = 9.0, least: int = 96) -> DataF
         if not stuck.limit(1).count():
             break
         factor, least = factor * 2, least * 2
-        places = stuck.select(*ids, "which").join(rows.select(*ids, "doc_id", "next_id", "next_t"), ids)
+        own = F.col("s") == 1  # the row after is equal
+        after = [F.when(own, x).otherwise(F.col(c)).alias(c) for c, x in (("next_id", _own_id(docs)), ("next_t", F.col("t")))]
+        places = stuck.select(*ids, "which").join(links, KEY).select(*ids, "which", _own_id(docs).alias("doc_id"), *after)
         texts = _texts_of(docs, _texts_of(docs, places, "doc_id", "t", "text"), "next_id", "next_t", "head").withColumn("next_keys", paragraph_keys(F.col("head")))
         again, _ = materialize(_pairs(texts, ids, F.col("which")), "pairs")
         dealt = again.repartition(*ids)
@@ -183,6 +191,6 @@ def fingerprints(docs: DataFrame, factor: float = 9.0, least: int = 96) -> DataF
     done = rows.join(wide, ids, "left").withColumns({f"d{i}": F.coalesce(f"d{i}", F.lit(0)) for i in (0, 1)})  # no cell left: nothing differs
     like = lambda d, m: F.when(F.col("na") + F.col(m) > 0, 1 - F.col(d) / (F.col("na") + F.col(m))).otherwise(1.0)
     return done.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", like("d0", "ne").alias("near_edited"), like("d1", "nx").alias("near_next"),
+        _own_id(docs).alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", like("d0", "ne").alias("near_edited"), like("d1", "nx").alias("near_next"),
         F.col("na").alias("paragraphs"), F.col("d0").cast("long").alias("apart_edited"), F.col("d1").cast("long").alias("apart_next"),
     )

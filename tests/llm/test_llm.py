@@ -8,6 +8,7 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from marshlight.llm import fingerprint, langid, mixing, ngram, quality, repeats, simhash, warc
@@ -220,7 +221,11 @@ def test_next_text_of_odd_ids(spark):
     # one far id, null ids and equal rows
     rows = [(i, f"t{i}") for i in range(500)] + [(10**12, "far")] + [(None, f"n{i}") for i in range(300)] + [(7, "t7")] * 3
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = fingerprint.with_next_text(df).collect()
+    texts, links = fingerprint.with_next_text(df)
+    got = [
+        Row(**r.asDict() | {"doc_id": None if r.none else r.id} | ({"next_id": r.id, "next_t": r.t} if r.s else {}))
+        for r in texts.join(links, fingerprint.KEY).collect()
+    ]
     assert sum(r.copies for r in got) == len(rows)
     by_id = {(r.doc_id, r.next_id): r.copies for r in got if r.doc_id is not None}
     assert by_id.pop((7, 7)) == 3
