@@ -59,3 +59,16 @@ def fold(doc_id: Column, mod: int) -> Column:
 def text_bytes(text: Column) -> Column:
     """The text as UTF-8 bytes, null as empty."""
     return F.coalesce(text, F.lit("")).cast("binary")
+
+
+def join_counted(rows: DataFrame, facts: DataFrame, key: str, count: str, hot: int = 5000) -> DataFrame:
+    """``rows`` with the columns of ``facts``, which has one row per value of ``key`` (null included) and how many rows
+    have it. A value of more than one in ``hot`` rows is met by broadcast, and there are fewer than ``hot`` of them; the
+    others are met by a shuffle, in which no value is large."""
+    facts, _ = materialize(facts.withColumnRenamed(key, "_key"), "facts")
+    n = facts.agg(F.sum(count)).first()[0] or 0
+    common = F.col(count) > F.lit(n / hot)
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    many, few = facts.filter(common), facts.filter(~common)
+    found = rows.join(F.broadcast(many), same).unionByName(rows.join(F.broadcast(many.select("_key")), same, "left_anti").join(few, same))
+    return found.drop("_key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, langid, mixing, ngram, quality, repeats, warc
+from . import align, codes, fingerprint, langid, minhash, mixing, ngram, quality, repeats, warc
 from .common import fold, scratch_path, table
 from .pieces import encode_decode
 from .simhash import near_duplicates
@@ -71,6 +71,21 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=400, report=True)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as p
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return align.align(docs, p.path("byte_bpe_50k.json"), p.path("piece_bpe_32k.model"), p.PATTERN)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return codes.vector_codes(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), words=4, percent=80)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_simhash": op2_simhash,
@@ -82,8 +97,29 @@ QUERIES = {
     "op10_repeats": op10_repeats,
     "op6_exact_topk": op6_exact_topk,
     "op8_sentencepiece": op8_sentencepiece,
+    "op11_alignment": op11_alignment,
+    "op12_vector_codes": op12_vector_codes,
+    "op13_minhash": op13_minhash,
 }
 
+
+def _codes_sql(rounds: int = 6) -> str:
+    """Six rounds over the parts of all vectors, one CTE each."""
+    near = lambda b: f"SELECT p.vec_id, p.row, p.part, p.x, b.entry, list_sum(list_transform(list_zip(p.x, b.c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM p JOIN {b} b USING (part)"
+    least = "SELECT row, part, any_value(x) AS x, arg_min(entry, d * 16 + entry) AS entry, min(d) AS d"
+    steps = "".join(f""",
+ a{i} AS MATERIALIZED ({least} FROM ({near(f'b{i}')}) GROUP BY row, part),
+ s{i} AS MATERIALIZED (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY k) AS c FROM (SELECT part, entry, k, CAST(sum(x[k]) AS BIGINT) AS s, count(*) AS n FROM a{i}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM p) + 1)) AS k) GROUP BY part, entry, k) GROUP BY part, entry),
+ b{i + 1} AS MATERIALIZED (SELECT b.part, b.entry, coalesce(s.c, b.c) AS c FROM b{i} b LEFT JOIN s{i} s USING (part, entry))""" for i in range(rounds))
+    return f"""WITH v AS MATERIALIZED (SELECT vec_id, label, row_number() OVER (ORDER BY vec_id) AS row, list_transform(embedding, lambda x: CAST(floor(4096 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ p AS MATERIALIZED (SELECT vec_id, row, part, list_slice(e, CAST(part * len(e) // 8 + 1 AS BIGINT), CAST((part + 1) * len(e) // 8 AS BIGINT)) AS x FROM v, (SELECT unnest(range(8)) AS part)),
+ b0 AS MATERIALIZED (SELECT part, row - 1 AS entry, x AS c FROM p WHERE row <= 16){steps},
+ f AS MATERIALIZED ({least} FROM ({near(f'b{rounds}')}) GROUP BY row, part),
+ c AS (SELECT row, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM f GROUP BY row),
+ h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM b{rounds})
+ SELECT v.vec_id, c.code, c.error, CAST(sum(c.error) OVER (PARTITION BY v.label) AS BIGINT) AS label_error, h.codebooks_sha256 FROM v JOIN c USING (row), h"""
+
 ORACLE = {
     "op6_exact_topk": """
         WITH v AS (
@@ -101,4 +137,5 @@ ORACLE = {
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
     """,
+    "op12_vector_codes": _codes_sql(),
 }
