@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .geometry import box_cells, cell_set, cover, edges, hash_order
+from .geometry import box_cells, cell_set, cut_cells, hash_order
 
 KEY = ["h", "r", "c"]
 
@@ -23,24 +23,8 @@ def merge_crop(tiles: DataFrame, zones: DataFrame, zone_id: str = "zone_id") ->
 
 
 def touched(vertices: DataFrame) -> DataFrame:
-    """Cells that a polygon touches: centre or a corner inside, or a vertex in the cell, or an edge across a side.
-    Edges are met with the cells of their own box."""
-    near = cover(vertices, 1.0)
-    # a cell farther from the outline than its half diagonal is touched only if it is inside
-    plain = near.filter("inside").select("poly_id", *KEY)
-    close = near.filter("NOT inside AND dist <= 0.70710679").select("poly_id", *KEY)
-    met = close.join(edges(vertices).drop("h", "seq"), "poly_id")
-    x, y = F.col("c").cast("double"), F.col("r").cast("double")
-    # Liang-Barsky clipping of the edge by the closed cell
-    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
-    lo, hi, ok = F.lit(0.0), F.lit(1.0), F.lit(True)
-    for p, q in ((-dx, F.col("x1") - x), (dx, x + 1 - F.col("x1")), (-dy, F.col("y1") - y), (dy, y + 1 - F.col("y1"))):
-        t = F.try_divide(q, p)
-        ok = ok & ~((p == 0) & (q < 0))
-        lo = F.when(p < 0, F.greatest(lo, t)).otherwise(lo)
-        hi = F.when(p > 0, F.least(hi, t)).otherwise(hi)
-    cut = met.filter(ok & (lo <= hi)).select("poly_id", *KEY).distinct()
-    return plain.union(cut).distinct()
+    """Cells that a polygon touches: the centre is inside, or an edge runs through the closed cell."""
+    return cell_set(vertices).union(cut_cells(vertices)).distinct()
 
 
 def mask(cells: DataFrame, vertices: DataFrame, touches: bool = False) -> DataFrame:

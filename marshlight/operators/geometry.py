@@ -10,7 +10,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET = 8
+from .grid import boxes_with_boxes, points_in_boxes
 
 
 def edges(vertices: DataFrame) -> DataFrame:
@@ -39,21 +39,32 @@ def _side(ax, ay, bx, by, px, py) -> Column:
     return F.signum((bx - ax) * (py - ay) - (by - ay) * (px - ax))
 
 
-def proper_crossing(a: str, b: str) -> Column:
-    """Do two edges cross inside both? ``a`` and ``b`` are aliases of edge tables."""
-    p = {s: {k: F.col(f"{s}.{k}") for k in ("x1", "y1", "x2", "y2")} for s in (a, b)}
-    e, f = p[a], p[b]
+def crossing() -> Column:
+    """Do the edges x1..y2 and b_x1..b_y2 cross inside both?"""
+    e, f = ({k: F.col(f"{p}{k}") for k in ("x1", "y1", "x2", "y2")} for p in ("", "b_"))
     one = _side(e["x1"], e["y1"], e["x2"], e["y2"], f["x1"], f["y1"]) * _side(e["x1"], e["y1"], e["x2"], e["y2"], f["x2"], f["y2"])
     two = _side(f["x1"], f["y1"], f["x2"], f["y2"], e["x1"], e["y1"]) * _side(f["x1"], f["y1"], f["x2"], f["y2"], e["x2"], e["y2"])
     return (one < 0) & (two < 0)
 
 
+def _boxed(segs: DataFrame) -> DataFrame:
+    low, high = (lambda k: F.least(f"{k}1", f"{k}2")), (lambda k: F.greatest(f"{k}1", f"{k}2"))
+    return segs.withColumns({"xmin": low("x"), "ymin": low("y"), "xmax": high("x"), "ymax": high("y")})
+
+
+def edge_pairs(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+    """Pairs of edges with equal ``on`` whose boxes touch; the second edge's columns begin with ``b_``."""
+    other = _boxed(b)
+    other = other.select(*on, *[F.col(c).alias(f"b_{c}") for c in other.columns if c not in on])
+    return boxes_with_boxes(_boxed(a), other, on, closed=True)
+
+
 def valid(vertices: DataFrame) -> DataFrame:
     """Ids of rings that are closed, have four vertices at least and an area, and do not cross themselves."""
     shape = vertices.groupBy("poly_id").agg(F.count("*").alias("n"), F.min_by(F.struct("x", "y"), "seq").alias("a"), F.max_by(F.struct("x", "y"), "seq").alias("b"))
     good = shape.filter((F.col("n") >= 4) & (F.col("a") == F.col("b"))).select("poly_id")
     e = edges(vertices)
-    crossed = e.alias("a").join(e.alias("b"), (F.col("a.poly_id") == F.col("b.poly_id")) & (F.col("a.seq") < F.col("b.seq"))).filter(proper_crossing("a", "b")).select("a.poly_id").distinct()
+    crossed = edge_pairs(e, e, ["poly_id"]).filter((F.col("seq") < F.col("b_seq")) & crossing()).select("poly_id").distinct()
     return good.join(area(vertices).filter("area > 0").select("poly_id"), "poly_id", "left_semi").join(crossed, "poly_id", "left_anti")
 
 
@@ -91,48 +102,117 @@ def edge_distance(px: Column, py: Column) -> Column:
     return F.sqrt((px - F.col("x1") - t * dx) ** 2 + (py - F.col("y1") - t * dy) ** 2)
 
 
-def relate(pairs: DataFrame, vertices: DataFrame, keys: list[str]) -> DataFrame:
-    """For ``keys, poly_id, px, py``: is the point inside, and how far is the outline."""
-    px, py = F.col("px"), F.col("py")
-    met = pairs.join(edges(vertices).drop("h", "seq"), "poly_id")
-    hits = F.sum(F.when(crosses_ray(px, py), 1).otherwise(0))
-    return met.groupBy(*keys, "poly_id").agg((hits % 2 == 1).alias("inside"), F.min(edge_distance(px, py)).alias("dist"))
+def crossings(vertices: DataFrame, step: float = 1.0, at: float = 0.5) -> DataFrame:
+    """``poly_id, h, j, x``: where each edge crosses the scan lines y = (j + at) * step, by the half-open rule."""
+    e = edges(vertices)
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    line = e.withColumn("j", F.explode(F.sequence(F.floor(low / step - at), F.ceil(high / step - at))))
+    py = (F.col("j") + at) * step
+    met = line.filter((F.col("y1") > py) != (F.col("y2") > py))
+    return met.select("poly_id", "h", "j", (F.try_divide((F.col("x2") - F.col("x1")) * (py - F.col("y1")), F.col("y2") - F.col("y1")) + F.col("x1")).alias("x"))
 
 
-def cover(vertices: DataFrame, margin: float = 0.0) -> DataFrame:
-    """``poly_id, h, r, c, inside, dist`` for the cells whose centre can be within ``margin`` of each polygon."""
-    b = bbox(vertices)
-    span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) - margin), F.floor(F.col(hi) + margin)))
-    grid = b.select("poly_id", "h", span("ymin", "ymax").alias("r"), "xmin", "xmax").select("poly_id", "h", "r", span("xmin", "xmax").alias("c"))
-    pts = grid.withColumns({"px": F.col("c") + 0.5, "py": F.col("r") + 0.5})
-    return relate(pts, vertices, ["h", "r", "c"])
+def spans(vertices: DataFrame, step: float = 1.0, at: float = 0.5) -> DataFrame:
+    """``poly_id, h, j, x0, x1``: the parts of each scan line inside each polygon. A line's crossings are paired in
+    order, so a point of the line is inside if x0 <= x < x1 for one of its spans."""
+    line = Window.partitionBy("poly_id", "h", "j").orderBy("x")
+    met = crossings(vertices, step, at).withColumns({"n": F.row_number().over(line), "x1": F.lead("x").over(line)})
+    return met.filter("n % 2 = 1 AND x < x1").select("poly_id", "h", "j", F.col("x").alias("x0"), "x1")
+
+
+def _steps(step: float, at: float) -> Column:
+    """The numbers i of the places (i + at) * step from x0 up to x1, some beyond the ends: to be filtered."""
+    return F.explode(F.sequence(F.floor(F.col("x0") / step - at), F.ceil(F.col("x1") / step - at)))
+
+
+def places(vertices: DataFrame, step: float = 1.0, at: float = 0.5) -> DataFrame:
+    """``poly_id, h, j, i``: places ((i + at) * step, (j + at) * step) inside each polygon."""
+    x = (F.col("i") + at) * step
+    return spans(vertices, step, at).withColumn("i", _steps(step, at)).filter((x >= F.col("x0")) & (x < F.col("x1"))).select("poly_id", "h", "j", "i")
 
 
 def cell_set(vertices: DataFrame) -> DataFrame:
-    """Cells whose centre is inside: ``poly_id, h, r, c``."""
-    return cover(vertices).filter("inside").select("poly_id", "h", "r", "c")
+    """Cells whose centre is inside: ``poly_id, h, r, c``, from the spans of the rows' centre lines."""
+    return places(vertices).select("poly_id", "h", F.col("j").alias("r"), F.col("i").alias("c"))
+
+
+def _band(vertices: DataFrame, reach: Column, least: Column, most: Column, side: float = 1.0) -> DataFrame:
+    """Edges once for each square (row ``r``, column ``c``, of side ``side``) that the edge can come within ``reach`` of;
+    the columns of a row follow the part of the edge that lies near it. ``least`` and ``most`` bound a row's own y."""
+    e = edges(vertices).withColumn("_m", reach)
+    low, high, m = F.least("y1", "y2"), F.greatest("y1", "y2"), F.col("_m")
+    e = e.withColumn("r", F.explode(F.sequence(F.floor((low - m) / side) - 1, F.floor((high + m) / side) + 1)))
+    dy = F.col("y2") - F.col("y1")
+    at = lambda y: F.coalesce(F.try_divide((F.col("x2") - F.col("x1")) * (F.greatest(low, F.least(high, y)) - F.col("y1")), dy) + F.col("x1"), F.col("x1"))
+    a, b = at(least - m), at(most + m)
+    flat = dy == 0
+    left = F.when(flat, F.least("x1", "x2")).otherwise(F.least(a, b))
+    right = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(a, b))
+    return e.withColumn("c", F.explode(F.sequence(F.floor((left - m) / side) - 1, F.floor((right + m) / side) + 1)))
+
+
+def outline_cells(vertices: DataFrame, reach: Column | float) -> DataFrame:
+    """``poly_id, h, r, c, dist``: cells whose centre is within ``reach`` of the outline, and how far it is. Each edge
+    sends only the cells near it."""
+    reach = F.lit(float(reach)) if not isinstance(reach, Column) else reach
+    px, py = F.col("c") + 0.5, F.col("r") + 0.5
+    near = _band(vertices, reach, F.col("r") + 0.5, F.col("r") + 0.5).withColumn("dist", edge_distance(px, py)).filter(F.col("dist") <= F.col("_m"))
+    return near.groupBy("poly_id", "h", "r", "c").agg(F.min("dist").alias("dist"))
+
+
+def cut_cells(vertices: DataFrame) -> DataFrame:
+    """``poly_id, h, r, c``: cells (closed squares) that an edge runs through or touches."""
+    met = _band(vertices, F.lit(0.0), F.col("r"), F.col("r") + 1)
+    x, y = F.col("c").cast("double"), F.col("r").cast("double")
+    # Liang-Barsky clipping of the edge by the cell
+    dx, dy = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")
+    lo, hi, ok = F.lit(0.0), F.lit(1.0), F.lit(True)
+    for p, q in ((-dx, F.col("x1") - x), (dx, x + 1 - F.col("x1")), (-dy, F.col("y1") - y), (dy, y + 1 - F.col("y1"))):
+        t = F.try_divide(q, p)
+        ok = ok & ~((p == 0) & (q < 0))
+        lo = F.when(p < 0, F.greatest(lo, t)).otherwise(lo)
+        hi = F.when(p > 0, F.least(hi, t)).otherwise(hi)
+    return met.filter(ok & (lo <= hi)).select("poly_id", "h", "r", "c").distinct()
+
+
+def points_in(pts: DataFrame, vertices: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, poly_id`` for points (``h, px, py``) inside each polygon. A point meets the polygons whose box holds
+    it, and of those only the edges that cross its own row of unit height."""
+    met = points_in_boxes(pts.select(*keys, "h", "px", "py"), "px", "py", bbox(vertices), ["h"]).select(*keys, "poly_id", "px", "py", F.floor("py").alias("_row"))
+    e = edges(vertices).drop("h", "seq").filter("y1 <> y2")
+    slabs = e.withColumn("_row", F.explode(F.sequence(F.floor(F.least("y1", "y2")), F.floor(F.greatest("y1", "y2")))))
+    hits = met.join(slabs, ["poly_id", "_row"]).filter(crosses_ray(F.col("px"), F.col("py")))
+    return hits.groupBy(*keys, "poly_id").agg(F.count("*").alias("_n")).filter("_n % 2 = 1").select(*keys, "poly_id")
+
+
+def points_close(pts: DataFrame, vertices: DataFrame, reach: float, keys: list[str]) -> DataFrame:
+    """``keys, poly_id, dist`` for points (``h, px, py``) within ``reach`` of a polygon's outline, met over squares of
+    that side to which each edge sends itself."""
+    side = max(float(reach), 2.0**-20)
+    near = _band(vertices, F.lit(float(reach)), F.col("r") * side, (F.col("r") + 1) * side, side).select("poly_id", "h", "r", "c", "x1", "y1", "x2", "y2")
+    at = pts.select(*keys, "h", "px", "py", F.floor(F.col("py") / side).alias("r"), F.floor(F.col("px") / side).alias("c"))
+    met = at.join(near, ["h", "r", "c"]).withColumn("dist", edge_distance(F.col("px"), F.col("py"))).filter(F.col("dist") <= reach)
+    return met.groupBy(*keys, "poly_id").agg(F.min("dist").alias("dist"))
 
 
 def ring_cells(vertices: DataFrame, distances: list[float]) -> DataFrame:
     """Cells outside each polygon within each distance of it, one row per (polygon, ring)."""
-    near = cover(vertices, max(distances)).filter("NOT inside")
+    near = outline_cells(vertices, max(distances)).join(cell_set(vertices), ["poly_id", "h", "r", "c"], "left_anti")
     return near.select("poly_id", "h", "r", "c", "dist", F.explode(F.array(*[F.lit(float(d)) for d in distances])).alias("ring")).filter("dist <= ring").select("poly_id", "ring", "h", "r", "c")
 
 
 def interior(vertices: DataFrame, depth: Column | float) -> DataFrame:
-    """Cells inside and at least ``depth`` from the outline (a number or a column of the vertices' polygon)."""
-    depth = F.lit(depth) if not isinstance(depth, Column) else depth
-    return cover(vertices).filter(F.col("inside") & (F.col("dist") >= depth)).select("poly_id", "h", "r", "c")
+    """Cells inside and at least ``depth`` from the outline (a number or a column of ``poly_id`` and ``h``)."""
+    depth = F.lit(float(depth)) if not isinstance(depth, Column) else depth
+    shallow = outline_cells(vertices, depth).filter(F.col("dist") < depth)
+    return cell_set(vertices).join(shallow, ["poly_id", "h", "r", "c"], "left_anti")
 
 
 def box_cells(boxes: DataFrame, cells: DataFrame, box_id: str) -> DataFrame:
-    """Cells whose centre lies in each half-open box, met over buckets of 8 x 8 cells."""
-    span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / BUCKET), F.floor(F.col(hi) / BUCKET)))
-    b = boxes.select(box_id, "h", "xmin", "ymin", "xmax", "ymax", span("ymin", "ymax").alias("by")).select("*", span("xmin", "xmax").alias("bx"))
-    k = cells.withColumns({"by": F.floor(F.col("r") / BUCKET), "bx": F.floor(F.col("c") / BUCKET)})
-    x, y = F.col("c") + 0.5, F.col("r") + 0.5
-    met = k.join(b, ["h", "by", "bx"]).filter((x >= F.col("xmin")) & (x < F.col("xmax")) & (y >= F.col("ymin")) & (y < F.col("ymax")))
-    return met.drop("by", "bx", "xmin", "ymin", "xmax", "ymax")
+    """Cells whose centre lies in each half-open box."""
+    at = cells.withColumns({"_x": F.col("c") + 0.5, "_y": F.col("r") + 0.5})
+    met = points_in_boxes(at, "_x", "_y", boxes.select(box_id, "h", "xmin", "ymin", "xmax", "ymax"), ["h"])
+    return met.filter((F.col("_x") < F.col("xmax")) & (F.col("_y") < F.col("ymax"))).drop("_x", "_y", "xmin", "ymin", "xmax", "ymax")
 
 
 def clip_box(vertices: DataFrame, boxes: DataFrame, box_id: str) -> DataFrame:
@@ -155,23 +235,12 @@ def dissolve(cells: DataFrame, by: list[str]) -> DataFrame:
 
 def intersecting(vertices: DataFrame) -> DataFrame:
     """Pairs ``a < b`` of polygons of one watershed that intersect: outlines cross, or one holds a vertex of the
-    other. Candidates share a bucket; each edge or vertex meets only the polygons of its buckets."""
-    span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / BUCKET), F.floor(F.col(hi) / BUCKET)))
-    b = bbox(vertices).select("*", span("ymin", "ymax").alias("by")).select("*", span("xmin", "xmax").alias("bx"))
-    x, y = b.alias("x"), b.alias("y")
-    same = [F.col(f"x.{k}") == F.col(f"y.{k}") for k in ("h", "by", "bx")]
-    meet = (F.col("x.xmin") <= F.col("y.xmax")) & (F.col("x.xmax") >= F.col("y.xmin")) & (F.col("x.ymin") <= F.col("y.ymax")) & (F.col("x.ymax") >= F.col("y.ymin"))
-    pairs = x.join(y, same).filter(meet & (F.col("x.poly_id") < F.col("y.poly_id"))).select(F.col("x.poly_id").alias("a"), F.col("y.poly_id").alias("b")).distinct()
-    e = edges(vertices)
-    crossing = pairs.join(e.select(F.col("poly_id").alias("a"), *[F.col(k).alias(f"a_{k}") for k in ("x1", "y1", "x2", "y2")]), "a").join(e.select(F.col("poly_id").alias("b"), *[F.col(k).alias(f"b_{k}") for k in ("x1", "y1", "x2", "y2")]), "b")
-    A, B = ({k: F.col(f"{s}_{k}") for k in ("x1", "y1", "x2", "y2")} for s in ("a", "b"))
-    one = _side(A["x1"], A["y1"], A["x2"], A["y2"], B["x1"], B["y1"]) * _side(A["x1"], A["y1"], A["x2"], A["y2"], B["x2"], B["y2"])
-    two = _side(B["x1"], B["y1"], B["x2"], B["y2"], A["x1"], A["y1"]) * _side(B["x1"], B["y1"], B["x2"], B["y2"], A["x2"], A["y2"])
-    crossing = crossing.filter((one < 0) & (two < 0)).select("a", "b")
-    v = vertices.select(F.col("poly_id").alias("v_id"), F.col("x").alias("px"), F.col("y").alias("py"), "seq")
-    tries = pairs.select(F.col("a").alias("poly_id"), F.col("b").alias("v_id")).union(pairs.select("b", "a"))
-    held = relate(tries.join(v, "v_id"), vertices, ["v_id", "seq"]).filter("inside").select(F.least("poly_id", "v_id").alias("a"), F.greatest("poly_id", "v_id").alias("b"))
-    return crossing.union(held).distinct()
+    other. Edges meet edges whose boxes touch, vertices the polygons whose box holds them."""
+    e = edges(vertices).select("poly_id", "h", "x1", "y1", "x2", "y2")
+    crossed = edge_pairs(e, e, ["h"]).filter((F.col("poly_id") < F.col("b_poly_id")) & crossing()).select(F.col("poly_id").alias("a"), F.col("b_poly_id").alias("b"))
+    v = vertices.select(F.col("poly_id").alias("v_id"), "seq", "h", F.col("x").alias("px"), F.col("y").alias("py"))
+    held = points_in(v, vertices, ["v_id", "seq"]).filter("v_id <> poly_id").select(F.least("poly_id", "v_id").alias("a"), F.greatest("poly_id", "v_id").alias("b"))
+    return crossed.union(held).distinct()
 
 
 def hash_order(key: Column, k: int = 0) -> Column:
@@ -179,23 +248,32 @@ def hash_order(key: Column, k: int = 0) -> Column:
     return (key * F.lit(2654435761) + F.lit(k * 40503)) % F.lit(1000003)
 
 
-def random_points(vertices: DataFrame, n: int, seed: int = 0, tries: int = 64) -> DataFrame:
-    """Up to ``n`` hash-drawn points inside each polygon: ``tries`` draws in its box, the first inside ones kept."""
-    b = bbox(vertices).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(tries - 1))))
-    draw = lambda a: ((F.col("poly_id") * 7919 + F.col("k") * F.lit(a) + F.lit(seed)) * F.lit(40503) % F.lit(65521)) / F.lit(65521.0)
-    pts = b.select("poly_id", "h", "k", (F.col("xmin") + draw(104729) * (F.col("xmax") - F.col("xmin"))).alias("px"), (F.col("ymin") + draw(15485863) * (F.col("ymax") - F.col("ymin"))).alias("py"))
-    inside = relate(pts, vertices, ["h", "k", "px", "py"]).filter("inside")
-    first = F.row_number().over(Window.partitionBy("poly_id").orderBy("k"))
-    return inside.withColumn("_n", first).filter(F.col("_n") <= n).select("poly_id", "h", "k", F.col("px").alias("x"), F.col("py").alias("y"))
+def random_points(vertices: DataFrame, n: int, seed: int = 0, lines: int = 64) -> DataFrame:
+    """``n`` points in each polygon of positive area, however thin: ``k`` from 0, x and y.
+
+    ``lines`` scan lines cut the polygon into spans; laid end to end they are cut into n equal stretches, of which each
+    gives one hash-drawn point. A stretch finds its spans by the spans' running length, so nothing is drawn in vain."""
+    own, ordered = Window.partitionBy("poly_id"), Window.partitionBy("poly_id").orderBy("j", "x0")
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    e = edges(vertices).withColumns({"_lo": F.min(low).over(own), "_hi": F.max(high).over(own)}).filter("_hi > _lo")
+    step = (F.col("_hi") - F.col("_lo")) / lines
+    line = e.withColumn("j", F.explode(F.sequence(F.floor((low - F.col("_lo")) / step - 0.5), F.ceil((high - F.col("_lo")) / step - 0.5)))).filter(F.col("j").between(0, lines - 1))
+    py = F.col("_lo") + (F.col("j") + 0.5) * step
+    met = line.withColumn("y", py).filter((F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y")))
+    met = met.withColumn("x0", F.try_divide((F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")), F.col("y2") - F.col("y1")) + F.col("x1"))
+    pairs = Window.partitionBy("poly_id", "j").orderBy("x0")
+    cut = met.select("poly_id", "h", "j", "y", "x0", F.row_number().over(pairs).alias("n"), F.lead("x0").over(pairs).alias("x1")).filter("n % 2 = 1 AND x0 < x1")
+    cut = cut.withColumn("len", F.col("x1") - F.col("x0")).withColumns({"end": F.sum("len").over(ordered), "all": F.sum("len").over(own)})
+    begin = F.col("end") - F.col("len")
+    drawn = cut.withColumn("k", F.explode(F.sequence(F.floor(n * begin / F.col("all")) - 1, F.floor(n * F.col("end") / F.col("all")) + 1))).filter(F.col("k").between(0, n - 1))
+    hashed = ((F.col("poly_id") * 7919 + F.col("k") * F.lit(104729) + F.lit(seed)) * F.lit(40503) % F.lit(65521)) / F.lit(65521.0)
+    at = (F.col("k") + hashed) / n * F.col("all")
+    return drawn.withColumn("u", at).filter((F.col("u") >= begin) & (F.col("u") < F.col("end"))).select("poly_id", "h", "k", (F.col("x0") + F.col("u") - begin).alias("x"), "y")
 
 
 def grid_points(vertices: DataFrame, s: float) -> DataFrame:
-    """Points at multiples of ``s`` inside each polygon."""
-    span = lambda lo, hi: F.explode(F.sequence(F.ceil(F.col(lo) / s), F.floor(F.col(hi) / s)))
-    ok = (F.ceil(F.col("ymin") / s) <= F.floor(F.col("ymax") / s)) & (F.ceil(F.col("xmin") / s) <= F.floor(F.col("xmax") / s))
-    g = bbox(vertices).filter(ok).select("poly_id", "h", "xmin", "xmax", span("ymin", "ymax").alias("j")).select("poly_id", "h", "j", span("xmin", "xmax").alias("i"))
-    pts = g.withColumns({"px": F.col("i") * s, "py": F.col("j") * s})
-    return relate(pts, vertices, ["h", "px", "py"]).filter("inside").select("poly_id", "h", F.col("px").alias("x"), F.col("py").alias("y"))
+    """Points at multiples of ``s`` inside each polygon, from the spans of the lines at multiples of ``s``."""
+    return places(vertices, s, 0.0).select("poly_id", "h", (F.col("i") * s).alias("x"), (F.col("j") * s).alias("y"))
 
 
 def vertex_sample(vertices: DataFrame, n: int, least: int = 100) -> DataFrame:

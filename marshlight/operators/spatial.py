@@ -1,54 +1,40 @@
-"""Spatial joins: an equi-join on grid buckets, then the exact predicate."""
+"""Spatial joins: an equi-join on the squares of a grid of levels, then the exact predicate."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .geometry import BUCKET, bbox, intersecting, relate
+from .geometry import bbox, intersecting, points_close, points_in
+from .grid import BOX, boxes_with_boxes
 from .iterate import settle
 
 
-def _spread(boxes: DataFrame, size: float = BUCKET) -> DataFrame:
-    """Boxes once per bucket they touch."""
-    span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(lo) / size), F.floor(F.col(hi) / size)))
-    return boxes.select("*", span("ymin", "ymax").alias("by")).select("*", span("xmin", "xmax").alias("bx"))
-
-
-def point_relations(pts: DataFrame, vertices: DataFrame, margin: float = 0.0, pt_id: str = "pt_id") -> DataFrame:
-    """``pt_id, poly_id, inside, dist`` for points within ``margin`` of a polygon's box. A point has one bucket, so
-    no pair appears twice."""
-    grown = bbox(vertices).select("poly_id", "h", *[(F.col(k) - margin).alias(k) for k in ("xmin", "ymin")], *[(F.col(k) + margin).alias(k) for k in ("xmax", "ymax")])
-    p = pts.select(pt_id, "h", F.col("x").alias("px"), F.col("y").alias("py")).withColumns({"by": F.floor(F.col("py") / BUCKET), "bx": F.floor(F.col("px") / BUCKET)})
-    met = p.join(_spread(grown), ["h", "by", "bx"]).filter(F.col("px").between(F.col("xmin"), F.col("xmax")) & F.col("py").between(F.col("ymin"), F.col("ymax")))
-    return relate(met.select(pt_id, "poly_id", "px", "py"), vertices, [pt_id])
+def _placed(pts: DataFrame) -> DataFrame:
+    return pts.select("pt_id", "h", F.col("x").alias("px"), F.col("y").alias("py"))
 
 
 def st_join(pts: DataFrame, vertices: DataFrame, attrs: DataFrame, how: str = "inner") -> DataFrame:
     """Points with the attributes of the polygons they lie in; several polygons give several rows."""
-    hits = point_relations(pts, vertices).filter("inside").select("pt_id", "poly_id")
-    return pts.join(hits.join(attrs, "poly_id"), "pt_id", how)
+    return pts.join(points_in(_placed(pts), vertices, ["pt_id"]).join(attrs, "poly_id"), "pt_id", how)
 
 
 def points_inside(pts: DataFrame, vertices: DataFrame, inverse: bool = False) -> DataFrame:
-    hits = point_relations(pts, vertices).filter("inside").select("pt_id").distinct()
+    hits = points_in(_placed(pts), vertices, ["pt_id"]).select("pt_id").distinct()
     return pts.join(hits, "pt_id", "left_anti" if inverse else "left_semi")
 
 
 def points_near(pts: DataFrame, vertices: DataFrame, d: float, inverse: bool = False) -> DataFrame:
     """Points in or within ``d`` of any polygon, or the others."""
-    hits = point_relations(pts, vertices, d).filter(F.col("inside") | (F.col("dist") <= d)).select("pt_id").distinct()
+    at = _placed(pts)
+    hits = points_in(at, vertices, ["pt_id"]).select("pt_id").union(points_close(at, vertices, d, ["pt_id"]).select("pt_id")).distinct()
     return pts.join(hits, "pt_id", "left_anti" if inverse else "left_semi")
 
 
 def box_pairs(a: DataFrame, b: DataFrame, a_id: str, b_id: str, on: list[str]) -> DataFrame:
     """Pairs of boxes that overlap in more than an edge."""
-    x = _spread(a.select(a_id, *on, "xmin", "ymin", "xmax", "ymax"))
-    y = _spread(b.select(b_id, *on, *[F.col(k).alias(f"b_{k}") for k in ("xmin", "ymin", "xmax", "ymax")]).select("*", *[F.col(f"b_{k}").alias(k) for k in ("xmin", "ymin", "xmax", "ymax")]))
-    y = y.drop("xmin", "ymin", "xmax", "ymax")
-    met = x.join(y, [*on, "by", "bx"])
-    hit = (F.col("xmin") < F.col("b_xmax")) & (F.col("xmax") > F.col("b_xmin")) & (F.col("ymin") < F.col("b_ymax")) & (F.col("ymax") > F.col("b_ymin"))
-    return met.filter(hit).select(a_id, b_id).distinct()
+    other = b.select(b_id, *on, *[F.col(k).alias(f"b_{k}") for k in BOX])
+    return boxes_with_boxes(a.select(a_id, *on, *BOX), other, on).select(a_id, b_id)
 
 
 def polys_meet_zones(vertices: DataFrame, zones: DataFrame, within: bool = False) -> DataFrame:

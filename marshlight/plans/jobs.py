@@ -158,7 +158,7 @@ def delineated_by_canopy(polys: DataFrame, vertices: DataFrame, cells: DataFrame
 
 def zone_setup(vertices: DataFrame, zones: DataFrame, reach: float) -> DataFrame:
     """Zones with the area within ``reach`` of any polygon, dissolved."""
-    near = G.cover(vertices, reach).filter(c("inside") | (c("dist") <= reach))
+    near = G.cell_set(vertices).unionByName(G.outline_cells(vertices, reach).drop("dist"))
     region = G.dissolve(near, [])
     return G.box_cells(zones, region, "zone_id").groupBy("zone_id").agg(F.count("*").alias("area"))
 

@@ -181,14 +181,13 @@ def _(fx):
     return groups.join(G.area(fx.vertices), "poly_id").groupBy("grp").agg(F.sum("area").alias("area")).filter("area >= 15.5")
 
 
-_DRAW = "(((poly_id * 7919 + k * {a} + 0) * 40503 % 65521) / 65521.0E0)"
-
-
-@query("c17_random_points", f"""WITH {EDGES}, {BOX}, d AS (SELECT poly_id, h, k, xmin + {_DRAW.format(a=104729)} * (xmax - xmin) AS px, ymin + {_DRAW.format(a=15485863)} * (ymax - ymin) AS py FROM bx, (SELECT unnest(range(64)) AS k)),
- i AS (SELECT d.poly_id, d.h, d.k, d.px, d.py FROM d JOIN e USING (poly_id) GROUP BY d.poly_id, d.h, d.k, d.px, d.py HAVING {_cross('d.px', 'd.py')}), n AS (SELECT *, row_number() OVER (PARTITION BY poly_id ORDER BY k) AS n FROM i)
- SELECT poly_id, h, round(px, 6) AS x, round(py, 6) AS y FROM n WHERE n <= 5""")
+@query("c17_random_points", f"""WITH {EDGES}, l AS (SELECT *, min(least(y1, y2)) OVER (PARTITION BY poly_id) AS lo, max(greatest(y1, y2)) OVER (PARTITION BY poly_id) AS hi FROM e),
+ t AS (SELECT l.*, j, lo + (j + 0.5E0) * ((hi - lo) / 64) AS y FROM l, (SELECT unnest(range(64)) AS j)), m AS (SELECT poly_id, h, j, y, (x2 - x1) * (y - y1) / (y2 - y1) + x1 AS x0 FROM t WHERE (y1 > y) <> (y2 > y)),
+ s AS (SELECT *, row_number() OVER w AS n, lead(x0) OVER w AS x1 FROM m WINDOW w AS (PARTITION BY poly_id, j ORDER BY x0)), c AS (SELECT *, sum(x1 - x0) OVER (PARTITION BY poly_id ORDER BY j, x0) AS fin, sum(x1 - x0) OVER (PARTITION BY poly_id) AS total FROM s WHERE n % 2 = 1 AND x0 < x1),
+ d AS (SELECT c.*, k, (k + ((poly_id * 7919 + k * 104729) * 40503 % 65521) / 65521.0E0) / 5 * total AS u FROM c, (SELECT unnest(range(5)) AS k))
+ SELECT poly_id, h, k, round(x0 + u - (fin - (x1 - x0)), 6) AS x, round(y, 6) AS y FROM d WHERE u >= fin - (x1 - x0) AND u < fin""")
 def _(fx):
-    return rnd(G.random_points(fx.vertices, 5).drop("k"), "x", "y")
+    return rnd(G.random_points(fx.vertices, 5), "x", "y")
 
 
 @query("c18_grid_points", f"""WITH {EDGES}, {BOX}, j AS (SELECT poly_id, h, xmin, xmax, unnest(range(CAST(ceil(ymin / 0.75E0) AS BIGINT), CAST(floor(ymax / 0.75E0) AS BIGINT) + 1)) AS j FROM bx), g AS (SELECT poly_id, h, j * 0.75E0 AS py, unnest(range(CAST(ceil(xmin / 0.75E0) AS BIGINT), CAST(floor(xmax / 0.75E0) AS BIGINT) + 1)) * 0.75E0 AS px FROM j)
