@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from .common import materialize, remove, text_bytes
 from .simhash import components
 
-LANES, CHUNK = 32, 4  # numbers of 16 bits in a signature and in each of its chunks
+LANES, CHUNK = 32, 4  # numbers of 16 bits in a signature of the index and in each of its chunks
+WIDE = 128  # numbers of 8 bits in the signature that tells candidates apart
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -55,19 +56,19 @@ class Shingles:
         return np.unique(mix(h))
 
 
-def signatures(sets: list[np.ndarray], most: int = 1 << 19) -> np.ndarray:
-    """The sets' signatures: for each lane 16 bits of the set's least number under the lane's bijection; zeros for
+def signatures(sets: list[np.ndarray], lanes: int = LANES, bits: int = 16, most: int = 1 << 19) -> np.ndarray:
+    """The sets' signatures: for each lane ``bits`` bits of the set's least number under the lane's bijection; zeros for
     an empty set. Sets are taken together up to about ``most`` hashes."""
-    out = np.zeros((len(sets), LANES), np.uint16)
-    lanes = mix(np.arange(1, 2 * LANES + 1, dtype=np.uint64) * _ODD)
+    out = np.zeros((len(sets), lanes), np.uint16 if bits > 8 else np.uint8)
+    turns = mix((np.arange(2 * lanes, dtype=np.uint64) + np.uint64(lanes << 20)) * _ODD)
     ends = np.cumsum([len(s) for s in sets])
     filled = np.flatnonzero([len(s) for s in sets])
     for part in np.split(filled, np.flatnonzero(np.diff(ends[filled] // most)) + 1) if len(filled) else ():
         flat = np.concatenate([sets[i] for i in part])
         starts = np.concatenate([[0], np.cumsum([len(sets[i]) for i in part])[:-1]])
-        for k in range(LANES):
-            least = np.minimum.reduceat((flat ^ lanes[k]) * (lanes[LANES + k] | np.uint64(1)), starts)
-            out[part, k] = (mix(least) >> np.uint64(48)).astype(np.uint16)
+        for k in range(lanes):
+            least = np.minimum.reduceat((flat ^ turns[k]) * (turns[lanes + k] | np.uint64(1)), starts)
+            out[part, k] = mix(least) >> np.uint64(64 - bits)
     return out
 
 
@@ -107,8 +108,10 @@ def _sets(words: int):
 
         shingles = Shingles(words)
         for b in batches:
-            sets = [shingles(x.as_buffer().to_pybytes()).astype("<u8").tobytes() for x in b.column(0)]
-            yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()), pa.array(sets, pa.binary())], names=["node", "set"])
+            sets = [shingles(x.as_buffer().to_pybytes()) for x in b.column(0)]
+            wide = [x.tobytes() for x in signatures(sets, WIDE, 8)]
+            raw = [s.astype("<u8").tobytes() for s in sets]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in ([xxhash.xxh3_128_digest(s) for s in raw], raw, wide)], names=["node", "set", "wide"])
 
     return run
 
@@ -137,27 +140,26 @@ def _confirm(percent: int):
 
 
 def _pairs(percent: int, far: int, nearest: bool, wide: int = 1 << 20):
-    """Of each (key, cell): pairs of members of different groups whose signatures differ in at most ``far`` lanes and
-    whose sizes let them be alike, each in the first key that both share; or only each member's nearest one."""
+    """Of each (key, cell): pairs of members of different groups whose wide signatures differ in at most ``far`` lanes
+    and whose sizes let them be alike, each in the first key that both share; or only each member's nearest one."""
 
     def pick(left, right, p, same):
-        node, comp, size, sig = left
+        node, comp, size, sig, more = left
         step = max(1, wide // max(1, len(right[0])))
         for s in range(0, len(node), step):
-            eq = sig[s : s + step, None, :] == right[3][None, :, :]
-            differ = LANES - eq.sum(2)
+            differ = (more[s : s + step, None, :] != right[4][None, :, :]).sum(2)
             a, b = size[s : s + step, None], right[2][None, :]
             ok = (differ <= far) & (comp[s : s + step, None] != right[1][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
             if same and not nearest:
                 ok &= node[s : s + step, None] < right[0][None, :]
             if nearest:
-                best = np.where(ok, differ, LANES + 1)
-                i = np.flatnonzero(best.min(1, initial=LANES + 1) <= far)
+                best = np.where(ok, differ, WIDE + 1)
+                i = np.flatnonzero(best.min(1, initial=WIDE + 1) <= far)
                 j = best[i].argmin(1)
             else:
                 i, j = np.nonzero(ok)
                 # the first chunk with one wrong lane at most, and in it the first lane that may be the wrong one
-                wrong = ~eq[i, j].reshape(-1, LANES // CHUNK, CHUNK)
+                wrong = (sig[s + i] != right[3][j]).reshape(-1, LANES // CHUNK, CHUNK)
                 chunk = (wrong.sum(2) <= 1).argmax(1)
                 mine = chunk * CHUNK + wrong[np.arange(len(i)), chunk].argmax(1) == p
                 i, j = i[mine], j[mine]
@@ -173,7 +175,7 @@ def _pairs(percent: int, far: int, nearest: bool, wide: int = 1 << 20):
                 # ids of nodes and groups as their ranks in the cell
                 ids, groups = (sorted({r[k] for h in held for r in h}) for k in (0, 1))
                 rank = [{v: n for n, v in enumerate(x)} for x in (ids, groups)]
-                sides = [(*(np.array([rank[k][r[k]] for r in h], np.int64) for k in (0, 1)), np.array([r[2] for r in h]), np.frombuffer(b"".join(r[3] for r in h), "<u2").reshape(-1, LANES)) for h in held if h]
+                sides = [(*(np.array([rank[k][r[k]] for r in h], np.int64) for k in (0, 1)), np.array([r[2] for r in h]), np.frombuffer(b"".join(r[3] for r in h), "<u2").reshape(-1, LANES), np.frombuffer(b"".join(r[4] for r in h), np.uint8).reshape(-1, WIDE)) for h in held if h]
                 for x, y in pick(sides[0], sides[-1], now[2], len(sides) == 1):
                     yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in e], pa.binary()) for e in (x, y)], names=["a", "b"])
 
@@ -204,19 +206,19 @@ class _Scratch:
         remove(self.spark, *self.paths)
 
 
-def _candidates(members: DataFrame, nodes: DataFrame, roots: DataFrame, percent: int, far: int, nearest: bool, block: int) -> DataFrame:
+def _candidates(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, far: int, nearest: bool, block: int) -> DataFrame:
     """Candidate pairs between different groups: the keys that still hold members of two, cut into pairs of blocks of
     about ``block`` members, so that no key is collected whole."""
     told = members.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("key", "p", "node", F.coalesce("root", "node").alias("comp"))
     open_keys = told.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
-    told = told.join(open_keys, "key").join(nodes.select("node", "size", "sig"), "node")
+    told = told.join(open_keys, "key").join(nodes.select("node", "size", "sig"), "node").join(sets.select("node", "wide"), "node")
     i, j, parts = F.col("i"), F.col("j"), F.col("parts")
     told = told.withColumn("i", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), parts - 1)))
-    cells = told.select("key", (F.least(i, j) * parts + F.greatest(i, j)).alias("cell"), "p", F.when(i <= j, 0).otherwise(1).alias("side"), "node", "comp", "size", "sig")
+    cells = told.select("key", (F.least(i, j) * parts + F.greatest(i, j)).alias("cell"), "p", F.when(i <= j, 0).otherwise(1).alias("side"), "node", "comp", "size", "sig", "wide")
     return cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "p").mapInArrow(_pairs(percent, far, nearest), "a binary, b binary")
 
 
-def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 20, block: int = 2048, rounds: int = 3, small: int = 500_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 50, block: int = 2048, rounds: int = 2, small: int = 500_000) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (``doc_id, size, node``; ``node`` is a hash of the row's set of word shingles, null for an empty one), the
     distinct sets (``node, low``: the least id) and ``node, root`` of the sets that are linked to others.
 
@@ -227,9 +229,9 @@ def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 20,
 
     **Links.** Every link is confirmed on the two full sets, and only confirmed links join groups: first each set with
     the least one that shares a key, then for at most ``rounds`` rounds each set with the nearest one of another group,
-    while that confirms any; then all pairs left between different groups, without a bound, within ``far`` numbers
-    (exceeded by one pair in a million that are alike to 0.8) and of sizes that allow it. Pairs inside a group
-    are never listed. Keys with many members are cut into pairs of blocks.
+    while that confirms any; then all pairs left between different groups, without a bound on their number, whose wide
+    signatures (128 numbers of 8 bits) differ in at most ``far`` (one in a million pairs alike to 0.8 differs in
+    more) and whose sizes allow it. Pairs inside a group are never listed. Keys with many members are cut into pairs of blocks.
     """
     spark, s = docs.sparkSession, _Scratch(docs.sparkSession)
     rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b")).select("doc_id", "b", F.xxhash64("b").alias("text_hash"))
@@ -246,7 +248,7 @@ def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 20,
     # texts stay where they are while the list of those asked for is small; beyond that both are shuffled
     asked = F.broadcast(used) if used.count() <= small else used
     texts = rows.join(asked, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i")), "left_semi").select("b")
-    sets = s.keep(texts.mapInArrow(_sets(words), "node binary, set binary").dropDuplicates(["node"]), "sets")
+    sets = s.keep(texts.mapInArrow(_sets(words), "node binary, set binary, wide binary").dropDuplicates(["node"]), "sets")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
@@ -262,7 +264,7 @@ def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 20,
     roots, held = grouped(links, [])
     for step in range(rounds + 1):
         last = step == rounds
-        pairs = _candidates(members, nodes, roots, percent, far, not last, block)
+        pairs = _candidates(members, nodes, sets, roots, percent, far, not last, block)
         pairs = s.keep((pairs if last else pairs.distinct()).join(judged.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
         more = confirmed(pairs)
         judged, found = judged.unionByName(more), more.filter("same").select("a", "b")
@@ -271,7 +273,7 @@ def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 20,
             roots, held = grouped(links, held)
         elif not last:
             # nothing new between nearest ones: all that is left follows now
-            pairs = _candidates(members, nodes, roots, percent, far, False, block)
+            pairs = _candidates(members, nodes, sets, roots, percent, far, False, block)
             pairs = s.keep(pairs.join(judged.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
             more = confirmed(pairs)
             found = more.filter("same").select("a", "b")
