@@ -5,34 +5,58 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_local: dict[str, str] = {}
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The cluster's shared folder (spark.checkpoint.dir). Where it is unset a local session, as in tests, gets a
+    temporary folder; a cluster is told to set it."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if found:
+        return found
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    app = spark.sparkContext.applicationId
+    if app not in _local:
+        _local[app] = tempfile.mkdtemp(prefix="marshlight-")
+    return _local[app]
+
+
 def settle(df: DataFrame, tag: str = "state") -> DataFrame:
     """Write the state of a round to the cluster's shared folder and read it back, which ends its lineage."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = tempfile.mkdtemp(prefix="marshlight-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._settled = path
+    return out
+
+
+def discard(*states: DataFrame) -> None:
+    """Delete settled tables that no later result reads."""
+    for df in states:
+        at = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._settled)
+        at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def connected(pairs: DataFrame, nodes: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, root``: the smallest node each of ``nodes(node)`` reaches over ``pairs(a, b)``. Labels fall to the
     least neighbour's and then jump to their label's label."""
     both = settle(pairs.select("a", "b").union(pairs.select("b", "a")), "pairs")
-    labels = settle(nodes.select("node", F.col("node").alias("root")), "labels")
+    labels = held = settle(nodes.select("node", F.col("node").alias("root")), "labels")
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("m"))
         low = labels.join(near.withColumnRenamed("a", "node"), "node", "left").select("node", F.col("root").alias("old"), F.least("root", F.coalesce("m", "root")).alias("root"))
         low = settle(low, "labels")
         up = low.select(F.col("node").alias("root"), F.col("root").alias("up"))
         new = settle(low.join(up, "root", "left").select("node", "old", F.least("root", F.coalesce("up", "root")).alias("root")), "labels")
-        labels = new.select("node", "root")
+        discard(held, low)
+        held, labels = new, new.select("node", "root")
         if not new.filter("root <> old").limit(1).count():
+            discard(both)
             return labels
     raise RuntimeError("labels did not settle")

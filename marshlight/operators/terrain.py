@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from .cells import aggregate, resample, stack
 from .focal import KEY, gaussian, neighbours, whole, window_stats
-from .iterate import settle
 
 # fixed values: codes of the eight directions and the neighbour each points to
 D8 = [(1, "z6", 0, 1), (2, "z9", 1, 1), (4, "z8", 1, 0), (8, "z7", 1, -1), (16, "z4", 0, -1), (32, "z1", -1, -1), (64, "z2", -1, 0), (128, "z3", -1, 1)]
@@ -115,63 +114,6 @@ def terrain_at_scale(cells: DataFrame, factor: int, metric: str, band: str = "de
     return made.withColumnRenamed(metric, f"{metric}_{factor}")
 
 
-def fill_depressions(cells: DataFrame, band: str = "dem", tile: int = 32, rounds: int = 200) -> DataFrame:
-    """Least surface at or above the terrain from which every cell drains to the edge (a cell with a missing
-    neighbour): W = max(z, least neighbour's W). Tiles solve themselves from their halo's current surface in one
-    task each; then borders are exchanged, until no tile changes."""
-    import numpy as np
-    import pandas as pd
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        h, tr, tc = int(pdf.h.iloc[0]), int(pdf.tr.iloc[0]), int(pdf.tc.iloc[0])
-        side = tile + 2
-        z, w = np.full((side, side), np.nan), np.full((side, side), np.nan)
-        i, j = (pdf.r - tr * tile + 1).to_numpy(), (pdf.c - tc * tile + 1).to_numpy()
-        z[i, j], w[i, j] = pdf.z, pdf.w
-        own = ((pdf.r // tile == tr) & (pdf.c // tile == tc)).to_numpy()
-        inside = np.zeros((side, side), bool)
-        inside[i[own], j[own]] = True
-        while True:
-            pad = np.pad(w, 1, constant_values=np.nan)
-            around = np.stack([pad[1 + a : 1 + a + side, 1 + b : 1 + b + side] for a in (-1, 0, 1) for b in (-1, 0, 1) if a or b])
-            low = np.fmin.reduce(np.where(np.isnan(around), np.inf, around))
-            new = np.where(inside, np.minimum(w, np.maximum(z, low)), w)
-            if np.array_equal(new, w, equal_nan=True):
-                break
-            w = new
-        pdf = pdf[own]
-        return pd.DataFrame({"h": h, "r": pdf.r.to_numpy(), "c": pdf.c.to_numpy(), "z": pdf.z.to_numpy(), "w": w[i[own], j[own]], "old": pdf.w.to_numpy()})
-
-    n = neighbours(cells.filter(F.col(band).isNotNull()), band)
-    state = settle(n.select(*KEY, F.col("z5").alias("z"), F.when(whole(), F.lit(float("inf"))).otherwise(F.col("z5")).alias("w")), "fill")
-    near = lambda x: F.explode(F.sequence(F.floor((F.col(x) - 1) / tile), F.floor((F.col(x) + 1) / tile)))
-    for _ in range(rounds):
-        spread = state.select("*", near("r").alias("tr")).select("*", near("c").alias("tc"))
-        new = settle(spread.groupBy("h", "tr", "tc").applyInPandas(solve, "h long, r long, c long, z double, w double, old double"), "fill")
-        state = new.select(*KEY, "z", "w")
-        if not new.filter("w <> old").limit(1).count():
-            return state.select(*KEY, F.col("w").alias(band))
-    raise RuntimeError("the surface did not settle")
-
-
-def flow_acc(dirs: DataFrame, rounds: int = 40) -> DataFrame:
-    """Cells that drain through each cell, itself included. By doubling: after t rounds a cell counts what drains to
-    it from under 2^t steps away and knows the cell 2^t steps down, so the rounds are the logarithm of the longest
-    flow path; state is written each round."""
-    step = F.create_map(*[x for code, _, i, j in D8 for x in (F.lit(code), F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")))])
-    state = dirs.withColumn("s", step[F.col("dir")]).select(*KEY, F.lit(1).cast("long").alias("acc"), (F.col("r") + F.col("s.i")).alias("tr"), (F.col("c") + F.col("s.j")).alias("tc"))
-    state = settle(state, "acc")
-    for _ in range(rounds):
-        moving = state.filter("tr IS NOT NULL")
-        if not moving.limit(1).count():
-            break
-        more = moving.groupBy("h", F.col("tr").alias("r"), F.col("tc").alias("c")).agg(F.sum("acc").alias("more"))
-        ahead = state.select("h", F.col("r").alias("tr"), F.col("c").alias("tc"), F.col("tr").alias("nr"), F.col("tc").alias("nc"))
-        new = state.join(more, KEY, "left").join(ahead, ["h", "tr", "tc"], "left")
-        state = settle(new.select(*KEY, (F.col("acc") + F.coalesce("more", F.lit(0))).alias("acc"), F.col("nr").alias("tr"), F.col("nc").alias("tc")), "acc")
-    return state.select(*KEY, "acc")
-
-
 def twi(acc: DataFrame, slope_rad: DataFrame) -> DataFrame:
     """Topographic wetness index ln(accumulation / tan slope); infinite becomes null."""
     met = acc.join(slope_rad.select(*KEY, "slope_rad"), KEY)

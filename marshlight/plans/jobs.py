@@ -11,6 +11,7 @@ from ..functions.cleaning import drop_like, only_finite, prefix, with_review_fie
 from ..operators import cells as R
 from ..operators import focal as W
 from ..operators import geometry as G
+from ..operators import hydrology as H
 from ..operators import learn as M
 from ..operators import spatial as S
 from ..operators import stats as T
@@ -48,8 +49,8 @@ def terrain_metrics(cells: DataFrame, factor: int) -> DataFrame:
 
 def hydrology(cells: DataFrame) -> DataFrame:
     """Depressions filled, directions, accumulation, wetness index."""
-    filled = E.fill_depressions(cells)
-    acc = E.flow_acc(E.flowdir(filled))
+    filled = H.fill_depressions(cells)
+    acc = H.flow_acc(E.flowdir(filled))
     return R.stack([acc, E.twi(acc, E.slope_aspect(filled))])
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import focal as W
+from ..operators import hydrology as H
 from ..operators import terrain as T
 from ..operators.cells import stack
 from .queries_vectors import rnd
@@ -148,7 +149,7 @@ def _(fx):
 
 @query("e28_fill_depressions")
 def _(fx):
-    return T.fill_depressions(fx.cells)
+    return H.fill_depressions(fx.cells)
 
 
 _ACC = f"""WITH RECURSIVE d AS ({_flow_sql()}), s(dir, i, j) AS (VALUES (1, 0, 1), (2, 1, 1), (4, 1, 0), (8, 1, -1), (16, 0, -1), (32, -1, -1), (64, -1, 0), (128, -1, 1)),
@@ -157,12 +158,12 @@ _ACC = f"""WITH RECURSIVE d AS ({_flow_sql()}), s(dir, i, j) AS (VALUES (1, 0, 1
 
 @query("e29_flow_acc", f"{_ACC} SELECT h, r, c, count(*) AS acc FROM w GROUP BY h, r, c")
 def _(fx):
-    return T.flow_acc(T.flowdir(fx.cells))
+    return H.flow_acc(T.flowdir(fx.cells))
 
 
 @query("e30_twi", f"{_ACC}, a AS (SELECT h, r, c, count(*) AS acc FROM w GROUP BY h, r, c), sl AS (SELECT h, r, c, CASE WHEN n = 9 THEN {SLOPE} END AS s FROM {_nine()}) SELECT h, r, c, CASE WHEN tan(s) > 0 THEN round(ln(acc / tan(s)), 6) END AS twi FROM a JOIN sl USING (h, r, c)")
 def _(fx):
-    return rnd(T.twi(T.flow_acc(T.flowdir(fx.cells)), T.slope_aspect(fx.cells)), "twi")
+    return rnd(T.twi(H.flow_acc(T.flowdir(fx.cells)), T.slope_aspect(fx.cells)), "twi")
 
 
 @query("e31_hillshade", f"SELECT h, r, c, CASE WHEN n = 9 THEN round(cos(radians(45)) * cos({SLOPE}) + sin(radians(45)) * sin({SLOPE}) * cos(-radians(fmod(degrees(atan2(-({ZX}), -({ZY}))) + 360, 360))), 6) END AS shade FROM {_nine()}")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from marshlight.operators import cells as R
 from marshlight.operators import focal as W
 from marshlight.operators import geometry as G
+from marshlight.operators import hydrology as H
 from marshlight.operators import spatial as S
 from marshlight.operators import stats as T
 from marshlight.operators import terrain as E
@@ -41,7 +42,7 @@ def test_even_window_is_refused(spark):
 
 def test_single_pit_is_filled(spark):
     z = lambda r, c: -5 if (r, c) == (3, 3) else 10 + abs(r - 3) + abs(c - 3)
-    got = {(x.r, x.c): x.dem for x in E.fill_depressions(grid(spark, 7, z), tile=4).collect()}
+    got = {(x.r, x.c): x.dem for x in H.fill_depressions(grid(spark, 7, z), tile=4).collect()}
     assert got[3, 3] > -5
     for r in range(1, 6):
         for c in range(1, 6):
@@ -50,7 +51,7 @@ def test_single_pit_is_filled(spark):
 
 def test_accumulation_at_outlets_is_the_number_of_cells(spark):
     d = E.flowdir(grid(spark, 9, lambda r, c: r * 3 + c))
-    out = E.flow_acc(d).join(d, ["h", "r", "c"]).filter("dir = 0").agg(F.sum("acc")).first()[0]
+    out = H.flow_acc(d).join(d, ["h", "r", "c"]).filter("dir = 0").agg(F.sum("acc")).first()[0]
     assert out == 81
 
 
