@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .cells import aggregate, resample, stack
-from .focal import KEY, gaussian, neighbours, whole, window_stats
+from .focal import KEY, TILE, box_sums, gaussian, neighbours, on_tiles, whole, window_stats
 
 # fixed values: codes of the eight directions and the neighbour each points to
 D8 = [(1, "z6", 0, 1), (2, "z9", 1, 1), (4, "z8", 1, 0), (8, "z7", 1, -1), (16, "z4", 0, -1), (32, "z1", -1, -1), (64, "z2", -1, 0), (128, "z3", -1, 1)]
@@ -57,16 +58,22 @@ def flowdir(cells: DataFrame, band: str = "dem", g: float = 1.0) -> DataFrame:
 
 
 def slope_w(cells: DataFrame, w: int, band: str = "dem", g: float = 1.0) -> DataFrame:
-    """Slope in degrees of the plane fitted to a full w x w window; null where a value is missing."""
+    """Slope in degrees of the plane fitted to a full w x w window; null where a value is missing. The fit's moments
+    come from summed-area tables, so its cost does not depend on the window."""
     k = (w - 1) // 2
-    span = lambda x, o: F.explode(F.sequence(F.col(x) - k, F.col(x) + k)).alias(o)
-    sent = cells.select("h", "r", "c", F.col(band).alias("v"), span("r", "tr")).select("*", span("c", "tc"))
     m = float(w * sum(i * i for i in range(-k, k + 1)))
-    fit = sent.groupBy("h", F.col("tr").alias("r"), F.col("tc").alias("c")).agg(
-        F.count("v").alias("n"), (F.sum(F.col("v") * (F.col("c") - F.col("tc"))) / (m * g)).alias("a"), (F.sum(F.col("v") * (F.col("r") - F.col("tr"))) / (m * g)).alias("b")
-    )
-    slope = F.degrees(F.atan(F.sqrt(F.col("a") ** 2 + F.col("b") ** 2)))
-    return cells.select(*KEY).join(fit, KEY).select(*KEY, F.when(F.col("n") == w * w, slope).alias("slope"))
+
+    def fit(grid: np.ndarray) -> dict[str, np.ndarray]:
+        there = ~np.isnan(grid)
+        v = np.where(there, grid - (np.round(grid[there].mean()) if there.any() else 0.0), 0.0)
+        n = grid.shape[0] - 2 * k
+        at, mid = np.arange(grid.shape[0], dtype=float), k + np.arange(n, dtype=float)
+        s = box_sums(v, w)
+        a = (box_sums(v * at[None, :], w) - mid[None, :] * s) / (m * g)
+        b = (box_sums(v * at[:, None], w) - mid[:, None] * s) / (m * g)
+        return {"slope": np.where(box_sums(there.astype(float), w) == w * w, np.degrees(np.arctan(np.hypot(a, b))), np.nan)}
+
+    return on_tiles(cells, band, k, fit, {"slope": "double"})
 
 
 def dmv(cells: DataFrame, w: int, band: str = "dem", stand: str = "none") -> DataFrame:
@@ -94,16 +101,25 @@ def curvature(cells: DataFrame, band: str = "dem", g: float = 1.0) -> DataFrame:
 
 def geomorphons(cells: DataFrame, band: str = "dem", search: int = 10, skip: int = 1, flat: float = 1.5, g: float = 1.0) -> DataFrame:
     """Landform code: in each of eight directions the largest and least elevation angle between ``skip`` and
-    ``search`` cells away say whether it rises or falls by more than ``flat`` degrees."""
-    dirs = [(i, j) for _, _, i, j in D8]
-    steps = F.array(*[F.struct(F.lit(p).alias("p"), F.lit(-i * d).alias("i"), F.lit(-j * d).alias("j"), F.lit(d * g * (math.sqrt(2) if i and j else 1)).alias("d")) for p, (i, j) in enumerate(dirs) for d in range(skip, search + 1)])
-    sent = cells.select("h", "r", "c", F.col(band).alias("zi"), F.explode(steps).alias("s"))
-    sent = sent.select("h", (F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c"), "s.p", "s.d", "zi")
-    met = sent.join(cells.select(*KEY, F.col(band).alias("z")), KEY).withColumn("ang", F.degrees(F.atan((F.col("zi") - F.col("z")) / F.col("d"))))
-    per = met.groupBy(*KEY, "p").agg(F.round(F.max("ang") + F.min("ang"), 9).alias("a"))
-    count = per.groupBy(*KEY).agg(F.count_if(F.col("a") > flat).alias("up"), F.count_if(F.col("a") < -flat).alias("down"))
-    table = F.array(*[F.array(*[F.lit(CODES.index(x) + 1) for x in row.split()]) for row in FORMS])
-    return count.select(*KEY, table[F.col("down").cast("int")][F.col("up").cast("int")].alias("form"))
+    ``search`` cells away say whether it rises or falls by more than ``flat`` degrees. Cells without another in reach have
+    none. The horizons of all cells of a tile move outwards together, so a cell is sent to a few tiles only."""
+    table = np.array([[CODES.index(x) + 1 for x in row.split()] + [0] * (9 - len(row.split())) for row in FORMS])
+
+    def forms(grid: np.ndarray) -> dict[str, np.ndarray]:
+        n = grid.shape[0] - 2 * search
+        z = grid[search : search + n, search : search + n]
+        up, down, any_ = np.zeros(z.shape, int), np.zeros(z.shape, int), np.zeros(z.shape, bool)
+        for _, _, i, j in D8:
+            high, low = np.full(z.shape, np.nan), np.full(z.shape, np.nan)
+            for d in range(skip, search + 1):
+                far = grid[search + i * d : search + i * d + n, search + j * d : search + j * d + n]
+                t = (far - z) / (d * g * (math.sqrt(2) if i and j else 1))
+                high, low = np.fmax(high, t), np.fmin(low, t)
+            a = np.round(np.degrees(np.arctan(high)) + np.degrees(np.arctan(low)), 9)
+            up, down, any_ = up + (a > flat), down + (a < -flat), any_ | ~np.isnan(a)
+        return {"form": np.where(any_, table[down, up], np.nan)}
+
+    return on_tiles(cells, band, search, forms, {"form": "int"}, tile=max(TILE, 2 * search)).filter("form IS NOT NULL")
 
 
 def terrain_at_scale(cells: DataFrame, factor: int, metric: str, band: str = "dem") -> DataFrame:

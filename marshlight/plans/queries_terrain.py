@@ -48,18 +48,17 @@ def _(fx):
 
 @query("e17_focal_21", f"SELECT h, r, c, lo AS mn, hi AS mx, round(s / n, 6) AS mean, round(CASE WHEN n > 1 THEN sqrt(greatest(0.0E0, (q - s * s / n) / (n - 1))) END, 5) AS sd FROM {_win(10)}")
 def _(fx):
-    parts = [W.focal(fx.cells, 21, f, "dem").withColumnRenamed("dem", n) for f, n in (("min", "mn"), ("max", "mx"), ("mean", "mean"), ("sd", "sd"))]
-    return rnd(rnd(stack(parts), "mean"), "sd", n=5)
+    return rnd(rnd(W.focal_many(fx.cells, 21, {"mn": "min", "mx": "max", "mean": "mean", "sd": "sd"}, "dem"), "mean"), "sd", n=5)
 
 
-@query("e18_focal_median", f"SELECT h, r, c, med FROM {_win(5)}")
+@query("e18_focal_median", f"SELECT h, r, c, med FROM {_win(25)}")
 def _(fx):
-    return W.focal_tile(fx.cells, 11, "median", "dem").withColumnRenamed("dem", "med")
+    return W.focal_tile(fx.cells, 51, "median", "dem").withColumnRenamed("dem", "med")
 
 
-@query("e18_focal_modal", "SELECT h, r, c, chm FROM (SELECT h, r, c, chm, row_number() OVER (PARTITION BY h, r, c ORDER BY n DESC, chm) AS k FROM (SELECT a.h, a.r, a.c, b.chm, count(*) AS n FROM fx_cells a JOIN fx_cells b ON a.h = b.h AND b.r BETWEEN a.r - 2 AND a.r + 2 AND b.c BETWEEN a.c - 2 AND a.c + 2 WHERE b.chm IS NOT NULL AND a.chm IS NOT NULL GROUP BY a.h, a.r, a.c, b.chm)) WHERE k = 1")
+@query("e18_focal_modal", "SELECT h, r, c, chm FROM (SELECT h, r, c, chm, row_number() OVER (PARTITION BY h, r, c ORDER BY n DESC, chm) AS k FROM (SELECT a.h, a.r, a.c, b.chm, count(*) AS n FROM fx_cells a JOIN fx_cells b ON a.h = b.h AND b.r BETWEEN a.r - 5 AND a.r + 5 AND b.c BETWEEN a.c - 5 AND a.c + 5 WHERE b.chm IS NOT NULL AND a.chm IS NOT NULL GROUP BY a.h, a.r, a.c, b.chm)) WHERE k = 1")
 def _(fx):
-    return W.focal_tile(fx.cells.filter("chm IS NOT NULL"), 5, "modal", "chm")
+    return W.focal_tile(fx.cells.filter("chm IS NOT NULL"), 11, "modal", "chm")
 
 
 # sigma 2 in five passes: two boxes of radius 1, then three of radius 2
@@ -130,7 +129,7 @@ def _(fx):
     return rnd(T.curvature(fx.cells), "meanc", "planc", "profc", n=5)
 
 
-def _geo_sql(search: int = 5, skip: int = 1) -> str:
+def _geo_sql(search: int = 100, skip: int = 10) -> str:
     vals = ", ".join(f"({p}, {i * d}, {j * d}, {d}.0E0 * {'sqrt(2.0E0)' if i and j else '1'})" for p, (_, _, i, j) in enumerate(T.D8) for d in range(skip, search + 1))
     table = "[" + ", ".join("[" + ", ".join(str(T.CODES.index(x) + 1) for x in row.split()) + "]" for row in T.FORMS) + "]"
     return f"""WITH s(p, i, j, d) AS (VALUES {vals}), m AS (SELECT a.h, a.r, a.c, s.p, round(max(degrees(atan((b.dem - a.dem) / d))) + min(degrees(atan((b.dem - a.dem) / d))), 9) AS a FROM fx_cells a CROSS JOIN s JOIN fx_cells b ON b.h = a.h AND b.r = a.r + s.i AND b.c = a.c + s.j GROUP BY a.h, a.r, a.c, s.p)
@@ -139,7 +138,7 @@ def _geo_sql(search: int = 5, skip: int = 1) -> str:
 
 @query("e26_geomorphons", _geo_sql())
 def _(fx):
-    return T.geomorphons(fx.cells, search=5, skip=1, flat=1.5)
+    return T.geomorphons(fx.cells, search=100, skip=10, flat=1.5)
 
 
 @query("e27_terrain_at_scale")
