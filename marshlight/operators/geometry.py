@@ -208,10 +208,10 @@ def interior(vertices: DataFrame, depth: Column | float) -> DataFrame:
     return cell_set(vertices).join(shallow, ["poly_id", "h", "r", "c"], "left_anti")
 
 
-def box_cells(boxes: DataFrame, cells: DataFrame, box_id: str) -> DataFrame:
-    """Cells whose centre lies in each half-open box."""
+def box_cells(boxes: DataFrame, cells: DataFrame, box_id: str, on: list[str] = ("h",)) -> DataFrame:
+    """Cells whose centre lies in each half-open box with the same ``on``."""
     at = cells.withColumns({"_x": F.col("c") + 0.5, "_y": F.col("r") + 0.5})
-    met = points_in_boxes(at, "_x", "_y", boxes.select(box_id, "h", "xmin", "ymin", "xmax", "ymax"), ["h"])
+    met = points_in_boxes(at, "_x", "_y", boxes.select(box_id, *on, "xmin", "ymin", "xmax", "ymax"), list(on))
     return met.filter((F.col("_x") < F.col("xmax")) & (F.col("_y") < F.col("ymax"))).drop("_x", "_y", "xmin", "ymin", "xmax", "ymax")
 
 

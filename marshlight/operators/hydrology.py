@@ -175,9 +175,10 @@ def _spread(pdf: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
     level = [np.inf] * n + [-np.inf]
     heap = [(-np.inf, n)]
     at = (r << 32) + c
-    for k, v in zip(np.searchsorted(at, (known.r.to_numpy() << 32) + known.c.to_numpy()).tolist(), known.w.tolist(), strict=True):
-        level[k] = min(level[k], v)
-        heap.append((v, k))
+    if len(known):
+        for k, v in zip(np.searchsorted(at, (known.r.to_numpy() << 32) + known.c.to_numpy()).tolist(), known.w.tolist(), strict=True):
+            level[k] = min(level[k], v)
+            heap.append((v, k))
     heapq.heapify(heap)
     while heap:
         v, x = heapq.heappop(heap)
@@ -199,7 +200,8 @@ def _surface(tile: int):
             return pd.DataFrame(columns=["h", "r", "c", "w"])
         r0, c0, z, out = _load(pdf, tile)
         level = np.full(z.shape, np.nan)
-        level[known.r.to_numpy() - r0, known.c.to_numpy() - c0] = known.w
+        if len(known):
+            level[known.r.to_numpy() - r0, known.c.to_numpy() - c0] = known.w
         seeds = np.flatnonzero(~np.isnan(level) | out)
         level = np.where(out, z, level)
         w, _ = flood(z, seeds, level.ravel()[seeds], seeds)
@@ -301,8 +303,8 @@ def _accumulate(tile: int):
     def run(pdf: pd.DataFrame, inflow: pd.DataFrame) -> pd.DataFrame:
         if not len(pdf):
             return pd.DataFrame(columns=["h", "r", "c", "acc"])
-        more = pdf[["r", "c"]].merge(inflow[["r", "c", "more"]], on=["r", "c"], how="left")["more"].fillna(0).to_numpy().astype(np.int64)
-        acc, *_ = _paths(pdf, tile, 1 + more)
+        more = pdf[["r", "c"]].merge(inflow[["r", "c", "more"]], on=["r", "c"], how="left")["more"].fillna(0).to_numpy().astype(np.int64) if len(inflow) else 0
+        acc, *_ = _paths(pdf, tile, np.full(len(pdf), 1, np.int64) + more)
         return pd.DataFrame({"h": pdf.h, "r": pdf.r, "c": pdf.c, "acc": acc})
 
     return run

@@ -3,22 +3,30 @@
 from __future__ import annotations
 
 from itertools import combinations
+from multiprocessing.pool import ThreadPool
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .geometry import hash_order
+from .iterate import discard, settle
+from .stats import row_number, running
 
 
 def split(df: DataFrame, frac: float, key: str, strata: str | None = None, seed: int = 0) -> DataFrame:
     """Rows tagged ``train`` by hash order: the first share of each class."""
-    w = Window.partitionBy(*([strata] if strata else [F.lit(0)])).orderBy(hash_order(F.col(key), seed), key)
-    return df.withColumn("train", F.percent_rank().over(w) < frac)
+    at = row_number(df, [hash_order(F.col(key), seed), key], [strata] if strata else None, "_at")
+    if strata:
+        n = df.groupBy(F.col(strata).alias("_s")).agg(F.count("*").alias("_n"))
+        at = at.join(n, F.col(strata).eqNullSafe(F.col("_s"))).drop("_s")
+    else:
+        at = at.withColumn("_n", F.lit(df.count()))
+    return at.withColumn("train", F.coalesce(F.try_divide(F.col("_at") - 1, F.col("_n") - 1), F.lit(0.0)) < frac).drop("_at", "_n")
 
 
 def dummies(df: DataFrame, col: str, levels: list[str]) -> DataFrame:
@@ -67,36 +75,38 @@ def augment(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def auc_hand_till(scored: DataFrame, truth: str, classes: list[str]) -> DataFrame:
-    """Mean over class pairs of the two rank-sum areas (Hand and Till 2001), in one aggregation per pair side."""
-    parts = []
-    for a, b in combinations(classes, 2):
-        for pos, neg in ((a, b), (b, a)):
-            two = scored.filter(F.col(truth).isin(a, b)).select(F.col(f"pred_{pos}").alias("p"), (F.col(truth) == pos).alias("y"))
-            at = two.groupBy("p").agg(F.count("*").alias("n"), F.count_if("y").alias("k"))
-            w = Window.orderBy("p")
-            ranked = at.withColumn("mid", F.sum("n").over(w) - (F.col("n") - 1) / 2.0)
-            one = ranked.agg(F.sum(F.col("mid") * F.col("k")).alias("r"), F.sum("k").alias("np"), F.sum(F.col("n") - F.col("k")).alias("nn"))
-            parts.append(one.select(F.try_divide(F.col("r") - F.col("np") * (F.col("np") + 1) / 2, F.col("np") * F.col("nn")).alias("auc")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.agg(F.avg("auc").alias("roc_auc"))
-
-
-def tune_rf(df: DataFrame, target: str, numeric: list[str], grid: list[tuple[int, int]], folds: int, key: str, trees: int = 10) -> DataFrame:
-    """Mean area over hash-made folds for each (mtry, min_n), best first. The loop is over models, not rows."""
+    """Mean over class pairs of the two rank-sum areas (Hand and Till 2001). Scores are counted per pair and value, and the
+    counts summed in order for all pairs at once."""
+    sides = [side for a, b in combinations(classes, 2) for side in ((a, b), (b, a))]
+    t = F.col(truth)
+    each = F.array(*[F.when(t.isin(pos, neg), F.struct(F.lit(i).alias("side"), F.col(f"pred_{pos}").alias("p"), (t == pos).alias("y"))) for i, (pos, neg) in enumerate(sides)])
+    rows = scored.select(F.explode(F.array_compact(each)).alias("s")).select("s.*")
+    at = rows.groupBy("side", "p").agg(F.count("*").alias("n"), F.count_if("y").alias("k"))
+    ends = running(at, ["side", "p"], "n", "end")
+    first = ends.groupBy(F.col("side").alias("_side")).agg(F.min(F.col("end") - F.col("n")).alias("from"))
+    ranked = ends.join(F.broadcast(first), F.col("side") == F.col("_side")).withColumn("mid", F.col("end") - F.col("from") - (F.col("n") - 1) / 2.0)  # one row a side
+    per = ranked.groupBy("side").agg(F.sum(F.col("mid") * F.col("k")).alias("r"), F.sum("k").alias("np"), F.sum(F.col("n") - F.col("k")).alias("nn"))
+    area = F.try_divide(F.col("r") - F.col("np") * (F.col("np") + 1) / 2, F.col("np") * F.col("nn"))
+    return per.agg(F.avg(area).alias("roc_auc"))
+
+
+def tune_rf(df: DataFrame, target: str, numeric: list[str], grid: list[tuple[int, int]], folds: int, key: str, trees: int = 10, at_once: int = 4) -> DataFrame:
+    """Mean area over hash-made folds for each (mtry, min_n), best first. ``at_once`` models are fitted side by side, as
+    jobs of one session; the loop is over models, not rows."""
     fold = F.pmod(hash_order(F.col(key), 7), F.lit(folds))
-    df = df.withColumn("__fold", fold)
-    rows = []
-    for mtry, min_n in grid:
-        for k in range(folds):
-            model = fit_rf(df.filter(F.col("__fold") != k), target, numeric, trees, mtry, min_n)
-            scored = augment(model, df.filter(F.col("__fold") == k))
-            known = [c for c in levels(model) if f"pred_{c}" in scored.columns]
-            rows.append(auc_hand_till(scored, target, known).select(F.lit(mtry).alias("mtry"), F.lit(min_n).alias("min_n"), "roc_auc"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+    df = settle(df.withColumn("__fold", fold), "folds")
+
+    def one(at: tuple[int, int, int]) -> tuple[int, int, float | None]:
+        mtry, min_n, k = at
+        model = fit_rf(df.filter(F.col("__fold") != k), target, numeric, trees, mtry, min_n)
+        scored = augment(model, df.filter(F.col("__fold") == k))
+        known = [c for c in levels(model) if f"pred_{c}" in scored.columns]
+        return mtry, min_n, auc_hand_till(scored, target, known).first()["roc_auc"]
+
+    with ThreadPool(at_once) as pool:
+        rows = pool.map(one, [(m, n, k) for m, n in grid for k in range(folds)])
+    discard(df)
+    out = df.sparkSession.createDataFrame(rows, "mtry int, min_n int, roc_auc double")
     return out.groupBy("mtry", "min_n").agg(F.avg("roc_auc").alias("roc_auc")).orderBy(F.desc("roc_auc"), "mtry", "min_n")
 
 
@@ -141,11 +151,10 @@ def last_fit(df: DataFrame, target: str, numeric: list[str], key: str, frac: flo
 def perm_importance(model: PipelineModel, df: DataFrame, target: str, numeric: list[str], key: str, seed: int = 0) -> DataFrame:
     """Loss of accuracy when one column is dealt out anew, by pairing two stated orders of the rows."""
     base = accuracy(augment(model, df), target).withColumnRenamed("accuracy", "base")
-    out = None
+    out, placed = None, row_number(df, [key], name="_at")
     for i, c in enumerate(numeric):
-        place = lambda o: F.row_number().over(Window.orderBy(o, key))
-        deck = df.select(place(hash_order(F.col(key), seed + i + 1)).alias("_at"), F.col(c).alias("_v"))
-        mixed = df.withColumn("_at", place(F.col(key))).join(deck, "_at").withColumn(c, F.col("_v")).drop("_at", "_v")
+        deck = row_number(df.select(key, F.col(c).alias("_v")), [hash_order(F.col(key), seed + i + 1), key], name="_at").select("_at", "_v")
+        mixed = placed.join(deck, "_at").withColumn(c, F.col("_v")).drop("_at", "_v")
         one = accuracy(augment(model, mixed), target).crossJoin(F.broadcast(base)).select(F.lit(c).alias("feature"), (F.col("base") - F.col("accuracy")).alias("importance"))
         out = one if out is None else out.unionByName(one)
     return out.orderBy(F.desc("importance"), "feature")

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .geometry import hash_order
+from .grid import meet
+from .iterate import discard, settle
+from .stats import quantile
 
 
 def clean_returns(df: DataFrame) -> DataFrame:
@@ -14,27 +17,49 @@ def clean_returns(df: DataFrame) -> DataFrame:
 
 
 def normalize_height(df: DataFrame, k: int = 3, reach: float = 2.0) -> DataFrame:
-    """Height above the ground: the mean of the k nearest ground returns' heights within ``reach``, weighted by
-    inverse squared distance; null where there are none. Buckets of side ``reach`` bring returns and ground
-    together; ground returns are first reduced to one per position (the lowest)."""
+    """Height above the ground: the mean of the k nearest ground returns' heights, weighted by inverse squared distance
+    (ties by place; all there are where a watershed has fewer than k; null where it has none).
+
+    Ground returns are first reduced to one per position (the lowest). A place is met with the ground of its square and
+    the eight around it; its k nearest are certain if the k-th lies within the square's side. Places that are not
+    certain yet go on with squares of twice the side, so each round holds fewer places."""
     ground = df.filter("cls = 2").groupBy("h", F.col("x").alias("gx"), F.col("y").alias("gy")).agg(F.min("z").alias("gz"))
-    ground = ground.withColumns({"by": F.floor(F.col("gy") / reach), "bx": F.floor(F.col("gx") / reach)})
+    ground = settle(ground, "ground")
+    left = settle(df.select("h", "x", "y").filter("h IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL").distinct(), "places")
+    ext = left.agg(*[(F.max(c) - F.min(c)).alias(c) for c in ("x", "y")]).first()
+    ext2 = ground.agg(*[F.max(F.abs(c)).alias(c) for c in ("gx", "gy")]).first()
+    widest = 2 * max([abs(v) for v in (*ext, *ext2) if v is not None] or [0.0]) + reach
     step = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    ground = ground.withColumn("s", F.explode(step)).select("h", "gx", "gy", "gz", (F.col("by") + F.col("s.i")).alias("by"), (F.col("bx") + F.col("s.j")).alias("bx"))
-    spots = df.select("h", "x", "y").distinct().withColumns({"by": F.floor(F.col("y") / reach), "bx": F.floor(F.col("x") / reach)})
     d2 = (F.col("x") - F.col("gx")) ** 2 + (F.col("y") - F.col("gy")) ** 2
-    near = spots.join(ground, ["h", "by", "bx"]).withColumn("d2", d2).filter(F.col("d2") <= reach * reach)
     first = F.row_number().over(Window.partitionBy("h", "x", "y").orderBy("d2", "gx", "gy"))
-    near = near.withColumn("n", first).filter(F.col("n") <= k).withColumn("w", 1 / (F.col("d2") + 1e-6))
-    base = near.groupBy("h", "x", "y").agg((F.sum(F.col("w") * F.col("gz")) / F.sum("w")).alias("ground"))
-    return df.join(base, ["h", "x", "y"], "left").withColumn("hag", F.col("z") - F.col("ground"))
+    found, size, old = None, float(reach), []
+    while True:
+        on = {"by": F.floor(F.col("y") / size), "bx": F.floor(F.col("x") / size)}
+        asked = left.withColumns(on).withColumn("s", F.explode(step)).select("h", "x", "y", (F.col("by") + F.col("s.i")).alias("by"), (F.col("bx") + F.col("s.j")).alias("bx"))
+        there = ground.withColumns({"by": F.floor(F.col("gy") / size), "bx": F.floor(F.col("gx") / size)})
+        near = meet(asked, there, ["h", "by", "bx"]).withColumn("d2", d2).withColumn("n", first).filter(F.col("n") <= k)
+        w = 1 / (F.col("d2") + 1e-6)
+        base = near.groupBy("h", "x", "y").agg((F.sum(w * F.col("gz")) / F.sum(w)).alias("ground"), F.count("*").alias("n"), F.max("d2").alias("far"))
+        told = settle(left.join(base, ["h", "x", "y"], "left"), "heights")
+        sure = (F.col("n") == k) & (F.col("far") <= size * size)
+        last = size > widest
+        done = (told if last else told.filter(sure)).select("h", "x", "y", "ground")
+        found = done if found is None else found.unionByName(done)
+        rest = told.filter(~F.coalesce(sure, F.lit(False))).select("h", "x", "y")
+        old.append(left)
+        if last or not rest.limit(1).count():
+            break
+        left, size = settle(rest, "places"), size * 2
+    out = settle(found, "ground-levels")
+    discard(ground, *old)
+    return df.join(out, ["h", "x", "y"], "left").withColumn("hag", F.col("z") - F.col("ground"))
 
 
 def clip_height(df: DataFrame, z: str, q: float) -> DataFrame:
     """Returns at or above the ground and below a quantile of all such heights."""
     up = df.filter(F.col(z) >= 0)
-    cut = up.agg(F.percentile(z, q).alias("_q"))
-    return up.crossJoin(F.broadcast(cut)).filter(F.col(z) < F.col("_q")).drop("_q")
+    cut = quantile(up, z, q).first()
+    return up.filter(F.col(z) < F.lit(cut["q"])) if cut else up
 
 
 def veg_metrics(df: DataFrame, z: str, res: float = 1.0) -> DataFrame:

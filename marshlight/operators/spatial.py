@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .geometry import bbox, intersecting, points_close, points_in
-from .grid import BOX, boxes_with_boxes
+from .grid import BOX, boxes_with_boxes, meet
 from .iterate import settle
 
 
@@ -49,14 +49,21 @@ def polys_meet_zones(vertices: DataFrame, zones: DataFrame, within: bool = False
 
 
 def isolated(pts: DataFrame, d: float) -> DataFrame:
-    """Points with no other point of their watershed within ``d``; both of a near pair go. Points of one place are
-    met as one node."""
+    """Points with no other point of their watershed within ``d``; both of a near pair go. Points of one place are met
+    as one node. Two places in one square of side d / 1.5 are near without being compared, so only places that are
+    alone in their square are met with the squares around it, of which each has few such neighbours."""
+    side = d / 1.5
     placed = pts.filter("h IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL")
-    places = settle(placed.groupBy("h", "x", "y").agg(F.min("pt_id").alias("pt_id"), F.max("pt_id").alias("last")), "places")
-    near = near_pairs(places, d).select(F.col("a").alias("pt_id")).distinct()
-    met = places.join(near.withColumn("met", F.lit(True)), "pt_id", "left").filter("met OR pt_id <> last").select("h", "x", "y")
-    gone = placed.select("pt_id", "h", "x", "y").join(met, ["h", "x", "y"], "left_semi").select("pt_id").distinct()
-    return pts.join(gone, "pt_id", "left_anti")
+    square = {"by": F.floor(F.col("y") / side), "bx": F.floor(F.col("x") / side)}
+    places = settle(placed.groupBy("h", "x", "y").agg(F.count("*").alias("n")).withColumns(square), "places")
+    alone = settle(places.groupBy("h", "by", "bx").agg(F.count("*").alias("k"), F.max("n").alias("n"), F.min("x").alias("x"), F.min("y").alias("y")).filter("k = 1 AND n = 1"), "alone")
+    step = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in range(-2, 3) for j in range(-2, 3) if i or j])
+    asked = alone.select("h", F.col("x").alias("x0"), F.col("y").alias("y0"), "by", "bx", F.explode(step).alias("s"))
+    asked = asked.select("h", "x0", "y0", (F.col("by") + F.col("s.i")).alias("by"), (F.col("bx") + F.col("s.j")).alias("bx"))
+    met = meet(places.select("h", "x", "y", "by", "bx"), asked, ["h", "by", "bx"])
+    near = met.filter((F.col("x") - F.col("x0")) ** 2 + (F.col("y") - F.col("y0")) ** 2 <= d * d).select("h", F.col("x0").alias("x"), F.col("y0").alias("y")).distinct()
+    stay = alone.select("h", "x", "y").join(near, ["h", "x", "y"], "left_anti")
+    return pts.filter("h IS NULL OR x IS NULL OR y IS NULL").unionByName(placed.join(stay, ["h", "x", "y"], "left_semi").select(*pts.columns))
 
 
 def near_pairs(pts: DataFrame, d: float) -> DataFrame:

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .iterate import settle
+
 
 def count_by(df: DataFrame, *keys: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n"))
@@ -21,9 +26,10 @@ def null_counts(df: DataFrame, key: str) -> DataFrame:
 
 
 def flag_low(df: DataFrame, group: list[str], val: str) -> DataFrame:
-    """Group mean and sample deviation on each row, and a flag where the value is under |mean - sd|."""
-    w = Window.partitionBy(*group)
-    out = df.withColumns({"mean": F.avg(val).over(w), "sd": F.stddev_samp(val).over(w)})
+    """Group mean and sample deviation on each row, and a flag where the value is under |mean - sd|. Groups are summed
+    before the shuffle and their one row each met with the rows, so no group is held in one task."""
+    of = df.groupBy(*[F.col(k).alias(f"_{k}") for k in group]).agg(F.avg(val).alias("mean"), F.stddev_samp(val).alias("sd"))
+    out = df.join(of, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in group]).drop(*[f"_{k}" for k in group])
     return out.withColumn("flag", F.when(F.col(val) < F.abs(F.col("mean") - F.col("sd")), "YesBad").otherwise("No"))
 
 
@@ -41,16 +47,28 @@ def to_long(df: DataFrame, ids: list[str], cols: list[str]) -> DataFrame:
     return df.unpivot(ids, cols, "band", "value")
 
 
+def _per_band(cells: DataFrame, bands: list[str], stats: dict[str, Column]) -> DataFrame:
+    """One row per band from one aggregation of the cells: ``stats`` are aggregates of the column ``value``."""
+    one = lambda b: F.struct(F.lit(b).alias("band"), *[F.col(f"{b}.{n}").alias(n) for n in stats])
+    parts = [cells.select(F.col(b).alias("value")).agg(F.struct(*[f.alias(n) for n, f in stats.items()]).alias(b)) for b in bands]
+    out = parts[0].select(one(bands[0]).alias("s"))
+    for b, p in zip(bands[1:], parts[1:], strict=True):
+        out = out.union(p.select(one(b).alias("s")))
+    return out.select("s.*")
+
+
 def global_stats(cells: DataFrame, bands: list[str], fns: dict[str, Column] | None = None) -> DataFrame:
-    """Per band: mean, max, sd, count, and user aggregates over the column ``value``; one pass."""
-    fns = fns or {}
-    aggs = [F.avg("value").alias("mean"), F.max("value").alias("max"), F.stddev_samp("value").alias("sd"), F.count("value").alias("n")]
-    return to_long(cells, [], bands).groupBy("band").agg(*aggs, *[f.alias(n) for n, f in fns.items()])
+    """Per band: mean, max, sd, count, and user aggregates over the column ``value``. Each band is a scan of its own
+    column with sums in the tasks; cells are not turned into rows of bands."""
+    return _per_band(cells, bands, {"mean": F.avg("value"), "max": F.max("value"), "sd": F.stddev_samp("value"), "n": F.count("value"), **(fns or {})})
 
 
 def band_minmax(cells: DataFrame, bands: list[str], skip: tuple[str, ...] = ()) -> DataFrame:
-    """Smallest and largest value of each band that is not on the skip list."""
-    return to_long(cells, [], [b for b in bands if b not in skip]).groupBy("band").agg(F.min("value").alias("min"), F.max("value").alias("max"))
+    """Smallest and largest value of each band that is not on the skip list, from one aggregation."""
+    kept = [b for b in bands if b not in skip]
+    ends = cells.agg(*[f(b).alias(f"{b}_{n}") for b in kept for n, f in (("min", F.min), ("max", F.max))])
+    rows = F.array(*[F.struct(F.lit(b).alias("band"), F.col(f"{b}_min").alias("min"), F.col(f"{b}_max").alias("max")) for b in kept])
+    return ends.select(F.explode(rows).alias("s")).select("s.*")
 
 
 def minmax_scale(cells: DataFrame, stats: DataFrame, bands: list[str]) -> DataFrame:
@@ -79,12 +97,56 @@ def zscore(df: DataFrame, ids: list[str], cols: list[str]) -> DataFrame:
     return to_long(out, ids, cols)
 
 
-def quantiles_by(df: DataFrame, key: str, val: str, qs: list[float]) -> DataFrame:
-    return df.groupBy(key).agg(F.percentile(val, F.array(*[F.lit(q) for q in qs])).alias("_q")).select(key, *[F.col("_q")[i].alias(f"q{int(q * 100)}") for i, q in enumerate(qs)])
+def running(df: DataFrame, order: list[str | Column], weight: str | None = None, name: str = "end") -> DataFrame:
+    """Rows with the sum of ``weight`` (else their number) up to and including each, over all rows in a total ``order``.
 
+    Ranges of the order are sorted in tasks of their own and written; what lies before a range is the sum of the ranges
+    before it, one number each. Ties in the order are taken in any order."""
+    w = F.col(weight) if weight else F.lit(1).cast("long")
+    cut = settle(df.withColumn("_w", w).repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "ranges")
+    sums = {r["_p"]: r["s"] for r in cut.groupBy("_p").agg(F.sum("_w").alias("s")).collect()}  # one row a task
+    before, at = [], 0
+    for p in range(max(sums, default=-1) + 1):
+        before.append(at)
+        at += sums.get(p) or 0
+    table = F.array(*[F.lit(v) for v in before]) if before else F.array(F.lit(0))
+    inside = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return cut.withColumn(name, F.sum("_w").over(inside) + F.get(table, F.col("_p"))).drop("_p", "_w")
 
-def row_number(df: DataFrame, order: list[str], by: list[str] | None = None, name: str = "n") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order)))
+
+def quantiles_by(df: DataFrame, key: str, val: str, qs: list[float]) -> DataFrame:
+    """Exact quantiles per key, interpolated between neighbours: values are counted, the counts summed in order, and the
+    two values about each position picked. No key is collected into one task."""
+    counts = df.filter(F.col(val).isNotNull()).groupBy(key, val).agg(F.count("*").alias("_n"))
+    ends = running(counts, [key, val], "_n", "_end")
+    of = ends.groupBy(F.col(key).alias("_key")).agg(F.min(F.col("_end") - F.col("_n")).alias("_from"), F.sum("_n").alias("_all"))
+    met = ends.join(of, F.col(key).eqNullSafe(F.col("_key")))
+    end, first = F.col("_end") - F.col("_from"), F.col("_end") - F.col("_from") - F.col("_n")
+    out = []
+    for i, q in enumerate(qs):
+        at = F.lit(float(q)) * (F.col("_all") - 1)
+        pick = lambda r: F.max(F.when((first <= r) & (r < end), F.col(val)))
+        out += [pick(F.floor(at)).alias(f"_l{i}"), pick(F.ceil(at)).alias(f"_h{i}"), F.first(at - F.floor(at)).alias(f"_t{i}")]
+    got = met.groupBy(key).agg(*out)
+    there = got.select(key, *[(F.col(f"_l{i}") + (F.col(f"_h{i}") - F.col(f"_l{i}")) * F.col(f"_t{i}")).alias(f"q{int(q * 100)}") for i, q in enumerate(qs)])
+    keys = df.select(F.col(key).alias("_key")).distinct()
+    return keys.join(there, F.col("_key").eqNullSafe(F.col(key)), "left").select(F.col("_key").alias(key), *[f"q{int(q * 100)}" for q in qs])
+
+
+def quantile(df: DataFrame, val: str, q: float) -> DataFrame:
+    """The exact quantile of a column, as one row ``q``."""
+    one = quantiles_by(df.select(F.lit(0).alias("_all_rows"), val), "_all_rows", val, [q])
+    return one.select(F.col(one.columns[1]).alias("q"))
+
+
+def row_number(df: DataFrame, order: list[str | Column], by: list[str] | None = None, name: str = "n") -> DataFrame:
+    """Rows numbered from 1 in a total order, within ``by`` where given, without one task for a group."""
+    ends = running(df, [*(by or []), *order], None, "_end")
+    if not by:
+        return ends.withColumn(name, F.col("_end").cast("int")).drop("_end")
+    first = ends.groupBy(*[F.col(k).alias(f"_{k}") for k in by]).agg(F.min("_end").alias("_from"))
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in by]
+    return ends.join(first, same).withColumn(name, (F.col("_end") - F.col("_from") + 1).cast("int")).drop("_end", "_from", *[f"_{k}" for k in by])
 
 
 def first_by(df: DataFrame, key: str, val: str, order: str) -> DataFrame:
@@ -117,22 +179,93 @@ def union_basins(dfs: list[DataFrame], suffixes: tuple[str, ...], key: list[str]
     return out.dropDuplicates(key)
 
 
-def fuzzy_best(left: DataFrame, right: DataFrame, lcol: str, rcol: str, max_right: int = 10_000) -> DataFrame:
-    """For each distinct name its nearest reference name by Jaro distance (ties: first by name), and whether it is
-    exact. The reference list is a dictionary: its size is checked before it is broadcast."""
-    names = right.select(F.col(rcol).alias("reference")).distinct()
-    n = names.count()
-    if n > max_right:
-        raise ValueError(f"{n} reference names; at most {max_right}")
-    @F.pandas_udf("double")
-    def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([1.0 - jaro(x, y) for x, y in zip(a, b, strict=True)])
-
-    pairs = left.select(F.col(lcol).alias("candidate")).distinct().join(F.broadcast(names))
-    best = pairs.withColumn("dist", distance("candidate", "reference")).groupBy("candidate").agg(F.min(F.struct("dist", "reference")).alias("m"))
+def fuzzy_best(left: DataFrame, right: DataFrame, lcol: str, rcol: str, block: int = 20_000) -> DataFrame:
+    """For each distinct name its nearest reference name by Jaro distance (ties: first by name), and whether it is exact.
+
+    Names are asked, reference names answer, in cells of about ``block`` x ``block`` names. The characters two names can
+    share at most (one product of count tables) bound their similarity from above; a name is compared with the references
+    in falling order of the bound until none can be nearer, and a cell returns one row per name. Null names take no
+    part; without references there are no rows."""
+    asked = left.select(F.col(lcol).alias("candidate")).filter("candidate IS NOT NULL").distinct()
+    names = right.select(F.col(rcol).alias("reference")).filter("reference IS NOT NULL").distinct()
+    rows, cols = (max(1, -(-x.count() // block)) for x in (asked, names))
+    here = asked.withColumn("g", F.pmod(F.xxhash64("candidate"), F.lit(rows))).withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cols - 1).cast("long"))))
+    there = names.withColumn("s", F.pmod(F.xxhash64("reference"), F.lit(cols))).withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))))
+    met = here.groupBy("g", "s").cogroup(there.groupBy("g", "s")).applyInPandas(lambda a, b: _nearest(a, b), "candidate string, reference string, dist double")
+    best = met.groupBy("candidate").agg(F.min(F.struct("dist", "reference")).alias("m"))
     return best.select("candidate", F.col("m.reference").alias("reference"), F.col("m.dist").alias("dist"), (F.col("candidate") == F.col("m.reference")).alias("exact"))
 
 
+def _nearest(asked: pd.DataFrame, names: pd.DataFrame, step: int = 512) -> pd.DataFrame:
+    if not len(names) or not len(asked):
+        return pd.DataFrame(columns=["candidate", "reference", "dist"])
+    refs, cand = sorted(names.reference), asked.candidate.tolist()
+    places: dict[tuple[str, int], int] = {}
+    for text in refs:
+        for ch, n in Counter(text).items():
+            for k in range(n):
+                places.setdefault((ch, k), len(places))
+
+    def table(texts: list[str]) -> np.ndarray:
+        # one column for each character's first, second, ... occurrence: products count what two texts share
+        out = np.zeros((len(texts), max(1, len(places))), np.float32)
+        for i, text in enumerate(texts):
+            for ch, n in Counter(text).items():
+                for k in range(n):
+                    if (ch, k) in places:
+                        out[i, places[ch, k]] = 1
+        return out
+
+    size = np.array(list(map(len, refs)))
+    letters = np.full((len(refs), max(1, size.max())), -1, np.int32)
+    for i, text in enumerate(refs):
+        letters[i, : len(text)] = list(map(ord, text))
+    right, out = table(refs), []
+    for s in range(0, len(cand), step):
+        shared = table(cand[s : s + step]) @ right.T
+        for text, common in zip(cand[s : s + step], shared, strict=True):
+            with np.errstate(divide="ignore", invalid="ignore"):
+                bound = np.where(common > 0, (common / len(text) + common / size + 1) / 3, 0.0)
+            bound = np.where(size + len(text) == 0, 1.0, bound) + 1e-9
+            order = np.argsort(-bound, kind="stable")
+            best, name, at = -1.0, "", 0
+            while at < len(order) and bound[order[at]] >= best:
+                part = order[at : at + 256]
+                got = jaro_many(text, letters[part], size[part])
+                top = got.max()
+                first = min(refs[p] for p in part[got == top])
+                if top > best or top == best and first < name:
+                    best, name = float(top), first
+                at += len(part)
+            out.append((text, name, 1.0 - best))
+    return pd.DataFrame(out, columns=["candidate", "reference", "dist"])
+
+
+def jaro_many(a: str, letters: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Jaro similarity of one text to many (rows of code points, -1 behind each one's ``size``)."""
+    n, width = letters.shape
+    reach = np.maximum(len(a), size) // 2 - 1
+    free, hit = letters >= 0, np.zeros((n, len(a)), bool)
+    place = np.arange(width)
+    for i, ch in enumerate(a):
+        near = free & (letters == ord(ch)) & (np.abs(place[None, :] - i) <= reach[:, None])
+        j = near.argmax(1)
+        hit[:, i] = near[np.arange(n), j]
+        free[np.flatnonzero(hit[:, i]), j[hit[:, i]]] = False
+    used = (letters >= 0) & ~free
+    m = hit.sum(1)
+    own, other = np.zeros((n, len(a) + 1), np.int64), np.zeros((n, len(a) + 1), np.int64)
+    r, i = np.nonzero(hit)
+    own[r, (hit.cumsum(1) - 1)[r, i]] = np.array(list(map(ord, a)), np.int64)[i]
+    r, j = np.nonzero(used)
+    other[r, (used.cumsum(1) - 1)[r, j]] = letters[r, j]
+    swaps = (own != other).sum(1) // 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        out = np.where(m > 0, (m / max(1, len(a)) + m / size + (m - swaps) / m) / 3, 0.0)
+    whole = (size == len(a)) & (letters[:, : len(a)] == np.array(list(map(ord, a)), np.int64)).all(1) if len(a) <= width else np.zeros(n, bool)
+    return np.where(whole, 1.0, out)
+
+
 def jaro(a: str, b: str) -> float:
     """Jaro similarity: matches within half the longer length, less half (rounded down) of the matched pairs out of order."""
     if a == b:

@@ -1,6 +1,7 @@
 """Deterministic stand-ins for the rasters, polygons, point clouds and catalogues that the operators work on.
 
-The text of each view runs unchanged in Spark SQL and in the oracle, so both sides read the same rows.
+The text of each view runs unchanged in Spark SQL and in the oracle, so both sides read the same rows. Watersheds are
+64 x 64 cells; their number grows with the tables (four for 2,000 parts or 1,500 customers), the crowd in each does not.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem"
 
 VIEWS = {
     "fx_cells": """
-SELECT l_suppkey % 4 AS h, l_orderkey % 64 AS r, l_partkey % 64 AS c,
+SELECT l_suppkey % 4 + 4 * CAST(floor(l_partkey / 2000) AS BIGINT) AS h, l_orderkey % 64 AS r, l_partkey % 64 AS c,
        300.0E0 - 2 * (l_orderkey % 64) - 0.5E0 * (l_partkey % 64) + MAX(l_quantity) / 16 AS dem,
        CASE WHEN COUNT(*) >= 2 THEN (SUM(l_linenumber) % 2) / 2.0E0 + (l_orderkey % 64) / 8 END AS chm,
        CAST(SUM(l_partkey) % 200 + 1 AS DOUBLE) AS red,
@@ -22,16 +23,16 @@ SELECT l_suppkey % 4 AS h, l_orderkey % 64 AS r, l_partkey % 64 AS c,
        CAST(SUM(l_suppkey) % 200 + 1 AS DOUBLE) AS blue,
        CAST(SUM(l_linenumber * 7) % 200 + 1 AS DOUBLE) AS nir
 FROM lineitem
-GROUP BY l_suppkey % 4, l_orderkey % 64, l_partkey % 64
+GROUP BY l_suppkey % 4 + 4 * CAST(floor(l_partkey / 2000) AS BIGINT), l_orderkey % 64, l_partkey % 64
 """,
     "fx_tiles": """
-SELECT l_suppkey % 4 AS h, l_linenumber AS tile_ord, l_orderkey % 64 AS r, l_partkey % 64 AS c,
+SELECT l_suppkey % 4 + 4 * CAST(floor(l_partkey / 2000) AS BIGINT) AS h, l_linenumber AS tile_ord, l_orderkey % 64 AS r, l_partkey % 64 AS c,
        MAX(l_quantity) AS v
 FROM lineitem
-GROUP BY l_suppkey % 4, l_linenumber, l_orderkey % 64, l_partkey % 64
+GROUP BY l_suppkey % 4 + 4 * CAST(floor(l_partkey / 2000) AS BIGINT), l_linenumber, l_orderkey % 64, l_partkey % 64
 """,
     "fx_poly_attr": """
-SELECT p_partkey AS poly_id, p_partkey % 4 AS h,
+SELECT p_partkey AS poly_id, p_partkey % 4 + 4 * CAST(floor(p_partkey / 2000) AS BIGINT) AS h,
        (p_partkey * 37) % 56 + 4.25E0 AS cx, (p_partkey * 53) % 56 + 4.25E0 AS cy,
        CAST(1 + p_size % 4 AS DOUBLE) AS rad,
        CASE p_partkey % 9 WHEN 0 THEN 'PFO1E' WHEN 1 THEN 'PSS1E' WHEN 2 THEN 'PEM1C'
@@ -39,7 +40,7 @@ SELECT p_partkey AS poly_id, p_partkey % 4 AS h,
             WHEN 6 THEN 'L1UBH' WHEN 7 THEN 'R2UBH' END AS attribute,
        CASE p_partkey % 5 WHEN 0 THEN 'Palustrine-FO' WHEN 1 THEN 'Palustrine-SS'
             WHEN 2 THEN 'Palustrine-EM' WHEN 3 THEN 'Lacustrine' ELSE 'Terrestrial' END AS cowardin
-FROM part WHERE p_partkey < 200
+FROM part
 """,
     "fx_vertices": """
 SELECT a.poly_id, a.h, t.seq, a.cx + a.rad * t.dx AS x, a.cy + a.rad * t.dy AS y
@@ -48,7 +49,7 @@ FROM fx_poly_attr a CROSS JOIN (VALUES
   (5, -0.5E0, -1.0E0), (6, 0.5E0, -1.0E0), (7, 1.0E0, 0.0E0)) AS t(seq, dx, dy)
 """,
     "fx_points": """
-SELECT c_custkey AS pt_id, c_custkey % 4 AS h,
+SELECT c_custkey AS pt_id, c_custkey % 4 + 4 * CAST(floor(c_custkey / 1500) AS BIGINT) AS h,
        ((c_custkey * 211) % 640) / 10.0E0 + 0.03125E0 AS x, ((c_custkey * 307) % 640) / 10.0E0 + 0.03125E0 AS y,
        CASE c_custkey % 5 WHEN 0 THEN 'EMW' WHEN 1 THEN 'FSW' WHEN 2 THEN 'SSW' WHEN 3 THEN 'OWW' ELSE 'UPL' END AS mod_class,
        c_mktsegment AS segment, c_acctbal AS bal
@@ -74,7 +75,7 @@ SELECT event_id % 97 AS scene_id, ts, user_id % 16 AS r, event_id % 16 AS c,
 FROM events
 """,
     "fx_returns": """
-SELECT l_suppkey % 4 AS h, l_orderkey % 64 + l_discount * 8 AS x, l_partkey % 64 + l_tax * 8 AS y,
+SELECT l_suppkey % 4 + 4 * CAST(floor(l_partkey / 2000) AS BIGINT) AS h, l_orderkey % 64 + l_discount * 8 AS x, l_partkey % 64 + l_tax * 8 AS y,
        l_quantity - 4 AS z,
        CASE l_linenumber WHEN 1 THEN 2 WHEN 6 THEN 7 WHEN 7 THEN 18 ELSE 5 END AS cls,
        (l_returnflag = 'R' AND l_linestatus = 'O') AS withheld, l_linenumber AS ret_no
@@ -92,7 +93,7 @@ FROM nation CROSS JOIN (VALUES (0,'DEM'),(1,'NAIP'),(2,'Satellite'),(3,'Hydro'),
 WHERE (n_nationkey * 5 + ord * 3) % 17 <> 0
 """,
     "fx_names": """
-SELECT DISTINCT p_name AS candidate FROM part WHERE p_partkey < 100
+SELECT DISTINCT c_name AS candidate FROM customer
 """,
     "fx_train": """
 SELECT p.pt_id, p.mod_class, CASE WHEN p.mod_class = 'UPL' THEN 'UPL' ELSE 'WET' END AS coarse_class,

@@ -82,8 +82,8 @@ def training_points(polys: DataFrame, vertices: DataFrame, per_poly: int, far: f
     up = S.points_near(up, vertices, far, inverse=True).select("pt_id", "h", "x", "y", "mod_class")
     want = M.supplement_sizes(wet, "mod_class")
     pool = G.random_points(vertices, per_poly * 4, seed=17).withColumn("pt_id", 20_000_000 + c("poly_id") * 64 + c("k")).join(cls, "poly_id")
-    place = F.row_number().over(T.Window.partitionBy(F.when(c("mod_class").isin("EMW", "SSW"), c("mod_class")).otherwise(F.when(c("mod_class") != "OWW", "other"))).orderBy(G.hash_order(c("pt_id")), "pt_id"))
-    extra = pool.withColumn("n", place).crossJoin(F.broadcast(want))
+    kind = F.when(c("mod_class").isin("EMW", "SSW"), c("mod_class")).otherwise(F.when(c("mod_class") != "OWW", "other"))
+    extra = T.row_number(pool.withColumn("kind", kind), [G.hash_order(c("pt_id")), "pt_id"], ["kind"]).crossJoin(F.broadcast(want))
     quota = F.when(c("mod_class") == "EMW", c("EMW")).when(c("mod_class") == "SSW", c("SSW")).when(c("mod_class") != "OWW", c("other")).otherwise(0)
     extra = extra.filter(c("n") <= quota).select("pt_id", "h", "x", "y", "mod_class")
     return wet.unionByName(up).unionByName(extra)

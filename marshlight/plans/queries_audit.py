@@ -157,10 +157,9 @@ def _(fx):
 
 
 @query("d21_fuzzy_best", """SELECT candidate, arg_min(reference, d) AS reference, round(min(d[1]), 6) AS dist, candidate = arg_min(reference, d) AS exact FROM (
-  SELECT a.candidate, b.reference, [1 - jaro_similarity(a.candidate, b.reference), b.k] AS d FROM fx_names a, (SELECT reference, CAST(row_number() OVER (ORDER BY reference) AS DOUBLE) AS k FROM (SELECT DISTINCT p_name AS reference FROM part WHERE p_partkey BETWEEN 40 AND 90)) b) GROUP BY candidate""")
+  SELECT a.candidate, b.reference, [1 - jaro_similarity(a.candidate, b.reference), b.k] AS d FROM fx_names a, (SELECT reference, CAST(row_number() OVER (ORDER BY reference) AS DOUBLE) AS k FROM (SELECT DISTINCT s_name AS reference FROM supplier)) b) GROUP BY candidate""")
 def _(fx):
-    refs = fx.table("part").filter("p_partkey BETWEEN 40 AND 90")
-    return rnd(T.fuzzy_best(fx.names, refs, "candidate", "p_name"), "dist")
+    return rnd(T.fuzzy_best(fx.names, fx.table("supplier"), "candidate", "s_name"), "dist")
 
 
 # --- audits

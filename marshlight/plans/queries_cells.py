@@ -139,13 +139,13 @@ def _(fx):
     return rnd(R.extract(fx.points.select("pt_id", "h", "x", "y"), [(fx.cells, "dem")], "bilinear").select("pt_id", "dem"), "dem")
 
 
-_BX = "(SELECT pt_id AS box_id, h, floor(x) - 3 AS xmin, floor(y) - 3 AS ymin, floor(x) + 3 AS xmax, floor(y) + 3 AS ymax FROM fx_points WHERE pt_id % 20 = 0)"
+_BX = "(SELECT pt_id AS box_id, h, floor(x) - 3 AS xmin, floor(y) - 3 AS ymin, floor(x) + 3 AS xmax, floor(y) + 3 AS ymax FROM fx_points)"
 
 
 @query("e37_chips", f"""WITH {cover_sql(1)}, {TOUCH}, lab AS (SELECT t.h, t.r, t.c, arg_max(a.cowardin, t.poly_id) AS cowardin FROM tch t JOIN fx_poly_attr a USING (poly_id) GROUP BY t.h, t.r, t.c)
  SELECT b.box_id, count(*) AS cells, count(l.cowardin) AS labelled, sum(k.red) AS red FROM {_BX} b JOIN fx_cells k ON b.h = k.h AND k.c + 0.5E0 >= xmin AND k.c + 0.5E0 < xmax AND k.r + 0.5E0 >= ymin AND k.r + 0.5E0 < ymax LEFT JOIN lab l ON l.h = k.h AND l.r = k.r AND l.c = k.c GROUP BY b.box_id""")
 def _(fx):
-    p = fx.points.filter("pt_id % 20 = 0").select(c("pt_id").alias("box_id"), "h", F.floor("x").cast("double").alias("x"), F.floor("y").cast("double").alias("y"))
+    p = fx.points.select(c("pt_id").alias("box_id"), "h", F.floor("x").cast("double").alias("x"), F.floor("y").cast("double").alias("y"))
     cut = R.chips(fx.cells.select("h", "r", "c", "red"), R.rasterize(fx.vertices, fx.polys, "cowardin"), G.square(p, 3.0), "box_id", "cowardin", "none")
     patch = R.dense(cut, "box_id", "red").select("box_id", F.size("red").cast("long").alias("cells"), F.aggregate("red", F.lit(0.0), lambda a, v: a + v).alias("red"))
     return patch.join(cut.groupBy("box_id").agg(F.count_if(c("cowardin") != "none").alias("labelled")), "box_id")
@@ -196,12 +196,17 @@ def _(fx):
     return P.clean_returns(fx.returns).groupBy("h", "cls").agg(F.count("*").alias("n"), F.sum("z").alias("z"))
 
 
-@query("l02_normalize_height", """WITH s AS (SELECT DISTINCT h, x, y FROM fx_returns WHERE x < 8 AND y < 8), g AS (SELECT h, x AS gx, y AS gy, min(z) AS gz FROM fx_returns WHERE cls = 2 AND x < 8 AND y < 8 GROUP BY h, x, y),
- n AS (SELECT s.h, s.x, s.y, gz, pow(s.x - gx, 2) + pow(s.y - gy, 2) AS d2, row_number() OVER (PARTITION BY s.h, s.x, s.y ORDER BY pow(s.x - gx, 2) + pow(s.y - gy, 2), gx, gy) AS k FROM s JOIN g ON g.h = s.h AND pow(s.x - gx, 2) + pow(s.y - gy, 2) <= 4)
- SELECT h, x, y, round(sum(gz / (d2 + 1e-6)) / sum(1 / (d2 + 1e-6)), 4) AS ground FROM n WHERE k <= 3 GROUP BY h, x, y""")
+# three ground returns within 4 are the nearest; places with fewer are tried against all of their watershed
+@query("l02_normalize_height", """WITH s AS (SELECT DISTINCT h, x, y FROM fx_returns), g AS (SELECT h, x AS gx, y AS gy, min(z) AS gz, CAST(floor(x / 4) AS BIGINT) AS bx, CAST(floor(y / 4) AS BIGINT) AS by FROM fx_returns WHERE cls = 2 GROUP BY h, x, y),
+ t AS (SELECT s.h, x, y, CAST(floor(x / 4) AS BIGINT) + i AS bx, CAST(floor(y / 4) AS BIGINT) + j AS by FROM s, (SELECT unnest(range(-1, 2)) AS i), (SELECT unnest(range(-1, 2)) AS j)),
+ n AS (SELECT t.h, x, y, gx, gy, gz, pow(x - gx, 2) + pow(y - gy, 2) AS d2 FROM t JOIN g ON g.h = t.h AND g.bx = t.bx AND g.by = t.by WHERE pow(x - gx, 2) + pow(y - gy, 2) <= 16),
+ few AS (SELECT s.h, s.x, s.y FROM s LEFT JOIN n ON n.h = s.h AND n.x = s.x AND n.y = s.y GROUP BY s.h, s.x, s.y HAVING count(gz) < 3),
+ m AS (SELECT * FROM n ANTI JOIN few USING (h, x, y) UNION ALL SELECT f.h, x, y, gx, gy, gz, pow(x - gx, 2) + pow(y - gy, 2) FROM few f JOIN g ON g.h = f.h),
+ k AS (SELECT *, row_number() OVER (PARTITION BY h, x, y ORDER BY d2, gx, gy) AS k FROM m)
+ SELECT s.h, s.x, s.y, round(sum(gz / (d2 + 1e-6)) / sum(1 / (d2 + 1e-6)), 4) AS ground FROM s LEFT JOIN k ON k.h = s.h AND k.x = s.x AND k.y = s.y AND k <= 3 GROUP BY s.h, s.x, s.y""")
 def _(fx):
-    out = P.normalize_height(fx.returns.filter("x < 8 AND y < 8"), 3, 2.0).filter("ground IS NOT NULL")
-    return rnd(out.select("h", "x", "y", "ground").distinct().groupBy("h", "x", "y").agg(F.max("ground").alias("ground")), "ground", n=4)
+    out = P.normalize_height(fx.returns, 3, 2.0)
+    return rnd(out.groupBy("h", "x", "y").agg(F.max("ground").alias("ground")), "ground", n=4)
 
 
 @query("l03_clip_height", "WITH u AS (SELECT * FROM fx_returns WHERE z >= 0), q AS (SELECT quantile_cont(z, 0.98) AS q FROM u) SELECT h, z, count(*) AS n FROM u, q WHERE z < q GROUP BY h, z")

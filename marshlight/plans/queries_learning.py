@@ -36,29 +36,29 @@ def _(fx):
 
 @query("m03_fit_rf")
 def _(fx):
-    model = M.fit_rf(fx.train, "mod_class", BANDS, trees=5)
+    model = M.fit_rf(fx.train, "mod_class", BANDS, trees=10)
     return M.augment(model, fx.train).select("pt_id", "pred_class")
 
 
 @query("m04_tune_rf")
 def _(fx):
-    return M.tune_rf(fx.train, "coarse_class", BANDS, [(2, 2), (3, 5)], 2, "pt_id", trees=3)
+    return M.tune_rf(fx.train, "coarse_class", BANDS, [(2, 2), (3, 5)], 10, "pt_id", trees=10)
 
 
 @query("m05_last_fit")
 def _(fx):
-    _, scored = M.last_fit(fx.train, "mod_class", BANDS, "pt_id", trees=5)
+    _, scored = M.last_fit(fx.train, "mod_class", BANDS, "pt_id", trees=10)
     return M.accuracy(scored, "mod_class")
 
 
 @query("m06_perm_importance")
 def _(fx):
-    return M.perm_importance(M.fit_rf(fx.train, "mod_class", BANDS, trees=3), fx.train, "mod_class", BANDS[:2], "pt_id")
+    return M.perm_importance(M.fit_rf(fx.train, "mod_class", BANDS, trees=10), fx.train, "mod_class", BANDS[:2], "pt_id")
 
 
 @query("m07_augment")
 def _(fx):
-    return M.augment(M.fit_rf(fx.train, "coarse_class", BANDS, trees=3), fx.train).select("pt_id", "coarse_class", "pred_class", "pred_UPL", "pred_WET")
+    return M.augment(M.fit_rf(fx.train, "coarse_class", BANDS, trees=10), fx.train).select("pt_id", "coarse_class", "pred_class", "pred_UPL", "pred_WET")
 
 
 _PRED = "(SELECT mod_class AS truth, CASE WHEN pt_id % 3 = 0 THEN 'EMW' WHEN pt_id % 7 = 0 THEN 'UPL' ELSE mod_class END AS pred FROM fx_points)"
@@ -116,12 +116,12 @@ def _(fx):
 def _(fx):
     total = c("red") + c("green") + c("nir")
     p = fx.cells.select("h", "r", "c", *[(c(b) / total).alias(b) for b in ("red", "green", "nir")])
-    return superpixels(p, ["red", "green", "nir"], step=8, rounds=4)
+    return superpixels(p, ["red", "green", "nir"], step=8, rounds=10)
 
 
 @query("e41_predict_map")
 def _(fx):
-    model = M.fit_rf(fx.train, "mod_class", BANDS, trees=3)
+    model = M.fit_rf(fx.train, "mod_class", BANDS, trees=10)
     return M.predict_map(model, fx.cells, BANDS).select("h", "r", "c", "pred_class")
 
 
@@ -157,7 +157,7 @@ def _(fx):
 
 
 # --- jobs
-_TPL = "(SELECT h, r, c FROM (SELECT unnest(range(4)) AS h), (SELECT unnest(range(64)) AS r), (SELECT unnest(range(64)) AS c))"
+_TPL = "(SELECT h, r, c FROM (SELECT DISTINCT h FROM fx_cells), (SELECT unnest(range(64)) AS r), (SELECT unnest(range(64)) AS c))"
 
 
 @query("p01_dem", f"""WITH {cover_sql()}, m AS (SELECT h, r, c, arg_min(v, tile_ord) AS v FROM fx_tiles GROUP BY h, r, c), f AS (SELECT t.h, t.r, t.c, coalesce(any_value(k.v), round(avg(b.v), 6)) AS v FROM {_TPL} t LEFT JOIN m k ON k.h = t.h AND k.r = t.r AND k.c = t.c LEFT JOIN m b ON b.h = t.h AND b.r BETWEEN t.r - 1 AND t.r + 1 AND b.c BETWEEN t.c - 1 AND t.c + 1 GROUP BY t.h, t.r, t.c)
@@ -168,6 +168,7 @@ def _(fx):
 
 @query("p02_canopy", f"""WITH {cover_sql()} SELECT k.h, k.r, k.c, k.dem, coalesce(max(t.v), 0) AS chm FROM fx_cells k LEFT JOIN (SELECT * FROM fx_tiles WHERE tile_ord > 2) t ON t.h = k.h AND t.r = k.r AND t.c = k.c WHERE EXISTS (SELECT 1 FROM cov WHERE inside AND cov.h = k.h AND cov.r = k.r AND cov.c = k.c) GROUP BY k.h, k.r, k.c, k.dem""")
 def _(fx):
+    # without the first two tiles there are gaps to fill
     return J.canopy_per_watershed(fx.tiles.filter("tile_ord > 2"), fx.cells.select("h", "r", "c", "dem"), fx.vertices)
 
 
@@ -218,10 +219,10 @@ def _(fx):
 
 
 @query("p11_raster_patches", f"""WITH {cover_sql(1)}, {TOUCH}, cl AS (SELECT poly_id, CASE WHEN attribute LIKE '%PUB%' OR attribute LIKE 'L1%' OR attribute LIKE 'R2%' THEN 'OWW' WHEN attribute LIKE 'PFO%' THEN 'FSW' WHEN attribute = 'PSS1E' THEN 'SSW' WHEN attribute = 'PEM1C' THEN 'EMW' WHEN attribute = 'PSS1/EM1E' THEN 'SSW' ELSE 'Other' END AS m FROM fx_poly_attr),
- lab AS (SELECT t.h, t.r, t.c, arg_max(m, t.poly_id) AS m FROM tch t JOIN cl USING (poly_id) GROUP BY t.h, t.r, t.c), b AS (SELECT pt_id AS box_id, h, floor(x) - 3 AS xmin, floor(y) - 3 AS ymin, floor(x) + 3 AS xmax, floor(y) + 3 AS ymax FROM fx_points WHERE pt_id % 20 = 0)
+ lab AS (SELECT t.h, t.r, t.c, arg_max(m, t.poly_id) AS m FROM tch t JOIN cl USING (poly_id) GROUP BY t.h, t.r, t.c), b AS (SELECT pt_id AS box_id, h, floor(x) - 3 AS xmin, floor(y) - 3 AS ymin, floor(x) + 3 AS xmax, floor(y) + 3 AS ymax FROM fx_points)
  SELECT b.box_id, k.h, k.r, k.c, k.red, CAST(CASE coalesce(l.m, 'UPL') WHEN 'EMW' THEN 0 WHEN 'FSW' THEN 1 WHEN 'SSW' THEN 2 WHEN 'UPL' THEN 3 WHEN 'OWW' THEN 3 END AS INTEGER) AS mod_class FROM b JOIN fx_cells k ON b.h = k.h AND k.c + 0.5E0 >= xmin AND k.c + 0.5E0 < xmax AND k.r + 0.5E0 >= ymin AND k.r + 0.5E0 < ymax LEFT JOIN lab l ON l.h = k.h AND l.r = k.r AND l.c = k.c""")
 def _(fx):
-    p = fx.points.filter("pt_id % 20 = 0").select(c("pt_id").alias("box_id"), "h", F.floor("x").cast("double").alias("x"), F.floor("y").cast("double").alias("y"))
+    p = fx.points.select(c("pt_id").alias("box_id"), "h", F.floor("x").cast("double").alias("x"), F.floor("y").cast("double").alias("y"))
     return J.raster_patches(fx.cells.select("h", "r", "c", "red"), fx.polys, fx.vertices, G.square(p, 3.0)).select("box_id", "h", "r", "c", "red", "mod_class")
 
 
@@ -232,7 +233,7 @@ def _(fx):
 
 @query("p13_forest")
 def _(fx):
-    return J.forest_report(fx.train, BANDS, "coarse_class", trees=5)
+    return J.forest_report(fx.train, BANDS, "coarse_class", trees=10)
 
 
 @query("p14_prediction_map")

@@ -29,7 +29,7 @@ ZY = "((z1 + 2 * z2 + z3) - (z7 + 2 * z8 + z9)) / 8"
 SLOPE = f"atan(sqrt(pow({ZX}, 2) + pow({ZY}, 2)))"
 
 
-@query("e15_fill_gaps", """WITH t AS (SELECT h, r, c FROM (SELECT unnest(range(4)) AS h), (SELECT unnest(range(64)) AS r), (SELECT unnest(range(64)) AS c))
+@query("e15_fill_gaps", """WITH t AS (SELECT h, r, c FROM (SELECT DISTINCT h FROM fx_cells), (SELECT unnest(range(64)) AS r), (SELECT unnest(range(64)) AS c))
  SELECT t.h, t.r, t.c, coalesce(any_value(k.dem), round(avg(b.dem), 6)) AS dem FROM t LEFT JOIN (SELECT * FROM fx_cells) k ON k.h = t.h AND k.r = t.r AND k.c = t.c LEFT JOIN (SELECT * FROM fx_cells) b ON b.h = t.h AND b.r BETWEEN t.r - 1 AND t.r + 1 AND b.c BETWEEN t.c - 1 AND t.c + 1 GROUP BY t.h, t.r, t.c""")
 def _(fx):
     return rnd(W.fill_gaps(fx.cells, _template(fx), "dem"), "dem")
@@ -37,10 +37,10 @@ def _(fx):
 
 def _template(fx):
     n = lambda k: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(k - 1).cast("long")))
-    return fx.spark.range(4).select(c("id").alias("h"), n(64).alias("r")).select("h", "r", n(64).alias("c"))
+    return fx.cells.select("h").distinct().select("h", n(64).alias("r")).select("h", "r", n(64).alias("c"))
 
 
-@query("e16_fill_holes", """WITH s AS (SELECT h, r, c, dem FROM fx_cells WHERE (r * 7 + c * 3) % 5 <> 0), t AS (SELECT h, r, c FROM (SELECT unnest(range(4)) AS h), (SELECT unnest(range(64)) AS r), (SELECT unnest(range(64)) AS c))
+@query("e16_fill_holes", """WITH s AS (SELECT h, r, c, dem FROM fx_cells WHERE (r * 7 + c * 3) % 5 <> 0), t AS (SELECT h, r, c FROM (SELECT DISTINCT h FROM fx_cells), (SELECT unnest(range(64)) AS r), (SELECT unnest(range(64)) AS c))
  SELECT t.h, t.r, t.c, coalesce(any_value(k.dem), round(avg(b.dem), 6)) AS dem FROM t LEFT JOIN s k ON k.h = t.h AND k.r = t.r AND k.c = t.c LEFT JOIN s b ON b.h = t.h AND b.r BETWEEN t.r - 1 AND t.r + 1 AND b.c BETWEEN t.c - 1 AND t.c + 1 GROUP BY t.h, t.r, t.c HAVING count(b.dem) >= 7""")
 def _(fx):
     return rnd(W.fill_holes(fx.cells.filter((c("r") * 7 + c("c") * 3) % 5 != 0), _template(fx), "dem", least=7), "dem")

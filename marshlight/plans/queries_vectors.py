@@ -130,14 +130,14 @@ def _(fx):
 
 
 def boxes_sql(half: int) -> str:
-    return f"(SELECT pt_id AS box_id, h, floor(x) - {half} AS xmin, floor(y) - {half} AS ymin, floor(x) + {half} AS xmax, floor(y) + {half} AS ymax FROM fx_points WHERE pt_id % 10 = 0)"
+    return f"(SELECT pt_id AS box_id, h, floor(x) - {half} AS xmin, floor(y) - {half} AS ymin, floor(x) + {half} AS xmax, floor(y) + {half} AS ymax FROM fx_points)"
 
 
 _BOXES, _SMALL = boxes_sql(4), boxes_sql(1)
 
 
 def _boxes(fx, half: float = 4.0):
-    p = fx.points.filter("pt_id % 10 = 0").select(c("pt_id").alias("box_id"), "h", F.floor("x").cast("double").alias("x"), F.floor("y").cast("double").alias("y"))
+    p = fx.points.select(c("pt_id").alias("box_id"), "h", F.floor("x").cast("double").alias("x"), F.floor("y").cast("double").alias("y"))
     return G.square(p, half).select("box_id", "h", "xmin", "ymin", "xmax", "ymax")
 
 
@@ -148,8 +148,7 @@ def _(fx):
 
 @query("c12_overlay", f"WITH {cover_sql()} SELECT k.poly_id, z.zone_id, count(*) AS area FROM cov k JOIN fx_zones z ON k.c + 0.5E0 >= z.xmin AND k.c + 0.5E0 < z.xmax AND k.r + 0.5E0 >= z.ymin AND k.r + 0.5E0 < z.ymax WHERE inside GROUP BY k.poly_id, z.zone_id")
 def _(fx):
-    zones = fx.zones.select("zone_id", "xmin", "ymin", "xmax", "ymax", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("h"))
-    return G.box_cells(zones, G.cell_set(fx.vertices), "zone_id").groupBy("poly_id", "zone_id").agg(F.count("*").alias("area"))
+    return G.box_cells(fx.zones, G.cell_set(fx.vertices), "zone_id", on=[]).groupBy("poly_id", "zone_id").agg(F.count("*").alias("area"))
 
 
 @query("c13_difference", f"""WITH {cover_sql()}, bc AS (SELECT box_id, h, ymin, ymax, unnest(range(CAST(xmin AS BIGINT), CAST(xmax AS BIGINT))) AS c FROM {_BOXES}), b2 AS (SELECT box_id, h, c, unnest(range(CAST(ymin AS BIGINT), CAST(ymax AS BIGINT))) AS r FROM bc)
@@ -166,16 +165,23 @@ def _(fx):
     return G.dissolve(cells, ["cowardin"]).groupBy("cowardin").agg(F.count("*").alias("area"))
 
 
-_GROUPS = f"""WITH RECURSIVE {PAIRS}, link AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), reach AS (SELECT poly_id, poly_id AS o FROM fx_poly_attr UNION SELECT r.poly_id, l.b FROM reach r JOIN link l ON l.a = r.o)"""
+def _rounds(n: int = 48) -> str:
+    """Labels fall to the least neighbour's and to their label's label, n times."""
+    steps = "".join(f""", n{i} AS (SELECT v.poly_id, least(v.grp, coalesce(min(o.grp), v.grp)) AS grp FROM l{i} v LEFT JOIN link l ON l.a = v.poly_id LEFT JOIN l{i} o ON o.poly_id = l.b GROUP BY v.poly_id, v.grp),
+ l{i + 1} AS MATERIALIZED (SELECT v.poly_id, o.grp FROM n{i} v JOIN n{i} o ON o.poly_id = v.grp)""" for i in range(n))
+    return f"link AS MATERIALIZED (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs), l0 AS (SELECT poly_id, poly_id AS grp FROM fx_poly_attr){steps}, g AS (SELECT poly_id, grp FROM l{n})"
 
 
-@query("c15_touch_groups", f"{_GROUPS} SELECT poly_id, min(o) AS grp FROM reach GROUP BY poly_id")
+_GROUPS = f"WITH {PAIRS}, {_rounds()}"
+
+
+@query("c15_touch_groups", f"{_GROUPS} SELECT poly_id, grp FROM g")
 def _(fx):
     nodes = fx.polys.select(c("poly_id").alias("node"))
     return connected(G.intersecting(fx.vertices), nodes).select(c("node").alias("poly_id"), c("root").alias("grp"))
 
 
-@query("c16_filter_group_area", f"{_GROUPS}, g AS (SELECT poly_id, min(o) AS grp FROM reach GROUP BY poly_id), a AS (SELECT poly_id, abs(sum(x1 * y2 - x2 * y1)) / 2 AS area FROM e GROUP BY poly_id) SELECT grp, sum(area) AS area FROM g JOIN a USING (poly_id) GROUP BY grp HAVING sum(area) >= 15.5")
+@query("c16_filter_group_area", f"{_GROUPS}, a AS (SELECT poly_id, abs(sum(x1 * y2 - x2 * y1)) / 2 AS area FROM e GROUP BY poly_id) SELECT grp, sum(area) AS area FROM g JOIN a USING (poly_id) GROUP BY grp HAVING sum(area) >= 15.5")
 def _(fx):
     groups = connected(G.intersecting(fx.vertices), fx.polys.select(c("poly_id").alias("node"))).select(c("node").alias("poly_id"), c("root").alias("grp"))
     return groups.join(G.area(fx.vertices), "poly_id").groupBy("grp").agg(F.sum("area").alias("area")).filter("area >= 15.5")
@@ -209,10 +215,10 @@ def _(fx):
 _NET = "(SELECT i, j, i * 8.0E0 AS xmin, j * 8.0E0 AS ymin, i * 8.0E0 + 8 AS xmax, j * 8.0E0 + 8 AS ymax FROM (SELECT unnest(range(8)) AS i), (SELECT unnest(range(8)) AS j))"
 
 
-@query("c21_fishnet", f"WITH {BOX} SELECT i, j FROM {_NET} t WHERE EXISTS (SELECT 1 FROM bx b WHERE b.h = 1 AND b.xmin < t.xmax AND b.xmax > t.xmin AND b.ymin < t.ymax AND b.ymax > t.ymin)")
+@query("c21_fishnet", f"WITH {BOX} SELECT i, j FROM {_NET} t WHERE EXISTS (SELECT 1 FROM bx b WHERE b.xmin < t.xmax AND b.xmax > t.xmin AND b.ymin < t.ymax AND b.ymax > t.ymin)")
 def _(fx):
     net = G.fishnet(fx.zones.agg(*[F.lit(float(v)).alias(k) for k, v in (("xmin", 0), ("ymin", 0), ("xmax", 64), ("ymax", 64))]), 8.0).withColumn("tile_id", c("i") * 8 + c("j"))
-    hit = S.box_pairs(net, G.bbox(fx.vertices).filter("h = 1"), "tile_id", "poly_id", [])
+    hit = S.box_pairs(net, G.bbox(fx.vertices), "tile_id", "poly_id", [])
     return net.join(hit, "tile_id", "left_semi").select("i", "j")
 
 
@@ -283,9 +289,9 @@ def _(fx):
     return fx.zones.join(S.polys_meet_zones(lakes, fx.zones), "zone_id", "left_semi").select("zone_id")
 
 
-@query("d08_isolated", "SELECT pt_id FROM fx_points p WHERE pt_id < 640 AND NOT EXISTS (SELECT 1 FROM fx_points q WHERE q.pt_id < 640 AND q.h = p.h AND q.pt_id <> p.pt_id AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 6.25E0)")
+@query("d08_isolated", "SELECT pt_id FROM fx_points p WHERE NOT EXISTS (SELECT 1 FROM fx_points q WHERE q.h = p.h AND q.pt_id <> p.pt_id AND (p.x - q.x) * (p.x - q.x) + (p.y - q.y) * (p.y - q.y) <= 6.25E0)")
 def _(fx):
-    return S.isolated(fx.points.filter("pt_id < 640"), 2.5).select("pt_id")
+    return S.isolated(fx.points, 2.5).select("pt_id")
 
 
 @query("d09_thin")
