@@ -8,68 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, remove, text_bytes
+from .shingles import LANES, ODD, Groups, Shingles, mix, signatures
 from .simhash import components
 
-LANES, CHUNK = 32, 4  # numbers of 16 bits in a signature of the index and in each of its chunks
+CHUNK = 4  # numbers of 16 bits in each chunk of a signature
 WIDE = 128  # numbers of 8 bits in the signature that tells candidates apart
-_ODD = np.uint64(0x9E3779B97F4A7C15)
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijection of 64-bit numbers that spreads every bit."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(32))
-
-
-class Shingles:
-    """Sets of 64-bit hashes of a text's lower-cased (A-Z) word shingles. Hashes of short words are remembered, at
-    most ``cache`` of them; the memory restarts when full."""
-
-    def __init__(self, words: int, cache: int = 300_000):
-        import xxhash
-
-        self.words, self.digest = words, xxhash.xxh3_64_intdigest
-        outer = self
-
-        class Known(dict):
-            def __missing__(self, word):
-                h = outer.digest(word)
-                if len(word) <= 32:
-                    if len(self) >= cache:
-                        self.clear()
-                    self[word] = h
-                return h
-
-        self.known = Known()
-
-    def __call__(self, text: bytes) -> np.ndarray:
-        """Ascending distinct hashes; fewer words than a shingle has are one, no words none."""
-        words = text.lower().split()
-        n = len(words) - self.words + 1
-        if n < 1:
-            return np.array([self.digest(b" ".join(words), seed=len(words))] if words else [], np.uint64)
-        w = np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
-        h = w[:n].copy()
-        for i in range(1, self.words):
-            h = mix(h) * _ODD + w[i : n + i]
-        return np.unique(mix(h))
-
-
-def signatures(sets: list[np.ndarray], lanes: int = LANES, bits: int = 16, most: int = 1 << 19) -> np.ndarray:
-    """The sets' signatures: for each lane ``bits`` bits of the set's least number under the lane's bijection; zeros for
-    an empty set. Sets are taken together up to about ``most`` hashes."""
-    out = np.zeros((len(sets), lanes), np.uint16 if bits > 8 else np.uint8)
-    turns = mix((np.arange(2 * lanes, dtype=np.uint64) + np.uint64(lanes << 20)) * _ODD)
-    ends = np.cumsum([len(s) for s in sets])
-    filled = np.flatnonzero([len(s) for s in sets])
-    for part in np.split(filled, np.flatnonzero(np.diff(ends[filled] // most)) + 1) if len(filled) else ():
-        flat = np.concatenate([sets[i] for i in part])
-        starts = np.concatenate([[0], np.cumsum([len(sets[i]) for i in part])[:-1]])
-        for k in range(lanes):
-            least = np.minimum.reduceat((flat ^ turns[k]) * (turns[lanes + k] | np.uint64(1)), starts)
-            out[part, k] = mix(least) >> np.uint64(64 - bits)
-    return out
 
 
 def patterns(sig: np.ndarray) -> np.ndarray:
@@ -82,7 +25,7 @@ def patterns(sig: np.ndarray) -> np.ndarray:
             h = np.full(len(sig), c + wrong + 1, np.uint64)
             for k in range(CHUNK):
                 if k != wrong:
-                    h = mix(h * _ODD + sig[:, c + k].astype(np.uint64))
+                    h = mix(h * ODD + sig[:, c + k].astype(np.uint64))
             keys.append(h)
     return np.array(keys).T.view(np.int64)
 
@@ -109,9 +52,10 @@ def _sets(words: int):
         shingles = Shingles(words)
         for b in batches:
             sets = [shingles(x.as_buffer().to_pybytes()) for x in b.column(0)]
-            wide = [x.tobytes() for x in signatures(sets, WIDE, 8)]
             raw = [s.astype("<u8").tobytes() for s in sets]
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in ([xxhash.xxh3_128_digest(s) for s in raw], raw, wide)], names=["node", "set", "wide"])
+            sig, wide = [x.tobytes() for x in signatures(sets).astype("<u2")], [x.tobytes() for x in signatures(sets, WIDE, 8)]
+            node, raw, sig, wide = (pa.array(x, pa.binary()) for x in ([xxhash.xxh3_128_digest(s) for s in raw], raw, sig, wide))
+            yield pa.RecordBatch.from_arrays([node, raw, pa.array([len(s) for s in sets], pa.int64()), sig, wide], names=["node", "set", "size", "sig", "wide"])
 
     return run
 
@@ -124,69 +68,57 @@ def _keys(batches):
         yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.tile(np.arange(n, dtype=np.int32), len(sig))), b.column(0).take(pa.array(np.repeat(np.arange(len(sig)), n)))], names=["key", "p", "node"])
 
 
-def _confirm(percent: int):
-    """Whether 100 * shared hashes reach ``percent`` * all hashes of the two sets."""
-
-    def run(batches):
-        for b in batches:
-            same = []
-            for x, y in zip(b.column(2), b.column(3), strict=True):
-                x, y = (np.frombuffer(v.as_buffer(), "<u8") for v in (x, y))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                same.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(same, pa.bool_())], names=["a", "b", "same"])
-
-    return run
+def _meet(percent: int, far: int, exact: bool, wide: int = 1 << 20):
+    """For each (key, cell): pairs of members whose wide signatures differ in at most ``far`` numbers and whose sizes let
+    them be alike, each pair in the first key that both share. Gives the members of such pairs (``node``, with their
+    ``side``), or, once these have their sets, the pairs that are ``exact`` links and join groups."""
 
-
-def _pairs(percent: int, far: int, nearest: bool, wide: int = 1 << 20):
-    """Of each (key, cell): pairs of members of different groups whose wide signatures differ in at most ``far`` lanes
-    and whose sizes let them be alike, each in the first key that both share; or only each member's nearest one."""
-
-    def pick(left, right, p, same):
-        node, comp, size, sig, more = left
+    def candidates(left, right, p, same):
+        size, sig, more = left
         step = max(1, wide // max(1, len(right[0])))
-        for s in range(0, len(node), step):
-            differ = (more[s : s + step, None, :] != right[4][None, :, :]).sum(2)
-            a, b = size[s : s + step, None], right[2][None, :]
-            ok = (differ <= far) & (comp[s : s + step, None] != right[1][None, :]) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b))
-            if same and not nearest:
-                ok &= node[s : s + step, None] < right[0][None, :]
-            if nearest:
-                best = np.where(ok, differ, WIDE + 1)
-                i = np.flatnonzero(best.min(1, initial=WIDE + 1) <= far)
-                j = best[i].argmin(1)
+        for s in range(0, len(size), step):
+            differ = (more[s : s + step, None, :] != right[2][None, :, :]).sum(2)
+            x, y = size[s : s + step, None], right[0][None, :]
+            ok = (differ <= far) & (100 * np.minimum(x, y) >= percent * np.maximum(x, y))
+            if same:
+                ok &= np.arange(s, s + len(differ))[:, None] < np.arange(len(right[0]))[None, :]
+            i, j = np.nonzero(ok)
+            # the first chunk with one wrong number at most, and in it the first that may be the wrong one
+            wrong = (sig[s + i] != right[1][j]).reshape(-1, LANES // CHUNK, CHUNK)
+            chunk = (wrong.sum(2) <= 1).argmax(1)
+            mine = chunk * CHUNK + wrong[np.arange(len(i)), chunk].argmax(1) == p
+            yield s + i[mine], j[mine], differ[i[mine], j[mine]]
+
+    def work(key, held):
+        arrays = [(np.array([r[1] for r in h]), np.frombuffer(b"".join(r[2] for r in h), "<u2").reshape(-1, LANES), np.frombuffer(b"".join(r[3] for r in h), np.uint8).reshape(-1, WIDE)) for h in held if h]
+        nodes = [r[0] for h in held for r in h]
+        shift = len(held[0]) if held[1] else 0
+        groups = Groups([np.frombuffer(r[4], "<u8") for h in held for r in h], percent) if exact else None
+        asked = np.zeros(len(nodes), bool)
+        for i, j, differ in candidates(arrays[0], arrays[-1], key[2], len(arrays) == 1):
+            if exact:
+                found = list(groups.join(i, j + shift, differ))
+                if found:
+                    a, b = zip(*found, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([nodes[x] for x in e], pa.binary()) for e in (a, b)], names=["a", "b"])
             else:
-                i, j = np.nonzero(ok)
-                # the first chunk with one wrong lane at most, and in it the first lane that may be the wrong one
-                wrong = (sig[s + i] != right[3][j]).reshape(-1, LANES // CHUNK, CHUNK)
-                chunk = (wrong.sum(2) <= 1).argmax(1)
-                mine = chunk * CHUNK + wrong[np.arange(len(i)), chunk].argmax(1) == p
-                i, j = i[mine], j[mine]
-            if len(i):
-                x, y = node[s + i], right[0][j]
-                yield np.minimum(x, y), np.maximum(x, y)
+                asked[i] = asked[j + shift] = True
+        if asked.any():
+            at = np.flatnonzero(asked)
+            keys = [pa.array([k] * len(at), t) for k, t in zip(key, (pa.int64(), pa.int32(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array((at >= shift if shift else np.zeros(len(at))).astype(np.int32)), pa.array([nodes[x] for x in at], pa.binary())], names=["key", "cell", "p", "side", "node"])
 
     def run(batches):
         now, held = None, ([], [])
-
-        def flush():
-            if held[0]:
-                # ids of nodes and groups as their ranks in the cell
-                ids, groups = (sorted({r[k] for h in held for r in h}) for k in (0, 1))
-                rank = [{v: n for n, v in enumerate(x)} for x in (ids, groups)]
-                sides = [(*(np.array([rank[k][r[k]] for r in h], np.int64) for k in (0, 1)), np.array([r[2] for r in h]), np.frombuffer(b"".join(r[3] for r in h), "<u2").reshape(-1, LANES), np.frombuffer(b"".join(r[4] for r in h), np.uint8).reshape(-1, WIDE)) for h in held if h]
-                for x, y in pick(sides[0], sides[-1], now[2], len(sides) == 1):
-                    yield pa.RecordBatch.from_arrays([pa.array([ids[k] for k in e], pa.binary()) for e in (x, y)], names=["a", "b"])
-
         for b in batches:
-            cols = [c.to_pylist() for c in b.columns]
-            for key, cell, p, side, *row in zip(*cols, strict=True):
+            for key, cell, p, side, *row in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 if (key, cell, p) != now:
-                    yield from flush()
+                    if held[0]:
+                        yield from work(now, held)
                     now, held = (key, cell, p), ([], [])
                 held[side].append(row)
-        yield from flush()
+        if held[0]:
+            yield from work(now, held)
 
     return run
 
@@ -206,32 +138,30 @@ class _Scratch:
         remove(self.spark, *self.paths)
 
 
-def _candidates(members: DataFrame, nodes: DataFrame, sets: DataFrame, roots: DataFrame, percent: int, far: int, nearest: bool, block: int) -> DataFrame:
-    """Candidate pairs between different groups: the keys that still hold members of two, cut into pairs of blocks of
-    about ``block`` members, so that no key is collected whole."""
-    told = members.join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left").select("key", "p", "node", F.coalesce("root", "node").alias("comp"))
-    open_keys = told.groupBy("key").agg(F.count("*").alias("n"), F.min("comp").alias("low"), F.max("comp").alias("high")).filter("low <> high").select("key", F.ceil(F.col("n") / block).cast("int").alias("parts"))
-    told = told.join(open_keys, "key").join(nodes.select("node", "size", "sig"), "node").join(sets.select("node", "wide"), "node")
+def _cells(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """Members of keys with more than one, keys being cut into pairs of blocks of about ``block`` members, so that no key
+    is collected whole."""
+    told = members.withColumn("parts", F.ceil(F.col("n") / block).cast("int")).join(sets.select("node", "size", "sig", "wide"), "node")
     i, j, parts = F.col("i"), F.col("j"), F.col("parts")
     told = told.withColumn("i", F.pmod(F.xxhash64("node"), parts).cast("int")).withColumn("j", F.explode(F.sequence(F.lit(0), parts - 1)))
-    cells = told.select("key", (F.least(i, j) * parts + F.greatest(i, j)).alias("cell"), "p", F.when(i <= j, 0).otherwise(1).alias("side"), "node", "comp", "size", "sig", "wide")
-    return cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "p").mapInArrow(_pairs(percent, far, nearest), "a binary, b binary")
+    cells = told.select("key", (F.least(i, j) * parts + F.greatest(i, j)).alias("cell"), "p", F.when(i <= j, 0).otherwise(1).alias("side"), "node", "size", "sig", "wide")
+    return cells.repartition("key", "cell").sortWithinPartitions("key", "cell", "p", "side")
 
 
-def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 50, block: int = 2048, rounds: int = 2, small: int = 500_000) -> tuple[DataFrame, DataFrame, DataFrame]:
+def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 50, block: int = 2048, small: int = 500_000) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Rows (``doc_id, size, node``; ``node`` is a hash of the row's set of word shingles, null for an empty one), the
     distinct sets (``node, low``: the least id) and ``node, root`` of the sets that are linked to others.
 
     **Index.** A signature is 32 numbers of 16 bits, cut into 8 chunks. Two sets are candidates if some chunk has one
     wrong number at most: the allowed errors of a chunk are enumerated as keys, one for each number that may be wrong. By
     pigeonhole, all pairs that differ in 15 numbers or fewer are found. Sets alike to 0.8 differ in 6.4 on average; one
-    in a million such pairs shares no key.
+    in a million such pairs shares no key. Wide signatures (128 numbers of 8 bits) tell candidates apart: one in a million
+    pairs alike to 0.8 differs in more than ``far``.
 
-    **Links.** Every link is confirmed on the two full sets, and only confirmed links join groups: first each set with
-    the least one that shares a key, then for at most ``rounds`` rounds each set with the nearest one of another group,
-    while that confirms any; then all pairs left between different groups, without a bound on their number, whose wide
-    signatures (128 numbers of 8 bits) differ in at most ``far`` (one in a million pairs alike to 0.8 differs in
-    more) and whose sizes allow it. Pairs inside a group are never listed. Keys with many members are cut into pairs of blocks.
+    **Links.** Members that have a candidate in a key are sent there once more with their full sets. There every candidate
+    pair is compared on the full sets, unless confirmed links have joined the two already, and only links that
+    join groups leave the task. So no link is lost and no pairs of a group are listed. Keys with many members are cut
+    into pairs of blocks, and a pair is looked at in the first key that it shares.
     """
     spark, s = docs.sparkSession, _Scratch(docs.sparkSession)
     rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b")).select("doc_id", "b", F.xxhash64("b").alias("text_hash"))
@@ -240,46 +170,19 @@ def link_sets(docs: DataFrame, words: int = 4, percent: int = 80, far: int = 50,
     one = F.min(F.struct("text_hash", "doc_id")).alias("one")
     nodes, _ = materialize(prints.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("low"), one, F.first("size").alias("size"), F.first("sig").alias("sig")), "nodes")
     keyed = nodes.select("node", "sig").mapInArrow(_keys, "key long, p int, node binary")
-    heads = keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("head")).filter("n > 1").select(F.col("key").alias("k"), "head")
-    members = s.keep(keyed.join(heads, F.col("key") == F.col("k")).select("key", "p", "node", "head"), "members")
-    star = s.keep(members.filter("node <> head").groupBy("node").agg(F.min("head").alias("a")).select("a", F.col("node").alias("b")), "star")
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").withColumnRenamed("key", "k")
+    members = s.keep(keyed.join(shared, F.col("key") == F.col("k")).select("key", "p", "node", "n"), "members")
     used = members.select("node").distinct().join(nodes, "node").select("one.*").withColumnsRenamed({"text_hash": "h", "doc_id": "i"})
     used = s.keep(used, "used")
     # texts stay where they are while the list of those asked for is small; beyond that both are shuffled
     asked = F.broadcast(used) if used.count() <= small else used
     texts = rows.join(asked, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i")), "left_semi").select("b")
-    sets = s.keep(texts.mapInArrow(_sets(words), "node binary, set binary, wide binary").dropDuplicates(["node"]), "sets")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-        return s.keep(both.select("a", "b", "x", "y").mapInArrow(_confirm(percent), "a binary, b binary, same boolean"), "judged")
-
-    judged = confirmed(star)
-    links = judged.filter("same").select("a", "b")
-
-    def grouped(links: DataFrame, old: list[str]) -> tuple[DataFrame, list[str]]:
-        s.paths += old
-        return components(links)
-
-    roots, held = grouped(links, [])
-    for step in range(rounds + 1):
-        last = step == rounds
-        pairs = _candidates(members, nodes, sets, roots, percent, far, not last, block)
-        pairs = s.keep((pairs if last else pairs.distinct()).join(judged.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        more = confirmed(pairs)
-        judged, found = judged.unionByName(more), more.filter("same").select("a", "b")
-        if found.limit(1).count():
-            links = links.unionByName(found)
-            roots, held = grouped(links, held)
-        elif not last:
-            # nothing new between nearest ones: all that is left follows now
-            pairs = _candidates(members, nodes, sets, roots, percent, far, False, block)
-            pairs = s.keep(pairs.join(judged.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-            more = confirmed(pairs)
-            found = more.filter("same").select("a", "b")
-            if found.limit(1).count():
-                roots, held = grouped(links.unionByName(found), held)
-            break
+    sets = s.keep(texts.mapInArrow(_sets(words), "node binary, set binary, size long, sig binary, wide binary").dropDuplicates(["node"]), "sets")
+    met = s.keep(_cells(members, sets, block).mapInArrow(_meet(percent, far, False), "key long, cell int, p int, side int, node binary"), "met")
+    whole = met.join(sets, "node").select("key", "cell", "p", "side", "node", "size", "sig", "wide", "set")
+    whole = whole.repartition("key", "cell").sortWithinPartitions("key", "cell", "p", "side")
+    links = s.keep(whole.mapInArrow(_meet(percent, far, True), "a binary, b binary"), "links")
+    roots, _ = components(links)
     s.clear()
     return prints.select("doc_id", "size", "node"), nodes.select("node", "low"), roots
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, remove, text_bytes
-from .packed import pack, unpack
+from .shingles import Groups, Shingles, signatures
 
 SEED = 42
 FAN = 16
@@ -212,16 +212,24 @@ def link_fingerprints(nodes: DataFrame, most: int = 4, keep: int = 1, most2: int
     group of its own, so no group is collected whole. Inside, two Gray-order trees are walked against each other.
     """
     nodes = nodes if "comp" in nodes.columns else nodes.withColumn("comp", F.col("node"))
+    cells = in_cells(nodes.select("node", "fp", "fp2", "comp"), most, keep, block)
+    return cells.mapInArrow(_blocks(most, most2), "a long, b long")
+
+
+def in_cells(nodes: DataFrame, most: int, keep: int, block: int) -> DataFrame:
+    """``nodes`` once for each (table, value, cell) in which they meet others: ``p, v, c, side`` and their own columns, one
+    cell after another."""
+    own_columns = nodes.columns
     values = F.array(*[_value(F.col("fp"), runs) for runs in tables(most, keep)])
-    keyed = nodes.select("node", "fp", "fp2", "comp", F.posexplode(values).alias("p", "v"))
+    keyed = nodes.select(*own_columns, F.posexplode(values).alias("p", "v"))
     sizes = keyed.groupBy("p", "v").agg(F.count("*").alias("n")).filter("n > 1")
     placed = keyed.join(sizes, ["p", "v"]).withColumn("parts", F.ceil(F.col("n") / F.lit(block)).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # sub-block i meets j >= i in cell i * parts + j, as side 0 and as side 1; cell (i, i) holds one side only
     here, there = F.least(F.col("i"), F.col("j")), F.greatest(F.col("i"), F.col("j"))
-    cells = placed.withColumn("i", own).select("p", "v", "node", "fp", "fp2", "comp", "i", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
-    cells = cells.select("p", "v", (here * F.col("parts") + there).alias("c"), F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), "node", "fp", "fp2", "comp")
-    return cells.repartition("p", "v", "c").sortWithinPartitions("p", "v", "c").mapInArrow(_blocks(most, most2), "a long, b long")
+    cells = placed.withColumn("i", own).select("p", "v", *own_columns, "i", "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"))
+    cells = cells.select("p", "v", (here * F.col("parts") + there).alias("c"), F.when(F.col("i") <= F.col("j"), 0).otherwise(1).alias("side"), *own_columns)
+    return cells.repartition("p", "v", "c").sortWithinPartitions("p", "v", "c")
 
 
 def components(edges: DataFrame, rounds: int = 60) -> tuple[DataFrame, list[str]]:
@@ -271,117 +279,126 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = 4, keep: int
     return rows.join(named, "node").select("doc_id", digits.alias("fingerprint"), "component_id", "text_hash")
 
 
-def shingle_set(text: bytes, words: int) -> np.ndarray:
-    """Ascending 32-bit hashes of the text's distinct lower-cased (A-Z) word shingles; fewer words are one shingle."""
-    import xxhash
-
-    w = text.lower().split()
-    n = max(1, len(w) - words + 1) if w else 0
-    return np.unique(np.fromiter((xxhash.xxh32_intdigest(b" ".join(w[i : i + words])) for i in range(n)), np.uint32, n))
+def _signed(shingle: int, words: int):
+    """Fingerprint, size of the set of word shingles and its MinHash signature, of every row."""
 
+    def run(batches):
+        shingles = Shingles(words)
+        for b in batches:
+            raw = [x.as_buffer().to_pybytes() for x in b.column(1)]
+            fps = np.array([fingerprint(x, shingle) for x in raw], "<u8").view("<i8")
+            sets = [shingles(x) for x in raw]
+            sig = signatures(sets).astype("<u2")
+            cols = [b.column(0), pa.array(fps), pa.array([len(s) for s in sets], pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary()), b.column(2)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "fp", "size", "sig", "text_hash"])
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Shared share of two sets (1 for two empty ones)."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
+    return run
 
 
-def _compare(least: float):
+def _word_sets(words: int):
     def run(batches):
+        shingles = Shingles(words)
         for b in batches:
-            x, y = (b.column(c) for c in (2, 3))
-            same = [similarity(*(np.cumsum(unpack(v[i].as_buffer(), "<u4"), dtype=np.uint32) for v in (x, y))) for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(np.array(same) >= least)], names=["a", "b", "same"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(x.as_buffer().to_pybytes()).astype("<u8").tobytes() for x in b.column(1)], pa.binary())], names=["node", "set"])
+
+    return run
+
+
+def _alike(most: int, runs: list, far: int, percent: int, exact: bool):
+    """For each (table, value, cell): pairs of texts whose fingerprints differ in at most ``most`` bits, whose signatures
+    differ in at most ``far`` numbers and whose sizes let them be alike, each pair in the first table where both meet. Gives
+    the members of such pairs, or, once these have their sets, the pairs that are ``exact`` links and join groups."""
+    masks = np.array([sum(((1 << w) - 1) << a for a, w in t) for t in runs], np.uint64)
+
+    def work(key, held):
+        x = GrayIndex(np.array([r[1] for r in held[0]], np.int64).view("<u8"))
+        y = GrayIndex(np.array([r[1] for r in held[1]], np.int64).view("<u8")) if held[1] else x
+        rows = [held[0][i] for i in x.order] + ([held[1][i] for i in y.order] if held[1] else [])
+        shift = len(held[0]) if held[1] else 0
+        node, fp, size = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
+        fp, sig = fp.view("<u8"), np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(len(rows), -1)
+        groups = Groups([np.frombuffer(r[4], "<u8") for r in rows], percent) if exact else None
+        asked = np.zeros(len(rows), bool)
+        for a, b in x.links(y, most):
+            b = b + shift
+            ok = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
+            for m in masks[: key[0]]:
+                ok &= ((fp[a] ^ fp[b]) & m) != 0
+            a, b = a[ok], b[ok]
+            for s in range(0, len(a), 65536):
+                i, j = a[s : s + 65536], b[s : s + 65536]
+                differ = (sig[i] != sig[j]).sum(1)
+                near = differ <= far
+                if exact:
+                    found = list(groups.join(i[near], j[near], differ[near]))
+                    if found:
+                        yield pa.RecordBatch.from_arrays([pa.array(node[list(e)]) for e in zip(*found, strict=True)], names=["a", "b"])
+                else:
+                    asked[i[near]] = asked[j[near]] = True
+        if asked.any():
+            at = np.flatnonzero(asked)
+            keys = [pa.array([k] * len(at), t) for k, t in zip(key, (pa.int32(), pa.int64(), pa.int32()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*keys, pa.array((at >= shift if shift else np.zeros(len(at))).astype(np.int32)), pa.array(node[at])], names=["p", "v", "c", "side", "node"])
+
+    def run(batches):
+        now, held = None, ([], [])
+        for batch in batches:
+            for p, v, c, side, *row in zip(*[x.to_pylist() for x in batch.columns], strict=True):
+                if (p, v, c) != now:
+                    if held[0]:
+                        yield from work(now, held)
+                    now, held = (p, v, c), ([], [])
+                held[side].append(row)
+        if held[0]:
+            yield from work(now, held)
 
     return run
 
 
-def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 8, keep: int | None = None, words: int = 5, least: float = 0.8, wide: int = 20) -> tuple[DataFrame, DataFrame]:
+def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 11, keep: int | None = None, words: int = 5, percent: int = 80, far: int = 17, block: int = 16384, small: int = 500_000) -> tuple[DataFrame, DataFrame]:
     """Texts (``text_hash, low``: the least (has no id, id) of their rows) and ``node, root`` of those that are linked
-    to others: by steps between texts whose sets of ``words``-word shingles are alike to ``least`` or more.
+    to others: by steps between texts whose sets of ``words``-word shingles are alike to ``percent`` in a hundred or more.
 
-    Fingerprints over ``shingle`` words within ``most`` bits (and over ``words`` words within ``wide``) are candidates:
-    each cell of the index gives as many of its pairs as connect all. A pair is decided by the two texts' whole sets
-    of shingles: first one pair per text, that with the least other one; then the pairs that still lie between
-    different groups, all of them where they are as few as the texts, else one for each two groups until a round
-    confirms none. So the sets that are compared grow with the texts, not with the pairs of a group.
+    The Gray-order index over fingerprints of ``shingle`` words finds the pairs within ``most`` bits. Nodes carry MinHash
+    signatures of 32 numbers, which tell candidates apart where they meet (``far``: one pair in a hundred thousand that are
+    alike to 0.8 differs in more). Members that have a candidate in a cell of the index are sent there once more with their
+    whole sets; every candidate pair is compared on these, unless confirmed links have joined the two already, and only
+    links that join groups leave the task. So no candidate is passed over for another and no pairs of a group are listed.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b"))
-    prints, prints_path = materialize(fingerprints(docs, shingle, words), "fp")
+    rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b")).withColumn("text_hash", F.xxhash64("b"))
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    prints, prints_path = materialize(rows.mapInArrow(_signed(shingle, words), f"doc_id {kind}, fp long, size long, sig binary, text_hash long"), "fp")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    texts, _ = materialize(prints.groupBy("text_hash").agg(F.min(order).alias("low"), F.first("fp").alias("fp"), F.first("fp2").alias("fp2")), "first")
-    remove(spark, prints_path)
-    # texts that share both fingerprints are tried against one of them
-    head = texts.groupBy("fp", "fp2").agg(F.min("text_hash").alias("node"))
-    heads, heads_path = materialize(head, "heads")
-    keep = keep or runs_to_keep(most, heads.count(), 4096)
-    alike = texts.join(heads, ["fp", "fp2"]).filter("text_hash <> node").select(F.col("text_hash").alias("a"), F.col("node").alias("b"))
-
-    def distinct(pairs: DataFrame) -> DataFrame:
-        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-    tried, tried_path = materialize(distinct(alike.union(link_fingerprints(heads, most, keep, wide))), "pairs")
-
-    def sets_of(batches):
-        for b in batches:
-            got = [pack(np.diff(shingle_set(x.as_buffer().to_pybytes(), words), prepend=np.uint32(0))) for x in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.binary())], names=["node", "set"])
-
-    used = tried.select("a").union(tried.select("b")).distinct().join(texts, F.col("a") == F.col("text_hash")).select("text_hash", "low")
-    met = rows.withColumn("h", F.xxhash64("b")).join(used, (F.col("h") == F.col("text_hash")) & F.col("doc_id").eqNullSafe(F.col("low.id")))
-    sets, sets_path = materialize(met.select("h", "b").mapInArrow(sets_of, "node long, set binary").dropDuplicates(["node"]), "sets")
-    done, linear = [], 2 * heads.count()
-
-    def judge(pairs: DataFrame) -> DataFrame:
-        both = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("y")), "b")
-        judged, path = materialize(both.select("a", "b", "x", "y").mapInArrow(_compare(least), "a long, b long, same boolean"), "judged")
-        done.append(path)
-        return judged
-
-    def between(pairs: DataFrame, roots: DataFrame) -> DataFrame:
-        """The pairs whose ends lie in different groups (``in_a``, ``in_b``)."""
-        ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"in_{c}")) for c in ("a", "b")]
-        met = pairs.join(ends[0], "a", "left").join(ends[1], "b", "left")
-        met, path = materialize(met.select("a", "b", *[F.coalesce(f"in_{c}", c).alias(f"in_{c}") for c in ("a", "b")]).filter("in_a <> in_b"), "rest")
-        done.append(path)
-        return met
-
-    judged = judge(materialize(tried.groupBy("b").agg(F.min("a").alias("a")), "picked")[0])
-    roots = follow(judged.filter("same").select(F.col("b").alias("node"), F.col("a").alias("root")))
-    rest = between(tried.join(judged, ["a", "b"], "left_anti"), roots)
-    while n := rest.count():
-        every = n <= linear
-        judged = judge(rest if every else rest.groupBy(F.least("in_a", "in_b").alias("p"), F.greatest("in_a", "in_b").alias("q")).agg(F.min(F.struct("a", "b")).alias("ab")).select("ab.*"))
-        right = judged.filter("same")
-        if not right.limit(1).count():
-            break
-        links = rest.join(right, ["a", "b"]).select(F.col("in_a").alias("a"), F.col("in_b").alias("b"))
-        over = components(links)[0].withColumnsRenamed({"node": "mid", "root": "top"})
-        lone = over.join(roots, F.col("mid") == F.col("node"), "left_anti").select(F.col("mid").alias("node"), F.col("top").alias("root"))
-        roots = roots.join(over, F.col("root") == F.col("mid"), "left").select("node", F.coalesce("top", "root").alias("root")).union(lone)
-        roots, _ = materialize(roots, "roots")
-        if every:
-            break
-        rest = between(rest.select("a", "b").join(judged, ["a", "b"], "left_anti"), roots)
-    remove(spark, heads_path, tried_path, sets_path, *done)
+    texts, _ = materialize(prints.groupBy("text_hash").agg(F.min(order).alias("low"), *[F.first(c).alias(c) for c in ("fp", "size", "sig")]), "first")
+    old = [prints_path]
+
+    def kept(df: DataFrame, tag: str) -> DataFrame:
+        out, path = materialize(df, tag)
+        old.append(path)
+        return out
+
+    # texts without words are alike, and equal to nothing else: they take no part in the index
+    empty = texts.filter("size = 0").select(F.col("text_hash").alias("b"))
+    bare = empty.select(F.lit(empty.agg(F.min("b")).first()[0]).cast("long").alias("a"), "b").filter("a <> b")
+    nodes = texts.filter("size > 0").select(F.col("text_hash").alias("node"), "fp", "size", "sig")
+    keep = keep or runs_to_keep(most, texts.count(), block)
+    how = (most, tables(most, keep), far, percent)
+    cells = in_cells(nodes.select("node", "fp", "size", "sig"), most, keep, block)
+    met = kept(cells.mapInArrow(_alike(*how, False), "p int, v long, c int, side int, node long"), "met")
+    used = kept(met.select("node").distinct().join(texts, F.col("node") == F.col("text_hash")).select(F.col("node").alias("h"), F.col("low.id").alias("i")), "used")
+    # texts stay where they are while the list of those asked for is small; beyond that both are shuffled
+    asked = F.broadcast(used) if used.count() <= small else used
+    own = rows.join(asked, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i")), "left_semi")
+    sets = kept(own.select("text_hash", "b").mapInArrow(_word_sets(words), "node long, set binary").dropDuplicates(["node"]), "sets")
+    whole = met.join(nodes, "node").join(sets, "node").select("p", "v", "c", "side", "node", "fp", "size", "sig", "set")
+    whole = whole.repartition("p", "v", "c").sortWithinPartitions("p", "v", "c", "side")
+    links = kept(whole.mapInArrow(_alike(*how, True), "a long, b long"), "links")
+    roots, _ = components(links.union(bare))
+    remove(spark, *old)
     return texts.select("text_hash", "low"), roots
 
 
-def follow(parents: DataFrame, rounds: int = 64) -> DataFrame:
-    """``node, root`` from each node's smaller parent (``node, root``): every round doubles the steps taken."""
-    labels, path = materialize(parents, "labels")
-    for _ in range(rounds):
-        up = labels.select(F.col("node").alias("root"), F.col("root").alias("up"))
-        new, new_path = materialize(labels.join(up, "root", "left").select("node", F.coalesce("up", "root").alias("root"), F.col("up").isNotNull().alias("moved")), "labels")
-        moved = new.filter("moved").limit(1).count()
-        remove(parents.sparkSession, path)
-        labels, path = new.select("node", "root"), new_path
-        if not moved:
-            return labels
-    raise RuntimeError("parents do not end")
-
-
 def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, all columns, of which one stays from each group of ``similar_texts``: that with the smallest
     id (null ids last; then the smallest hash of the text), once where rows repeat.

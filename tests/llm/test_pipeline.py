@@ -1,6 +1,7 @@
 """Each stage of the pipeline against a brute-force version of what it decides, on its own input."""
 
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from marshlight.llm import mixing, quality
+from marshlight.llm import mixing, quality, simhash
 from marshlight.llm.common import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -99,7 +100,15 @@ def test_stages_on_odd_rows(spark, stages):
         got = stage(spark, df, SF)
         if name != P.STAGES[-1][0]:
             assert got.columns == df.columns and got.dtypes == df.dtypes, name
-        assert got.count() >= 0
+        if name == P.STAGES[-1][0]:
+            continue
+        left = Counter((r.doc_id, r.text) for r in got.select("doc_id", "text").collect())
+        given = Counter((r[0], r[1]) for r in rows)
+        if name == "source mixing":  # up to three copies of what it takes
+            assert all(k in given and n <= 3 * given[k] for k, n in left.items())
+        else:  # no stage makes rows; only the repeats stage changes texts
+            assert sum(left.values()) <= len(rows) and {k[0] for k in left} <= {r[0] for r in rows}
+            assert name == "repeated strings" or all(n <= given[k] for k, n in left.items())
     kept = P.drop_near_copies(spark, df, SF).toPandas()
     assert sorted(kept.doc_id.dropna()) == [1, 2, 4] and len(kept) == 4
     cut = {r.doc_id: r.text for r in P.drop_repeats(spark, df, SF).collect()}
@@ -131,3 +140,62 @@ def test_token_stage(stages):
         e = sp.encode(r.text or "") + [sp.eos_id()]
         want[r.doc_id, len(e), hashlib.sha256(" ".join(map(str, e)).encode()).hexdigest()] += 1
     assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in out[5].collect()) == want
+
+
+def pairs_alike(texts):
+    """All pairs of texts alike to 0.8 in five-word shingles, by an inverted list."""
+    low = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets, held = [], {}
+    for t in texts:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").translate(low))
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    for j, s in enumerate(sets):
+        both = Counter(i for x in s for i in held.get(x, ()))
+        yield from ((i, j) for i, n in both.items() if n >= 0.8 * (len(s) + len(sets[i]) - n))
+        for x in s:
+            held.setdefault(x, []).append(j)
+
+
+def root_of(spark, df):
+    rows = {r.text or "": r.h for r in df.selectExpr("text", "xxhash64(cast(coalesce(text, '') AS binary)) AS h").collect()}
+    _, roots = simhash.similar_texts(df)
+    label = {r.node: r.root for r in roots.collect()}
+    return {t: label.get(h, h) for t, h in rows.items()}
+
+
+@pytest.mark.parametrize("sf, least", [("sf0.01", 1.0), ("sf0.1", 0.95)])
+def test_near_copies_are_found_in_whole_tables(spark, sf, least):
+    df = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    label = root_of(spark, df)
+    texts = sorted(label)
+    pairs = list(pairs_alike(texts))
+    assert pairs and sum(label[texts[i]] == label[texts[j]] for i, j in pairs) >= least * len(pairs)
+
+
+def test_family_of_templated_texts_loses_no_link(spark):
+    """200 texts of one template: pairs alike to 0.6 as well as to 0.9, so most candidates are no links."""
+    rng = np.random.default_rng(11)
+    base = [f"w{x}" for x in rng.integers(0, 3000, 300)]
+    rows = []
+    for i in range(200):
+        w = list(base)
+        for k in rng.integers(0, 300, rng.integers(0, 16)):
+            w[k] = f"v{rng.integers(0, 10**6)}"
+        rows.append((i, " ".join(w)))
+    label = root_of(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    texts = [t for _, t in rows]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    pairs = list(pairs_alike(texts))
+    for i, j in pairs:
+        a, b = find(i), find(j)
+        root[max(a, b)] = min(a, b)
+    found = sum(label[texts[i]] == label[texts[j]] for i, j in pairs) / len(pairs)
+    assert found >= 0.95
+    # nothing is joined that no link joins
+    assert len({(find(i), label[t]) for i, t in enumerate(texts)}) == len({label[t] for t in texts})
