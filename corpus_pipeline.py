@@ -22,12 +22,12 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (SimHash, 2): texts whose sets of five-word shingles are alike to 0.8
-    or more, in steps. Two-word fingerprints within 8 bits find the pairs, the whole sets decide each.
+    or more, in steps. Two-word fingerprints within 11 bits find the pairs, the whole sets decide each.
 
     The smallest id stays (rows without an id only where no other is alike), once where rows repeat; texts without words
     are alike, null ones included; all columns are carried, whatever their names; an empty table gives none.
     """
-    return simhash.drop_near_duplicates(docs, shingle=2, most=8, words=5, least=0.8)
+    return simhash.drop_near_duplicates(docs, shingle=2, most=11, words=5, percent=80)
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
