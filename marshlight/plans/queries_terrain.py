@@ -132,7 +132,8 @@ def _(fx):
 def _geo_sql(search: int = 100, skip: int = 10) -> str:
     vals = ", ".join(f"({p}, {i * d}, {j * d}, {d}.0E0 * {'sqrt(2.0E0)' if i and j else '1'})" for p, (_, _, i, j) in enumerate(T.D8) for d in range(skip, search + 1))
     table = "[" + ", ".join("[" + ", ".join(str(T.CODES.index(x) + 1) for x in row.split()) + "]" for row in T.FORMS) + "]"
-    return f"""WITH s(p, i, j, d) AS (VALUES {vals}), m AS (SELECT a.h, a.r, a.c, s.p, round(max(degrees(atan((b.dem - a.dem) / d))) + min(degrees(atan((b.dem - a.dem) / d))), 9) AS a FROM fx_cells a CROSS JOIN s JOIN fx_cells b ON b.h = a.h AND b.r = a.r + s.i AND b.c = a.c + s.j GROUP BY a.h, a.r, a.c, s.p)
+    return f"""WITH s(p, i, j, d) AS (VALUES {vals}), k AS MATERIALIZED (SELECT h, r, c, dem FROM fx_cells), t AS MATERIALIZED (SELECT h, r, c, p, d, dem, r + i AS br, c + j AS bc FROM k, s WHERE r + i BETWEEN (SELECT min(r) FROM k) AND (SELECT max(r) FROM k) AND c + j BETWEEN (SELECT min(c) FROM k) AND (SELECT max(c) FROM k)),
+ m AS (SELECT t.h, t.r, t.c, t.p, round(degrees(atan(max((b.dem - t.dem) / d))) + degrees(atan(min((b.dem - t.dem) / d))), 9) AS a FROM t JOIN k b ON b.h = t.h AND b.r = br AND b.c = bc GROUP BY t.h, t.r, t.c, t.p)
  SELECT h, r, c, CAST({table}[dn + 1][up + 1] AS INTEGER) AS form FROM (SELECT h, r, c, count(*) FILTER (a > 1.5) AS up, count(*) FILTER (a < -1.5) AS dn FROM m GROUP BY h, r, c)"""
 
 
