@@ -134,18 +134,18 @@ def _(fx):
 
 
 # --- sinks
-@query("s01_write_cells")
+@query("s01_write_cells", "SELECT h, r, c, dem FROM fx_cells")
 def _(fx):
     path = _scratch(fx, "cells")
     S.write_cells(fx.cells.select("h", "r", "c", "dem"), path, ("h",))
-    return fx.spark.read.parquet(path)
+    return fx.spark.read.parquet(path).select(c("h").cast("long").alias("h"), "r", "c", "dem")
 
 
-@query("s02_write_polys")
+@query("s02_write_polys", "SELECT poly_id, h, attribute, cowardin, rad FROM fx_poly_attr")
 def _(fx):
     path = _scratch(fx, "polys")
     S.write_polys(fx.polys, path, ("h",))
-    return fx.spark.read.parquet(path)
+    return fx.spark.read.parquet(path).select("poly_id", c("h").cast("long").alias("h"), "attribute", "cowardin", "rad")
 
 
 def _scratch(fx, tag: str) -> str:
@@ -161,7 +161,7 @@ def _(fx):
     return S.pending(fx.zones, done, ["huc12"]).select("zone_id", "huc12")
 
 
-@query("s04_write_csv")
+@query("s04_write_csv", "SELECT CAST(zone_id AS INTEGER) AS zone_id, name FROM fx_zones")
 def _(fx):
     path = _scratch(fx, "csv")
     for part in (0, 1):
@@ -187,13 +187,13 @@ def _(fx):
     return fx.spark.read.text(path)
 
 
-@query("s08_replace_partition")
+@query("s08_replace_partition", "SELECT h, r, c, CASE WHEN h = 2 THEN dem + 1 ELSE dem END AS dem FROM fx_cells")
 def _(fx):
     path, aside = _scratch(fx, "fix"), _scratch(fx, "fix-staging")
     S.write_cells(fx.cells.select("h", "r", "c", "dem"), path, ("h",))
     wrong = fx.spark.read.parquet(path).filter("h = 2")
     S.replace_partition(fx.spark, wrong.withColumn("dem", c("dem") + 1), path, ("h",), aside)
-    return fx.spark.read.parquet(path)
+    return fx.spark.read.parquet(path).select(c("h").cast("long").alias("h"), "r", "c", "dem")
 
 
 # --- attribute rules

@@ -15,7 +15,7 @@ from . import jobs as J
 from .queries_attributes import CODE_CHM_SQL, CODE_PARTS_SQL
 from .queries_cells import TOUCH
 from .queries_terrain import SLOPE, _nine, _template
-from .queries_vectors import PAIRS, cover_sql, rnd
+from .queries_vectors import BOX, EDGES, PAIRS, _cross, cover_sql, rnd
 from .registry import query
 
 c = F.col
@@ -226,7 +226,9 @@ def _(fx):
     return J.raster_patches(fx.cells.select("h", "r", "c", "red"), fx.polys, fx.vertices, G.square(p, 3.0)).select("box_id", "h", "r", "c", "red", "mod_class")
 
 
-@query("p12_point_extraction")
+@query("p12_point_extraction", f"""WITH {EDGES}, {BOX}, j AS (SELECT poly_id, h, xmin, xmax, unnest(range(CAST(ceil(ymin / 1.25E0) AS BIGINT), CAST(floor(ymax / 1.25E0) AS BIGINT) + 1)) AS j FROM bx), g AS (SELECT poly_id, h, j * 1.25E0 AS py, unnest(range(CAST(ceil(xmin / 1.25E0) AS BIGINT), CAST(floor(xmax / 1.25E0) AS BIGINT) + 1)) * 1.25E0 AS px FROM j),
+ p AS (SELECT g.poly_id, g.h, g.px AS x, g.py AS y FROM g JOIN e USING (poly_id) GROUP BY g.poly_id, g.h, g.px, g.py HAVING {_cross('g.px', 'g.py')})
+ SELECT p.poly_id, p.x, p.y, k.dem, k.nir, a.cowardin FROM p JOIN fx_cells k ON k.h = p.h AND k.r = floor(p.y) AND k.c = floor(p.x) JOIN fx_poly_attr a ON a.poly_id = p.poly_id WHERE k.dem IS NOT NULL AND k.nir IS NOT NULL""")
 def _(fx):
     return J.point_extraction(fx.vertices, fx.polys, fx.cells, 1.25, ["dem", "nir"]).select("poly_id", "x", "y", "dem", "nir", "cowardin")
 
@@ -254,7 +256,11 @@ def _(fx):
     return J.inventory_merge(fx.polys.filter("rad = 4"), fx.polys.filter("rad <> 4"), fx.vertices, zones).select("poly_id", "zone_id", "area")
 
 
-@query("p17_delineated")
+@query("p17_delineated", f"""WITH {cover_sql()}, near AS (SELECT DISTINCT b.poly_id FROM bx b JOIN fx_zones z ON b.xmin < z.xmax AND b.xmax > z.xmin AND b.ymin < z.ymax AND b.ymax > z.ymin),
+ m AS (SELECT poly_id, avg(k.chm) AS chm, avg((green - nir) / nullif(green + nir, 0)) AS w FROM cov JOIN (SELECT h, r, c, chm, green, nir FROM fx_cells) k USING (h, r, c) WHERE inside AND dist >= 0.5 GROUP BY poly_id)
+ SELECT poly_id, CASE WHEN chm <= 1 THEN 'OWW' WHEN chm <= 3.5 THEN 'EMW' WHEN chm <= 5 THEN 'SSW' WHEN chm > 5 THEN 'FSW' ELSE 'REVIEW' END AS adk,
+  CASE WHEN chm <= 0.5 AND w > 0.2 THEN 'OWW' WHEN chm > 0.5 AND chm <= 3.5 AND w > 0.2 THEN 'EMW' WHEN chm BETWEEN 0.5 AND 5 AND w < 0.2 THEN 'SSW' WHEN chm > 5 THEN 'FSW' WHEN chm <= 3.5 THEN 'EMW' WHEN chm > 3.5 AND chm <= 5 THEN 'SSW' ELSE 'REVIEW' END AS delineated
+ FROM near LEFT JOIN m USING (poly_id)""")
 def _(fx):
     return J.delineated_by_canopy(fx.polys, fx.vertices, fx.cells, fx.zones)
 
