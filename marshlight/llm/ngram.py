@@ -84,14 +84,15 @@ class Automaton:
     of backing off to the context without its first word.
 
     The probability of w after context h is (c(hw) + prior * P(w | shorter h)) / (c(h) + prior); single words
-    have c / (N + V + 1), and all unknown words share (V + 1) / (N + V + 1). Arcs are arrays in order of state and
+    have (c + 1) / (N + V + 1), a word not seen in training c = 0, so the V words and one unseen word add up to one after
+    every context. Arcs are arrays in order of state and
     word, so a block's automaton takes a few bytes an arc.
     """
 
     def __init__(self, g: Grams, totals: list[np.ndarray], tokens: int, types: int, prior: float):
         n = len(g.hash)
         count = totals[0]
-        p1 = np.where(count > 0, count, types + 1) / (tokens + types + 1)
+        p1 = (count + 1) / (tokens + types + 1)
         self.width, self.order = n, len(totals)
         with np.errstate(divide="ignore"):
             self.root = np.log10(p1)
