@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .geometry import bbox, intersecting, points_close, points_in
 from .grid import BOX, boxes_with_boxes, meet
-from .iterate import settle
+from .iterate import discard, settle
 
 
 def _placed(pts: DataFrame) -> DataFrame:
@@ -99,7 +99,10 @@ def thin(pts: DataFrame, d: float, order: str = "pt_id") -> DataFrame:
         open_arcs = arcs.join(state.filter("kept = 0").select(F.col("pt_id").alias("b")), "b", "left_semi")
         told = open_arcs.join(state.select(F.col("pt_id").alias("a"), "kept"), "a")
         now = told.groupBy("h", "bx", "by").applyInPandas(_decide, f"pt_id {kind}, now int")
-        state = settle(state.join(now, "pt_id", "left").select("pt_id", F.coalesce("now", "kept").alias("kept")), "thin")
+        new = settle(state.join(now, "pt_id", "left").select("pt_id", F.coalesce("now", "kept").alias("kept")), "thin")
+        discard(state)
+        state = new
+    discard(nodes, arcs)
     stay = state.filter("kept = 1").select("pt_id")
     return pts.filter(~placed).unionByName(pts.filter(placed).join(stay, "pt_id", "left_semi"))
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .iterate import connected, settle
+from .iterate import connected, discard, settle
 
 KEY = ["h", "r", "c"]
 
@@ -18,7 +18,7 @@ def superpixels(cells: DataFrame, bands: list[str], step: int = 8, compactness:
 
     Centres start on a grid of ``step``; a cell meets only centres of its own and the eight buckets around (side
     ``step``). After a fixed number of rounds, connected pieces are told apart and pieces under ``min_area`` cells
-    join the touching piece with the smallest id, if there is one.
+    join the touching piece with the smallest id, if there is one. Watersheds, rows and columns are numbers below 2^21.
     """
     p = cells.select(*KEY, F.array(*[F.col(b).cast("double") for b in bands]).alias("p"))
     bucket = lambda k: F.floor(F.col(k) / step)
@@ -37,10 +37,14 @@ def superpixels(cells: DataFrame, bands: list[str], step: int = 8, compactness:
         far = F.sqrt(F.greatest(jsd, F.lit(0.0))) + compactness * F.sqrt((F.col("r") - F.col("cr")) ** 2 + (F.col("c") - F.col("cc")) ** 2) / step
         best = met.groupBy(*KEY).agg(F.min(F.struct(F.round(far, 9).alias("far"), "id_r", "id_c")).alias("b"), F.first("p").alias("p")).select(*KEY, "b.id_r", "b.id_c", "p")
         if turn + 1 < rounds:
-            centres = settle(best.groupBy("h", "id_r", "id_c").agg(*mean([("cr", "r"), ("cc", "c"), *parts])), "centres")
-    best = settle(best.select(*KEY, "id_r", "id_c", ((F.col("h") * 65536 + F.col("r")) * 65536 + F.col("c")).alias("node")), "assigned")
+            new = settle(best.groupBy("h", "id_r", "id_c").agg(*mean([("cr", "r"), ("cc", "c"), *parts])), "centres")
+            discard(centres)
+            centres = new
+    best = settle(best.select(*KEY, "id_r", "id_c", ((F.col("h") * (1 << 21) + F.col("r")) * (1 << 21) + F.col("c")).alias("node")), "assigned")
+    discard(centres)
     pairs = _adjacent(best).filter("id_r = o_r AND id_c = o_c").select(F.col("node").alias("a"), F.col("other").alias("b"))
     piece = settle(best.join(connected(pairs, best.select("node")), "node").select(*KEY, "node", "id_r", "id_c", F.col("root").alias("sp")), "pieces")
+    discard(best)
     size = piece.groupBy("sp").agg(F.count("*").alias("n"))
     small = size.filter(F.col("n") < min_area).select("sp")
     touch = _adjacent(piece).join(piece.select(F.col("node").alias("other"), F.col("sp").alias("to")), "other").filter("sp <> to")
