@@ -115,14 +115,16 @@ class GrayIndex:
             if lv == 0:
                 yield a, b
                 continue
-            for s in range(0, len(a), max(1, batch // (FAN * FAN))):
-                x, y = a[s : s + batch // (FAN * FAN)], b[s : s + batch // (FAN * FAN)]
-                fx, fy = (FAN if la == lv else 1), (FAN if lb == lv else 1)
-                cx = (x[:, None] * fx + np.arange(fx)) if la == lv else x[:, None]
-                cy = (y[:, None] * fy + np.arange(fy)) if lb == lv else y[:, None]
-                i, j = np.repeat(cx, cy.shape[1], axis=1).ravel(), np.tile(cy, (1, cx.shape[1])).ravel()
-                ok = (i < len(self.levels[min(lv - 1, len(self.levels) - 1)][0])) & (j < len(other.levels[min(lv - 1, len(other.levels) - 1)][0]))
-                stack.append((lv - 1, i[ok], j[ok]))
+            step = max(1, batch // (FAN * FAN))
+            if len(a) > step:  # the others wait as pairs of nodes, so that few of what is below is held at once
+                stack.append((lv, a[step:], b[step:]))
+            x, y = a[:step], b[:step]
+            fx, fy = (FAN if la == lv else 1), (FAN if lb == lv else 1)
+            cx = (x[:, None] * fx + np.arange(fx)) if la == lv else x[:, None]
+            cy = (y[:, None] * fy + np.arange(fy)) if lb == lv else y[:, None]
+            i, j = np.repeat(cx, cy.shape[1], axis=1).ravel(), np.tile(cy, (1, cx.shape[1])).ravel()
+            ok = (i < len(self.levels[min(lv - 1, len(self.levels) - 1)][0])) & (j < len(other.levels[min(lv - 1, len(other.levels) - 1)][0]))
+            stack.append((lv - 1, i[ok], j[ok]))
 
 
 def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -222,6 +224,9 @@ def in_cells(nodes: DataFrame, most: int, keep: int, block: int) -> DataFrame:
     own_columns = nodes.columns
     values = F.array(*[_value(F.col("fp"), runs) for runs in tables(most, keep)])
     keyed = nodes.select(*own_columns, F.posexplode(values).alias("p", "v"))
+    if "bucket" in own_columns:  # only those of one bucket meet
+        keyed = keyed.withColumn("v", F.col("v") + F.shiftleft(F.col("bucket").cast("long"), 40)).drop("bucket")
+        own_columns = [c for c in own_columns if c != "bucket"]
     sizes = keyed.groupBy("p", "v").agg(F.count("*").alias("n")).filter("n > 1")
     placed = keyed.join(sizes, ["p", "v"]).withColumn("parts", F.ceil(F.col("n") / F.lit(block)).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
@@ -315,13 +320,14 @@ def _alike(most: int, runs: list, far: int, percent: int, exact: bool):
         y = GrayIndex(np.array([r[1] for r in held[1]], np.int64).view("<u8")) if held[1] else x
         rows = [held[0][i] for i in x.order] + ([held[1][i] for i in y.order] if held[1] else [])
         shift = len(held[0]) if held[1] else 0
-        node, fp, size = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2))
-        fp, sig = fp.view("<u8"), np.frombuffer(b"".join(r[3] for r in rows), "<u2").reshape(len(rows), -1)
-        groups = Groups([np.frombuffer(r[4], "<u8") for r in rows], percent) if exact else None
+        node, fp, size, cls = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 3))
+        fp, sig = fp.view("<u8"), np.frombuffer(b"".join(r[4] for r in rows), "<u2").reshape(len(rows), -1)
+        groups = Groups([np.frombuffer(r[5], "<u8") for r in rows], percent) if exact else None
         asked = np.zeros(len(rows), bool)
         for a, b in x.links(y, most):
             b = b + shift
             ok = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
+            ok &= np.minimum(cls[a], cls[b]) == key[1] >> 40
             for m in masks[: key[0]]:
                 ok &= ((fp[a] ^ fp[b]) & m) != 0
             a, b = a[ok], b[ok]
@@ -384,14 +390,17 @@ def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 11, keep: int |
     nodes = texts.filter("size > 0").select(F.col("text_hash").alias("node"), "fp", "size", "sig")
     keep = keep or runs_to_keep(most, texts.count(), block)
     how = (most, tables(most, keep), far, percent)
-    cells = in_cells(nodes.select("node", "fp", "size", "sig"), most, keep, block)
+    # sets alike to 0.8 have sizes of one class or of two neighbouring ones (classes grow by more than 1 / 0.8)
+    classed = nodes.withColumn("cls", F.floor(F.log("size") / F.log(F.lit(104.0 / percent))).cast("int") + 1)
+    both = classed.withColumn("bucket", F.explode(F.array(F.col("cls") - 1, F.col("cls"))))
+    cells = in_cells(both.select("node", "fp", "size", "cls", "sig", "bucket"), most, keep, block)
     met = kept(cells.mapInArrow(_alike(*how, False), "p int, v long, c int, side int, node long"), "met")
     used = kept(met.select("node").distinct().join(texts, F.col("node") == F.col("text_hash")).select(F.col("node").alias("h"), F.col("low.id").alias("i")), "used")
     # texts stay where they are while the list of those asked for is small; beyond that both are shuffled
     asked = F.broadcast(used) if used.count() <= small else used
     own = rows.join(asked, (F.col("text_hash") == F.col("h")) & F.col("doc_id").eqNullSafe(F.col("i")), "left_semi")
     sets = kept(own.select("text_hash", "b").mapInArrow(_word_sets(words), "node long, set binary").dropDuplicates(["node"]), "sets")
-    whole = met.join(nodes, "node").join(sets, "node").select("p", "v", "c", "side", "node", "fp", "size", "sig", "set")
+    whole = met.join(classed, "node").join(sets, "node").select("p", "v", "c", "side", "node", "fp", "size", "cls", "sig", "set")
     whole = whole.repartition("p", "v", "c").sortWithinPartitions("p", "v", "c", "side")
     links = kept(whole.mapInArrow(_alike(*how, True), "a long, b long"), "links")
     roots, _ = components(links.union(bare))
