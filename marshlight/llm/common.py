@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,6 +50,32 @@ def remove(spark: SparkSession, *paths: str) -> None:
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int):
+    """Plans run inside send Python at most ``size`` bytes at once; the session's own limit is put back after."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def tidy(run):
+    """``run`` over batches, giving the memory that it freed back to the system at its end: a worker stays for later
+    tasks, beside the executor's heap."""
+
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim is not None:
+            trim(0)
+
+    return tidied
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 COUNTED = "bucket long, block long, keys binary, counts binary"
 TOTALS = "block long, part int, bucket int, extra binary, added long, positive long"
 
@@ -112,7 +114,7 @@ def _add(batches):
 
 def add_up(rows: DataFrame) -> DataFrame:
     """``TOTALS`` of rows of ``COUNTED``: a key met in every document is one number per block."""
-    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_add, TOTALS)
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(tidy(_add), TOTALS)
 
 
 def take(keys: np.ndarray, count: np.ndarray, got: list[tuple[int, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:

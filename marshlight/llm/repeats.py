@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, remove, text_bytes
+from .common import arrow_batches, materialize, remove, text_bytes, tidy
 from .packed import COUNTED, add_up, blocks, bucket_bits, by_block, counted, pack, take, unpack
 
 
@@ -328,23 +328,23 @@ class Repeats:
         gram, window = probe(length)
         rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b"), text_key(F.col("text")).alias("text"))
         schema = f"block long, ids array<{kind}>, texts array<string>, sha array<string>, sizes binary, each binary, pos binary, keys binary"
-        strings = self._keep(rows.mapInArrow(_strings(gram, window, digest, block), schema), "strings")
-        totals = add_up(strings.select("block", "keys").mapInArrow(_counts(1, bits), COUNTED))
+        strings = self._keep(rows.mapInArrow(tidy(_strings(gram, window, digest, block)), schema), "strings")
+        totals = add_up(strings.select("block", "keys").mapInArrow(tidy(_counts(1, bits)), COUNTED))
         held = strings.select("block", F.lit(0).alias("part"), "ids", "texts", "sha", "sizes", "each", "pos", F.col("keys").alias("own"))
-        self.places = self._keep(by_block(totals, held).mapInArrow(_places(length, gram, window), f"doc_id {kind}, text string, n_bytes long, sha string, n_shared long, spans binary"), "places")
+        self.places = self._keep(by_block(totals, held).mapInArrow(tidy(_places(length, gram, window)), f"doc_id {kind}, text string, n_bytes long, sha string, n_shared long, spans binary"), "places")
         order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
         some = self.places.filter("spans IS NOT NULL").groupBy("text").agg(F.count("*").alias("n"), F.min(order).alias("one"), F.first("spans").alias("spans"))
         some = some.select(F.col("text").alias("t"), "n", F.col("one.id").alias("i"), "spans")
         met = rows.join(some, rows["doc_id"].eqNullSafe(some["i"]) & (rows["text"] == some["t"])).select("b", "text", "n", "spans")
-        self.texts = self._keep(met.mapInArrow(_into_blocks(block), "block long, seq int, b binary, text string, n long, spans binary"), "texts")
+        self.texts = self._keep(met.mapInArrow(tidy(_into_blocks(block)), "block long, seq int, b binary, text string, n long, spans binary"), "texts")
         self.settled, left = None, None
         for level, size in enumerate(sizes):
             before = sizes[level - 1] if level else None
-            nodes = self._keep(_with(self.texts, left).mapInArrow(_nodes(length, sizes[0], size, before), _NODES), "nodes")
-            totals = add_up(nodes.select("block", "key", "combo").mapInArrow(_counts(2, bits), COUNTED))
+            nodes = self._keep(_with(self.texts, left).mapInArrow(tidy(_nodes(length, sizes[0], size, before)), _NODES), "nodes")
+            totals = add_up(nodes.select("block", "key", "combo").mapInArrow(tidy(_counts(2, bits)), COUNTED))
             names = [c for c in nodes.columns if c != "block"]
             held = nodes.select("block", F.lit(0).alias("part"), *[F.col(c).alias(f"own_{c}") for c in names])
-            decided = self._keep(by_block(totals, held).mapInArrow(_decide, _DECIDED), "decided")
+            decided = self._keep(by_block(totals, held).mapInArrow(tidy(_decide), _DECIDED), "decided")
             left, found = decided.filter("NOT settled"), decided.filter("settled")
             self.settled = found if self.settled is None else self.settled.unionByName(found)
 
@@ -374,7 +374,7 @@ class Repeats:
         rows = self.texts.select("block", "seq", "b", "spans", *[F.lit(None).cast("binary").alias(c) for c in ("w", "x", "y")], "text", "n")
         none = [F.lit(None).cast(k) for k in ("int", "binary", "binary")]
         rows = rows.union(self.settled.select("block", *none, "seq", "a", "b", F.lit(None).cast("string"), F.lit(None).cast("long")))
-        done = rows.repartition("block").sortWithinPartitions("block", "seq").mapInArrow(run, "t string, n_removed long, n_spans long, kept string")
+        done = rows.repartition("block").sortWithinPartitions("block", "seq").mapInArrow(tidy(run), "t string, n_removed long, n_spans long, kept string")
         return materialize(done.dropDuplicates(["t"]), "kept")[0]  # rows that repeat as a whole
 
 
@@ -390,7 +390,7 @@ def _kept(raw: bytes, start: np.ndarray, stop: np.ndarray) -> tuple[bytes, int,
     return np.frombuffer(raw, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
-def remove_repeats(docs: DataFrame, length: int = 400, sizes: tuple[int, ...] = (256, 32, 8, 1), report: bool = False, block: int = 1 << 23) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 400, sizes: tuple[int, ...] = (256, 32, 8, 1), report: bool = False, block: int = 1 << 22) -> DataFrame:
     """Remove from every whole text each byte covered by a ``length``-byte string that also starts anywhere else
     in the corpus, in the same text included. All copies go; strings are judged on the input.
 
@@ -404,8 +404,9 @@ def remove_repeats(docs: DataFrame, length: int = 400, sizes: tuple[int, ...] =
     gives none. Texts are told apart by MD5, strings by 64-bit hashes. Any column may have any other name.
     """
     spark = docs.sparkSession
-    found = Repeats(docs, length, sizes, report, block)
-    kept = found.outcome(report)
+    with arrow_batches(spark, block):
+        found = Repeats(docs, length, sizes, report, block)
+        kept = found.outcome(report)
     if report:
         met = found.places.join(kept, F.col("text") == F.col("t"), "left")
         out = met.select("doc_id", "n_bytes", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("n_removed", "n_spans")], F.coalesce("kept", "sha").alias("kept_sha256"), "n_shared")
