@@ -48,10 +48,12 @@ def unpack_keys(buf) -> np.ndarray:
     return np.cumsum(unpack_least(buf), dtype=np.uint64)
 
 
-def bucket_bits(spark: SparkSession) -> int:
-    """About half as many buckets as the session's partitions (64 at least): a bucket's share does not grow with the
-    input, and a small block is not cut into more rows than it has keys for."""
-    return max(6, (int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length() - 1)
+def bucket_bits(spark: SparkSession, keys: int = 0, most: int = 1 << 19) -> int:
+    """About half as many buckets as the session's partitions (64 at least), and so many that ``keys`` keys in all leave
+    about ``most`` to a bucket: a bucket does not grow with the input, and a small block is not cut into more rows than
+    it has keys for. Keys must be spread evenly over all 64-bit numbers."""
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(6, (parts - 1).bit_length() - 1, (keys // most).bit_length())
 
 
 def counted(block: int, parts: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:

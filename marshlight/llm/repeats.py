@@ -114,7 +114,8 @@ def _strings(gram: int, window: int, digest: bool, size: int):
                     found.append(anchors(t, gram + window - 1, window)[:2] if len(t) >= gram + window - 1 else (np.empty(0, np.int64), np.empty(0, np.uint64)))
                 at, h = (np.concatenate(x) for x in zip(*found, strict=True))
                 lists = [b.column(0).slice(s, e - s), b.column(2).slice(s, e - s), pa.array(sha, pa.string())]
-                packed = [np.array(sizes, "<i8"), np.array([len(x[0]) for x in found], "<i4"), at.astype("<i4"), h]
+                # anchors have small hashes, which would crowd the first bucket: a one-to-one mix spreads them
+                packed = [np.array(sizes, "<i8"), np.array([len(x[0]) for x in found], "<i4"), at.astype("<i4"), _splitmix(h)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([next(number)], pa.int64()), *(pa.ListArray.from_arrays(pa.array([0, e - s], pa.int32()), a) for a in lists), *(pa.array([pack(x)], pa.binary()) for x in packed)],
                     names=["block", "ids", "texts", "sha", "sizes", "each", "pos", "keys"],
@@ -295,6 +296,11 @@ def _decide(batches):
             yield pa.RecordBatch.from_arrays([pa.array([block] * len(rows), pa.int64()), pa.array(cols[0], pa.bool_()), *(pa.array(c, pa.binary()) for c in cols[1:])], names=[x.split()[0] for x in _DECIDED.split(", ")])
 
 
+def _held(df: DataFrame, keys: str) -> int:
+    """How many keys the packed column ``keys`` has in all rows."""
+    return int(df.agg(F.sum(F.octet_length(keys).cast("long"))).first()[0] or 0) // 8
+
+
 def text_key(text: Column) -> Column:
     """What tells texts apart: the MD5 of their bytes."""
     return F.md5(text_bytes(text))
@@ -324,12 +330,12 @@ class Repeats:
 
     def __init__(self, docs: DataFrame, length: int, sizes: tuple[int, ...], digest: bool, block: int):
         spark, self.length, self.scratch = docs.sparkSession, length, []
-        kind, bits = docs.schema["doc_id"].dataType.simpleString(), bucket_bits(spark)
+        kind = docs.schema["doc_id"].dataType.simpleString()
         gram, window = probe(length)
         rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b"), text_key(F.col("text")).alias("text"))
         schema = f"block long, ids array<{kind}>, texts array<string>, sha array<string>, sizes binary, each binary, pos binary, keys binary"
         strings = self._keep(rows.mapInArrow(tidy(_strings(gram, window, digest, block)), schema), "strings")
-        totals = add_up(strings.select("block", "keys").mapInArrow(tidy(_counts(1, bits)), COUNTED))
+        totals = add_up(strings.select("block", "keys").mapInArrow(tidy(_counts(1, bucket_bits(spark, _held(strings, "keys")))), COUNTED))
         held = strings.select("block", F.lit(0).alias("part"), "ids", "texts", "sha", "sizes", "each", "pos", F.col("keys").alias("own"))
         self.places = self._keep(by_block(totals, held).mapInArrow(tidy(_places(length, gram, window)), f"doc_id {kind}, text string, n_bytes long, sha string, n_shared long, spans binary"), "places")
         order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
@@ -341,7 +347,7 @@ class Repeats:
         for level, size in enumerate(sizes):
             before = sizes[level - 1] if level else None
             nodes = self._keep(_with(self.texts, left).mapInArrow(tidy(_nodes(length, sizes[0], size, before)), _NODES), "nodes")
-            totals = add_up(nodes.select("block", "key", "combo").mapInArrow(tidy(_counts(2, bits)), COUNTED))
+            totals = add_up(nodes.select("block", "key", "combo").mapInArrow(tidy(_counts(2, bucket_bits(spark, _held(nodes, "key")))), COUNTED))
             names = [c for c in nodes.columns if c != "block"]
             held = nodes.select("block", F.lit(0).alias("part"), *[F.col(c).alias(f"own_{c}") for c in names])
             decided = self._keep(by_block(totals, held).mapInArrow(tidy(_decide), _DECIDED), "decided")

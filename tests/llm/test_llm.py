@@ -437,6 +437,25 @@ def test_quality_odd_rows(spark):
 
 
 # 10
+def test_repeats_buckets_are_even(spark):
+    """No bucket of anchored strings holds much more than its share, and buckets follow the number of keys."""
+    import numpy as np
+    import pyarrow as pa
+
+    from marshlight.llm import packed
+
+    text = np.random.default_rng(3).integers(97, 123, 400_000, dtype=np.uint8).tobytes()
+    df = spark.createDataFrame([(1, text, "x")], "doc_id long, b binary, text string")
+    gram, window = repeats.probe(400)
+    schema = "block long, ids array<bigint>, texts array<string>, sha array<string>, sizes binary, each binary, pos binary, keys binary"
+    row = df.mapInArrow(repeats._strings(gram, window, False, 1 << 22), schema).first()
+    keys = np.unique(packed.unpack(pa.py_buffer(bytes(row["keys"])), "<u8"))
+    share = np.bincount((keys >> np.uint64(60)).astype(np.int64), minlength=16) / len(keys)
+    assert len(keys) > 5000 and share.max() < 0.1 and share.min() > 0.03
+    least = packed.bucket_bits(spark)
+    assert packed.bucket_bits(spark, 1000) == least and packed.bucket_bits(spark, 1 << 40) == 22
+
+
 def brute_repeats(rows, n):
     seen = Counter(t[k : k + n] for _, t in rows for k in range(len(t) - n + 1))
     out = []
