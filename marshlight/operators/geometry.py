@@ -244,8 +244,11 @@ def intersecting(vertices: DataFrame) -> DataFrame:
 
 
 def hash_order(key: Column, k: int = 0) -> Column:
-    """Order that does not depend on partitions: (key * 2654435761 + k * 40503) mod 1000003."""
-    return (key * F.lit(2654435761) + F.lit(k * 40503)) % F.lit(1000003)
+    """Order that does not depend on partitions: (key * 2654435761 + k * 40503) mod 1000003, with the sign of what is
+    divided. The key is reduced first, so no product leaves a long, however large the key (``k`` from 0)."""
+    by, p = 2654435761, 1000003
+    rest = F.pmod(key % p * F.lit(by) + F.lit(k * 40503), F.lit(p))
+    return F.when((key < -(k * 40503 // by)) & (rest > 0), rest - p).otherwise(rest)
 
 
 def random_points(vertices: DataFrame, n: int, seed: int = 0, lines: int = 64) -> DataFrame:
