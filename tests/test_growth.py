@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from marshlight.operators import cells as R
 from marshlight.operators import geometry as G
+from marshlight.operators import lidar as P
+from marshlight.operators.iterate import settle
 
 
 def rest(key, k):
@@ -25,3 +27,37 @@ def test_cells_of_many_watersheds_are_sampled(spark):
     got = [r.h for r in R.sample_cells(cells, 10, seed=1).collect()]
     key = lambda h: (rest(((h * 4096 + 63) * 4096 + 63), 1), h)
     assert sorted(got) == sorted(sorted(range(300), key=key)[:10])
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ground_is_sought_without_a_row_for_each_pair(spark):
+    rows = [(h, (i * 37 % 101) / 4.0, (i * 53 % 97) / 4.0, float(i % 13), 2 if i % 3 else 5) for h in (0, 1) for i in range(500)]
+    rows += [(2, 900.0, -900.0, 3.0, 5), (2, 0.0, 0.0, 1.0, 2), (2, 1.0, 0.0, 2.0, 2), (3, 1.0, 1.0, 9.0, 5), (4, 5.0, 5.0, None, 2), (4, 6.0, 5.0, 7.0, 2), (None, 1.0, 1.0, 1.0, 2)]
+    df = spark.createDataFrame(rows, "h long, x double, y double, z double, cls int")
+    want = {}
+    for h, x, y, *_ in rows:
+        low = {}
+        for h2, gx, gy, z, cls in rows:
+            if cls == 2 and h2 == h and h is not None:
+                low[gx, gy] = min([v for v in (low.get((gx, gy)), z) if v is not None], default=None)
+        near = sorted(((x - gx) ** 2 + (y - gy) ** 2, gx, gy, z) for (gx, gy), z in low.items())[:3]
+        known = [(1 / (d + 1e-6), z) for d, _, _, z in near]
+        there = [w * z for w, z in known if z is not None]
+        want[h, x, y] = sum(there) / sum(w for w, _ in known) if there else None
+    for most in (50_000, 7):
+        got = P.normalize_height(df, 3, 2.0, most).select("h", "x", "y", "ground").distinct().collect()
+        assert len(got) == len(want)
+        for r in got:
+            assert r.ground == want[r.h, r.x, r.y] or abs(r.ground - want[r.h, r.x, r.y]) < 1e-9
+
+
+def test_pairs_of_places_and_ground_stay_in_a_task(spark, monkeypatch):
+    df = spark.range(600).select(F.lit(0).cast("long").alias("h"), (F.col("id") % 64 / 32).alias("x"), (F.col("id") / 300).alias("y"), F.lit(1.0).alias("z"), F.when(F.col("id") % 2 == 0, 2).otherwise(5).alias("cls"))
+    plans = []
+    monkeypatch.setattr(P, "settle", lambda x, tag: plans.append((tag, plan_of(x))) or settle(x, tag))
+    P.normalize_height(df, 3, 2.0).count()
+    heights = [x for tag, x in plans if tag == "heights"]
+    assert heights and not any("Window" in x for x in heights)
