@@ -33,6 +33,15 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_packed_cells_are_not_broadcast(spark):
+    n = 400_000
+    cells = settle(spark.range(n).select(F.lit(0).cast("long").alias("h"), F.floor(F.col("id") / 1000).alias("r"), (F.col("id") % 1000).alias("c"), F.lit(1.0).alias("v")), "cells")
+    few = settle(cells.filter("r < 2"), "few")
+    other = spark.range(4 * n).select(F.lit(0).cast("long").alias("h"), F.floor(F.col("id") / 1000).alias("r"), (F.col("id") % 1000).alias("c"), F.rand(1).alias("w"))
+    assert "BroadcastHashJoin" not in plan_of(other.join(cells.select("h", "r", "c", (F.col("v") + 1).alias("v")), ["h", "r", "c"]))
+    assert "BroadcastHashJoin" in plan_of(other.join(few, ["h", "r", "c"]))
+
+
 def test_ground_is_sought_without_a_row_for_each_pair(spark):
     rows = [(h, (i * 37 % 101) / 4.0, (i * 53 % 97) / 4.0, float(i % 13), 2 if i % 3 else 5) for h in (0, 1) for i in range(500)]
     rows += [(2, 900.0, -900.0, 3.0, 5), (2, 0.0, 0.0, 1.0, 2), (2, 1.0, 0.0, 2.0, 2), (3, 1.0, 1.0, 9.0, 5), (4, 5.0, 5.0, None, 2), (4, 6.0, 5.0, 7.0, 2), (None, 1.0, 1.0, 1.0, 2)]
