@@ -182,63 +182,145 @@ def union_basins(dfs: list[DataFrame], suffixes: tuple[str, ...], key: list[str]
 def fuzzy_best(left: DataFrame, right: DataFrame, lcol: str, rcol: str, block: int = 20_000) -> DataFrame:
     """For each distinct name its nearest reference name by Jaro distance (ties: first by name), and whether it is exact.
 
-    Names are asked, reference names answer, in cells of about ``block`` x ``block`` names. The characters two names can
-    share at most (one product of count tables) bound their similarity from above; a name is compared with the references
-    in falling order of the bound until none can be nearer, and a cell returns one row per name. Null names take no
-    part; without references there are no rows."""
+    Names are asked, reference names answer, in cells of about ``block`` x 3 ``block`` names. The characters two names can
+    share at most bound their similarity from above; names of the same characters have the same bounds, so these are
+    computed once for each pair of sets of characters. A name is compared with the references in falling order of the
+    bound until none can be nearer, and within a bound in order of name until one reaches it; a cell returns one row per
+    name. Null names take no part; without references there are no rows."""
     asked = left.select(F.col(lcol).alias("candidate")).filter("candidate IS NOT NULL").distinct()
     names = right.select(F.col(rcol).alias("reference")).filter("reference IS NOT NULL").distinct()
-    rows, cols = (max(1, -(-x.count() // block)) for x in (asked, names))
+    rows, cols = (max(1, -(-x.count() // n)) for x, n in ((asked, block), (names, 3 * block)))
     here = asked.withColumn("g", F.pmod(F.xxhash64("candidate"), F.lit(rows))).withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(cols - 1).cast("long"))))
     there = names.withColumn("s", F.pmod(F.xxhash64("reference"), F.lit(cols))).withColumn("g", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rows - 1).cast("long"))))
+    # a cell is much work on few bytes: a partition for each, which adaptive execution leaves as they are
+    here, there = (x.repartition(rows * cols, "g", "s") for x in (here, there))
     met = here.groupBy("g", "s").cogroup(there.groupBy("g", "s")).applyInPandas(lambda a, b: _nearest(a, b), "candidate string, reference string, dist double")
     best = met.groupBy("candidate").agg(F.min(F.struct("dist", "reference")).alias("m"))
     return best.select("candidate", F.col("m.reference").alias("reference"), F.col("m.dist").alias("dist"), (F.col("candidate") == F.col("m.reference")).alias("exact"))
 
 
-def _nearest(asked: pd.DataFrame, names: pd.DataFrame, step: int = 512) -> pd.DataFrame:
-    if not len(names) or not len(asked):
-        return pd.DataFrame(columns=["candidate", "reference", "dist"])
-    refs, cand = sorted(names.reference), asked.candidate.tolist()
-    places: dict[tuple[str, int], int] = {}
-    for text in refs:
+def _letters(texts: list[str], places: dict[tuple[str, int], int] | None = None) -> tuple[np.ndarray, dict]:
+    """Counts of characters: a column for each character's first, second, ... occurrence, so products of two rows count
+    what two texts share. Columns are those of ``places``, or the texts' own."""
+    own = places is None
+    places = {} if own else places
+    at = []
+    for i, text in enumerate(texts):
         for ch, n in Counter(text).items():
             for k in range(n):
-                places.setdefault((ch, k), len(places))
-
-    def table(texts: list[str]) -> np.ndarray:
-        # one column for each character's first, second, ... occurrence: products count what two texts share
-        out = np.zeros((len(texts), max(1, len(places))), np.float32)
-        for i, text in enumerate(texts):
-            for ch, n in Counter(text).items():
-                for k in range(n):
-                    if (ch, k) in places:
-                        out[i, places[ch, k]] = 1
-        return out
-
-    size = np.array(list(map(len, refs)))
-    letters = np.full((len(refs), max(1, size.max())), -1, np.int32)
-    for i, text in enumerate(refs):
-        letters[i, : len(text)] = list(map(ord, text))
-    right, out = table(refs), []
-    for s in range(0, len(cand), step):
-        shared = table(cand[s : s + step]) @ right.T
-        for text, common in zip(cand[s : s + step], shared, strict=True):
+                j = places.setdefault((ch, k), len(places)) if own else places.get((ch, k))
+                if j is not None:
+                    at.append((i, j))
+    out = np.zeros((len(texts), max(1, len(places))), np.float32)
+    if at:
+        out[tuple(np.array(at).T)] = 1
+    return out, places
+
+
+def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Code points in columns, a text each, -1 behind its end; and the texts' lengths."""
+    size = np.array(list(map(len, texts)), np.int64)
+    out = np.full((max(1, size.max(initial=0)), len(texts)), -1, np.int32)
+    for i, text in enumerate(texts):
+        out[: len(text), i] = list(map(ord, text))
+    return out, size
+
+
+def _alike(texts: list[str]) -> tuple[list[str], list[np.ndarray]]:
+    """Sets of characters (sorted, repeats kept) and the texts of each, ascending."""
+    sets: dict[str, list[int]] = {}
+    for i, text in enumerate(texts):
+        sets.setdefault("".join(sorted(text)), []).append(i)
+    return list(sets), [np.array(x) for x in sets.values()]
+
+
+def _nearest(asked: pd.DataFrame, names: pd.DataFrame, pairs: int = 1 << 18, cells: int = 1 << 22) -> pd.DataFrame:
+    if not len(names) or not len(asked):
+        return pd.DataFrame(columns=["candidate", "reference", "dist"])
+    refs, cand = sorted(names.reference), sorted(asked.candidate)
+    (kinds, members), (own, askers) = _alike(refs), _alike(cand)
+    right, places = _letters(kinds)
+    size = np.array(list(map(len, kinds)))
+    (left, n_left), (letters, n_refs) = _coded(cand), _coded(refs)
+    best, name = np.full(len(cand), -1.0), np.zeros(len(cand), np.int64)
+    step = max(1, cells // len(kinds))
+    for s in range(0, len(own), step):
+        shared = _letters(own[s : s + step], places)[0].astype(np.float32) @ right.T
+        work = []  # of each asked name: its bounds, the level it is on, the references of that level and how many are done
+        for text, common, who in zip(own[s : s + step], shared.astype(np.float64), askers[s : s + step], strict=True):
             with np.errstate(divide="ignore", invalid="ignore"):
                 bound = np.where(common > 0, (common / len(text) + common / size + 1) / 3, 0.0)
-            bound = np.where(size + len(text) == 0, 1.0, bound) + 1e-9
-            order = np.argsort(-bound, kind="stable")
-            best, name, at = -1.0, "", 0
-            while at < len(order) and bound[order[at]] >= best:
-                part = order[at : at + 256]
-                got = jaro_many(text, letters[part], size[part])
-                top = got.max()
-                first = min(refs[p] for p in part[got == top])
-                if top > best or top == best and first < name:
-                    best, name = float(top), first
+            bound = np.where(size + len(text) == 0, 1.0, bound)
+            levels = np.unique(bound)[::-1].tolist()
+            of: dict[int, np.ndarray] = {}
+            work += [[i, bound, levels, of, 0, 0, 64] for i in who.tolist()]
+        while work:
+            turn, later, taken = [], [], 0
+            for at, w in enumerate(work):
+                if taken >= pairs:
+                    later = work[at:]
+                    break
+                i, bound, levels, of, level, done, many = w
+                if level not in of:
+                    of[level] = np.sort(np.concatenate([members[k] for k in np.flatnonzero(bound == levels[level])]))
+                part = of[level][done : done + many]
+                turn.append((w, part))
+                taken += len(part)
+            a = np.repeat([w[0] for w, _ in turn], [len(x) for _, x in turn])
+            got = jaro_pairs(left, n_left, letters, n_refs, a, np.concatenate([x for _, x in turn]))
+            work, at = later, 0
+            for w, part in turn:
+                i, bound, levels, of, level, done, many = w
+                mine = got[at : at + len(part)]
                 at += len(part)
-            out.append((text, name, 1.0 - best))
-    return pd.DataFrame(out, columns=["candidate", "reference", "dist"])
+                k = int(mine.argmax())
+                top, first = float(mine[k]), int(part[k])
+                if top > best[i] or top == best[i] and first < name[i]:
+                    best[i], name[i] = top, first
+                w[5], w[6] = done + len(part), many * 2
+                if best[i] >= levels[level]:  # what follows on this level is no nearer and later by name
+                    ended = best[i] > levels[level] or w[5] >= len(of[level]) or of[level][w[5]] > name[i]
+                else:
+                    ended = w[5] >= len(of[level])
+                if ended:
+                    w[4], w[5], w[6] = level + 1, 0, 64
+                if w[4] < len(levels) and levels[w[4]] >= best[i]:
+                    work.append(w)
+    return pd.DataFrame({"candidate": cand, "reference": [refs[k] for k in name], "dist": 1.0 - best})
+
+
+def jaro_pairs(left: np.ndarray, n_left: np.ndarray, right: np.ndarray, n_right: np.ndarray, a: np.ndarray, b: np.ndarray, step: int = 8192) -> np.ndarray:
+    """Jaro similarity of pairs of texts, ``a`` of ``left`` with ``b`` of ``right`` (columns of code points, -1 behind
+    each one's length)."""
+    out = np.zeros(len(a))
+    for s in range(0, len(a), step):
+        i, j = a[s : s + step], b[s : s + step]
+        n, m = n_left[i], n_right[j]
+        x, y = left[: max(1, n.max()), i], right[: max(1, m.max()), j]
+        reach = np.maximum(n, m) // 2 - 1
+        wide, even = int(reach.max()), bool(reach.min() == reach.max())
+        free, hit = y >= 0, np.zeros(x.shape, bool)
+        for p in range(x.shape[0]):
+            open_ = x[p] >= 0
+            for q in range(max(0, p - wide), min(y.shape[0], p + wide + 1)):
+                take = (y[q] == x[p]) & free[q] & open_
+                if not even:
+                    take &= abs(p - q) <= reach
+                free[q] ^= take
+                hit[p] |= take
+                open_ ^= take
+        used = (y >= 0) & ~free
+        both = hit.sum(0)
+        own, other = np.zeros((int(both.max(initial=0)) + 1, len(i)), np.int32), np.zeros((int(both.max(initial=0)) + 1, len(i)), np.int32)
+        for at, mask, text in ((own, hit, x), (other, used, y)):
+            p, q = np.nonzero(mask)
+            at[(mask.cumsum(0) - 1)[p, q], q] = text[p, q]
+        swaps = (own != other).sum(0) // 2
+        with np.errstate(divide="ignore", invalid="ignore"):
+            got = np.where(both > 0, (both / n + both / m + (both - swaps) / both) / 3, 0.0)
+        w = min(x.shape[0], y.shape[0])
+        out[s : s + step] = np.where((n == m) & (n <= w) & (x[:w] == y[:w]).all(0), 1.0, got)
+    return out
 
 
 def jaro_many(a: str, letters: np.ndarray, size: np.ndarray) -> np.ndarray:

@@ -1,12 +1,15 @@
 """Steps that failed or grew too fast on larger tables."""
 
 import math
+import random
 
+import pandas as pd
 from pyspark.sql import functions as F
 
 from marshlight.operators import cells as R
 from marshlight.operators import geometry as G
 from marshlight.operators import lidar as P
+from marshlight.operators import stats as T
 from marshlight.operators.iterate import settle
 
 
@@ -70,3 +73,24 @@ def test_pairs_of_places_and_ground_stay_in_a_task(spark, monkeypatch):
     P.normalize_height(df, 3, 2.0).count()
     heights = [x for tag, x in plans if tag == "heights"]
     assert heights and not any("Window" in x for x in heights)
+
+
+def test_nearest_names_equal_all_pairs():
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abc1é") for _ in range(n))
+    asked = sorted({word(rng.randrange(9)) for _ in range(300)} | {"", "zz", "a"})
+    refs = sorted({word(rng.randrange(9)) for _ in range(400)} | {"", "b"})
+    got = T._nearest(pd.DataFrame({"candidate": asked}), pd.DataFrame({"reference": refs}), pairs=500, cells=2000)
+    want = {a: min((1.0 - T.jaro(a, b), b) for b in refs) for a in asked}
+    assert {r.candidate: (r.dist, r.reference) for r in got.itertuples()} == want
+
+
+def test_names_of_equal_characters_are_bounded_once(monkeypatch):
+    """Bounds are computed for sets of characters, comparisons end at the first name that reaches its bound."""
+    seen = []
+    jaro_pairs = T.jaro_pairs
+    monkeypatch.setattr(T, "jaro_pairs", lambda *x: seen.append(len(x[-1])) or jaro_pairs(*x))
+    refs = [f"Supplier#{i:09d}" for i in range(3000)]
+    asked = [f"Customer#{i:09d}" for i in range(3000)]
+    got = T._nearest(pd.DataFrame({"candidate": asked}), pd.DataFrame({"reference": refs}))
+    assert len(got) == 3000 and sum(seen) < 300 * 3000
