@@ -13,7 +13,11 @@ from pyspark.sql import functions as F
 from .grid import boxes_with_boxes, points_in_boxes
 
 
-def edges(vertices: DataFrame) -> DataFrame:
+def edges(vertices: DataFrame, most: int = 50_000) -> DataFrame:
+    """Edges of each ring, in partitions of about ``most``: what edges send (crossings, cells, points) is many times
+    their bytes, so partitions of vertices must not be merged by their bytes before it is made."""
+    parts = -(-vertices.count() // most)
+    vertices = vertices.repartition(parts, "poly_id") if parts > 1 else vertices
     line = Window.partitionBy("poly_id").orderBy("seq")
     out = vertices.select("poly_id", "h", "seq", F.col("x").alias("x1"), F.col("y").alias("y1"), F.lead("x").over(line).alias("x2"), F.lead("y").over(line).alias("y2"))
     return out.filter("x2 IS NOT NULL")

@@ -94,3 +94,9 @@ def test_names_of_equal_characters_are_bounded_once(monkeypatch):
     asked = [f"Customer#{i:09d}" for i in range(3000)]
     got = T._nearest(pd.DataFrame({"candidate": asked}), pd.DataFrame({"reference": refs}))
     assert len(got) == 3000 and sum(seen) < 300 * 3000
+
+
+def test_edges_keep_to_small_partitions(spark):
+    v = spark.range(4000).select(F.floor(F.col("id") / 5).alias("poly_id"), F.lit(0).cast("long").alias("h"), (F.col("id") % 5).alias("seq"), (F.col("id") % 7 * 1.0).alias("x"), (F.col("id") % 11 * 1.0).alias("y"))
+    sizes = [n for n in G.edges(v, most=400).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()]
+    assert len(sizes) == 10 and max(sizes) < 3 * 400
