@@ -244,7 +244,7 @@ def fill_depressions(cells: DataFrame, band: str = "dem", tile: int = 128) -> Da
         discard(levels, graph)
         levels, size = lower, size // FAN
     done = settle(tiles.groupBy("h", "tr", "tc").cogroup(levels.groupBy(*group("r", "c", tile))).applyInPandas(_surface(tile), _LEVELS), "filled")
-    out = settle(done.join(ext, "h").select("h", (F.col("r") + F.col("r0")).alias("r"), (F.col("c") + F.col("c0")).alias("c"), F.col("w").alias(band)), "surface")
+    out = settle(done.join(ext, "h").select("h", (F.col("r") + F.col("r0")).alias("r"), (F.col("c") + F.col("c0")).alias("c"), F.col("w").alias(band)), "surface", cells=True)
     discard(levels, done, ext)
     return out
 
@@ -336,6 +336,6 @@ def flow_acc(dirs: DataFrame, tile: int = 128) -> DataFrame:
         raise ValueError("flow directions run in a circle")
     inflow = state.groupBy("h", F.col("tr").alias("r"), F.col("tc").alias("c")).agg(F.sum("acc").alias("more"))
     met = own.groupBy("h", "tr", "tc").cogroup(inflow.groupBy("h", F.floor(F.col("r") / tile).alias("tr"), F.floor(F.col("c") / tile).alias("tc")))
-    total = settle(met.applyInPandas(_accumulate(tile), "h long, r long, c long, acc long"), "acc")
+    total = settle(met.applyInPandas(_accumulate(tile), "h long, r long, c long, acc long"), "acc", cells=True)
     discard(both, state)
     return total

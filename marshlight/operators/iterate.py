@@ -29,16 +29,17 @@ def shared_dir(spark: SparkSession) -> str:
 BROADCAST = 10 << 20  # bytes in memory up to which a settled table may be sent to all
 
 
-def settle(df: DataFrame, tag: str = "state") -> DataFrame:
+def settle(df: DataFrame, tag: str = "state", cells: bool = False) -> DataFrame:
     """Write the state of a round to the cluster's shared folder and read it back, which ends its lineage.
 
     Spark takes the files' size for the table's, and files of cells are packed to a twentieth of what a broadcast of
-    them takes in the driver; joins of a table whose rows take more than ``BROADCAST`` are therefore told to sort."""
+    them takes in the driver. Joins of a table of ``cells``, which is met on its cells and not on a few hot keys, are
+    therefore told to sort if its rows take more than ``BROADCAST``."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
-    if out.count() * 8 * (len(df.columns) + 3) > BROADCAST:  # the files' footers tell
+    if cells and out.count() * 8 * (len(df.columns) + 3) > BROADCAST:  # the files' footers tell
         out = out.hint("merge")
     out._settled = path
     return out

@@ -55,7 +55,7 @@ def normalize_height(df: DataFrame, k: int = 3, reach: float = 2.0, most: int =
         if last or not rest.limit(1).count():
             break
         left, size, side = settle(rest, "places"), size * 2, max(1, side // 2)
-    out = settle(found, "ground-levels")
+    out = settle(found, "ground-levels", cells=True)
     discard(ground, *old)
     return df.join(out, ["h", "x", "y"], "left").withColumn("hag", F.col("z") - F.col("ground"))
 

@@ -38,8 +38,8 @@ def plan_of(df):
 
 def test_packed_cells_are_not_broadcast(spark):
     n = 400_000
-    cells = settle(spark.range(n).select(F.lit(0).cast("long").alias("h"), F.floor(F.col("id") / 1000).alias("r"), (F.col("id") % 1000).alias("c"), F.lit(1.0).alias("v")), "cells")
-    few = settle(cells.filter("r < 2"), "few")
+    cells = settle(spark.range(n).select(F.lit(0).cast("long").alias("h"), F.floor(F.col("id") / 1000).alias("r"), (F.col("id") % 1000).alias("c"), F.lit(1.0).alias("v")), "cells", cells=True)
+    few = settle(cells.filter("r < 2"), "few", cells=True)
     other = spark.range(4 * n).select(F.lit(0).cast("long").alias("h"), F.floor(F.col("id") / 1000).alias("r"), (F.col("id") % 1000).alias("c"), F.rand(1).alias("w"))
     assert "BroadcastHashJoin" not in plan_of(other.join(cells.select("h", "r", "c", (F.col("v") + 1).alias("v")), ["h", "r", "c"]))
     assert "BroadcastHashJoin" in plan_of(other.join(few, ["h", "r", "c"]))
@@ -69,7 +69,7 @@ def test_ground_is_sought_without_a_row_for_each_pair(spark):
 def test_pairs_of_places_and_ground_stay_in_a_task(spark, monkeypatch):
     df = spark.range(600).select(F.lit(0).cast("long").alias("h"), (F.col("id") % 64 / 32).alias("x"), (F.col("id") / 300).alias("y"), F.lit(1.0).alias("z"), F.when(F.col("id") % 2 == 0, 2).otherwise(5).alias("cls"))
     plans = []
-    monkeypatch.setattr(P, "settle", lambda x, tag: plans.append((tag, plan_of(x))) or settle(x, tag))
+    monkeypatch.setattr(P, "settle", lambda x, tag, **more: plans.append((tag, plan_of(x))) or settle(x, tag, **more))
     P.normalize_height(df, 3, 2.0).count()
     heights = [x for tag, x in plans if tag == "heights"]
     assert heights and not any("Window" in x for x in heights)
