@@ -10,6 +10,7 @@ from marshlight.operators import cells as R
 from marshlight.operators import geometry as G
 from marshlight.operators import lidar as P
 from marshlight.operators import stats as T
+from marshlight.operators import superpixels as X
 from marshlight.operators.iterate import settle
 
 
@@ -100,3 +101,55 @@ def test_edges_keep_to_small_partitions(spark):
     v = spark.range(4000).select(F.floor(F.col("id") / 5).alias("poly_id"), F.lit(0).cast("long").alias("h"), (F.col("id") % 5).alias("seq"), (F.col("id") % 7 * 1.0).alias("x"), (F.col("id") % 11 * 1.0).alias("y"))
     sizes = [n for n in G.edges(v, most=400).rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()]
     assert len(sizes) == 10 and max(sizes) < 3 * 400
+
+
+def plain_superpixels(cells, step, compactness, rounds, min_area):
+    """Superpixels by plain loops over ``{(r, c): bands}`` of one watershed; ids are (r, c)."""
+    n = len(next(iter(cells.values())))
+    bucket = lambda r, c: (math.floor(r / step), math.floor(c / step))
+    mean = lambda v: sum(v) / len(v) if v else None
+    grown = lambda at: (mean([r for r, _ in at]), mean([c for _, c in at]), [mean([cells[x][i] for x in at if cells[x][i] is not None]) for i in range(n)])
+    own = {x: bucket(*x) for x in cells}
+    for turn in range(rounds + 1):
+        centres = {k: grown([x for x in cells if own.get(x) == k]) for k in set(own.values())}
+        if turn == rounds:
+            break
+        own = {}
+        for (r, c), p in cells.items():
+            found = []
+            for k, (cr, cc, q) in centres.items():
+                near = [abs(a - b) <= 1 for a, b in zip(bucket(r, c), bucket(cr, cc), strict=True)]
+                if all(near):
+                    part = lambda a, m: a * math.log2(a / m) if a > 0 else 0.0
+                    div = 0.0 if None in [*p, *q] else sum((part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2 for a, b in zip(p, q, strict=True))
+                    found.append((round(math.sqrt(max(div, 0.0)) + compactness * math.hypot(r - cr, c - cc) / step, 9), k))
+            own[r, c] = min(found)[1]
+    sp = {}
+    for x in sorted(own):
+        todo = [] if x in sp else [x]
+        while todo:
+            r, c = todo.pop()
+            if (r, c) not in sp:
+                sp[r, c] = x
+                todo += [y for y in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)) if own.get(y) == own[x]]
+    size = {k: list(sp.values()).count(k) for k in set(sp.values())}
+    touch = {}
+    for (r, c), k in sp.items():
+        touch.setdefault(k, set()).update(sp[y] for y in ((r + 1, c), (r - 1, c), (r, c + 1), (r, c - 1)) if y in sp and size[sp[y]] >= min_area)
+    return {x: min(touch[k], default=k) if size[k] < min_area else k for x, k in sp.items()}
+
+
+def test_superpixels_meet_centres_inside_tasks(spark, monkeypatch):
+    rng = random.Random(5)
+    plans = []
+    monkeypatch.setattr(X, "settle", lambda x, tag, **more: plans.append((tag, plan_of(x))) or settle(x, tag, **more))
+    cells = {(r, c): [rng.random() if rng.random() < 0.98 else None for _ in range(2)] for r in range(40) for c in range(20, 40) if (r * c) % 17}
+    rows = [(h, r + off, c, a, b) for h, off in ((0, 0), (3, 5)) for (r, c), (a, b) in cells.items()]
+    df = spark.createDataFrame(rows, "h long, r long, c long, a double, b double")
+    got = X.superpixels(df, ["a", "b"], step=4, rounds=3, min_area=6).collect()
+    assert len(got) == len(rows)
+    for h, off in ((0, 0), (3, 5)):
+        want = plain_superpixels({(r + off, c): v for (r, c), v in cells.items()}, 4, 0.2, 3, 6)
+        assert {(x.r, x.c): x.sp for x in got if x.h == h} == {x: (h * (1 << 21) + r) * (1 << 21) + c for x, (r, c) in want.items()}
+    assert [tag for tag, _ in plans].count("centres") == 3
+    assert not any("Join" in plan or "SortAggregate" in plan for _, plan in plans)
