@@ -140,19 +140,20 @@ def cell_set(vertices: DataFrame) -> DataFrame:
     return places(vertices).select("poly_id", "h", F.col("j").alias("r"), F.col("i").alias("c"))
 
 
-def _band(vertices: DataFrame, reach: Column, least: Column, most: Column, side: float = 1.0) -> DataFrame:
+def _band(vertices: DataFrame, reach: Column, least: Column, most: Column, side: float = 1.0, spare: int = 1) -> DataFrame:
     """Edges once for each square (row ``r``, column ``c``, of side ``side``) that the edge can come within ``reach`` of;
-    the columns of a row follow the part of the edge that lies near it. ``least`` and ``most`` bound a row's own y."""
+    the columns of a row follow the part of the edge that lies near it. ``least`` and ``most`` bound a row's own y.
+    ``spare`` rows and columns are added on each side."""
     e = edges(vertices).withColumn("_m", reach)
     low, high, m = F.least("y1", "y2"), F.greatest("y1", "y2"), F.col("_m")
-    e = e.withColumn("r", F.explode(F.sequence(F.floor((low - m) / side) - 1, F.floor((high + m) / side) + 1)))
+    e = e.withColumn("r", F.explode(F.sequence(F.floor((low - m) / side) - spare, F.floor((high + m) / side) + spare)))
     dy = F.col("y2") - F.col("y1")
     at = lambda y: F.coalesce(F.try_divide((F.col("x2") - F.col("x1")) * (F.greatest(low, F.least(high, y)) - F.col("y1")), dy) + F.col("x1"), F.col("x1"))
     a, b = at(least - m), at(most + m)
     flat = dy == 0
     left = F.when(flat, F.least("x1", "x2")).otherwise(F.least(a, b))
     right = F.when(flat, F.greatest("x1", "x2")).otherwise(F.greatest(a, b))
-    return e.withColumn("c", F.explode(F.sequence(F.floor((left - m) / side) - 1, F.floor((right + m) / side) + 1)))
+    return e.withColumn("c", F.explode(F.sequence(F.floor((left - m) / side) - spare, F.floor((right + m) / side) + spare)))
 
 
 def outline_cells(vertices: DataFrame, reach: Column | float) -> DataFrame:
@@ -189,16 +190,33 @@ def points_in(pts: DataFrame, vertices: DataFrame, keys: list[str]) -> DataFrame
     return hits.groupBy(*keys, "poly_id").agg(F.count("*").alias("_n")).filter("_n % 2 = 1").select(*keys, "poly_id")
 
 
+def _near_edges(vertices: DataFrame, reach: float, side: float) -> DataFrame:
+    """Edges once for each square of that side that they can come within ``reach`` of."""
+    far = reach + side * 1e-3 + 1e-12 * F.greatest(*[F.abs(k) for k in ("x1", "y1", "x2", "y2")])  # more, for rounding
+    e = _band(vertices, far, F.col("r") * side, (F.col("r") + 1) * side, side, 0)
+    rounded = edge_distance((F.col("c") + 0.5) * side, (F.col("r") + 0.5) * side) <= F.col("_m") + 0.7072 * side
+    return e.filter(rounded).select("poly_id", "h", "r", "c", "x1", "y1", "x2", "y2")
+
+
 def points_close(pts: DataFrame, vertices: DataFrame, reach: float, keys: list[str]) -> DataFrame:
     """``keys, poly_id, dist`` for points (``h, px, py``) within ``reach`` of a polygon's outline, met over squares of
     that side to which each edge sends itself."""
     side = max(float(reach), 2.0**-20)
-    near = _band(vertices, F.lit(float(reach)), F.col("r") * side, (F.col("r") + 1) * side, side).select("poly_id", "h", "r", "c", "x1", "y1", "x2", "y2")
     at = pts.select(*keys, "h", "px", "py", F.floor(F.col("py") / side).alias("r"), F.floor(F.col("px") / side).alias("c"))
-    met = at.join(near, ["h", "r", "c"]).withColumn("dist", edge_distance(F.col("px"), F.col("py"))).filter(F.col("dist") <= reach)
+    met = at.join(_near_edges(vertices, reach, side), ["h", "r", "c"]).withColumn("dist", edge_distance(F.col("px"), F.col("py"))).filter(F.col("dist") <= reach)
     return met.groupBy(*keys, "poly_id").agg(F.min("dist").alias("dist"))
 
 
+def points_beside(pts: DataFrame, vertices: DataFrame, reach: float) -> DataFrame:
+    """Points (``h, px, py``) within ``reach`` of any outline. A point has one square of side 4 ``reach`` and is done at
+    the first edge there that is near, so no row stands for a pair."""
+    side = max(4 * float(reach), 2.0**-20)
+    at = pts.withColumns({"r": F.floor(F.col("py") / side), "c": F.floor(F.col("px") / side)})
+    met = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in ("h", "r", "c")]
+    near = _near_edges(vertices, reach, side).drop("poly_id")
+    return at.alias("a").join(near.alias("b"), [*met, edge_distance(F.col("px"), F.col("py")) <= reach], "left_semi").drop("r", "c")
+
+
 def ring_cells(vertices: DataFrame, distances: list[float]) -> DataFrame:
     """Cells outside each polygon within each distance of it, one row per (polygon, ring)."""
     near = outline_cells(vertices, max(distances)).join(cell_set(vertices), ["poly_id", "h", "r", "c"], "left_anti")

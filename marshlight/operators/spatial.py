@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .geometry import bbox, intersecting, points_close, points_in
+from .geometry import bbox, intersecting, points_beside, points_in
 from .grid import BOX, boxes_with_boxes, meet
 from .iterate import discard, settle
 
@@ -25,9 +25,11 @@ def points_inside(pts: DataFrame, vertices: DataFrame, inverse: bool = False) ->
 
 
 def points_near(pts: DataFrame, vertices: DataFrame, d: float, inverse: bool = False) -> DataFrame:
-    """Points in or within ``d`` of any polygon, or the others."""
+    """Points in or within ``d`` of any polygon, or the others. Only points that no outline is near are looked for
+    inside the polygons."""
     at = _placed(pts)
-    hits = points_in(at, vertices, ["pt_id"]).select("pt_id").union(points_close(at, vertices, d, ["pt_id"]).select("pt_id")).distinct()
+    near = settle(points_beside(at, vertices, d).select("pt_id"), "near")
+    hits = near.union(points_in(at.join(near, "pt_id", "left_anti"), vertices, ["pt_id"]).select("pt_id")).distinct()
     return pts.join(hits, "pt_id", "left_anti" if inverse else "left_semi")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from marshlight.operators import cells as R
 from marshlight.operators import geometry as G
 from marshlight.operators import lidar as P
+from marshlight.operators import spatial as S
 from marshlight.operators import stats as T
 from marshlight.operators import superpixels as X
 from marshlight.operators.iterate import settle
@@ -153,3 +154,39 @@ def test_superpixels_meet_centres_inside_tasks(spark, monkeypatch):
         assert {(x.r, x.c): x.sp for x in got if x.h == h} == {x: (h * (1 << 21) + r) * (1 << 21) + c for x, (r, c) in want.items()}
     assert [tag for tag, _ in plans].count("centres") == 3
     assert not any("Join" in plan or "SortAggregate" in plan for _, plan in plans)
+
+
+def test_points_near_outlines_are_not_paired_with_edges(spark, monkeypatch):
+    """A point goes to one square and each edge to few of them; rows for pairs of both are never made."""
+    rng = random.Random(11)
+    rings, pts = {}, []
+    for k in range(60):
+        cx, cy, w, t = rng.uniform(-30, 30), rng.uniform(-30, 30), rng.choice([0.01, 1, 5, 40]), rng.uniform(0, 6)
+        ring = [(cx + w * math.cos(t + a) * (1 if i else 0.2), cy + w * math.sin(t + a)) for i, a in enumerate((0, 1.3, 2.9, 4.4))]
+        rings[k] = (k % 3, [*ring, ring[0]])
+    pts = [(i, rng.randrange(4), rng.uniform(-80, 80), rng.uniform(-80, 80)) for i in range(1500)] + [(9000, 0, None, 1.0), (9001, None, 1.0, 1.0)]
+    v = spark.createDataFrame([(k, h, i, x, y) for k, (h, ring) in rings.items() for i, (x, y) in enumerate(ring)], "poly_id long, h long, seq int, x double, y double")
+    p = spark.createDataFrame(pts, "pt_id long, h long, x double, y double")
+
+    def hit(h, x, y, d):
+        if h is None or x is None:
+            return False
+        for g, ring in rings.values():
+            inside = False
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:], strict=False) if g == h else ():
+                dx, dy = x2 - x1, y2 - y1
+                t = max(0.0, min(1.0, ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy)))
+                if math.hypot(x - x1 - t * dx, y - y1 - t * dy) <= d:
+                    return True
+                inside ^= (y1 > y) != (y2 > y) and x < dx * (y - y1) / dy + x1
+            if inside:
+                return True
+        return False
+
+    plans = []
+    monkeypatch.setattr(S, "settle", lambda x, tag, **more: plans.append((tag, plan_of(x))) or settle(x, tag, **more))
+    for d in (0.25, 3.0):
+        want = {i for i, h, x, y in pts if hit(h, x, y, d)}
+        assert {r.pt_id for r in S.points_near(p, v, d).collect()} == want
+        assert {r.pt_id for r in S.points_near(p, v, d, inverse=True).collect()} == {i for i, *_ in pts} - want
+    assert {tag for tag, _ in plans} == {"near"} and all("LeftSemi" in x and "Inner" not in x for _, x in plans)
