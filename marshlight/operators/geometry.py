@@ -10,7 +10,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .grid import boxes_with_boxes, points_in_boxes
+from .grid import base_of, boxes_with_boxes, points_in_boxes
+from .iterate import settle
 
 
 def edges(vertices: DataFrame, most: int = 50_000) -> DataFrame:
@@ -57,10 +58,11 @@ def _boxed(segs: DataFrame) -> DataFrame:
 
 
 def edge_pairs(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
-    """Pairs of edges with equal ``on`` whose boxes touch; the second edge's columns begin with ``b_``."""
+    """Pairs of edges with equal ``on`` whose boxes touch; the second edge's columns begin with ``b_``. Edges of about
+    one length share a level."""
     other = _boxed(b)
     other = other.select(*on, *[F.col(c).alias(f"b_{c}") for c in other.columns if c not in on])
-    return boxes_with_boxes(_boxed(a), other, on, closed=True)
+    return boxes_with_boxes(_boxed(a), other, on, closed=True, base=base_of(_boxed(a)))
 
 
 def valid(vertices: DataFrame) -> DataFrame:
@@ -180,11 +182,11 @@ def cut_cells(vertices: DataFrame) -> DataFrame:
     return met.filter(ok & (lo <= hi)).select("poly_id", "h", "r", "c").distinct()
 
 
-def points_in(pts: DataFrame, vertices: DataFrame, keys: list[str]) -> DataFrame:
+def points_in(pts: DataFrame, vertices: DataFrame, keys: list[str], e: DataFrame | None = None) -> DataFrame:
     """``keys, poly_id`` for points (``h, px, py``) inside each polygon. A point meets the polygons whose box holds
-    it, and of those only the edges that cross its own row of unit height."""
+    it, and of those only the edges that cross its own row of unit height (``e``, if they are at hand)."""
     met = points_in_boxes(pts.select(*keys, "h", "px", "py"), "px", "py", bbox(vertices), ["h"]).select(*keys, "poly_id", "px", "py", F.floor("py").alias("_row"))
-    e = edges(vertices).drop("h", "seq").filter("y1 <> y2")
+    e = (edges(vertices) if e is None else e).select("poly_id", "x1", "y1", "x2", "y2").filter("y1 <> y2")
     slabs = e.withColumn("_row", F.explode(F.sequence(F.floor(F.least("y1", "y2")), F.floor(F.greatest("y1", "y2")))))
     hits = met.join(slabs, ["poly_id", "_row"]).filter(crosses_ray(F.col("px"), F.col("py")))
     return hits.groupBy(*keys, "poly_id").agg(F.count("*").alias("_n")).filter("_n % 2 = 1").select(*keys, "poly_id")
@@ -257,11 +259,12 @@ def dissolve(cells: DataFrame, by: list[str]) -> DataFrame:
 
 def intersecting(vertices: DataFrame) -> DataFrame:
     """Pairs ``a < b`` of polygons of one watershed that intersect: outlines cross, or one holds a vertex of the
-    other. Edges meet edges whose boxes touch, vertices the polygons whose box holds them."""
-    e = edges(vertices).select("poly_id", "h", "x1", "y1", "x2", "y2")
+    other. Edges meet edges whose boxes touch, vertices the polygons whose box holds them. Edges are
+    settled, as they are read seven times."""
+    e = settle(edges(vertices).select("poly_id", "h", "x1", "y1", "x2", "y2"), "edges")
     crossed = edge_pairs(e, e, ["h"]).filter((F.col("poly_id") < F.col("b_poly_id")) & crossing()).select(F.col("poly_id").alias("a"), F.col("b_poly_id").alias("b"))
     v = vertices.select(F.col("poly_id").alias("v_id"), "seq", "h", F.col("x").alias("px"), F.col("y").alias("py"))
-    held = points_in(v, vertices, ["v_id", "seq"]).filter("v_id <> poly_id").select(F.least("poly_id", "v_id").alias("a"), F.greatest("poly_id", "v_id").alias("b"))
+    held = points_in(v, vertices, ["v_id", "seq"], e).filter("v_id <> poly_id").select(F.least("poly_id", "v_id").alias("a"), F.greatest("poly_id", "v_id").alias("b"))
     return crossed.union(held).distinct()
 
 

@@ -26,6 +26,18 @@ def levels_of(boxes: DataFrame) -> list[int]:
     return sorted(r[0] for r in boxes.select(level().alias("l")).distinct().collect() if r[0] is not None)
 
 
+def base_of(boxes: DataFrame, more: int = 2) -> int:
+    """The level up to which small boxes are lifted: ``more`` levels above the median's at most, and none that all lie
+    below. Boxes of about one size then share one level instead of being sent to several."""
+    found = sorted((r.l, r.n) for r in boxes.groupBy(level().alias("l")).agg(F.count("*").alias("n")).collect() if r.l is not None)
+    half, seen = sum(n for _, n in found) / 2, 0
+    for at, n in found:
+        seen += n
+        if seen >= half:
+            return min(at + more, found[-1][0])
+    return LOW
+
+
 def _side() -> Column:
     return F.pow(F.lit(2.0), F.col("_l"))
 
@@ -60,7 +72,7 @@ def points_in_boxes(pts: DataFrame, x: str, y: str, boxes: DataFrame, on: list[s
     return met.filter(held).drop(*SQUARE)
 
 
-def boxes_with_boxes(a: DataFrame, b: DataFrame, on: list[str], closed: bool = False, most: int = 50_000) -> DataFrame:
+def boxes_with_boxes(a: DataFrame, b: DataFrame, on: list[str], closed: bool = False, most: int = 50_000, base: int = LOW) -> DataFrame:
     """Pairs of boxes that overlap in more than an edge (or touch, with ``closed``). ``b``'s own columns, the box too,
     must be named otherwise: its box columns are ``b_xmin`` and so on.
 
@@ -68,15 +80,16 @@ def boxes_with_boxes(a: DataFrame, b: DataFrame, on: list[str], closed: bool = F
     levels that the other side uses, to those it touches; the pair is kept in the square that holds the lower left
     corner of what they share."""
     renamed = b.select(*[F.col(f"b_{k}").alias(k) for k in BOX])
+    lifted = lambda boxes: sorted({max(v, base) for v in levels_of(boxes)})
 
     def sent(df: DataFrame, box: dict, others: list[int]) -> DataFrame:
-        own = df.withColumns({k: F.col(v) for k, v in box.items()}).withColumn("_own", level())
+        own = df.withColumns({k: F.col(v) for k, v in box.items()}).withColumn("_own", F.greatest(level(), F.lit(base)))
         ups = F.array(*[F.lit(v) for v in others]).cast("array<int>")
         upper = F.array_distinct(F.concat(F.array("_own"), F.filter(ups, lambda v: v > F.col("_own"))))
         return squares(own.withColumn("_l", F.explode(upper)))
 
-    left = sent(a, {k: k for k in BOX}, levels_of(renamed)).withColumnRenamed("_own", "_la")
-    right = sent(b, {k: f"b_{k}" for k in BOX}, levels_of(a)).withColumnRenamed("_own", "_lb").drop(*BOX)
+    left = sent(a, {k: k for k in BOX}, lifted(renamed)).withColumnRenamed("_own", "_la")
+    right = sent(b, {k: f"b_{k}" for k in BOX}, lifted(a)).withColumnRenamed("_own", "_lb").drop(*BOX)
     met = meet(left, right, [*on, *SQUARE], most).filter((F.col("_la") == F.col("_l")) | (F.col("_lb") == F.col("_l")))
     below = (lambda p, q: F.col(p) <= F.col(q)) if closed else (lambda p, q: F.col(p) < F.col(q))
     hit = below("xmin", "b_xmax") & below("b_xmin", "xmax") & below("ymin", "b_ymax") & below("b_ymin", "ymax")

@@ -52,10 +52,15 @@ def discard(*states: DataFrame) -> None:
         at.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def both_ways(pairs: DataFrame) -> DataFrame:
+    """``a, b`` and ``b, a``; a union would compute the pairs twice."""
+    return pairs.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("p")).select("p.a", "p.b")
+
+
 def connected(pairs: DataFrame, nodes: DataFrame, rounds: int = 60) -> DataFrame:
     """``node, root``: the smallest node each of ``nodes(node)`` reaches over ``pairs(a, b)``. Labels fall to the
     least neighbour's and then jump to their label's label."""
-    both = settle(pairs.select("a", "b").union(pairs.select("b", "a")), "pairs")
+    both = settle(both_ways(pairs), "pairs")
     labels = held = settle(nodes.select("node", F.col("node").alias("root")), "labels")
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("root").alias("m"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .geometry import bbox, intersecting, points_beside, points_in
 from .grid import BOX, boxes_with_boxes, meet
-from .iterate import discard, settle
+from .iterate import both_ways, discard, settle
 
 
 def _placed(pts: DataFrame) -> DataFrame:
@@ -153,7 +153,7 @@ def resolve_conflicts(pts: DataFrame, wet: DataFrame, upland: DataFrame, cls: st
 def priority_overlay(a: DataFrame, b: DataFrame, vertices: DataFrame) -> DataFrame:
     """All polygons of A, and those of B that touch none of A."""
     pairs = intersecting(vertices)
-    both = pairs.select(F.col("a").alias("x"), F.col("b").alias("y")).union(pairs.select("b", "a"))
+    both = both_ways(pairs).select(F.col("a").alias("x"), F.col("b").alias("y"))
     touched = both.join(a.select(F.col("poly_id").alias("y")), "y", "left_semi").select(F.col("x").alias("poly_id")).distinct()
     return a.unionByName(b.join(touched, "poly_id", "left_anti"))
 

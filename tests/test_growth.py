@@ -12,7 +12,8 @@ from marshlight.operators import lidar as P
 from marshlight.operators import spatial as S
 from marshlight.operators import stats as T
 from marshlight.operators import superpixels as X
-from marshlight.operators.iterate import settle
+from marshlight.operators.grid import base_of, levels_of
+from marshlight.operators.iterate import both_ways, settle
 
 
 def rest(key, k):
@@ -190,3 +191,25 @@ def test_points_near_outlines_are_not_paired_with_edges(spark, monkeypatch):
         assert {r.pt_id for r in S.points_near(p, v, d).collect()} == want
         assert {r.pt_id for r in S.points_near(p, v, d, inverse=True).collect()} == {i for i, *_ in pts} - want
     assert {tag for tag, _ in plans} == {"near"} and all("LeftSemi" in x and "Inner" not in x for _, x in plans)
+
+
+def test_intersecting_polygons_are_sought_once(spark):
+    """Edges are settled once, lie on one level, and pairs taken both ways are not computed twice."""
+    rng = random.Random(2)
+    rings = [(k, k % 2, [(cx + w * x, cy + w * y) for x, y in ((1, 0), (0.5, 1), (-1, 0.25), (-0.5, -1), (1, 0))]) for k in range(80) for cx, cy, w in [(rng.uniform(0, 40), rng.uniform(0, 40), rng.choice([0.3, 1, 2, 3, 12]))]]
+    v = spark.createDataFrame([(k, h, i, x, y) for k, h, ring in rings for i, (x, y) in enumerate(ring)], "poly_id long, h long, seq int, x double, y double")
+    turn = lambda e, p: (lambda z: (z > 0) - (z < 0))((e[2] - e[0]) * (p[1] - e[1]) - (e[3] - e[1]) * (p[0] - e[0]))
+    sides = {k: [(*a, *b) for a, b in zip(ring, ring[1:], strict=False)] for k, _, ring in rings}
+    cross = lambda e, f: turn(e, f[:2]) * turn(e, f[2:]) < 0 and turn(f, e[:2]) * turn(f, e[2:]) < 0
+    holds = lambda k, p: sum((e[1] > p[1]) != (e[3] > p[1]) and p[0] < (e[2] - e[0]) * (p[1] - e[1]) / (e[3] - e[1]) + e[0] for e in sides[k]) % 2 == 1
+    want = set()
+    for a, h, ra in rings:
+        for b, g, rb in rings:
+            if a < b and h == g and (any(cross(e, f) for e in sides[a] for f in sides[b]) or any(holds(a, p) for p in rb) or any(holds(b, p) for p in ra)):
+                want.add((a, b))
+    pairs = G.intersecting(v)
+    assert {(r.a, r.b) for r in pairs.collect()} == want
+    assert {(r.a, r.b) for r in both_ways(pairs).collect()} == want | {(b, a) for a, b in want}
+    assert plan_of(both_ways(pairs)).count("Window") == 0
+    e = G._boxed(G.edges(v))
+    assert base_of(e) >= 1 and len({max(x, base_of(e)) for x in levels_of(e)}) < len(levels_of(e))
