@@ -213,3 +213,16 @@ def test_intersecting_polygons_are_sought_once(spark):
     assert plan_of(both_ways(pairs)).count("Window") == 0
     e = G._boxed(G.edges(v))
     assert base_of(e) >= 1 and len({max(x, base_of(e)) for x in levels_of(e)}) < len(levels_of(e))
+
+
+def test_finer_cells_need_no_row_for_each_neighbour(spark):
+    rows = [(h, r, c, None if (r * c) % 7 == 3 else float((r * 31 + c * 17) % 23)) for h in (0, 4) for r in range(9) for c in range(130) if (r + c) % 5 or c > 60]
+    cells = spark.createDataFrame(rows, "h long, r long, c long, v double")
+    for f in (2, 3):
+        got = R._finer(cells, f, "v")
+        assert "FlatMapGroupsInPandas" in plan_of(R.resample(cells, 1 / 2, "v", "cubicspline"))
+        at = got.select("h", "r", "c", ((F.col("r") + 0.5) / f).alias("sy"), ((F.col("c") + 0.5) / f).alias("sx"))
+        want = {(x.h, x.r, x.c): x.v for x in R.sample(at, cells, "v", "cubicspline", ["h", "r", "c"]).collect()}
+        found = {(x.h, x.r, x.c): x.v for x in got.collect()}
+        assert len(found) == 2 * 9 * 130 * f * f == len(want)
+        assert all((v is None) == (want[k] is None) and (v is None or abs(v - want[k]) < 1e-9) for k, v in found.items())
