@@ -16,6 +16,7 @@ from ..operators import learn as M
 from ..operators import spatial as S
 from ..operators import stats as T
 from ..operators import terrain as E
+from ..operators.iterate import settle
 
 c = F.col
 KEY = R.KEY
@@ -37,10 +38,15 @@ def aerial_per_watershed(cells: DataFrame, vertices: DataFrame) -> DataFrame:
 
 
 def satellite_composite(obs: DataFrame, grid: DataFrame, scale: float) -> DataFrame:
-    """Seasonal medians of masked optical indices on a finer grid, the same scenes for every watershed of the grid."""
+    """Seasonal medians of masked optical indices on a finer grid, the same scenes for every watershed of the grid. A place
+    (r, c) is therefore worked out once for all watersheds and written, then given to their cells."""
     clear = I.mask_qa60(I.mask_scl(obs.filter(c("cloud_pct") < 20)), ["b2", "b3", "b4", "b6", "b8", "b11"])
-    comp = R.median_composite(I.optical_indices(clear), ["NDVI"]).crossJoin(F.broadcast(grid.select("h").distinct()))
-    return R.warp(comp, grid, lambda x, y: (x * scale, y * scale), "NDVI")
+    one = F.lit(0).alias("h")
+    comp = R.median_composite(I.optical_indices(clear), ["NDVI"]).select(one, "r", "c", "NDVI")
+    places = grid.select(one, "r", "c").distinct()
+    made = settle(R.warp(comp, places, lambda x, y: (x * scale, y * scale), "NDVI"), "composite", cells=True)
+    met = grid.select(*KEY).distinct().join(made.select("r", "c", "NDVI"), ["r", "c"], "left")
+    return met.select(*KEY, F.when(c("h").isNotNull(), c("NDVI")).alias("NDVI"))
 
 
 def terrain_metrics(cells: DataFrame, factor: int) -> DataFrame:

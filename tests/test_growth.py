@@ -226,3 +226,22 @@ def test_finer_cells_need_no_row_for_each_neighbour(spark):
         found = {(x.h, x.r, x.c): x.v for x in got.collect()}
         assert len(found) == 2 * 9 * 130 * f * f == len(want)
         assert all((v is None) == (want[k] is None) and (v is None or abs(v - want[k]) < 1e-9) for k, v in found.items())
+
+
+def test_composite_is_resampled_once_for_all_watersheds(spark):
+    from marshlight.functions import indices as I
+    from marshlight.plans import jobs as J
+    from marshlight.plans.fixtures import Fixtures
+
+    obs = Fixtures(spark, "/root/testdata/sf0.001").obs
+    rows = [(h, r, k) for h in (0, 1, 7) for r in range(0, 24, 3) for k in range(h, 70)] + [(1, 2, 5), (1, 2, 5), (None, 3, 3), (1, None, 3), (1, 900, 2)]
+    grid = spark.createDataFrame(rows, "h long, r long, c long")
+    got = J.satellite_composite(obs, grid, 0.25)
+    assert "Generate" not in plan_of(got)  # no row for a cell and one of its four neighbours in each watershed
+    clear = I.mask_qa60(I.mask_scl(obs.filter("cloud_pct < 20")), ["b2", "b3", "b4", "b6", "b8", "b11"])
+    comp = R.median_composite(I.optical_indices(clear), ["NDVI"]).crossJoin(grid.select("h").distinct())
+    want = R.warp(comp, grid, lambda x, y: (x * 0.25, y * 0.25), "NDVI")
+    table = lambda df: sorted(((r.h, r.r, r.c), None if r.NDVI is None else round(r.NDVI, 9)) for r in df.collect() if None not in (r.h, r.r, r.c))
+    assert table(got) == table(want) and any(v is not None for _, v in table(got))
+    odd = lambda df: sorted((str(r.h), str(r.r), r.c, r.NDVI) for r in df.filter("h IS NULL OR r IS NULL").collect())
+    assert odd(got) == odd(want) == [("1", "None", 3, None), ("None", "3", 3, None)]
