@@ -56,9 +56,15 @@ def recipe(target: str, numeric: list[str], nominal: list[str] = ()) -> Pipeline
     return Pipeline(stages=stages)
 
 
-def fit_rf(df: DataFrame, target: str, numeric: list[str], trees: int = 10, mtry: int = 2, min_n: int = 2, seed: int = 1, nominal: list[str] = ()) -> PipelineModel:
+def fit_rf(df: DataFrame, target: str, numeric: list[str], trees: int = 10, mtry: int = 2, min_n: int = 2, seed: int = 1, nominal: list[str] = (), written: bool = False) -> PipelineModel:
+    """A forest on the recipe. Each stage of it reads all rows, so their columns are written first, unless the rows are
+    ``written`` already; else each stage would work them out anew."""
+    rows = df if written else settle(df.select(*dict.fromkeys([target, *numeric, *nominal])), "fit")
     rf = RandomForestClassifier(numTrees=trees, featureSubsetStrategy=str(min(mtry, len(numeric))), minInstancesPerNode=min_n, seed=seed)
-    return Pipeline(stages=[*recipe(target, numeric, nominal).getStages(), rf]).fit(df)
+    model = Pipeline(stages=[*recipe(target, numeric, nominal).getStages(), rf]).fit(rows)
+    if not written:
+        discard(rows)
+    return model
 
 
 def levels(model: PipelineModel) -> list[str]:
@@ -98,7 +104,7 @@ def tune_rf(df: DataFrame, target: str, numeric: list[str], grid: list[tuple[int
 
     def one(at: tuple[int, int, int]) -> tuple[int, int, float | None]:
         mtry, min_n, k = at
-        model = fit_rf(df.filter(F.col("__fold") != k), target, numeric, trees, mtry, min_n)
+        model = fit_rf(df.filter(F.col("__fold") != k), target, numeric, trees, mtry, min_n, written=True)
         scored = augment(model, df.filter(F.col("__fold") == k))
         known = [c for c in levels(model) if f"pred_{c}" in scored.columns]
         return mtry, min_n, auc_hand_till(scored, target, known).first()["roc_auc"]
@@ -142,9 +148,11 @@ def agreement(scored: DataFrame, truth: str, pred: str) -> DataFrame:
 
 
 def last_fit(df: DataFrame, target: str, numeric: list[str], key: str, frac: float = 0.8, **kw) -> tuple[PipelineModel, DataFrame]:
-    """Fit on the training share, score the rest."""
-    parts = split(df, frac, key, target)
-    model = fit_rf(parts.filter("train"), target, numeric, **kw)
+    """Fit on the training share, score the rest. Rows are worked out once and written, and so are their parts."""
+    rows = settle(df, "rows")
+    parts = settle(split(rows, frac, key, target), "parts")
+    discard(rows)
+    model = fit_rf(parts.filter("train"), target, numeric, written=True, **kw)
     return model, augment(model, parts.filter("NOT train").drop("train"))
 
 

@@ -124,8 +124,9 @@ def point_extraction(vertices: DataFrame, polys: DataFrame, cells: DataFrame, sp
 
 
 def forest_report(train: DataFrame, bands: list[str], target: str, trees: int = 10) -> DataFrame:
-    """Train on the split, score the rest: accuracy, kappa and the area under the curve."""
-    model, scored = M.last_fit(train.dropna("any", subset=bands), target, bands, "pt_id", trees=trees)
+    """Train on the split, score the rest: accuracy, kappa and the area under the curve, all from scores written once."""
+    model, scored = M.last_fit(train.dropna("any", subset=bands).select("pt_id", target, *bands), target, bands, "pt_id", trees=trees)
+    scored = settle(scored.drop("pt_id", *bands), "scored")
     classes = [x for x in M.levels(model) if x != "__unknown"]
     return M.cm_summary(M.conf_mat(scored, target, "pred_class", classes)).crossJoin(F.broadcast(M.auc_hand_till(scored, target, [x for x in classes if f"pred_{x}" in scored.columns])))
 

@@ -245,3 +245,36 @@ def test_composite_is_resampled_once_for_all_watersheds(spark):
     assert table(got) == table(want) and any(v is not None for _, v in table(got))
     odd = lambda df: sorted((str(r.h), str(r.r), r.c, r.NDVI) for r in df.filter("h IS NULL OR r IS NULL").collect())
     assert odd(got) == odd(want) == [("1", "None", 3, None), ("None", "3", 3, None)]
+
+
+def counted(df):
+    """The rows of ``df``, and an accumulator of how many were worked out."""
+    seen = df.sparkSession.sparkContext.accumulator(0)
+
+    def through(parts):
+        for p in parts:
+            seen.add(len(p))
+            yield p
+
+    return df.mapInPandas(through, df.schema), seen
+
+
+def marks(spark, n=600):
+    got = spark.range(n).select(F.col("id").alias("pt_id"), F.when(F.col("id") % 5 < 2, "UPL").otherwise("WET").alias("k"), (F.col("id") % 5 + F.col("id") % 3).cast("double").alias("a"), (F.col("id") * 37 % 101).cast("double").alias("b"))
+    return got.withColumn("a", F.when(F.col("pt_id") != 7, F.col("a")))
+
+
+def test_forest_report_works_its_rows_out_once(spark):
+    from marshlight.operators import learn as M
+    from marshlight.plans import jobs as J
+
+    df, seen = counted(marks(spark))
+    got = J.forest_report(df, ["a", "b"], "k", trees=3).collect()
+    assert len(got) == 1 and 0.5 < got[0].accuracy <= 1 and seen.value == 600
+    whole = marks(spark).dropna("any", subset=["a", "b"])
+    _, scored = M.last_fit(whole, "k", ["a", "b"], "pt_id", trees=3)
+    want = M.split(whole, 0.8, "pt_id", "k").filter("NOT train")
+    assert scored.columns[:4] == whole.columns and sorted(r[:4] for r in scored.select(*whole.columns).collect()) == sorted(r[:4] for r in want.select(*whole.columns).collect())
+    df, seen = counted(whole)
+    M.fit_rf(df, "k", ["a", "b"], trees=3)
+    assert seen.value == 599
