@@ -156,8 +156,10 @@ def last_fit(df: DataFrame, target: str, numeric: list[str], key: str, frac: flo
     return model, augment(model, parts.filter("NOT train").drop("train"))
 
 
-def perm_importance(model: PipelineModel, df: DataFrame, target: str, numeric: list[str], key: str, seed: int = 0) -> DataFrame:
-    """Loss of accuracy when one column is dealt out anew, by pairing two stated orders of the rows."""
+def perm_importance(model: PipelineModel, df: DataFrame, target: str, numeric: list[str], key: str, seed: int = 0, written: bool = False) -> DataFrame:
+    """Loss of accuracy when one column is dealt out anew, by pairing two stated orders of the rows. Rows are read several
+    times for each column, so they are written first, unless they are ``written`` already."""
+    df = df if written else settle(df, "rows")
     base = accuracy(augment(model, df), target).withColumnRenamed("accuracy", "base")
     out, placed = None, row_number(df, [key], name="_at")
     for i, c in enumerate(numeric):

@@ -10,6 +10,7 @@ from ..operators import geometry as G
 from ..operators import learn as M
 from ..operators import stats as T
 from ..operators import terrain as E
+from ..operators.iterate import settle
 from ..operators.superpixels import superpixels
 from . import jobs as J
 from .queries_attributes import CODE_CHM_SQL, CODE_PARTS_SQL
@@ -53,7 +54,9 @@ def _(fx):
 
 @query("m06_perm_importance")
 def _(fx):
-    return M.perm_importance(M.fit_rf(fx.train, "mod_class", BANDS, trees=10), fx.train, "mod_class", BANDS[:2], "pt_id")
+    train = settle(fx.train.select("pt_id", "mod_class", *BANDS), "train")
+    model = M.fit_rf(train, "mod_class", BANDS, trees=10, written=True)
+    return M.perm_importance(model, train, "mod_class", BANDS[:2], "pt_id", written=True)
 
 
 @query("m07_augment")

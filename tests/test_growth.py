@@ -278,3 +278,18 @@ def test_forest_report_works_its_rows_out_once(spark):
     df, seen = counted(whole)
     M.fit_rf(df, "k", ["a", "b"], trees=3)
     assert seen.value == 599
+
+
+def test_importance_works_its_rows_out_once(spark):
+    from marshlight.operators import learn as M
+
+    whole = marks(spark, 200).dropna("any", subset=["a", "b"])
+    model = M.fit_rf(whole, "k", ["a", "b"], trees=3)
+    df, seen = counted(whole)
+    got = {r.feature: r.importance for r in M.perm_importance(model, df, "k", ["a", "b"], "pt_id").collect()}
+    assert seen.value == 199
+    rows = whole.toPandas().sort_values("pt_id").reset_index(drop=True)
+    right = lambda p: M.accuracy(M.augment(model, spark.createDataFrame(p)), "k").first()[0]
+    for i, name in enumerate(["a", "b"]):
+        deck = sorted(rows.index, key=lambda j: (rest(int(rows.pt_id[j]), i + 1), rows.pt_id[j]))
+        assert abs(got[name] - (right(rows) - right(rows.assign(**{name: rows[name][deck].to_numpy()})))) < 1e-9
