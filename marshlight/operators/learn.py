@@ -157,17 +157,21 @@ def last_fit(df: DataFrame, target: str, numeric: list[str], key: str, frac: flo
 
 
 def perm_importance(model: PipelineModel, df: DataFrame, target: str, numeric: list[str], key: str, seed: int = 0, written: bool = False) -> DataFrame:
-    """Loss of accuracy when one column is dealt out anew, by pairing two stated orders of the rows. Rows are read several
-    times for each column, so they are written first, unless they are ``written`` already."""
+    """Loss of accuracy when one column is dealt out anew, by pairing two stated orders of the rows. The orders of all
+    columns are sorted at once and meet the rows in one join, and all deals are scored in one pass. Rows are read several
+    times, so they are written first, unless they are ``written`` already."""
     df = df if written else settle(df, "rows")
-    base = accuracy(augment(model, df), target).withColumnRenamed("accuracy", "base")
-    out, placed = None, row_number(df, [key], name="_at")
-    for i, c in enumerate(numeric):
-        deck = row_number(df.select(key, F.col(c).alias("_v")), [hash_order(F.col(key), seed + i + 1), key], name="_at").select("_at", "_v")
-        mixed = placed.join(deck, "_at").withColumn(c, F.col("_v")).drop("_at", "_v")
-        one = accuracy(augment(model, mixed), target).crossJoin(F.broadcast(base)).select(F.lit(c).alias("feature"), (F.col("base") - F.col("accuracy")).alias("importance"))
-        out = one if out is None else out.unionByName(one)
-    return out.orderBy(F.desc("importance"), "feature")
+    deals = F.array(*[F.struct(F.lit(i).alias("_deal"), hash_order(F.col(key), seed + i + 1).alias("_o"), F.col(c).cast("double").alias("_v")) for i, c in enumerate(numeric)])
+    decks = running(df.select(F.col(key).alias("_key"), F.explode(deals).alias("_d")).select("_key", "_d.*"), ["_deal", "_o", "_key"], None, "_end")
+    # each deck has all rows, so a place in the order of decks is one in its own deck
+    dealt = decks.groupBy(((F.col("_end") - 1) % max(df.count(), 1) + 1).alias("_at")).agg(*[F.max(F.when(F.col("_deal") == i, F.col("_v"))).alias(f"_v{i}") for i in range(len(numeric))])
+    met = running(df, [key], None, "_at").join(dealt, "_at")
+    mixed = [F.struct(F.lit(i).alias("_deal"), *[F.col(f"_v{j}" if i == j else c).cast("double").alias(c) for j, c in enumerate(numeric)]) for i in range(-1, len(numeric))]
+    rows = met.select(*[c for c in df.columns if c not in numeric], F.explode(F.array(*mixed)).alias("_d")).select("*", "_d.*").drop("_d")
+    found = augment(model, rows).groupBy("_deal").agg(F.avg((F.col(target) == F.col("pred_class")).cast("double")).alias("accuracy"))
+    found = found.agg(F.max(F.when(F.col("_deal") < 0, F.col("accuracy"))).alias("base"), *[F.max(F.when(F.col("_deal") == i, F.col("accuracy"))).alias(f"_a{i}") for i in range(len(numeric))])
+    each = F.array(*[F.struct(F.lit(c).alias("feature"), (F.col("base") - F.col(f"_a{i}")).alias("importance")) for i, c in enumerate(numeric)])
+    return found.select(F.explode(each).alias("_d")).select("_d.*").orderBy(F.desc("importance"), "feature")
 
 
 def pca(df: DataFrame, cols: list[str], k: int, key: str) -> DataFrame:

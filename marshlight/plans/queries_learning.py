@@ -56,7 +56,7 @@ def _(fx):
 def _(fx):
     train = settle(fx.train.select("pt_id", "mod_class", *BANDS), "train")
     model = M.fit_rf(train, "mod_class", BANDS, trees=10, written=True)
-    return M.perm_importance(model, train, "mod_class", BANDS[:2], "pt_id", written=True)
+    return M.perm_importance(model, train, "mod_class", BANDS, "pt_id", written=True)
 
 
 @query("m07_augment")

@@ -293,3 +293,18 @@ def test_importance_works_its_rows_out_once(spark):
     for i, name in enumerate(["a", "b"]):
         deck = sorted(rows.index, key=lambda j: (rest(int(rows.pt_id[j]), i + 1), rows.pt_id[j]))
         assert abs(got[name] - (right(rows) - right(rows.assign(**{name: rows[name][deck].to_numpy()})))) < 1e-9
+
+
+def test_importance_of_every_feature_of_the_model(spark):
+    from marshlight.operators import learn as M
+    from marshlight.plans import queries_learning as Q
+    from marshlight.plans import registry
+
+    rows = registry.QUERIES["m06_perm_importance"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.feature for r in rows) == sorted(Q.BANDS) and len(Q.BANDS) == 5
+    # a model's other columns stay as they are, whole numbers may be dealt, rows may be in any partitions
+    whole = marks(spark, 300).dropna("any", subset=["a", "b"]).withColumn("b", F.col("b").cast("long"))
+    model = M.fit_rf(whole, "k", ["a", "b"], trees=3)
+    both = {r.feature: r.importance for r in M.perm_importance(model, whole.repartition(7), "k", ["a", "b"], "pt_id").collect()}
+    one = M.perm_importance(model, whole, "k", ["a"], "pt_id").collect()
+    assert [r.feature for r in one] == ["a"] and abs(one[0].importance - both["a"]) < 1e-12
