@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marshlight.llm import mixing, quality, repeats, simhash
-from marshlight.llm.common import materialize, table, text_bytes
+from marshlight.llm.common import materialize, remove, table, text_bytes
 from marshlight.llm.pieces import encode_decode
 
 
@@ -72,8 +72,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn over ``documents``; each result is written to the shared folder and read again."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages in turn over ``documents``; each result is written to the shared folder and read again, and deleted once
+    the next one is written."""
+    docs, old = table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
-        docs, _ = materialize(stage(spark, docs, sf_dir), "stage")
+        docs, path = materialize(stage(spark, docs, sf_dir), "stage")
+        remove(spark, *old)
+        old = [path]
     return STAGES[-1][1](spark, docs, sf_dir)

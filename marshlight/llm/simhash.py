@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from itertools import combinations
+from math import comb
 
 import numpy as np
 import pyarrow as pa
@@ -81,8 +82,8 @@ class GrayIndex:
     """Fingerprints in Gray order under nodes of ``FAN`` children; a node keeps the bits all its members share
     (mask and pattern), so the differences on them accumulate for the whole group at once."""
 
-    def __init__(self, fps: np.ndarray):
-        self.order = np.argsort(gray_rank(fps), kind="stable")
+    def __init__(self, fps: np.ndarray, order: np.ndarray | None = None):
+        self.order = np.argsort(gray_rank(fps), kind="stable") if order is None else order
         self.fps = fps[self.order]
         self.levels = [(np.full(len(fps), ~np.uint64(0)), self.fps)]
         while len(self.levels[-1][0]) > 1:
@@ -93,6 +94,10 @@ class GrayIndex:
             both &= ~(one ^ zero)  # bits on which every member agrees
             self.levels.append((both, zero & both))
 
+    def apart(self, la: int, a: np.ndarray, other: GrayIndex, lb: int, b: np.ndarray) -> np.ndarray | None:
+        """Which pairs of nodes are not asked for, where any are not."""
+        return None
+
     def links(self, other: GrayIndex, most: int, batch: int = 1 << 18):
         """Pairs of positions (self, other) that differ in at most ``most`` bits, in batches. Pairs of nodes
         whose shared bits already differ in more are dropped with everything below them."""
@@ -110,6 +115,9 @@ class GrayIndex:
             if same:
                 keep &= (a < b) if lv == 0 else (a <= b)
             a, b = a[keep], b[keep]
+            gone = self.apart(la, a, other, lb, b) if len(a) else None
+            if gone is not None:
+                a, b = a[~gone], b[~gone]
             if not len(a):
                 continue
             if lv == 0:
@@ -127,6 +135,57 @@ class GrayIndex:
             stack.append((lv - 1, i[ok], j[ok]))
 
 
+def values(fps: np.ndarray, runs: list[tuple[int, int]]) -> np.ndarray:
+    """The bits of the runs, side by side."""
+    out, at = np.zeros(len(fps), np.uint64), 0
+    for a, w in runs:
+        out |= ((fps >> np.uint64(a)) & np.uint64((1 << w) - 1)) << np.uint64(at)
+        at += w
+    return out
+
+
+class TableIndex(GrayIndex):
+    """A Gray index in which members with one value of ``runs`` lie side by side: only these are paired. Nodes whose members
+    all have one and the same ``label`` are not paired either."""
+
+    def __init__(self, fps: np.ndarray, runs: list[tuple[int, int]], label: np.ndarray):
+        v = values(fps, runs)
+        super().__init__(fps, np.lexsort((gray_rank(fps), v)))
+        label = label[self.order]
+        self.ends = [(v[self.order], v[self.order], label, label)]
+        for mask, _ in self.levels[:-1]:
+            lo, hi, least, most = self.ends[-1]
+            at = np.arange(0, len(mask), FAN)
+            self.ends.append((lo[at], np.maximum.reduceat(hi, at), np.minimum.reduceat(least, at), np.maximum.reduceat(most, at)))
+
+    def apart(self, la, a, other, lb, b):
+        (lo, hi, least, most), (lo2, hi2, least2, most2) = self.ends[la], other.ends[lb]
+        one = least[a]
+        return (lo[a] > hi2[b]) | (lo2[b] > hi[a]) | ((one == most[a]) & (one == least2[b]) & (one == most2[b]))
+
+
+def runs_inside(x: np.ndarray, y: np.ndarray | None, most: int) -> list[list[tuple[int, int]]]:
+    """Tables by which two sides' fingerprints (or one side's own) are met with about the fewest steps: few runs leave
+    large values, many runs make many tables. The sides' own values tell, so a crowd of like ones is met in few tables."""
+    found = []
+    for keep in range(4):
+        runs = tables(most, keep)
+        pairs = 0
+        for t in {0, len(runs) // 2, len(runs) - 1}:
+            v, n = np.unique(values(x, runs[t]), return_counts=True)
+            if y is not None:
+                w, m = np.unique(values(y, runs[t]), return_counts=True)
+                _, i, j = np.intersect1d(v, w, assume_unique=True, return_indices=True)
+                pairs += float((n[i] * m[j]).sum())
+            else:
+                pairs += float((n * n).sum()) / 2
+        each = pairs / len({0, len(runs) // 2, len(runs) - 1})
+        found.append((len(runs) * (each + 10 * (len(x) + len(x if y is None else y)) + 30_000), keep, runs))
+        if len(x) < 1024 and keep or len(runs) * 30_000 > found[0][0]:
+            break
+    return min(found)[2]
+
+
 def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Labels (the smallest position of each component) after also linking a to b, and which of these pairs were needed."""
     used, pair = [], np.arange(len(a))
@@ -203,6 +262,12 @@ def runs_to_keep(most: int, n: int, block: int) -> int:
     return keep
 
 
+def runs_to_send(most: int, n: int, block: int) -> int:
+    """Shared runs of bits with which ``n`` members that meet are sent the fewest times: once for each table, and once more
+    for each further block of a value."""
+    return min(range(1, 5), key=lambda keep: comb(most + keep, keep) * -(-n // (block << (64 * keep // (most + keep)))))
+
+
 def link_fingerprints(nodes: DataFrame, most: int = 4, keep: int = 1, most2: int | None = None, block: int = 4096) -> DataFrame:
     """Edges ``a, b`` that connect all of ``node, fp, fp2`` (distinct nodes) linked directly or in steps of at most
     ``most`` differing bits of fp (and ``most2`` of fp2 where given). Each edge is such a pair; their number is linear
@@ -218,9 +283,9 @@ def link_fingerprints(nodes: DataFrame, most: int = 4, keep: int = 1, most2: int
     return cells.mapInArrow(_blocks(most, most2), "a long, b long")
 
 
-def in_cells(nodes: DataFrame, most: int, keep: int, block: int) -> DataFrame:
+def in_cells(nodes: DataFrame, most: int, keep: int, block: int, few: bool = False) -> DataFrame:
     """``nodes`` once for each (table, value, cell) in which they meet others: ``p, v, c, side`` and their own columns, one
-    cell after another."""
+    cell after another. Where values are ``few`` their sizes are broadcast, so members are sent once, to their cells."""
     own_columns = nodes.columns
     values = F.array(*[_value(F.col("fp"), runs) for runs in tables(most, keep)])
     keyed = nodes.select(*own_columns, F.posexplode(values).alias("p", "v"))
@@ -228,7 +293,7 @@ def in_cells(nodes: DataFrame, most: int, keep: int, block: int) -> DataFrame:
         keyed = keyed.withColumn("v", F.col("v") + F.shiftleft(F.col("bucket").cast("long"), 40)).drop("bucket")
         own_columns = [c for c in own_columns if c != "bucket"]
     sizes = keyed.groupBy("p", "v").agg(F.count("*").alias("n")).filter("n > 1")
-    placed = keyed.join(sizes, ["p", "v"]).withColumn("parts", F.ceil(F.col("n") / F.lit(block)).cast("int"))
+    placed = keyed.join(F.broadcast(sizes) if few else sizes, ["p", "v"]).withColumn("parts", F.ceil(F.col("n") / F.lit(block)).cast("int"))
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
     # sub-block i meets j >= i in cell i * parts + j, as side 0 and as side 1; cell (i, i) holds one side only
     here, there = F.least(F.col("i"), F.col("j")), F.greatest(F.col("i"), F.col("j"))
@@ -285,7 +350,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, most: int = 4, keep: int
 
 
 def _signed(shingle: int, words: int):
-    """Fingerprint, size of the set of word shingles and its MinHash signature, of every row."""
+    """Fingerprint, size of the set of word shingles and its MinHash signature, of every row; and the signature's lowest 4
+    bits of each number."""
 
     def run(batches):
         shingles = Shingles(words)
@@ -294,8 +360,9 @@ def _signed(shingle: int, words: int):
             fps = np.array([fingerprint(x, shingle) for x in raw], "<u8").view("<i8")
             sets = [shingles(x) for x in raw]
             sig = signatures(sets).astype("<u2")
-            cols = [b.column(0), pa.array(fps), pa.array([len(s) for s in sets], pa.int64()), pa.array([x.tobytes() for x in sig], pa.binary()), b.column(2)]
-            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "fp", "size", "sig", "text_hash"])
+            low = (sig[:, ::2] & 15 | (sig[:, 1::2] & 15) << 4).astype(np.uint8)
+            cols = [b.column(0), pa.array(fps), pa.array([len(s) for s in sets], pa.int64()), *(pa.array([x.tobytes() for x in k], pa.binary()) for k in (sig, low)), b.column(2)]
+            yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "fp", "size", "sig", "low_sig", "text_hash"])
 
     return run
 
@@ -309,38 +376,63 @@ def _word_sets(words: int):
     return run
 
 
+def _differ(sig: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """How many numbers of the members' signatures differ: of 16 bits, or of 4 bits where eight bytes hold sixteen."""
+    if sig.dtype == np.uint16:
+        return (sig[i] != sig[j]).sum(1)
+    x = sig[i] ^ sig[j]
+    x |= x >> np.uint64(2)
+    x |= x >> np.uint64(1)
+    return np.bitwise_count(x & np.uint64(0x1111111111111111)).sum(1)
+
+
 def _alike(most: int, runs: list, far: int, percent: int, exact: bool):
     """For each (table, value, cell): pairs of texts whose fingerprints differ in at most ``most`` bits, whose signatures
     differ in at most ``far`` numbers and whose sizes let them be alike, each pair in the first table where both meet. Gives
-    the members of such pairs, or, once these have their sets, the pairs that are ``exact`` links and join groups."""
-    masks = np.array([sum(((1 << w) - 1) << a for a, w in t) for t in runs], np.uint64)
+    the members of such pairs, by the lowest bits of their signatures, or, once these have their sets and whole signatures,
+    the pairs that are ``exact`` links and join groups.
+
+    Inside a cell further tables of shared runs are walked one after another, each as a Gray index of its own. Pairs of
+    which both are asked for, or that are in one group by now, are passed over."""
+    masks = lambda told: [np.uint64(sum(((1 << w) - 1) << a for a, w in t)) for t in told]
+    sent = masks(runs)
 
     def work(key, held):
-        x = GrayIndex(np.array([r[1] for r in held[0]], np.int64).view("<u8"))
-        y = GrayIndex(np.array([r[1] for r in held[1]], np.int64).view("<u8")) if held[1] else x
-        rows = [held[0][i] for i in x.order] + ([held[1][i] for i in y.order] if held[1] else [])
-        shift = len(held[0]) if held[1] else 0
+        rows, shift = held[0] + held[1], len(held[0]) if held[1] else 0
         node, fp, size, cls = (np.array([r[k] for r in rows], np.int64) for k in (0, 1, 2, 3))
-        fp, sig = fp.view("<u8"), np.frombuffer(b"".join(r[4] for r in rows), "<u2").reshape(len(rows), -1)
+        fp, sig = fp.view("<u8"), np.frombuffer(b"".join(r[4] for r in rows), "<u2" if exact else "<u8").reshape(len(rows), -1)
         groups = Groups([np.frombuffer(r[5], "<u8") for r in rows], percent) if exact else None
         asked = np.zeros(len(rows), bool)
-        for a, b in x.links(y, most):
-            b = b + shift
-            ok = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
-            ok &= np.minimum(cls[a], cls[b]) == key[1] >> 40
-            for m in masks[: key[0]]:
-                ok &= ((fp[a] ^ fp[b]) & m) != 0
-            a, b = a[ok], b[ok]
-            for s in range(0, len(a), 65536):
-                i, j = a[s : s + 65536], b[s : s + 65536]
-                differ = (sig[i] != sig[j]).sum(1)
-                near = differ <= far
-                if exact:
-                    found = list(groups.join(i[near], j[near], differ[near]))
-                    if found:
-                        yield pa.RecordBatch.from_arrays([pa.array(node[list(e)]) for e in zip(*found, strict=True)], names=["a", "b"])
-                else:
-                    asked[i[near]] = asked[j[near]] = True
+        inner = runs_inside(fp[:shift] if shift else fp, fp[shift:] if shift else None, most)
+        first = masks(inner)
+        for t, own in enumerate(inner):
+            label = groups.label if exact else np.where(asked, -1, np.arange(len(rows)))
+            x = TableIndex(fp[:shift] if shift else fp, own, label[:shift] if shift else label)
+            y = TableIndex(fp[shift:], own, label[shift:]) if shift else x
+            for a, b in x.links(y, most):
+                a, b = x.order[a], y.order[b] + shift
+                ok = 100 * np.minimum(size[a], size[b]) >= percent * np.maximum(size[a], size[b])
+                ok &= np.minimum(cls[a], cls[b]) == key[1] >> 40
+                ok &= (groups.label[a] != groups.label[b]) if exact else ~(asked[a] & asked[b])
+                for m in [*sent[: key[0]], *first[:t]]:
+                    a, b = a[ok], b[ok]
+                    if not len(a):
+                        break
+                    ok = ((fp[a] ^ fp[b]) & m) != 0
+                a, b = (a[ok], b[ok]) if len(a) else (a, b)
+                for s in range(0, len(a), 65536):
+                    i, j = a[s : s + 65536], b[s : s + 65536]
+                    if not exact:
+                        new = ~(asked[i] & asked[j])
+                        i, j = i[new], j[new]
+                    differ = _differ(sig, i, j)
+                    near = differ <= far
+                    if exact:
+                        found = list(groups.join(i[near], j[near], differ[near]))
+                        if found:
+                            yield pa.RecordBatch.from_arrays([pa.array(node[list(e)]) for e in zip(*found, strict=True)], names=["a", "b"])
+                    else:
+                        asked[i[near]] = asked[j[near]] = True
         if asked.any():
             at = np.flatnonzero(asked)
             keys = [pa.array([k] * len(at), t) for k, t in zip(key, (pa.int32(), pa.int64(), pa.int32()), strict=True)]
@@ -361,22 +453,22 @@ def _alike(most: int, runs: list, far: int, percent: int, exact: bool):
     return run
 
 
-def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 11, keep: int | None = None, words: int = 5, percent: int = 80, far: int = 17, block: int = 16384, small: int = 500_000) -> tuple[DataFrame, DataFrame]:
+def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 11, keep: int | None = None, words: int = 5, percent: int = 80, far: int = 17, block: int = 32768, small: int = 500_000) -> tuple[DataFrame, DataFrame]:
     """Texts (``text_hash, low``: the least (has no id, id) of their rows) and ``node, root`` of those that are linked
     to others: by steps between texts whose sets of ``words``-word shingles are alike to ``percent`` in a hundred or more.
 
     The Gray-order index over fingerprints of ``shingle`` words finds the pairs within ``most`` bits. Nodes carry MinHash
     signatures of 32 numbers, which tell candidates apart where they meet (``far``: one pair in a hundred thousand that are
-    alike to 0.8 differs in more). Members that have a candidate in a cell of the index are sent there once more with their
+    alike to 0.8 differs in more); the index is sent only the lowest 4 bits of each. Members that have a candidate in a cell of the index are sent there once more with their
     whole sets; every candidate pair is compared on these, unless confirmed links have joined the two already, and only
     links that join groups leave the task. So no candidate is passed over for another and no pairs of a group are listed.
     """
     spark = docs.sparkSession
     rows = docs.select("doc_id", text_bytes(F.col("text")).alias("b")).withColumn("text_hash", F.xxhash64("b"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    prints, prints_path = materialize(rows.mapInArrow(_signed(shingle, words), f"doc_id {kind}, fp long, size long, sig binary, text_hash long"), "fp")
+    prints, prints_path = materialize(rows.mapInArrow(_signed(shingle, words), f"doc_id {kind}, fp long, size long, sig binary, low_sig binary, text_hash long"), "fp")
     order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    texts, _ = materialize(prints.groupBy("text_hash").agg(F.min(order).alias("low"), *[F.first(c).alias(c) for c in ("fp", "size", "sig")]), "first")
+    texts, _ = materialize(prints.groupBy("text_hash").agg(F.min(order).alias("low"), *[F.first(c).alias(c) for c in ("fp", "size", "sig", "low_sig")]), "first")
     old = [prints_path]
 
     def kept(df: DataFrame, tag: str) -> DataFrame:
@@ -387,13 +479,14 @@ def similar_texts(docs: DataFrame, shingle: int = 2, most: int = 11, keep: int |
     # texts without words are alike, and equal to nothing else: they take no part in the index
     empty = texts.filter("size = 0").select(F.col("text_hash").alias("b"))
     bare = empty.select(F.lit(empty.agg(F.min("b")).first()[0]).cast("long").alias("a"), "b").filter("a <> b")
-    nodes = texts.filter("size > 0").select(F.col("text_hash").alias("node"), "fp", "size", "sig")
-    keep = keep or runs_to_keep(most, texts.count(), block)
-    how = (most, tables(most, keep), far, percent)
+    nodes = texts.filter("size > 0").select(F.col("text_hash").alias("node"), "fp", "size", "sig", "low_sig")
     # sets alike to 0.8 have sizes of one class or of two neighbouring ones (classes grow by more than 1 / 0.8)
     classed = nodes.withColumn("cls", F.floor(F.log("size") / F.log(F.lit(104.0 / percent))).cast("int") + 1)
     both = classed.withColumn("bucket", F.explode(F.array(F.col("cls") - 1, F.col("cls"))))
-    cells = in_cells(both.select("node", "fp", "size", "cls", "sig", "bucket"), most, keep, block)
+    keep = keep or runs_to_send(most, both.groupBy("bucket").count().agg(F.max("count")).first()[0] or 0, block)
+    how = (most, tables(most, keep), far, percent)
+    # one run has a few dozen values in each of as many classes
+    cells = in_cells(both.select("node", "fp", "size", "cls", "low_sig", "bucket"), most, keep, block, few=keep == 1)
     met = kept(cells.mapInArrow(_alike(*how, False), "p int, v long, c int, side int, node long"), "met")
     used = kept(met.select("node").distinct().join(texts, F.col("node") == F.col("text_hash")).select(F.col("node").alias("h"), F.col("low.id").alias("i")), "used")
     # texts stay where they are while the list of those asked for is small; beyond that both are shuffled
@@ -417,7 +510,9 @@ def drop_near_duplicates(docs: DataFrame, **how) -> DataFrame:
     texts, roots = similar_texts(docs, **how)
     tied = texts.join(roots, F.col("text_hash") == F.col("node"), "left").select("text_hash", "low", F.coalesce("root", "text_hash").alias("root"))
     stay = tied.groupBy("root").agg(F.min(F.struct("low.none", "low.id", "text_hash")).alias("at")).select(F.col("at.id").alias("i"), F.col("at.text_hash").alias("h"))
-    full = docs.select(F.struct("*").alias("row"), F.xxhash64(text_bytes(F.col("text"))).alias("t"))
-    met = full.join(stay, F.col("row.doc_id").eqNullSafe(F.col("i")) & (F.col("t") == F.col("h")), "left_semi")
-    once = Window.partitionBy("row.doc_id", "t").orderBy("t")
+    # rows are sent once: the join and the numbering take the same keys, which are plain and not null
+    none, key = (lambda k: k.isNull()), (lambda k: F.coalesce(k.cast("string"), F.lit("")))
+    full = docs.select(F.struct("*").alias("row"), F.xxhash64(text_bytes(F.col("text"))).alias("h"), none(F.col("doc_id")).alias("none"), key(F.col("doc_id")).alias("i"))
+    met = full.join(stay.select("h", none(F.col("i")).alias("none"), key(F.col("i")).alias("i")), ["none", "i", "h"], "left_semi")
+    once = Window.partitionBy("none", "i", "h").orderBy("h")
     return met.withColumn("n", F.row_number().over(once)).filter("n = 1").select("row.*")

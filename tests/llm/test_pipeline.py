@@ -199,3 +199,76 @@ def test_family_of_templated_texts_loses_no_link(spark):
     assert found >= 0.95
     # nothing is joined that no link joins
     assert len({(find(i), label[t]) for i, t in enumerate(texts)}) == len({label[t] for t in texts})
+
+
+def test_a_larger_table_does_not_widen_what_the_index_is_sent(spark, monkeypatch):
+    df = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").filter("length(text) < 3000")
+    sent, in_cells = [], simhash.in_cells
+    monkeypatch.setattr(simhash, "in_cells", lambda nodes, most, keep, *a, **k: sent.append((keep, nodes.columns)) or in_cells(nodes, most, keep, *a, **k))
+    few = {(r.node, r.root) for r in simhash.similar_texts(df, block=4)[1].collect()}  # as with 32768 and a million texts
+    assert [k for k, _ in sent] == [1] and "sig" not in sent[0][1]
+    assert few == {(r.node, r.root) for r in simhash.similar_texts(df)[1].collect()} and few
+    assert [simhash.runs_to_send(11, n, 32768) for n in (0, 50_000, 540_000, 5_000_000, 50_000_000)] == [1, 1, 1, 1, 2]
+
+
+def test_whole_rows_are_sent_once(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "a b c", "x"), (1, "a b c", "x"), (None, "q r s t", "y"), (None, "q r s t", "y"), (2, "", None), (3, None, None)], "doc_id long, text string, source string")
+    monkeypatch.setattr(simhash, "similar_texts", lambda docs, **how: (docs.select(F.xxhash64(F.coalesce("text", F.lit("")).cast("binary")).alias("text_hash"), F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id")).alias("low")).groupBy("text_hash").agg(F.min("low").alias("low")), spark.createDataFrame([], "node long, root long")))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = simhash.drop_near_duplicates(df)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan[plan.index("Window") : plan.index("Join")] and "Exchange" in plan[plan.index("Join") :]
+        assert sorted(map(str, got.collect())) == sorted(map(str, df.filter("doc_id IS NULL OR doc_id < 3").distinct().collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_tables_inside_a_cell_lose_no_pair():
+    rng = np.random.default_rng(5)
+    crowd = rng.integers(0, 1 << 63, 1, np.uint64) ^ (np.uint64(1) << rng.integers(0, 64, 300, np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 300, np.uint64))
+    centres = rng.integers(0, 1 << 63, 400, np.uint64)
+    near = centres.copy()
+    for _ in range(9):
+        near ^= np.uint64(1) << rng.integers(0, 64, 400, np.uint64)
+    left, right = np.concatenate([crowd[:150], centres]), np.concatenate([near, crowd[150:]])
+    for x, y in ((left, right), (np.concatenate([left, right]), None)):
+        other = x if y is None else y
+        want = {(i, j) for i, j in zip(*np.nonzero(np.bitwise_count(x[:, None] ^ other[None]) <= 11), strict=True) if y is not None or i < j}
+        for keep in (0, 1, 2):
+            got = set()
+            for runs in simhash.tables(11, keep):
+                a = simhash.TableIndex(x, runs, np.arange(len(x)))
+                b = a if y is None else simhash.TableIndex(y, runs, np.arange(len(y)) + len(x))
+                for i, j in a.links(b, 11):
+                    i, j = a.order[i], b.order[j]
+                    assert (simhash.values(x[i], runs) == simhash.values(other[j], runs)).all()
+                    got |= {(p, q) if y is not None else (min(p, q), max(p, q)) for p, q in zip(i, j, strict=True)}
+            assert got == want
+        # pairs of one label are not asked for again; a crowd is met in few tables
+        a = simhash.TableIndex(x, [], np.zeros(len(x), int))
+        assert not list(a.links(a, 11))
+    assert len(simhash.runs_inside(np.repeat(crowd, 10), None, 11)) == 1 and len(simhash.runs_inside(rng.integers(0, 1 << 63, 20_000, np.uint64), None, 11)) > 1
+
+
+def test_lowest_bits_of_signatures_never_differ_in_more_numbers():
+    rng = np.random.default_rng(6)
+    sig = rng.integers(0, 1 << 16, (60, 32)).astype(np.uint16)
+    sig[30:, ::3] = sig[:30, ::3]
+    low = (sig[:, ::2] & 15 | (sig[:, 1::2] & 15) << 4).astype(np.uint8)
+    low = np.frombuffer(b"".join(x.tobytes() for x in low), "<u8").reshape(60, -1)
+    i, j = np.repeat(np.arange(60), 60), np.tile(np.arange(60), 60)
+    assert (simhash._differ(low, i, j) == ((sig[i] & 15) != (sig[j] & 15)).sum(1)).all()
+    assert (simhash._differ(low, i, j) <= simhash._differ(sig, i, j)).all()
+
+
+def test_a_stage_is_deleted_once_the_next_is_written(spark, monkeypatch):
+    import os
+
+    from marshlight.llm.common import shared_dir
+
+    there = lambda: {x for x in os.listdir(shared_dir(spark).removeprefix("file://")) if x.startswith("stage-")}
+    monkeypatch.setattr(P, "STAGES", [(str(k), lambda s, d, f: d.select("doc_id")) for k in range(4)])
+    before = there()
+    assert P.run(spark, SF).count() == 200 and len(there() - before) == 1
