@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from .grid import base_of, boxes_with_boxes, points_in_boxes
 from .iterate import settle
+from .rings import pairs_of_rings, small_rings
 
 
 def edges(vertices: DataFrame, most: int = 50_000) -> DataFrame:
@@ -257,15 +258,22 @@ def dissolve(cells: DataFrame, by: list[str]) -> DataFrame:
     return cells.select(*by, "h", "r", "c").distinct()
 
 
-def intersecting(vertices: DataFrame) -> DataFrame:
+def intersecting(vertices: DataFrame, joining: bool = False) -> DataFrame:
     """Pairs ``a < b`` of polygons of one watershed that intersect: outlines cross, or one holds a vertex of the
-    other. Edges meet edges whose boxes touch, vertices the polygons whose box holds them. Edges are
-    settled, as they are read seven times."""
+    other. Rings of few vertices meet whole; where one has many, edges meet edges whose boxes touch, and vertices the
+    polygons whose box holds them. With ``joining`` pairs may be left out that connect what others connect."""
+    kinds = settle(small_rings(vertices), "kinds")
+    small, large = kinds.filter("small").select("poly_id"), kinds.filter("NOT small OR small IS NULL").select("poly_id")
+    if not large.limit(1).count():
+        return pairs_of_rings(vertices, joining)
+    pairs = pairs_of_rings(vertices.join(small, "poly_id", "left_semi"), joining)
     e = settle(edges(vertices).select("poly_id", "h", "x1", "y1", "x2", "y2"), "edges")
-    crossed = edge_pairs(e, e, ["h"]).filter((F.col("poly_id") < F.col("b_poly_id")) & crossing()).select(F.col("poly_id").alias("a"), F.col("b_poly_id").alias("b"))
-    v = vertices.select(F.col("poly_id").alias("v_id"), "seq", "h", F.col("x").alias("px"), F.col("y").alias("py"))
-    held = points_in(v, vertices, ["v_id", "seq"], e).filter("v_id <> poly_id").select(F.least("poly_id", "v_id").alias("a"), F.greatest("poly_id", "v_id").alias("b"))
-    return crossed.union(held).distinct()
+    big, e_big = vertices.join(large, "poly_id", "left_semi"), e.join(large, "poly_id", "left_semi")
+    crossed = edge_pairs(e_big, e, ["h"]).filter((F.col("poly_id") != F.col("b_poly_id")) & crossing()).select(F.col("poly_id").alias("a"), F.col("b_poly_id").alias("b"))
+    v = lambda x: x.select(F.col("poly_id").alias("v_id"), "seq", "h", F.col("x").alias("px"), F.col("y").alias("py"))
+    held = points_in(v(vertices), big, ["v_id", "seq"], e_big).union(points_in(v(big), vertices, ["v_id", "seq"], e)).filter("v_id <> poly_id")
+    met = crossed.union(held.select(F.col("v_id").alias("a"), F.col("poly_id").alias("b")))
+    return pairs.union(met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
 
 def hash_order(key: Column, k: int = 0) -> Column:

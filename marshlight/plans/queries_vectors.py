@@ -178,12 +178,12 @@ _GROUPS = f"WITH {PAIRS}, {_rounds()}"
 @query("c15_touch_groups", f"{_GROUPS} SELECT poly_id, grp FROM g")
 def _(fx):
     nodes = fx.polys.select(c("poly_id").alias("node"))
-    return connected(G.intersecting(fx.vertices), nodes).select(c("node").alias("poly_id"), c("root").alias("grp"))
+    return connected(G.intersecting(fx.vertices, joining=True), nodes).select(c("node").alias("poly_id"), c("root").alias("grp"))
 
 
 @query("c16_filter_group_area", f"{_GROUPS}, a AS (SELECT poly_id, abs(sum(x1 * y2 - x2 * y1)) / 2 AS area FROM e GROUP BY poly_id) SELECT grp, sum(area) AS area FROM g JOIN a USING (poly_id) GROUP BY grp HAVING sum(area) >= 15.5")
 def _(fx):
-    groups = connected(G.intersecting(fx.vertices), fx.polys.select(c("poly_id").alias("node"))).select(c("node").alias("poly_id"), c("root").alias("grp"))
+    groups = connected(G.intersecting(fx.vertices, joining=True), fx.polys.select(c("poly_id").alias("node"))).select(c("node").alias("poly_id"), c("root").alias("grp"))
     return groups.join(G.area(fx.vertices), "poly_id").groupBy("grp").agg(F.sum("area").alias("area")).filter("area >= 15.5")
 
 

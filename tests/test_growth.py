@@ -308,3 +308,46 @@ def test_importance_of_every_feature_of_the_model(spark):
     both = {r.feature: r.importance for r in M.perm_importance(model, whole.repartition(7), "k", ["a", "b"], "pt_id").collect()}
     one = M.perm_importance(model, whole, "k", ["a"], "pt_id").collect()
     assert [r.feature for r in one] == ["a"] and abs(one[0].importance - both["a"]) < 1e-12
+
+
+def test_intersecting_polygons_meet_as_whole_rings(spark):
+    """No row stands for an edge and another one; crowded squares are cut; long rings and odd ones go the general way."""
+    from marshlight.operators.iterate import connected
+    from marshlight.operators.rings import VERTICES, pairs_of_rings, small_rings
+
+    rng = random.Random(4)
+    star = lambda n: [(math.cos(2 * math.pi * k / n) * (1 if k % 2 else 0.6), math.sin(2 * math.pi * k / n) * (1 if k % 2 else 0.6)) for k in range(n)]
+    rings = {}
+    for k in range(150):
+        cx, cy, w = (rng.choice([5, 9, 13.5]), rng.choice([5, 8, 30]), rng.choice([1, 2, 3])) if k < 60 else (rng.uniform(-40, 40), rng.uniform(-40, 40), rng.choice([0.4, 1, 3, 9]))
+        shape = star(rng.choice([4, 6, 10] if k % 10 else [VERTICES + 6, 4]))
+        rings[k] = (k % 2, [(cx + w * x, cy + w * y) for x, y in [*shape, shape[0]]])
+    table = lambda r: spark.createDataFrame([(k, h, i, x, y) for k, (h, ring) in r.items() for i, (x, y) in enumerate(ring)], "poly_id long, h long, seq int, x double, y double").repartition(3)
+    v = table(rings)
+
+    def within(ring, p):
+        xs, ys = zip(*ring, strict=True)
+        n = sum((a[1] > p[1]) != (b[1] > p[1]) and p[0] < (b[0] - a[0]) * (p[1] - a[1]) / (b[1] - a[1]) + a[0] for a, b in zip(ring, ring[1:], strict=False))
+        return n % 2 == 1 and min(xs) <= p[0] <= max(xs) and min(ys) <= p[1] <= max(ys)
+
+    turn = lambda a, b, p: (lambda z: (z > 0) - (z < 0))((b[0] - a[0]) * (p[1] - a[1]) - (b[1] - a[1]) * (p[0] - a[0]))
+    sides = {k: list(zip(ring, ring[1:], strict=False)) for k, (_, ring) in rings.items()}
+    cross = lambda e, f: turn(*e, f[0]) * turn(*e, f[1]) < 0 and turn(*f, e[0]) * turn(*f, e[1]) < 0
+    want = {(a, b) for a in rings for b in rings if a < b and rings[a][0] == rings[b][0] and (any(cross(e, f) for e in sides[a] for f in sides[b]) or any(within(rings[a][1], p) for p in rings[b][1]) or any(within(rings[b][1], p) for p in rings[a][1]))}
+    large = {k for k in rings if len(rings[k][1]) > VERTICES}
+    assert large and {(r.a, r.b) for r in G.intersecting(v).collect()} == want
+    small = v.filter(~F.col("poly_id").isin(*large))
+    short = {(a, b) for a, b in want if not {a, b} & large}
+    for block in (7, 2048):
+        got = [(r.a, r.b) for r in pairs_of_rings(small, block=block).collect()]
+        assert set(got) == short and len(got) == len(short)
+    assert "SortMergeJoin" not in plan_of(G.intersecting(small)) and "x1" not in plan_of(G.intersecting(small))
+    # pairs that connect are few, and connect the same
+    few = [(r.a, r.b) for r in G.intersecting(small, joining=True).collect()]
+    assert set(few) <= short and len(few) < len(short)
+    nodes = v.select(F.col("poly_id").alias("node")).distinct()
+    groups = lambda pairs: {(r.node, r.root) for r in connected(pairs, nodes).collect()}
+    assert groups(G.intersecting(v, joining=True)) == groups(G.intersecting(v))
+    odd = {1: (0, [(0.0, 0.0), (4.0, 0.0), (None, 4.0), (0.0, 0.0)]), 2: (0, rings[1][1]), 3: (0, [(math.nan, 0.0), (1.0, 1.0)])}
+    assert {r.poly_id: r.small for r in small_rings(table(odd)).collect()} == {1: False, 2: True, 3: False}
+    assert G.intersecting(v.limit(0)).count() == 0
